@@ -1,19 +1,148 @@
-"""DuckDB oracle text for each registered query (same names and column aliases)."""
+"""DuckDB oracle text for each registered query (same names and column aliases).
+
+Oracles are written independently of the Spark code, as plain SQL over the
+fixture views (``WITH`` chains of ``tabelion.fixtures.VIEWS``).
+"""
 
 from __future__ import annotations
 
+from tabelion import schemas
+from tabelion.fixtures import VIEWS
 from tabelion.fixtures import oracle_with as W
 
-ESTAB = "estabelecimento AS (SELECT *, concat(cnpj_basico, cnpj_ordem, cnpj_dv) AS cnpj FROM estabelecimento_raw)"
+CODES = schemas.CODE_TABLES
+ALL_VIEWS = list(VIEWS)
+
+DERIVED = """,
+empresas AS (SELECT cnpj_basico, razao_social, natureza_juridica, qualificacao_responsavel, porte_empresa,
+    ente_federativo_responsavel, CAST(replace(capital_social_str, ',', '.') AS DECIMAL(18,2)) AS capital_social
+    FROM empresas_raw),
+estabelecimento AS (SELECT *, concat(cnpj_basico, cnpj_ordem, cnpj_dv) AS cnpj FROM estabelecimento_raw),
+socios AS (SELECT te.cnpj AS cnpj, ts.* FROM socios_original ts
+    LEFT JOIN estabelecimento te ON te.cnpj_basico = ts.cnpj_basico WHERE te.matriz_filial = '1')
+"""
+
+BASE = W(*ALL_VIEWS) + DERIVED
+
+EXTRACT = {n: n for n in schemas.BASE_TABLES} | {"empresas": "empresas_raw", "estabelecimento": "estabelecimento_raw"}
+
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _counts(tables: list[str]) -> str:
+    return _union([f"SELECT '{t}' AS table_name, count(*) AS n_rows, true AS present FROM {t}" for t in tables])
+
+
+def _ends(src: str) -> str:
+    return (
+        f"SELECT count(*) AS n, min(codigo) AS first_code, "
+        f"CASE WHEN count(codigo) < count(*) THEN NULL ELSE max(codigo) END AS last_code FROM {src}"
+    )
+
+
+def _code_decision() -> str:
+    rows = []
+    for sc, stored in [("first_run", "(SELECT * FROM {t} WHERE false)"), ("rerun", "{t}"),
+                       ("double_load", "(SELECT * FROM {t} UNION ALL SELECT * FROM {t})")]:
+        for t in CODES:
+            s = _ends(stored.format(t=t) + " s_")
+            i = _ends(t)
+            rows.append(
+                f"SELECT '{t}' AS table_name, '{sc}' AS scenario, s.n AS existing, s.first_code AS stored_first, "
+                f"s.last_code AS stored_last, i.n AS expected, i.first_code AS incoming_first, "
+                f"i.last_code AS incoming_last FROM ({s}) s, ({i}) i"
+            )
+    return f"""stats AS ({_union(rows)}),
+d AS (SELECT *, (stored_first IS NOT DISTINCT FROM incoming_first AND stored_last IS NOT DISTINCT FROM incoming_last)
+        AS ends_equal,
+    (existing - CAST(expected AS DOUBLE)) / nullif(CAST(expected AS DOUBLE), 0) * 100 AS pct FROM stats)
+SELECT table_name, scenario, existing, stored_first, stored_last, expected, incoming_first, incoming_last, ends_equal,
+  round(pct, 1) AS excess_pct,
+  CASE WHEN existing = 0 THEN 'insert' WHEN expected = 0 THEN 'skip_empty_input'
+       WHEN existing >= expected AND ends_equal THEN 'skip'
+       WHEN existing > expected AND pct > 50 THEN 'inconsistent_severe'
+       WHEN existing > expected THEN 'inconsistent_moderate' ELSE 'append' END AS decision,
+  CASE WHEN existing = 0 THEN true WHEN expected = 0 THEN false WHEN existing >= expected AND ends_equal THEN false
+       WHEN existing > expected THEN false ELSE true END AS will_insert
+FROM d"""
+
+
+def _main_decision() -> str:
+    rows = []
+    for sc, stored in [("first_run", "(SELECT * FROM {t} WHERE false)"), ("rerun", "{t}"),
+                       ("double_load", "(SELECT * FROM {t} UNION ALL SELECT * FROM {t})")]:
+        for t in ["estabelecimento", "socios_original", "empresas", "simples"]:
+            src = EXTRACT[t]
+            rows.append(
+                f"SELECT '{t}' AS table_name, '{sc}' AS scenario, "
+                f"(SELECT count(*) FROM {stored.format(t=src)} s_) AS existing, "
+                f"(SELECT count(*) FROM {src}) AS expected"
+            )
+    return f"""stats AS ({_union(rows)})
+SELECT *, CASE WHEN existing = 0 THEN 'insert' WHEN existing >= expected THEN 'skip' ELSE 'append' END AS decision,
+  NOT (existing > 0 AND existing >= expected) AS will_insert FROM stats"""
+
+
+def _width_report() -> str:
+    parts = []
+    for t in schemas.BASE_TABLES:
+        src = EXTRACT[t]
+        cols = [c for c in _view_columns(src) if c in schemas.spec(t).widths]
+        for c in cols:
+            w = schemas.spec(t).widths[c]
+            parts.append(
+                f"SELECT '{t}' AS table_name, '{c}' AS column_name, {w} AS width, "
+                f"CAST(max(length({c})) AS INTEGER) AS max_length, "
+                f"CAST(count(*) FILTER (WHERE length({c}) > {w}) AS BIGINT) AS n_over FROM {src}"
+            )
+    return _union(parts)
+
+
+_VIEW_COLUMNS = {
+    "empresas_raw": ["cnpj_basico", "razao_social", "natureza_juridica", "qualificacao_responsavel",
+                     "capital_social_str", "porte_empresa", "ente_federativo_responsavel"],
+    "estabelecimento_raw": ["cnpj_basico", "cnpj_ordem", "cnpj_dv", "matriz_filial", "nome_fantasia",
+                            "situacao_cadastral", "data_situacao_cadastral", "motivo_situacao_cadastral",
+                            "municipio", "pais", "uf"],
+    "socios_original": ["cnpj_basico", "identificador_de_socio", "nome_socio", "cnpj_cpf_socio",
+                        "qualificacao_socio", "data_entrada_sociedade"],
+    "simples": ["cnpj_basico", "opcao_simples", "opcao_mei"],
+}
+
+
+def _view_columns(name: str) -> list[str]:
+    return _VIEW_COLUMNS.get(name, ["codigo", "descricao"])
+
 
 ORACLES: dict[str, str] = {
-    "partners_head_office": W("estabelecimento_raw", "socios_original")
-    + f", {ESTAB}\n"
-    + "SELECT te.cnpj AS cnpj, ts.* FROM socios_original ts "
-    "LEFT JOIN estabelecimento te ON te.cnpj_basico = ts.cnpj_basico WHERE te.matriz_filial = '1'",
-    "companies_capital": W("empresas_raw")
-    + "SELECT cnpj_basico, razao_social, natureza_juridica, qualificacao_responsavel, porte_empresa, "
-    "ente_federativo_responsavel, CAST(replace(capital_social_str, ',', '.') AS DECIMAL(18,2)) AS capital_social "
-    "FROM empresas_raw",
-    "establishment_number": W("estabelecimento_raw") + f", {ESTAB}\nSELECT * FROM estabelecimento",
+    "partners_head_office": BASE + "SELECT * FROM socios",
+    "companies_capital": BASE + "SELECT * FROM empresas",
+    "establishment_number": BASE + "SELECT * FROM estabelecimento",
+    "company_establishment_count": BASE
+    + "SELECT 'empresas_estabelecimento' AS check_name, count(*) AS n_rows "
+    "FROM empresas e INNER JOIN estabelecimento est ON e.cnpj_basico = est.cnpj_basico",
+    "establishment_partner_count": BASE
+    + "SELECT 'estabelecimento_socios' AS check_name, count(*) AS n_rows "
+    "FROM estabelecimento e INNER JOIN socios s ON e.cnpj = s.cnpj",
+    "table_counts": BASE
+    + f"SELECT *, format('{{:,}}', n_rows) AS n_rows_text FROM ({_counts(schemas.MONITOR_TABLES)}) c",
+    "code_distinct": BASE
+    + _union([f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(DISTINCT codigo) AS n_distinct FROM {t}"
+              for t in CODES]),
+    "code_ends": BASE
+    + _union([f"SELECT '{t}' AS table_name, first_code, last_code FROM ({_ends(t)}) e" for t in CODES]),
+    "latest_establishments": BASE
+    + "SELECT cnpj_basico, left(nome_fantasia, 30) AS nome_fantasia, uf, municipio FROM estabelecimento "
+    "ORDER BY cnpj_basico DESC NULLS FIRST, cnpj DESC NULLS FIRST LIMIT 5",
+    "latest_companies": BASE
+    + "SELECT cnpj_basico, left(razao_social, 40) AS razao_social, porte_empresa FROM empresas "
+    "ORDER BY cnpj_basico DESC NULLS FIRST, razao_social DESC NULLS FIRST LIMIT 3",
+    "code_preview": BASE
+    + _union([f"SELECT * FROM (SELECT '{t}' AS table_name, codigo, descricao FROM {t} "
+              f"ORDER BY codigo ASC NULLS LAST, descricao ASC NULLS LAST LIMIT 5) p_{t}" for t in CODES]),
+    "code_load_decision": BASE + ", " + _code_decision(),
+    "main_load_decision": BASE + ", " + _main_decision(),
+    "width_report": BASE + _width_report(),
 }

@@ -8,29 +8,161 @@ DuckDB oracle texts are in ``tabelion.oracles``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabelion import fixtures as fx
-from tabelion.operators import derive
+from tabelion import schemas
+from tabelion.operators import checks, derive, listing
 
 
-def _establishments(spark: SparkSession, sf: str) -> DataFrame:
-    return derive.establishments_with_number(fx.view(spark, sf, "estabelecimento_raw"))
+class Stored:
+    """The registry tables as they stand after a load, built from the fixture views."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
+
+    def raw(self, name: str) -> DataFrame:
+        return fx.view(self.spark, self.sf, name)
+
+    def code(self, name: str) -> DataFrame:
+        return self.raw(name)
+
+    def codes(self) -> dict[str, DataFrame]:
+        return {n: self.code(n) for n in schemas.CODE_TABLES}
+
+    def empresas(self) -> DataFrame:
+        return derive.companies_with_capital(self.raw("empresas_raw"))
+
+    def estabelecimento(self) -> DataFrame:
+        return derive.establishments_with_number(self.raw("estabelecimento_raw"))
+
+    def socios_original(self) -> DataFrame:
+        return self.raw("socios_original")
+
+    def socios(self) -> DataFrame:
+        return derive.partners_head_office(self.socios_original(), self.estabelecimento())
+
+    def simples(self) -> DataFrame:
+        return self.raw("simples")
+
+    def table(self, name: str) -> DataFrame:
+        main = {
+            "empresas": self.empresas,
+            "estabelecimento": self.estabelecimento,
+            "socios_original": self.socios_original,
+            "socios": self.socios,
+            "simples": self.simples,
+        }
+        return main[name]() if name in main else self.code(name)
+
+    def extract(self, name: str) -> DataFrame:
+        """Rows of a base table's incoming extract."""
+        return fx.registry_view(self.spark, self.sf, name)
 
 
 def partners_head_office(spark: SparkSession, sf: str) -> DataFrame:
-    return derive.partners_head_office(fx.view(spark, sf, "socios_original"), _establishments(spark, sf))
+    return Stored(spark, sf).socios()
 
 
 def companies_capital(spark: SparkSession, sf: str) -> DataFrame:
-    return derive.companies_with_capital(fx.view(spark, sf, "empresas_raw"))
+    return Stored(spark, sf).empresas()
 
 
 def establishment_number(spark: SparkSession, sf: str) -> DataFrame:
-    return _establishments(spark, sf)
+    return Stored(spark, sf).estabelecimento()
+
+
+def company_establishment_count(spark: SparkSession, sf: str) -> DataFrame:
+    s = Stored(spark, sf)
+    return checks.relationship_count("empresas_estabelecimento", s.empresas(), s.estabelecimento(), "cnpj_basico")
+
+
+def establishment_partner_count(spark: SparkSession, sf: str) -> DataFrame:
+    s = Stored(spark, sf)
+    return checks.relationship_count("estabelecimento_socios", s.estabelecimento(), s.socios(), "cnpj")
+
+
+def table_counts(spark: SparkSession, sf: str) -> DataFrame:
+    s = Stored(spark, sf)
+    return checks.table_counts(spark, {t: s.table(t) for t in schemas.MONITOR_TABLES}, with_text=True)
+
+
+def code_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.code_distinct(Stored(spark, sf).codes())
+
+
+def code_ends(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.code_ends(Stored(spark, sf).codes())
+
+
+def latest_establishments(spark: SparkSession, sf: str) -> DataFrame:
+    return listing.latest_establishments(Stored(spark, sf).estabelecimento())
+
+
+def latest_companies(spark: SparkSession, sf: str) -> DataFrame:
+    return listing.latest_companies(Stored(spark, sf).empresas())
+
+
+def code_preview(spark: SparkSession, sf: str) -> DataFrame:
+    return listing.code_preview(Stored(spark, sf).codes())
+
+
+def _scenarios(s: Stored, names: list[str]) -> dict[str, dict[str, tuple[DataFrame, DataFrame]]]:
+    """Load states met by a rerun: fresh database, complete load, load done twice."""
+    out: dict[str, dict[str, tuple[DataFrame, DataFrame]]] = {"first_run": {}, "rerun": {}, "double_load": {}}
+    for n in names:
+        incoming = s.extract(n)
+        stored = s.extract(n)
+        out["first_run"][n] = (stored.filter(F.lit(False)), incoming)
+        out["rerun"][n] = (stored, incoming)
+        out["double_load"][n] = (stored.unionAll(s.extract(n)), incoming)
+    return out
+
+
+def code_load_decision(spark: SparkSession, sf: str) -> DataFrame:
+    s = Stored(spark, sf)
+    frames = [
+        checks.code_load_decision(pairs).withColumn("scenario", F.lit(sc))
+        for sc, pairs in _scenarios(s, schemas.CODE_TABLES).items()
+    ]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def main_load_decision(spark: SparkSession, sf: str) -> DataFrame:
+    s = Stored(spark, sf)
+    names = ["estabelecimento", "socios_original", "empresas", "simples"]
+    frames = [
+        checks.main_load_decision(pairs).withColumn("scenario", F.lit(sc))
+        for sc, pairs in _scenarios(s, names).items()
+    ]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def width_report(spark: SparkSession, sf: str) -> DataFrame:
+    s = Stored(spark, sf)
+    tables = {t: (s.extract(t), schemas.spec(t).widths) for t in schemas.BASE_TABLES}
+    return checks.width_report(tables)
 
 
 QUERIES = {
     "partners_head_office": partners_head_office,
     "companies_capital": companies_capital,
     "establishment_number": establishment_number,
+    "company_establishment_count": company_establishment_count,
+    "establishment_partner_count": establishment_partner_count,
+    "table_counts": table_counts,
+    "code_distinct": code_distinct,
+    "code_ends": code_ends,
+    "latest_establishments": latest_establishments,
+    "latest_companies": latest_companies,
+    "code_preview": code_preview,
+    "code_load_decision": code_load_decision,
+    "main_load_decision": main_load_decision,
+    "width_report": width_report,
 }
