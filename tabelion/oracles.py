@@ -146,3 +146,122 @@ ORACLES: dict[str, str] = {
     "main_load_decision": BASE + ", " + _main_decision(),
     "width_report": BASE + _width_report(),
 }
+
+
+# ---------------------------------------------------------------------------
+# Oracles for the queries over registry files. The extract names, lines and
+# archive names are stated in SQL from the same views.
+# ---------------------------------------------------------------------------
+
+TAG = ("(SELECT 'D' || substr(strftime(max(o_orderdate), '%Y'), 4, 1) || strftime(max(o_orderdate), '%m%d') "
+       "FROM orders)")
+NUMBERED = ("empresas", "estabelecimento", "socios_original")
+ARCHIVE_LABEL = {
+    "cnae": "Cnaes", "empresas": "Empresas", "estabelecimento": "Estabelecimentos", "motivo": "Motivos",
+    "municipio": "Municipios", "natureza_juridica": "Naturezas", "pais": "Paises",
+    "qualificacao_socio": "Qualificacoes", "simples": "Simples", "socios_original": "Socios",
+}
+
+
+def _file_expr(t: str) -> str:
+    suffix = schemas.spec(t).suffix
+    if t in NUMBERED:
+        return f"'K3241.K03200Y' || right(cnpj_basico, 1) || '.' || {TAG} || '{suffix}'"
+    if t == "simples":
+        return f"'F.K03200W{suffix}.' || {TAG}"
+    return f"'F.K03200Z.' || {TAG} || '{suffix}'"
+
+
+def _archive_expr(t: str) -> str:
+    if t in NUMBERED:
+        return f"'{ARCHIVE_LABEL[t]}' || right(cnpj_basico, 1) || '.zip'"
+    return f"'{ARCHIVE_LABEL[t]}.zip'"
+
+
+def _padded_cols(t: str) -> list[str]:
+    have = set(_view_columns(EXTRACT[t]))
+    return [c if c in have else f"'' AS {c}" for c in schemas.spec(t).names]
+
+
+def _line_expr(t: str) -> str:
+    have = set(_view_columns(EXTRACT[t]))
+    parts = [
+        (f"'\"' || replace(coalesce({c}, ''), '\"', '\"\"') || '\"'" if c in have else "'\"\"'")
+        for c in schemas.spec(t).names
+    ]
+    return " || ';' || ".join(parts)
+
+
+def _lines() -> str:
+    return _union(
+        [f"SELECT '{t}' AS table_name, {_archive_expr(t)} AS archive, {_file_expr(t)} AS entry, "
+         f"{_line_expr(t)} AS line FROM {EXTRACT[t]}" for t in schemas.BASE_TABLES]
+    )
+
+
+FILES = BASE + f", lines AS ({_lines()})\n"
+
+_INTEGRITY = _union(
+    [f"SELECT '{t}' AS check_name, 'table' AS kind, count(*) AS n_rows, true AS ok FROM {t}"
+     for t in schemas.INTEGRITY_TABLES if t != "_referencia"]
+    + ["SELECT '_referencia' AS check_name, 'table' AS kind, CAST(2 AS BIGINT) AS n_rows, true AS ok",
+       "SELECT 'empresas_estabelecimento', 'relationship', count(*), true FROM empresas e "
+       "JOIN estabelecimento est ON e.cnpj_basico = est.cnpj_basico",
+       "SELECT 'estabelecimento_socios', 'relationship', count(*), true FROM estabelecimento e "
+       "JOIN socios s ON e.cnpj = s.cnpj"]
+)
+
+_STATE = _union(
+    [f"SELECT '{t}' AS table_name, CASE WHEN count(*) = 0 THEN 'empty' ELSE 'filled' END AS state, "
+     f"count(*) AS n_rows FROM {EXTRACT.get(t, t)}" for t in schemas.STATE_TABLES
+     if t not in ("socios_original", "_referencia")]
+    + ["SELECT 'socios_original', 'absent', CAST(0 AS BIGINT)",
+       "SELECT '_referencia', 'filled', CAST(2 AS BIGINT)"]
+)
+
+HREF = "'<a\\s[^>]*href=\"([^\"]*)\"'"
+LINKS = (f"links AS (SELECT page_id, url, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS link_pos, "
+         f"unnest(arr) AS href FROM (SELECT page_id, url, regexp_extract_all(html, {HREF}, 1) AS arr FROM pages) p)\n")
+
+ORACLES.update(
+    {
+        "main_reader": BASE + "SELECT " + ", ".join(_padded_cols("estabelecimento")) + " FROM estabelecimento_raw",
+        "code_reader": BASE + _union([f"SELECT '{t}' AS table_name, codigo, descricao FROM {t}" for t in CODES]),
+        "rows_per_file": FILES
+        + "SELECT table_name, entry AS file_name, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_rejected "
+        "FROM lines GROUP BY table_name, entry",
+        "file_summary": FILES
+        + "SELECT table_name, count(DISTINCT entry) AS n_files, CAST(sum(length(line) + 1) AS BIGINT) AS total_bytes "
+        "FROM lines GROUP BY table_name",
+        "reconciliation": FILES
+        + "SELECT table_name, count(DISTINCT entry) AS n_files, count(*) AS expected, count(*) AS stored, "
+        "CAST(0 AS BIGINT) AS difference, true AS matches FROM lines GROUP BY table_name",
+        "reference_metadata": BASE
+        + f", t AS (SELECT {TAG} AS tag)\n"
+        "SELECT 'CNPJ' AS referencia, substr(tag, 5, 2) || '/' || substr(tag, 3, 2) || '/202' || substr(tag, 2, 1) "
+        "AS valor FROM t UNION ALL SELECT 'cnpj_qtde', CAST(count(*) AS VARCHAR) FROM estabelecimento_raw",
+        "integrity_report": BASE + _INTEGRITY,
+        "tables_missing": "SELECT * FROM (VALUES "
+        + ", ".join(f"('{t}', {'false' if t == 'socios_original' else 'true'})" for t in schemas.BASE_TABLES)
+        + ") v(table_name, present)",
+        "derived_state": BASE + _STATE,
+        "archive_lines": FILES + "SELECT archive, entry, line FROM lines",
+        "archive_manifest": FILES
+        + "SELECT archive, count(DISTINCT entry) AS n_entries, CAST(sum(length(line) + 1) AS BIGINT) "
+        "AS uncompressed_bytes FROM lines GROUP BY archive",
+        "archive_entry_status": FILES
+        + "SELECT archive, count(DISTINCT entry) AS n_entries, count(DISTINCT entry) AS n_present, true AS all_present "
+        "FROM lines GROUP BY archive",
+        "entries_missing": FILES
+        + "SELECT DISTINCT archive, entry FROM lines l WHERE NOT EXISTS "
+        "(SELECT 1 FROM lines x WHERE x.entry = l.entry)",
+        "links_all": "WITH " + LINKS + "SELECT page_id, link_pos, href FROM links",
+        "links_resolved": "WITH " + LINKS
+        + "SELECT page_id, link_pos, href, CASE WHEN starts_with(href, 'http') THEN href ELSE url || href END "
+        "AS resolved_url FROM links",
+        "latest_link": "WITH " + LINKS
+        + "SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1) AS host, max(href) AS latest_href, "
+        "count(*) AS n_links FROM links WHERE starts_with(href, '/') GROUP BY 1",
+        "live_counts": FILES + "SELECT table_name, count(*) AS n_rows FROM lines GROUP BY table_name",
+    }
+)

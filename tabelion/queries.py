@@ -166,3 +166,150 @@ QUERIES = {
     "main_load_decision": main_load_decision,
     "width_report": width_report,
 }
+
+
+# ---------------------------------------------------------------------------
+# Queries over registry files: the fixture views written as extracts (and
+# archives) under the shared scratch folder once per session, then read back.
+# ---------------------------------------------------------------------------
+
+import hashlib  # noqa: E402
+
+from tabelion import session  # noqa: E402
+from tabelion.plans import pipeline  # noqa: E402
+from tabelion.plans import tables as tb  # noqa: E402
+from tabelion.sources import archives, extracts, links, registry  # noqa: E402
+from tabelion.streaming import live  # noqa: E402
+
+_LOADS: dict[tuple[str, str], pipeline.LoadResult] = {}
+
+
+def _landing(spark: SparkSession, sf: str) -> str:
+    return extracts.landing(spark, sf)
+
+
+def _archives(spark: SparkSession, sf: str) -> str:
+    return archives.archives_for(spark, sf, _landing(spark, sf))
+
+
+def _loaded(spark: SparkSession, sf: str) -> pipeline.LoadResult:
+    """The full load of the landing extracts into a session database, run once per session."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _LOADS or not tb.table_exists(spark, _LOADS[key].database, "_referencia"):
+        db = "tabelion_" + hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:10]
+        location = session.scratch_path(spark, "warehouse", db)
+        _LOADS[key] = pipeline.run_load(spark, _landing(spark, sf), db, location)
+    return _LOADS[key]
+
+
+def main_reader(spark: SparkSession, sf: str) -> DataFrame:
+    return registry.read_table(spark, _landing(spark, sf), "estabelecimento")
+
+
+def code_reader(spark: SparkSession, sf: str) -> DataFrame:
+    root = _landing(spark, sf)
+    frames = [registry.read_table(spark, root, t).select(F.lit(t).alias("table_name"), "*") for t in schemas.CODE_TABLES]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def rows_per_file(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline.expected_per_file(spark, _landing(spark, sf), schemas.BASE_TABLES)
+
+
+def file_summary(spark: SparkSession, sf: str) -> DataFrame:
+    files = registry.list_extracts(spark, _landing(spark, sf))
+    tagged = files.withColumn("table_name", live.table_of(F.col("file_name"))).filter(F.col("table_name").isNotNull())
+    return tagged.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("size_bytes").cast("long").alias("total_bytes")
+    )
+
+
+def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
+    res = _loaded(spark, sf)
+    return spark.createDataFrame(res.reconciliation_rows, res.reconciliation_schema)
+
+
+def reference_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    res = _loaded(spark, sf)
+    return spark.table(tb.q(res.database, "_referencia")).select(
+        F.col("referencia").cast("string").alias("referencia"), F.col("valor").cast("string").alias("valor")
+    )
+
+
+def integrity_report(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline.integrity(spark, _loaded(spark, sf).database)
+
+
+def tables_missing(spark: SparkSession, sf: str) -> DataFrame:
+    db = _loaded(spark, sf).database
+    return checks.presence(spark, schemas.BASE_TABLES, tb.list_tables(spark, db))
+
+
+def derived_state(spark: SparkSession, sf: str) -> DataFrame:
+    db = _loaded(spark, sf).database
+    return checks.derived_state(tb.counts(spark, db, schemas.STATE_TABLES))
+
+
+def archive_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return archives.archive_lines(spark, _archives(spark, sf)).select("archive", "entry", "line")
+
+
+def archive_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return archives.archive_sizes(archives.archive_manifest(spark, _archives(spark, sf)))
+
+
+def archive_entry_status(spark: SparkSession, sf: str) -> DataFrame:
+    present = registry.list_extracts(spark, _landing(spark, sf))
+    return archives.entry_status(archives.archive_manifest(spark, _archives(spark, sf)), present)
+
+
+def entries_missing(spark: SparkSession, sf: str) -> DataFrame:
+    present = registry.list_extracts(spark, _landing(spark, sf))
+    return archives.missing_entries(archives.archive_manifest(spark, _archives(spark, sf)), present)
+
+
+def links_all(spark: SparkSession, sf: str) -> DataFrame:
+    return links.links(fx.source(spark, sf, "pages")).select("page_id", "link_pos", "href")
+
+
+def links_resolved(spark: SparkSession, sf: str) -> DataFrame:
+    return links.resolved_links(fx.source(spark, sf, "pages"))
+
+
+def latest_link(spark: SparkSession, sf: str) -> DataFrame:
+    return links.latest_link(fx.source(spark, sf, "pages"), "/")
+
+
+def live_counts(spark: SparkSession, sf: str) -> DataFrame:
+    root = _landing(spark, sf)
+    run = session.scratch_path(spark, "live", hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:12])
+    out = f"{run}/counts"
+    q = live.live_counts(spark, root, f"{run}/checkpoint", out, files_per_trigger=8)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+QUERIES.update(
+    {
+        "main_reader": main_reader,
+        "code_reader": code_reader,
+        "rows_per_file": rows_per_file,
+        "file_summary": file_summary,
+        "reconciliation": reconciliation,
+        "reference_metadata": reference_metadata,
+        "integrity_report": integrity_report,
+        "tables_missing": tables_missing,
+        "derived_state": derived_state,
+        "archive_lines": archive_lines,
+        "archive_manifest": archive_manifest,
+        "archive_entry_status": archive_entry_status,
+        "entries_missing": entries_missing,
+        "links_all": links_all,
+        "links_resolved": links_resolved,
+        "latest_link": latest_link,
+        "live_counts": live_counts,
+    }
+)
