@@ -30,9 +30,17 @@ def create_base_table(spark: SparkSession, db: str, table: str) -> None:
     """Drop and recreate one typed base table, with its comment."""
     s = schemas.spec(table)
     spark.sql(f"DROP TABLE IF EXISTS {q(db, table)}")
-    spark.sql(f"CREATE TABLE {q(db, table)} ({s.ddl()}) USING parquet")
-    comment = schemas.TABLE_COMMENTS[table].replace("'", "\\'")
-    spark.sql(f"COMMENT ON TABLE {q(db, table)} IS '{comment}'")
+    comment = _quote(schemas.TABLE_COMMENTS[table])
+    spark.sql(f"CREATE TABLE {q(db, table)} ({s.ddl()}) USING parquet COMMENT '{comment}'")
+
+
+def _quote(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def set_comment(spark: SparkSession, db: str, table: str, comment: str) -> None:
+    """Change a table's comment (the declared VARCHAR widths stay enforced)."""
+    spark.sql(f"COMMENT ON TABLE {q(db, table)} IS '{_quote(comment)}'")
 
 
 def create_base_tables(spark: SparkSession, db: str, tables: list[str] | None = None) -> None:
