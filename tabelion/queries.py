@@ -221,7 +221,7 @@ def rows_per_file(spark: SparkSession, sf: str) -> DataFrame:
 
 def file_summary(spark: SparkSession, sf: str) -> DataFrame:
     files = registry.list_extracts(spark, _landing(spark, sf))
-    tagged = files.withColumn("table_name", live.table_of(F.col("file_name"))).filter(F.col("table_name").isNotNull())
+    tagged = files.withColumn("table_name", registry.table_of(F.col("file_name"))).filter(F.col("table_name").isNotNull())
     return tagged.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("size_bytes").cast("long").alias("total_bytes")
     )

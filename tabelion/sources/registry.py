@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabelion.functions import count_fields
-from tabelion.schemas import MISSING_TOKENS, TableSpec, spec
+from tabelion.schemas import ALL_SPECS, MISSING_TOKENS, TableSpec, spec
 
 SOURCE = "source_file"
 LONG = "_long_row"
@@ -109,6 +109,39 @@ def file_row_counts(spark: SparkSession, folder: str, table: str) -> DataFrame:
     ).select(F.lit(table).alias("table_name"), "file_name", "n_rows", "n_rejected")
 
 
+def table_of(file_name: Column, names: list[str] | None = None) -> Column:
+    """Table whose extract suffix a file name carries (NULL for other files)."""
+    specs = [spec(n) for n in (names or list(ALL_SPECS))]
+
+    def hit(s):
+        return file_name.contains(s.suffix) if s.name == "simples" else file_name.endswith(s.suffix)
+
+    expr = F.when(hit(specs[0]), F.lit(specs[0].name))
+    for s in specs[1:]:
+        expr = expr.when(hit(s), F.lit(s.name))
+    return expr
+
+
+def width_of(table: Column, names: list[str] | None = None) -> Column:
+    """Number of columns of the named table."""
+    names = names or list(ALL_SPECS)
+    expr = F.when(table == F.lit(names[0]), F.lit(len(spec(names[0]).names)))
+    for n in names[1:]:
+        expr = expr.when(table == F.lit(n), F.lit(len(spec(n).names)))
+    return expr
+
+
+def file_row_counts_all(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
+    """``file_row_counts`` for several tables with one scan of the folder."""
+    names = names or list(ALL_SPECS)
+    lines = scan_lines(spark, folder, "*").withColumn("table_name", table_of(F.col(SOURCE), names))
+    lines = lines.filter(F.col("table_name").isNotNull())
+    long_row = count_fields(F.col(LINE)) > width_of(F.col("table_name"), names)
+    return lines.groupBy("table_name", F.col(SOURCE).alias("file_name")).agg(
+        F.count_if(~long_row).alias("n_rows"), F.count_if(long_row).alias("n_rejected")
+    )
+
+
 def list_extracts(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """File listing (path, file_name, size) without reading file bodies."""
     df = (

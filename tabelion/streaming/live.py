@@ -20,24 +20,11 @@ from pyspark.sql import types as T
 from tabelion import schemas
 from tabelion.functions import count_fields
 from tabelion.operators import listing
-from tabelion.sources.registry import LINE, LINE_OPTIONS, parse_lines
+from tabelion.sources.registry import LINE, LINE_OPTIONS, parse_lines, table_of, width_of
 
 LINE_SCHEMA = T.StructType([T.StructField(LINE, T.StringType(), True)])
 
 
-def table_of(file_name: Column) -> Column:
-    """Table whose extract suffix a file name carries (NULL for other files)."""
-    specs = list(schemas.ALL_SPECS.values())
-
-    def hit(s):
-        return file_name.contains(s.suffix) if s.name == "simples" else file_name.endswith(s.suffix)
-
-    expr = F.when(hit(specs[0]), F.lit(specs[0].name))
-    for s in specs[1:]:
-        expr = expr.when(hit(s), F.lit(s.name))
-    return expr
-
-
 def stream_lines(spark: SparkSession, folder: str, pattern: str = "*", files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(LINE_SCHEMA).options(**LINE_OPTIONS).option("pathGlobFilter", pattern)
     if files_per_trigger:
@@ -46,13 +33,6 @@ def stream_lines(spark: SparkSession, folder: str, pattern: str = "*", files_per
     return raw.select(F.col("_metadata.file_name").alias("file_name"), F.coalesce(F.col(LINE), F.lit("")).alias(LINE))
 
 
-def _n_fields(table: Column) -> Column:
-    expr = F.when(table == F.lit(schemas.BASE_TABLES[0]), F.lit(len(schemas.spec(schemas.BASE_TABLES[0]).names)))
-    for t in schemas.BASE_TABLES[1:]:
-        expr = expr.when(table == F.lit(t), F.lit(len(schemas.spec(t).names)))
-    return expr
-
-
 def live_counts(
     spark: SparkSession,
     folder: str,
@@ -69,7 +49,7 @@ def live_counts(
     """
     lines = stream_lines(spark, folder, files_per_trigger=files_per_trigger)
     tagged = lines.withColumn("table_name", table_of(F.col("file_name"))).filter(F.col("table_name").isNotNull())
-    accepted = tagged.filter(count_fields(F.col(LINE)) <= _n_fields(F.col("table_name")))
+    accepted = tagged.filter(count_fields(F.col(LINE)) <= width_of(F.col("table_name")))
     counts = accepted.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
