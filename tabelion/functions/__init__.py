@@ -1,6 +1,7 @@
 from tabelion.functions.scalar import (  # noqa: F401
     count_fields,
     decimal_from_comma,
+    exceeds_fields,
     excess_percent,
     file_name,
     gigabytes,

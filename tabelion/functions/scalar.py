@@ -80,6 +80,17 @@ def thousands(n) -> Column:
     return F.format_number(_c(n), 0)
 
 
+def exceeds_fields(line, n, sep: str = ";") -> Column:
+    """True when a delimited line has more than ``n`` fields (quoted separators ignored).
+
+    A plain separator count bounds the field count from above, so the quote
+    aware count (a regex) only runs on lines that could be too long.
+    """
+    raw_seps = F.length(_c(line)) - F.length(F.replace(_c(line), F.lit(sep), F.lit("")))
+    limit = n if isinstance(n, Column) else F.lit(n)
+    return (raw_seps >= limit) & (count_fields(line, sep) > limit)
+
+
 def count_fields(line, sep: str = ";") -> Column:
     """Number of fields in one delimited line, separators inside quotes ignored."""
     unquoted = F.regexp_replace(_c(line), r'"(?:[^"]|"")*"', "")

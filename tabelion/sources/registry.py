@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabelion.functions import count_fields
+from tabelion.functions import exceeds_fields, file_name
 from tabelion.schemas import ALL_SPECS, MISSING_TOKENS, TableSpec, spec
 
 SOURCE = "source_file"
@@ -78,7 +78,7 @@ def parse_lines(lines: DataFrame, table: str, line_col: str = LINE) -> DataFrame
     s = spec(table)
     parsed = F.from_csv(F.col(line_col), s.read_schema().simpleString(), PARSE_OPTIONS)
     extra = [c for c in lines.columns if c != line_col]
-    long_row = count_fields(F.col(line_col)) > F.lit(len(s.names))
+    long_row = exceeds_fields(F.col(line_col), len(s.names))
     tmp = lines.select(*extra, parsed.alias("_p"), long_row.alias(LONG))
     return tmp.select(*extra, "_p.*", LONG).select(*extra, *[_clean(s, c) for c in s.names], LONG)
 
@@ -103,7 +103,7 @@ def rejected_rows(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def file_row_counts(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """Accepted and rejected rows per extract file (one pass, partial counts per task)."""
     df = scan_lines(spark, folder, spec(table).glob)
-    long_row = count_fields(F.col(LINE)) > F.lit(len(spec(table).names))
+    long_row = exceeds_fields(F.col(LINE), len(spec(table).names))
     return df.groupBy(F.col(SOURCE).alias("file_name")).agg(
         F.count_if(~long_row).alias("n_rows"), F.count_if(long_row).alias("n_rejected")
     ).select(F.lit(table).alias("table_name"), "file_name", "n_rows", "n_rejected")
@@ -136,7 +136,7 @@ def file_row_counts_all(spark: SparkSession, folder: str, names: list[str] | Non
     names = names or list(ALL_SPECS)
     lines = scan_lines(spark, folder, "*").withColumn("table_name", table_of(F.col(SOURCE), names))
     lines = lines.filter(F.col("table_name").isNotNull())
-    long_row = count_fields(F.col(LINE)) > width_of(F.col("table_name"), names)
+    long_row = exceeds_fields(F.col(LINE), width_of(F.col("table_name"), names))
     return lines.groupBy("table_name", F.col(SOURCE).alias("file_name")).agg(
         F.count_if(~long_row).alias("n_rows"), F.count_if(long_row).alias("n_rejected")
     )
@@ -153,7 +153,7 @@ def list_extracts(spark: SparkSession, folder: str, pattern: str = "*") -> DataF
     )
     return df.select(
         "path",
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        file_name("path").alias("file_name"),
         F.col("length").alias("size_bytes"),
     )
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabelion import schemas
-from tabelion.functions import count_fields
+from tabelion.functions import exceeds_fields
 from tabelion.operators import listing
 from tabelion.sources.registry import LINE, LINE_OPTIONS, parse_lines, table_of, width_of
 
@@ -49,7 +49,7 @@ def live_counts(
     """
     lines = stream_lines(spark, folder, files_per_trigger=files_per_trigger)
     tagged = lines.withColumn("table_name", table_of(F.col("file_name"))).filter(F.col("table_name").isNotNull())
-    accepted = tagged.filter(count_fields(F.col(LINE)) <= width_of(F.col("table_name")))
+    accepted = tagged.filter(~exceeds_fields(F.col(LINE), width_of(F.col("table_name"))))
     counts = accepted.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
     def publish(batch: DataFrame, batch_id: int) -> None:

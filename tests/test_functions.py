@@ -70,3 +70,9 @@ def test_sizes_percent_thousands(spark):
 @pytest.mark.parametrize("line,n", [('"1";"x;y";"z"', 3), ("1;2;3;4", 4), ('"A""B";"c"', 2), ("", 1)])
 def test_count_fields(spark, line, n):
     assert one(spark, tf.count_fields("x"), line) == n
+
+
+@pytest.mark.parametrize("line,n,over", [('"1";"x;y";"z"', 3, False), ("1;2;3;4", 3, True), ("1;2;3", 3, False),
+                                         ('"a;b;c;d"', 2, False), ("", 2, False)])
+def test_exceeds_fields(spark, line, n, over):
+    assert one(spark, tf.exceeds_fields("x", n), line) is over
