@@ -226,6 +226,7 @@ LINKS = (f"links AS (SELECT page_id, url, CAST(generate_subscripts(arr, 1) - 1 A
 ORACLES.update(
     {
         "main_reader": BASE + "SELECT " + ", ".join(_padded_cols("estabelecimento")) + " FROM estabelecimento_raw",
+        "archive_reader": BASE + "SELECT " + ", ".join(_padded_cols("estabelecimento")) + " FROM estabelecimento_raw",
         "code_reader": BASE + _union([f"SELECT '{t}' AS table_name, codigo, descricao FROM {t}" for t in CODES]),
         "rows_per_file": FILES
         + "SELECT table_name, entry AS file_name, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_rejected "

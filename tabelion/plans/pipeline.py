@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabelion import schemas
-from tabelion.functions import reference_date
+from tabelion.functions import exceeds_fields, reference_date
 from tabelion.operators import checks, derive
 from tabelion.plans import tables as tb
 from tabelion.sources import registry
@@ -29,6 +29,58 @@ SORTED = {
 }
 
 
+class FolderSource:
+    """Extract files in a folder (the expanded archives)."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def rows(self, table: str) -> DataFrame:
+        return registry.read_table(self.spark, self.folder, table)
+
+    def file_counts(self, names: list[str]) -> DataFrame:
+        return registry.file_row_counts_all(self.spark, self.folder, names)
+
+    def file_names(self) -> DataFrame:
+        return registry.list_extracts(self.spark, self.folder).select("file_name")
+
+    def check(self, table: str) -> None:
+        registry.find_files(self.spark, self.folder, table)
+
+
+class StagedSource:
+    """Lines staged as Parquet by ``expand.stage_archives`` (partitioned by table)."""
+
+    def __init__(self, spark: SparkSession, staged: str):
+        self.spark, self.staged = spark, staged
+
+    def rows(self, table: str) -> DataFrame:
+        from tabelion.plans.expand import staged_rows
+
+        rows = staged_rows(self.spark, self.staged, table)
+        return rows.filter(~F.col(registry.LONG)).select(*schemas.spec(table).names)
+
+    def file_counts(self, names: list[str]) -> DataFrame:
+        lines = self.spark.read.parquet(self.staged).filter(F.col("table_name").isin(names))
+        long_row = exceeds_fields(F.col("line"), registry.width_of(F.col("table_name"), names))
+        return lines.groupBy("table_name", F.col("entry").alias("file_name")).agg(
+            F.count_if(~long_row).alias("n_rows"), F.count_if(long_row).alias("n_rejected")
+        )
+
+    def file_names(self) -> DataFrame:
+        return self.spark.read.parquet(self.staged).select(F.col("entry").alias("file_name")).distinct()
+
+    def check(self, table: str) -> None:
+        from tabelion.plans.expand import staged_lines
+
+        if staged_lines(self.spark, self.staged, table).isEmpty():
+            raise registry.NoInputFiles(f"no staged lines for {table} under {self.staged}")
+
+
+def as_source(spark: SparkSession, source) -> FolderSource | StagedSource:
+    return FolderSource(spark, source) if isinstance(source, str) else source
+
+
 @dataclass
 class LoadResult:
     database: str
@@ -36,6 +88,7 @@ class LoadResult:
     expected_per_file: DataFrame | None = None
     reconciliation_rows: list = field(default_factory=list)
     reconciliation_schema: object = None
+    rejected_capital: int | None = None
 
 
 def _stored(spark: SparkSession, db: str, table: str) -> DataFrame:
@@ -46,8 +99,8 @@ def _stored(spark: SparkSession, db: str, table: str) -> DataFrame:
     return df
 
 
-def load_code_list(spark, landing, db, table, mode="overwrite", force=False) -> dict:
-    incoming = registry.read_table(spark, landing, table)
+def load_code_list(spark, source, db, table, mode="overwrite", force=False) -> dict:
+    incoming = as_source(spark, source).rows(table)
     stored = _stored(spark, db, table)
     d = checks.code_load_decision({table: (stored, incoming)}, force=force).first().asDict()
     if d["will_insert"]:
@@ -56,7 +109,7 @@ def load_code_list(spark, landing, db, table, mode="overwrite", force=False) ->
     return d
 
 
-def load_main_table(spark, landing, db, table, per_file: DataFrame, mode="overwrite") -> dict:
+def load_main_table(spark, source, db, table, per_file: DataFrame, mode="overwrite") -> dict:
     """Decide on the sum of rows over all files, then write every file's rows."""
     stored = _stored(spark, db, table)
     expected = per_file.filter(F.col("table_name") == table).agg(
@@ -68,7 +121,7 @@ def load_main_table(spark, landing, db, table, per_file: DataFrame, mode="overwr
     )
     d = checks.decide_main_load(stats).first().asDict()
     if d["will_insert"]:
-        rows = registry.read_table(spark, landing, table)
+        rows = as_source(spark, source).rows(table)
         if tb.table_exists(spark, db, table) and set(schemas.spec(table).names) != set(stored.columns):
             tb.create_base_table(spark, db, table)  # a derived table from an earlier run is replaced
         write_mode = "append" if (mode == "append" and d["existing"] > 0) else "overwrite"
@@ -115,16 +168,16 @@ def reference_rows(extract_files: DataFrame, estabelecimento: DataFrame) -> Data
     return date.unionByName(qty)
 
 
-def write_reference(spark: SparkSession, db: str, landing: str) -> None:
+def write_reference(spark: SparkSession, db: str, source) -> None:
     tb.create_reference_table(spark, db)
-    files = registry.list_extracts(spark, landing)
+    files = as_source(spark, source).file_names()
     rows = reference_rows(files, spark.table(tb.q(db, "estabelecimento")))
     tb.write_rows(rows, db, "_referencia", "append")
 
 
-def expected_per_file(spark: SparkSession, landing: str, names: list[str]) -> DataFrame:
-    """Accepted and rejected rows per extract file of the given tables, in one scan of the folder."""
-    return registry.file_row_counts_all(spark, landing, names)
+def expected_per_file(spark: SparkSession, source, names: list[str]) -> DataFrame:
+    """Accepted and rejected rows per extract file of the given tables, in one scan."""
+    return as_source(spark, source).file_counts(names)
 
 
 def integrity(spark: SparkSession, db: str) -> DataFrame:
@@ -134,7 +187,7 @@ def integrity(spark: SparkSession, db: str) -> DataFrame:
 
 def run_load(
     spark: SparkSession,
-    landing: str,
+    landing,
     db: str,
     location: str,
     mode: str = "overwrite",
@@ -142,10 +195,12 @@ def run_load(
     strict: bool = True,
     n_buckets: int = tb.DEFAULT_BUCKETS,
 ) -> LoadResult:
+    """Load every table from ``landing`` (a folder of extracts, or a ``StagedSource``)."""
+    landing = as_source(spark, landing)
     tb.create_database(spark, db, location)
     result = LoadResult(db)
     for t in schemas.BASE_TABLES:
-        registry.find_files(spark, landing, t)
+        landing.check(t)
     # rows per extract file, all tables in one job; one small row per file
     per_file = expected_per_file(spark, landing, schemas.BASE_TABLES)
     per_file = spark.createDataFrame(per_file.collect(), per_file.schema)
@@ -157,6 +212,9 @@ def run_load(
     # post-load reconciliation, before the derivation replaces the staging tables
     rec = checks.reconciliation(per_file, tb.counts(spark, db, schemas.BASE_TABLES))
     result.reconciliation_rows, result.reconciliation_schema = rec.collect(), rec.schema
+    emp = tb.read(spark, db, "empresas")
+    if not strict and emp is not None and "capital_social_str" in emp.columns:
+        result.rejected_capital = derive.rejected_capital(emp).count()  # amounts stored as NULL
     derive_tables(spark, db, strict, n_buckets)
     write_reference(spark, db, landing)
     return result

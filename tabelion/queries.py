@@ -253,6 +253,19 @@ def derived_state(spark: SparkSession, sf: str) -> DataFrame:
     return checks.derived_state(tb.counts(spark, db, schemas.STATE_TABLES))
 
 
+def _staged(spark: SparkSession, sf: str) -> str:
+    from tabelion.plans import expand
+
+    path = session.scratch_path(spark, "staged", hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:12])
+    expand.stage_archives(spark, _archives(spark, sf), path)
+    return path
+
+
+def archive_reader(spark: SparkSession, sf: str) -> DataFrame:
+    """Establishment rows parsed from the archives' staged lines (expand once, then load)."""
+    return pipeline.StagedSource(spark, _staged(spark, sf)).rows("estabelecimento")
+
+
 def archive_lines(spark: SparkSession, sf: str) -> DataFrame:
     return archives.archive_lines(spark, _archives(spark, sf)).select("archive", "entry", "line")
 
@@ -304,6 +317,7 @@ QUERIES.update(
         "tables_missing": tables_missing,
         "derived_state": derived_state,
         "archive_lines": archive_lines,
+        "archive_reader": archive_reader,
         "archive_manifest": archive_manifest,
         "archive_entry_status": archive_entry_status,
         "entries_missing": entries_missing,

@@ -137,15 +137,17 @@ def _manifest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _archives(spark: SparkSession, folder: str) -> DataFrame:
+def _archives(spark: SparkSession, folder: str, only: list[str] | None = None) -> DataFrame:
     """One row per archive path, spread one archive per task."""
-    listing = list_extracts(spark, folder, "*.zip").select("path")
-    return listing.repartition(max(1, spark.sparkContext.defaultParallelism), "path")
+    listing = list_extracts(spark, folder, "*.zip").select("path", "file_name")
+    if only is not None:
+        listing = listing.filter(F.col("file_name").isin(only))
+    return listing.select("path").repartition(max(1, spark.sparkContext.defaultParallelism), "path")
 
 
-def archive_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Every line of every member of every ``*.zip`` under ``folder``."""
-    return _archives(spark, folder).mapInArrow(_expand, LINES_SCHEMA)
+def archive_lines(spark: SparkSession, folder: str, only: list[str] | None = None) -> DataFrame:
+    """Every line of every member of every ``*.zip`` under ``folder`` (or of the named archives)."""
+    return _archives(spark, folder, only).mapInArrow(_expand, LINES_SCHEMA)
 
 
 def archive_manifest(spark: SparkSession, folder: str) -> DataFrame:

@@ -64,3 +64,31 @@ def test_links_latest_and_resolved(spark):
     assert (latest.host, latest.latest_href, latest.n_links) == ("site.example", "2024-08/", 2)
     zips = {r.href: r.resolved_url for r in links.resolved_links(pages, ".zip").collect()}
     assert zips == {"http://other/abs.zip": "http://other/abs.zip", "rel.zip": "http://site.example/dados/rel.zip"}
+
+
+def test_stage_archives_once_and_load_from_staged(spark, folder):
+    import uuid
+
+    from tabelion.plans import expand, pipeline
+    from tabelion.plans import tables as tb
+    from tabelion.session import scratch_path
+    from tabelion.sources import extracts
+
+    uri, _ = folder
+    sf = "/root/testdata/sf0.001"
+    landing = extracts.landing(spark, sf)
+    archives.build_archives(spark, landing, uri).write.format("noop").mode("overwrite").save()
+    staged = f"{uri}/staged"
+    first = expand.stage_archives(spark, uri, staged)
+    assert first.filter("all_present").count() == 0
+    n = spark.read.parquet(staged).count()
+    again = expand.stage_archives(spark, uri, staged)
+    assert again.filter("all_present").count() == 37
+    assert spark.read.parquet(staged).count() == n  # nothing expanded twice
+    db = "st_" + uuid.uuid4().hex[:8]
+    res = pipeline.run_load(spark, pipeline.StagedSource(spark, staged), db, scratch_path(spark, "wh", db))
+    assert all(r.matches for r in res.reconciliation_rows)
+    direct = registry.read_table(spark, landing, "simples")
+    assert spark.table(f"{db}.simples").exceptAll(direct).count() == 0
+    assert tb.read(spark, db, "socios").count() > 0
+    spark.sql(f"DROP DATABASE {db} CASCADE")
