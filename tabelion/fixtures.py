@@ -10,6 +10,7 @@ from the same rows.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -96,11 +97,15 @@ def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with ``rn`` = position of the order among its customer's orders (once per session)."""
     from tabelion.operators.numbering import row_number_within
 
+    from tabelion.session import scratch_path
+
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _NUMBERED_ORDERS:
         cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
         orders = source(spark, sf_dir, "orders").select(*cols)
-        _NUMBERED_ORDERS[key] = row_number_within(orders, "o_custkey", "o_orderkey")
+        path = scratch_path(spark, "numbered_orders", uuid.uuid4().hex)
+        row_number_within(orders, "o_custkey", "o_orderkey").write.parquet(path)
+        _NUMBERED_ORDERS[key] = spark.read.parquet(path)
     return _NUMBERED_ORDERS[key]
 
 

@@ -8,17 +8,19 @@ keyed on (partition, key) or ranges, never on the key alone.
 
 The partition id is not a function of the row (adaptive execution may merge
 partitions differently each time the range shuffle is read), so the ranged
-rows are checkpointed to the shared checkpoint folder once the id is
-attached; both consumers then read the same ids. This also cuts the lineage,
-so a lost executor does not replay the range shuffle.
+rows are written once as Parquet under the shared scratch folder with the id
+attached; both consumers then read the same ids, with column pruning. This
+also cuts the lineage, so a lost executor does not replay the range shuffle.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabelion.session import ensure_checkpoint_dir
+from tabelion.session import scratch_path
 
 
 def row_number_within(df: DataFrame, key: str, order: str, out: str = "rn", n_parts: int | None = None) -> DataFrame:
@@ -29,9 +31,10 @@ def row_number_within(df: DataFrame, key: str, order: str, out: str = "rn", n_pa
     """
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, "ranged", uuid.uuid4().hex)
     ranged = df.repartitionByRange(n, F.col(key), F.col(order)).withColumn("_pid", F.spark_partition_id())
-    ranged = ranged.checkpoint(eager=True)
+    ranged.write.mode("overwrite").parquet(path)
+    ranged = spark.read.parquet(path)
     local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid", key).orderBy(order)))
     sizes = ranged.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
