@@ -47,6 +47,12 @@ class FolderSource:
     def check(self, table: str) -> None:
         registry.find_files(self.spark, self.folder, table)
 
+    def tables_present(self, names: list[str]) -> set[str]:
+        """Tables with at least one extract file (one listing of the folder)."""
+        files = registry.list_extracts(self.spark, self.folder)
+        found = files.select(registry.table_of(F.col("file_name"), names).alias("t")).filter("t IS NOT NULL")
+        return {r.t for r in found.distinct().collect()}  # at most one row per table
+
 
 class StagedSource:
     """Lines staged as Parquet by ``expand.stage_archives`` (partitioned by table)."""
@@ -76,6 +82,10 @@ class StagedSource:
         if staged_lines(self.spark, self.staged, table).isEmpty():
             raise registry.NoInputFiles(f"no staged lines for {table} under {self.staged}")
 
+    def tables_present(self, names: list[str]) -> set[str]:
+        df = self.spark.read.parquet(self.staged).select("table_name").distinct()
+        return {r.table_name for r in df.collect()} & set(names)  # partition values only
+
 
 def as_source(spark: SparkSession, source) -> FolderSource | StagedSource:
     return FolderSource(spark, source) if isinstance(source, str) else source
@@ -99,34 +109,42 @@ def _stored(spark: SparkSession, db: str, table: str) -> DataFrame:
     return df
 
 
+def load_code_lists(spark, source, db, tables: list[str], mode="overwrite", force=False) -> list[dict]:
+    """Decide for every code list in one job (one small row each), then write those to insert."""
+    source = as_source(spark, source)
+    pairs = {t: (_stored(spark, db, t), source.rows(t)) for t in tables}
+    decisions = [r.asDict() for r in checks.code_load_decision(pairs, force=force).collect()]
+    for d in sorted(decisions, key=lambda d: tables.index(d["table_name"])):
+        if d["will_insert"]:
+            write_mode = "append" if (mode == "append" or d["existing"] == 0) else "overwrite"
+            tb.write_rows(pairs[d["table_name"]][1], db, d["table_name"], write_mode)
+    return sorted(decisions, key=lambda d: tables.index(d["table_name"]))
+
+
 def load_code_list(spark, source, db, table, mode="overwrite", force=False) -> dict:
-    incoming = as_source(spark, source).rows(table)
-    stored = _stored(spark, db, table)
-    d = checks.code_load_decision({table: (stored, incoming)}, force=force).first().asDict()
-    if d["will_insert"]:
-        write_mode = "append" if (mode == "append" or d["existing"] == 0) else "overwrite"
-        tb.write_rows(incoming, db, table, write_mode)
-    return d
+    return load_code_lists(spark, source, db, [table], mode, force)[0]
+
+
+def load_main_tables(spark, source, db, tables: list[str], per_file: DataFrame, mode="overwrite") -> list[dict]:
+    """Decide for every main table in one job on the sum of rows over all its files, then write."""
+    source = as_source(spark, source)
+    stored = {t: _stored(spark, db, t) for t in tables}
+    existing = checks.table_counts_named(stored, "existing")
+    expected = per_file.groupBy("table_name").agg(F.sum("n_rows").cast("long").alias("expected"))
+    stats = existing.join(expected, "table_name", "left").fillna(0, ["expected"])
+    decisions = {r.table_name: r.asDict() for r in checks.decide_main_load(stats).collect()}  # one row per table
+    for t in tables:
+        d = decisions[t]
+        if d["will_insert"]:
+            if set(schemas.spec(t).names) != set(stored[t].columns):
+                tb.create_base_table(spark, db, t)  # a derived table from an earlier run is replaced
+            write_mode = "append" if (mode == "append" and d["existing"] > 0) else "overwrite"
+            tb.write_rows(source.rows(t), db, t, write_mode)
+    return [decisions[t] for t in tables]
 
 
 def load_main_table(spark, source, db, table, per_file: DataFrame, mode="overwrite") -> dict:
-    """Decide on the sum of rows over all files, then write every file's rows."""
-    stored = _stored(spark, db, table)
-    expected = per_file.filter(F.col("table_name") == table).agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("expected")
-    )
-    existing = stored.agg(F.count(F.lit(1)).alias("existing"))
-    stats = existing.withColumn("table_name", F.lit(table)).join(
-        expected.withColumn("table_name", F.lit(table)), "table_name"
-    )
-    d = checks.decide_main_load(stats).first().asDict()
-    if d["will_insert"]:
-        rows = as_source(spark, source).rows(table)
-        if tb.table_exists(spark, db, table) and set(schemas.spec(table).names) != set(stored.columns):
-            tb.create_base_table(spark, db, table)  # a derived table from an earlier run is replaced
-        write_mode = "append" if (mode == "append" and d["existing"] > 0) else "overwrite"
-        tb.write_rows(rows, db, table, write_mode)
-    return d
+    return load_main_tables(spark, source, db, [table], per_file, mode)[0]
 
 
 def derive_tables(spark: SparkSession, db: str, strict: bool = True, n_buckets: int = tb.DEFAULT_BUCKETS) -> None:
@@ -199,16 +217,15 @@ def run_load(
     landing = as_source(spark, landing)
     tb.create_database(spark, db, location)
     result = LoadResult(db)
-    for t in schemas.BASE_TABLES:
-        landing.check(t)
+    missing = [t for t in schemas.BASE_TABLES if t not in landing.tables_present(schemas.BASE_TABLES)]
+    if missing:
+        raise registry.NoInputFiles(f"no extract for {', '.join(missing)}")
     # rows per extract file, all tables in one job; one small row per file
     per_file = expected_per_file(spark, landing, schemas.BASE_TABLES)
     per_file = spark.createDataFrame(per_file.collect(), per_file.schema)
     result.expected_per_file = per_file
-    for t in schemas.CODE_TABLES:
-        result.decisions.append(load_code_list(spark, landing, db, t, mode, force))
-    for t in MAIN_ORDER:
-        result.decisions.append(load_main_table(spark, landing, db, t, per_file, mode))
+    result.decisions.extend(load_code_lists(spark, landing, db, schemas.CODE_TABLES, mode, force))
+    result.decisions.extend(load_main_tables(spark, landing, db, MAIN_ORDER, per_file, mode))
     # post-load reconciliation, before the derivation replaces the staging tables
     rec = checks.reconciliation(per_file, tb.counts(spark, db, schemas.BASE_TABLES))
     result.reconciliation_rows, result.reconciliation_schema = rec.collect(), rec.schema

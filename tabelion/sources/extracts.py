@@ -18,7 +18,7 @@ from tabelion import fixtures as fx
 from tabelion import schemas
 from tabelion.session import scratch_path
 from tabelion.sources import fs
-from tabelion.sources.registry import WRITE_OPTIONS
+from tabelion.sources.registry import LINE_WRITE_OPTIONS, WRITE_OPTIONS
 
 READY = "_READY"
 
@@ -29,13 +29,38 @@ def pad_to_spec(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[(F.col(c) if c in have else F.lit("")).alias(c) for c in schemas.spec(table).names])
 
 
+def registry_line(table: str) -> Column:
+    """One extract line of ``table``: every field quoted, quotes doubled, ``;`` between.
+
+    The same text Spark's CSV writer produces with quoteAll; NULL is written
+    as an empty unquoted field.
+    """
+    fields = [
+        F.when(F.col(c).isNull(), F.lit("")).otherwise(
+            F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+        )
+        for c in schemas.spec(table).names
+    ]
+    return F.concat_ws(";", *fields)
+
+
 def write_extracts(df: DataFrame, root: str, names: Column, order: list[str] | None = None) -> list[str]:
     """Write ``df`` as registry files under ``root``; ``names`` is each row's file name."""
-    tag = f"_staging_{uuid.uuid4().hex}"
     routed = df.withColumn("_file", names).repartition("_file")
     if order:
         routed = routed.sortWithinPartitions(*order)
-    routed.write.partitionBy("_file").options(**WRITE_OPTIONS).csv(f"{root}/{tag}")
+    return _write_routed(routed, root, WRITE_OPTIONS)
+
+
+def write_lines(lines: DataFrame, root: str) -> list[str]:
+    """Write preformatted lines (columns ``_file``, ``_key``, ``line``) as registry files, one job."""
+    routed = lines.repartition("_file").sortWithinPartitions("_file", "_key").select("_file", "line")
+    return _write_routed(routed, root, LINE_WRITE_OPTIONS)
+
+
+def _write_routed(routed: DataFrame, root: str, options: dict) -> list[str]:
+    tag = f"_staging_{uuid.uuid4().hex}"
+    routed.write.partitionBy("_file").options(**options).csv(f"{root}/{tag}")
     filesystem, base = fs.resolve(root)
     by_name: dict[str, list[str]] = {}
     for path in fs.list_files(f"{root}/{tag}"):
@@ -77,9 +102,18 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
         return root
     fs.makedirs(root)
     tag = reference_tag(spark, sf_dir)
+    frames = []
     for table in schemas.BASE_TABLES:
         rows = pad_to_spec(fx.registry_view(spark, sf_dir, table), table)
         key_col = "codigo" if schemas.spec(table).is_code else "cnpj_basico"
-        write_extracts(rows, root, extract_name(table, tag), [key_col])
+        frames.append(
+            rows.select(
+                extract_name(table, tag).alias("_file"), F.col(key_col).alias("_key"), registry_line(table).alias("line")
+            )
+        )
+    lines = frames[0]
+    for f in frames[1:]:
+        lines = lines.unionByName(f)
+    write_lines(lines, root)  # all tables in one job
     fs.touch(f"{root}/{READY}")
     return root

@@ -37,6 +37,16 @@ LINE_OPTIONS = {
 }
 PARSE_OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
+# Writing preformatted lines: one column, no quoting, Latin-1.
+LINE_WRITE_OPTIONS = {
+    "sep": LINE_OPTIONS["sep"],
+    "quote": "",
+    "header": "false",
+    "encoding": "ISO-8859-1",
+    "lineSep": "\n",
+    "emptyValue": "",
+}
+
 WRITE_OPTIONS = {
     "sep": ";",
     "header": "false",
