@@ -86,9 +86,10 @@ def exceeds_fields(line, n, sep: str = ";") -> Column:
     A plain separator count bounds the field count from above, so the quote
     aware count (a regex) only runs on lines that could be too long.
     """
-    raw_seps = F.length(_c(line)) - F.length(F.replace(_c(line), F.lit(sep), F.lit("")))
+    raw_seps = F.size(F.split(_c(line), sep, -1)) - F.lit(1)
     limit = n if isinstance(n, Column) else F.lit(n)
-    return (raw_seps >= limit) & (count_fields(line, sep) > limit)
+    # ``when`` evaluates the regex only for lines that pass the cheap bound
+    return F.when(raw_seps >= limit, count_fields(line, sep) > limit).otherwise(F.lit(False))
 
 
 def count_fields(line, sep: str = ";") -> Column:
