@@ -47,7 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     ld.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     ld.add_argument("--force", action="store_true")
     ld.add_argument("--lenient", action="store_true")
-    ld.add_argument("--buckets", type=int, default=tb.DEFAULT_BUCKETS)
+    ld.add_argument("--buckets", type=int, default=None, help="default: ~256 MB of input per bucket")
     for name in ("counts", "latest"):
         s = sub.add_parser(name)
         s.add_argument("--db", required=True)

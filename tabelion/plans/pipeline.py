@@ -47,6 +47,13 @@ class FolderSource:
     def check(self, table: str) -> None:
         registry.find_files(self.spark, self.folder, table)
 
+    def bytes_per_table(self, names: list[str]) -> dict[str, int]:
+        """Extract bytes per table from the folder listing (no file is read)."""
+        files = registry.list_extracts(self.spark, self.folder)
+        t = registry.table_of(F.col("file_name"), names)
+        sizes = files.groupBy(t.alias("t")).agg(F.sum("size_bytes").alias("b")).filter("t IS NOT NULL")
+        return {r.t: int(r.b) for r in sizes.collect()}  # at most one row per table
+
     def tables_present(self, names: list[str]) -> set[str]:
         """Tables with at least one extract file (one listing of the folder)."""
         files = registry.list_extracts(self.spark, self.folder)
@@ -82,6 +89,13 @@ class StagedSource:
         if staged_lines(self.spark, self.staged, table).isEmpty():
             raise registry.NoInputFiles(f"no staged lines for {table} under {self.staged}")
 
+    def bytes_per_table(self, names: list[str]) -> dict[str, int]:
+        """Staged Parquet bytes per table partition, from the file listing."""
+        files = registry.list_extracts(self.spark, self.staged, "*.parquet")
+        t = F.regexp_extract("path", r"table_name=([^/]+)/", 1)
+        sizes = files.groupBy(t.alias("t")).agg(F.sum("size_bytes").alias("b"))
+        return {r.t: int(r.b) for r in sizes.collect() if r.t in names}
+
     def tables_present(self, names: list[str]) -> set[str]:
         df = self.spark.read.parquet(self.staged).select("table_name").distinct()
         return {r.table_name for r in df.collect()} & set(names)  # partition values only
@@ -91,6 +105,16 @@ def as_source(spark: SparkSession, source) -> FolderSource | StagedSource:
     return FolderSource(spark, source) if isinstance(source, str) else source
 
 
+BUCKET_TARGET_BYTES = 256 * 1024 * 1024
+MIN_BUCKETS, MAX_BUCKETS = 8, 4096
+
+
+def bucket_count(source, names: list[str]) -> int:
+    """Buckets for the derived tables: about 256 MB of input per bucket for the largest table."""
+    largest = max(source.bytes_per_table(names).values(), default=0)
+    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, -(-largest // BUCKET_TARGET_BYTES))))
+
+
 @dataclass
 class LoadResult:
     database: str
@@ -99,6 +123,7 @@ class LoadResult:
     reconciliation_rows: list = field(default_factory=list)
     reconciliation_schema: object = None
     rejected_capital: int | None = None
+    n_buckets: int | None = None
 
 
 def _stored(spark: SparkSession, db: str, table: str) -> DataFrame:
@@ -211,12 +236,18 @@ def run_load(
     mode: str = "overwrite",
     force: bool = False,
     strict: bool = True,
-    n_buckets: int = tb.DEFAULT_BUCKETS,
+    n_buckets: int | None = None,
 ) -> LoadResult:
-    """Load every table from ``landing`` (a folder of extracts, or a ``StagedSource``)."""
+    """Load every table from ``landing`` (a folder of extracts, or a ``StagedSource``).
+
+    ``n_buckets`` defaults to one bucket per ~256 MB of the largest table's input.
+    """
     landing = as_source(spark, landing)
+    if n_buckets is None:
+        n_buckets = bucket_count(landing, MAIN_ORDER)
+    result_buckets = n_buckets
     tb.create_database(spark, db, location)
-    result = LoadResult(db)
+    result = LoadResult(db, n_buckets=result_buckets)
     missing = [t for t in schemas.BASE_TABLES if t not in landing.tables_present(schemas.BASE_TABLES)]
     if missing:
         raise registry.NoInputFiles(f"no extract for {', '.join(missing)}")

@@ -75,3 +75,21 @@ def test_bucketed_join_has_no_exchange(spark, db):
         assert "SortMergeJoin" in p and "Exchange hashpartitioning" not in p
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucket_count_scales_with_input(spark):
+    from tabelion.plans.pipeline import BUCKET_TARGET_BYTES, bucket_count
+
+    class Fake:
+        def __init__(self, b):
+            self.b = b
+
+        def bytes_per_table(self, names):
+            return {"estabelecimento": self.b, "simples": 10}
+
+    assert bucket_count(Fake(1000), ["x"]) == 8
+    assert bucket_count(Fake(100 * BUCKET_TARGET_BYTES + 1), ["x"]) == 101
+    assert bucket_count(Fake(10**18), ["x"]) == 4096
+    landing = extracts.landing(spark, "/root/testdata/sf0.001")
+    sizes = pipeline.FolderSource(spark, landing).bytes_per_table(pipeline.MAIN_ORDER)
+    assert set(sizes) == set(pipeline.MAIN_ORDER) and all(v > 0 for v in sizes.values())
