@@ -263,6 +263,9 @@ ORACLES.update(
         "latest_link": "WITH " + LINKS
         + "SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1) AS host, max(href) AS latest_href, "
         "count(*) AS n_links FROM links WHERE starts_with(href, '/') GROUP BY 1",
+        "live_latest_companies": BASE
+        + "SELECT cnpj_basico, left(razao_social, 40) AS razao_social, porte_empresa FROM empresas_raw "
+        "ORDER BY cnpj_basico DESC NULLS FIRST, razao_social DESC NULLS FIRST LIMIT 3",
         "live_counts": FILES + "SELECT table_name, count(*) AS n_rows FROM lines GROUP BY table_name",
     }
 )

@@ -22,6 +22,12 @@ from tabelion.sources import registry
 
 MAIN_ORDER = ["estabelecimento", "socios_original", "empresas", "simples"]
 BUCKETED = {"empresas": "cnpj_basico", "estabelecimento": "cnpj_basico", "socios": "cnpj_basico"}
+# Lookup layout for tables that are not bucketed: rows sorted on the lookup
+# key, and for the larger ones each file holding a disjoint key range, so
+# Parquet min/max statistics skip files and row groups.
+LOOKUP_KEY = {t: "codigo" for t in schemas.CODE_TABLES} | {"simples": "cnpj_basico"}
+RANGED = {"simples"}
+
 SORTED = {
     "empresas": ["cnpj_basico", "razao_social"],
     "estabelecimento": ["cnpj_basico", "cnpj"],
@@ -134,6 +140,15 @@ def _stored(spark: SparkSession, db: str, table: str) -> DataFrame:
     return df
 
 
+def lookup_layout(df: DataFrame, table: str, n_parts: int) -> DataFrame:
+    key = LOOKUP_KEY.get(table)
+    if key is None:
+        return df
+    if table in RANGED:
+        df = df.repartitionByRange(n_parts, F.col(key))
+    return df.sortWithinPartitions(key)
+
+
 def load_code_lists(spark, source, db, tables: list[str], mode="overwrite", force=False) -> list[dict]:
     """Decide for every code list in one job (one small row each), then write those to insert."""
     source = as_source(spark, source)
@@ -142,7 +157,8 @@ def load_code_lists(spark, source, db, tables: list[str], mode="overwrite", forc
     for d in sorted(decisions, key=lambda d: tables.index(d["table_name"])):
         if d["will_insert"]:
             write_mode = "append" if (mode == "append" or d["existing"] == 0) else "overwrite"
-            tb.write_rows(pairs[d["table_name"]][1], db, d["table_name"], write_mode)
+            rows = lookup_layout(pairs[d["table_name"]][1], d["table_name"], 1)
+            tb.write_rows(rows, db, d["table_name"], write_mode)
     return sorted(decisions, key=lambda d: tables.index(d["table_name"]))
 
 
@@ -150,7 +166,9 @@ def load_code_list(spark, source, db, table, mode="overwrite", force=False) -> d
     return load_code_lists(spark, source, db, [table], mode, force)[0]
 
 
-def load_main_tables(spark, source, db, tables: list[str], per_file: DataFrame, mode="overwrite") -> list[dict]:
+def load_main_tables(
+    spark, source, db, tables: list[str], per_file: DataFrame, mode="overwrite", n_parts: int = tb.DEFAULT_BUCKETS
+) -> list[dict]:
     """Decide for every main table in one job on the sum of rows over all its files, then write."""
     source = as_source(spark, source)
     stored = {t: _stored(spark, db, t) for t in tables}
@@ -164,7 +182,7 @@ def load_main_tables(spark, source, db, tables: list[str], per_file: DataFrame,
             if set(schemas.spec(t).names) != set(stored[t].columns):
                 tb.create_base_table(spark, db, t)  # a derived table from an earlier run is replaced
             write_mode = "append" if (mode == "append" and d["existing"] > 0) else "overwrite"
-            tb.write_rows(source.rows(t), db, t, write_mode)
+            tb.write_rows(lookup_layout(source.rows(t), t, n_parts), db, t, write_mode)
     return [decisions[t] for t in tables]
 
 
@@ -256,7 +274,7 @@ def run_load(
     per_file = spark.createDataFrame(per_file.collect(), per_file.schema)
     result.expected_per_file = per_file
     result.decisions.extend(load_code_lists(spark, landing, db, schemas.CODE_TABLES, mode, force))
-    result.decisions.extend(load_main_tables(spark, landing, db, MAIN_ORDER, per_file, mode))
+    result.decisions.extend(load_main_tables(spark, landing, db, MAIN_ORDER, per_file, mode, n_buckets))
     # post-load reconciliation, before the derivation replaces the staging tables
     rec = checks.reconciliation(per_file, tb.counts(spark, db, schemas.BASE_TABLES))
     result.reconciliation_rows, result.reconciliation_schema = rec.collect(), rec.schema

@@ -305,8 +305,18 @@ def live_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def live_latest_companies(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest companies after streaming the company extracts through ``foreachBatch`` appends."""
+    root = _landing(spark, sf)
+    run = session.scratch_path(spark, "live_latest", hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:12])
+    q = live.live_latest(spark, root, "empresas", f"{run}/checkpoint", f"{run}/table", f"{run}/latest", 2)
+    q.awaitTermination()
+    return live.latest_listing(spark, "empresas", f"{run}/latest")
+
+
 QUERIES.update(
     {
+        "live_latest_companies": live_latest_companies,
         "main_reader": main_reader,
         "code_reader": code_reader,
         "rows_per_file": rows_per_file,

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tabelion import schemas
 from tabelion.functions import exceeds_fields
 from tabelion.operators import listing
+from tabelion.sources import fs
 from tabelion.sources.registry import LINE, LINE_OPTIONS, parse_lines, table_of, width_of
 
 LINE_SCHEMA = T.StructType([T.StructField(LINE, T.StringType(), True)])
@@ -60,6 +61,17 @@ def live_counts(
     return writer.start()
 
 
+# Ordering of each latest-records listing: (table, k, sort columns, listing).
+LATEST = {
+    "estabelecimento": (5, ["cnpj_basico", "cnpj"], listing.latest_establishments),
+    "empresas": (3, ["cnpj_basico", "razao_social"], listing.latest_companies),
+}
+
+
+def _top(df: DataFrame, k: int, order: list[str]) -> DataFrame:
+    return df.orderBy(*[F.col(c).desc_nulls_first() for c in order]).limit(k)
+
+
 def live_latest(
     spark: SparkSession,
     folder: str,
@@ -69,19 +81,26 @@ def live_latest(
     listing_path: str,
     files_per_trigger: int | None = None,
 ):
-    """Append each batch of ``table``'s extract rows, then refresh its latest-records listing."""
+    """Append each batch of ``table``'s extract rows, then refresh its latest-records listing.
+
+    The listing is kept incrementally: batch N's top-k candidates are the top
+    k of batch N-1's candidates and batch N's rows, so a trigger costs the
+    batch plus k rows, not a rescan of everything appended so far. Every
+    output goes to a folder named by batch id and is overwritten on a retry.
+    """
+    k, order, _ = LATEST[table]
     lines = stream_lines(spark, folder, schemas.spec(table).glob, files_per_trigger)
-    rows = parse_lines(lines, table).filter(~F.col("_long_row")).drop("_long_row")
+    rows = parse_lines(lines, table).filter(~F.col("_long_row")).drop("_long_row", "file_name")
+    if table == "estabelecimento":
+        rows = rows.withColumn("cnpj", F.concat_ws("", "cnpj_basico", "cnpj_ordem", "cnpj_dv"))
 
     def append_and_list(batch: DataFrame, batch_id: int) -> None:
-        # one folder per batch, overwritten on a retry: a replayed batch never duplicates rows
-        batch.drop("file_name").write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
-        stored = spark.read.parquet(table_path)
-        if table == "estabelecimento":
-            latest = listing.latest_establishments(stored.withColumn("cnpj", F.concat_ws("", "cnpj_basico", "cnpj_ordem", "cnpj_dv")))
-        else:
-            latest = listing.latest_companies(stored)
-        latest.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(listing_path)
+        batch.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+        candidates = _top(batch, k, order)
+        previous = f"{listing_path}/batch_id={batch_id - 1}"
+        if batch_id > 0 and fs.exists(previous):
+            candidates = _top(candidates.unionByName(spark.read.parquet(previous)), k, order)
+        candidates.write.mode("overwrite").parquet(f"{listing_path}/batch_id={batch_id}")
 
     return (
         rows.writeStream.option("checkpointLocation", checkpoint)
@@ -89,3 +108,10 @@ def live_latest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def latest_listing(spark: SparkSession, table: str, listing_path: str) -> DataFrame:
+    """The listing after the last processed batch."""
+    _, _, make = LATEST[table]
+    last = max(int(p.split("batch_id=")[1].split("/")[0]) for p in fs.list_files(listing_path) if "batch_id=" in p)
+    return make(spark.read.parquet(f"{listing_path}/batch_id={last}"))

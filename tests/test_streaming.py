@@ -33,7 +33,8 @@ def test_live_latest_listing(spark):
     q.awaitTermination()
     stored = spark.read.parquet(f"{run}/table")
     assert stored.count() == registry.read_table(spark, landing, "empresas").count()
-    latest = spark.read.parquet(f"{run}/latest").orderBy("cnpj_basico", ascending=False).collect()
+    latest = live.latest_listing(spark, "empresas", f"{run}/latest").orderBy("cnpj_basico", ascending=False).collect()
     top = [r.cnpj_basico for r in stored.orderBy("cnpj_basico", ascending=False).limit(3).collect()]
     assert [r.cnpj_basico for r in latest] == top
+    assert len({p.split("batch_id=")[1].split("/")[0] for p in fs.list_files(f"{run}/latest")}) >= 3
     assert fs.exists(f"{run}/ckpt")
