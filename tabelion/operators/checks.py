@@ -1,8 +1,9 @@
 """Counts, load decisions and reconciliation reports.
 
-Every report is a small DataFrame built from one aggregate per input
-(partial counts on the executors, one merge task), never a driver loop over
-rows. Inputs are passed as ``{table_name: DataFrame or None}``; ``None``
+Every report is a small DataFrame built from aggregates with partial
+results on the executors: figures for several tables come from one
+``groupBy(table_name)`` over the tables' rows tagged with their name, never
+from a driver loop over rows. Inputs are passed as ``{table_name: DataFrame or None}``; ``None``
 stands for a table that does not exist, which is reported, not fatal.
 """
 
@@ -31,38 +32,49 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _missing_row(spark: SparkSession, name: str) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(name).alias("table_name"), F.lit(0).cast("long").alias("n_rows"), F.lit(False).alias("present")
-    )
+def _tagged(tables: dict[str, DataFrame], cols: list[str]) -> DataFrame:
+    """Rows of several tables, only ``cols`` kept, tagged with ``table_name``.
+
+    Grouping this by ``table_name`` computes every table's figures in one
+    aggregation (map-side partial results, one shuffle of a few rows per
+    task) instead of one job stage per table.
+    """
+    return _union([df.select(F.lit(n).alias("table_name"), *cols) for n, df in tables.items()])
+
+
+def _names(spark: SparkSession, names: list[str]) -> DataFrame:
+    return spark.createDataFrame([(n,) for n in names], "table_name string")
 
 
 def table_counts(spark: SparkSession, tables: dict[str, DataFrame | None], with_text: bool = False) -> DataFrame:
     """Row count per table; a missing table gives 0 rows and ``present = false``."""
-    frames = []
-    for name, df in tables.items():
-        if df is None:
-            frames.append(_missing_row(spark, name))
-        else:
-            frames.append(
-                df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-                    F.lit(name).alias("table_name"), "n_rows", F.lit(True).alias("present")
-                )
-            )
-    out = _union(frames)
+    present = [n for n, df in tables.items() if df is not None]
+    names = _names(spark, list(tables))
+    if present:
+        counts = _tagged({n: tables[n] for n in present}, []).groupBy("table_name").agg(
+            F.count(F.lit(1)).alias("_n")
+        )
+        names = names.join(counts, "table_name", "left")
+    else:
+        names = names.withColumn("_n", F.lit(None).cast("long"))
+    out = names.select(
+        "table_name",
+        F.coalesce(F.col("_n"), F.lit(0).cast("long")).alias("n_rows"),
+        F.col("table_name").isin(present).alias("present"),
+    )
     return out.withColumn("n_rows_text", thousands("n_rows")) if with_text else out
 
 
+def _missing_row(spark: SparkSession, name: str) -> DataFrame:
+    return spark.range(1).select(
+        F.lit(name).alias("table_name"), F.lit(0).cast("long").alias("n_rows"), F.lit(False).alias("present")
+    )
+
+
 def code_distinct(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows and distinct non-NULL codes per code list."""
-    return _union(
-        [
-            df.agg(
-                F.count(F.lit(1)).alias("n_rows"),
-                F.count_distinct("codigo").alias("n_distinct"),
-            ).select(F.lit(n).alias("table_name"), "n_rows", "n_distinct")
-            for n, df in tables.items()
-        ]
+    """Rows and distinct non-NULL codes per code list (one aggregation for all lists)."""
+    return _tagged(tables, ["codigo"]).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("codigo").alias("n_distinct")
     )
 
 
@@ -76,16 +88,16 @@ def _last_code(c: Column) -> Column:
     return F.when(F.count(c) < F.count(F.lit(1)), F.lit(None)).otherwise(F.max(c))
 
 
+def _ends(tables: dict[str, DataFrame], key: str = "codigo") -> DataFrame:
+    c = F.col(key)
+    return _tagged(tables, [key]).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("n"), _first_code(c).alias("first_code"), _last_code(c).alias("last_code")
+    )
+
+
 def code_ends(tables: dict[str, DataFrame]) -> DataFrame:
     """First and last code of each code list in code order."""
-    return _union(
-        [
-            df.agg(
-                _first_code(F.col("codigo")).alias("first_code"), _last_code(F.col("codigo")).alias("last_code")
-            ).select(F.lit(n).alias("table_name"), "first_code", "last_code")
-            for n, df in tables.items()
-        ]
-    )
+    return _ends(tables).select("table_name", "first_code", "last_code")
 
 
 def side_stats(df: DataFrame, key: str = "codigo") -> DataFrame:
@@ -96,6 +108,14 @@ def side_stats(df: DataFrame, key: str = "codigo") -> DataFrame:
     )
 
 
+def _side(tables: dict[str, DataFrame], names: list[str]) -> DataFrame:
+    """Count and ends per table; a table with no rows still gets its row (count 0, NULL ends)."""
+    spark = next(iter(tables.values())).sparkSession
+    return _names(spark, names).join(_ends(tables), "table_name", "left").select(
+        "table_name", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "first_code", "last_code"
+    )
+
+
 def code_load_decision(pairs: dict[str, tuple[DataFrame, DataFrame]], force: bool = False) -> DataFrame:
     """Load decision per code list from (stored table, incoming extract).
 
@@ -106,27 +126,18 @@ def code_load_decision(pairs: dict[str, tuple[DataFrame, DataFrame]], force: boo
       50 %) or ``inconsistent_moderate``; inserted only with ``force``
     - equal count with other ends, or fewer stored: ``append``
     """
-    stored = _union(
-        [
-            side_stats(s).select(
-                F.lit(n).alias("table_name"),
-                F.col("n").alias("existing"),
-                F.col("first_code").alias("stored_first"),
-                F.col("last_code").alias("stored_last"),
-            )
-            for n, (s, _) in pairs.items()
-        ]
+    names = list(pairs)
+    stored = _side({n: s for n, (s, _) in pairs.items()}, names).select(
+        "table_name",
+        F.col("n").alias("existing"),
+        F.col("first_code").alias("stored_first"),
+        F.col("last_code").alias("stored_last"),
     )
-    incoming = _union(
-        [
-            side_stats(i).select(
-                F.lit(n).alias("table_name"),
-                F.col("n").alias("expected"),
-                F.col("first_code").alias("incoming_first"),
-                F.col("last_code").alias("incoming_last"),
-            )
-            for n, (_, i) in pairs.items()
-        ]
+    incoming = _side({n: i for n, (_, i) in pairs.items()}, names).select(
+        "table_name",
+        F.col("n").alias("expected"),
+        F.col("first_code").alias("incoming_first"),
+        F.col("last_code").alias("incoming_last"),
     )
     return decide_code_load(stored.join(incoming, "table_name"), force)
 
@@ -175,12 +186,8 @@ def decide_main_load(stats: DataFrame) -> DataFrame:
 
 
 def table_counts_named(tables: dict[str, DataFrame], alias: str) -> DataFrame:
-    return _union(
-        [
-            df.agg(F.count(F.lit(1)).alias(alias)).select(F.lit(n).alias("table_name"), alias)
-            for n, df in tables.items()
-        ]
-    )
+    spark = next(iter(tables.values())).sparkSession
+    return table_counts(spark, dict(tables)).select("table_name", F.col("n_rows").alias(alias))
 
 
 def rows_per_file(rows: DataFrame, file_col: str = "source_file") -> DataFrame:
