@@ -55,3 +55,39 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     root = ensure_checkpoint_dir(spark)
     app = spark.sparkContext.applicationId
     return "/".join([root, "tabelion", app, *parts])
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tabelion`` importable in executor Python workers (once per application).
+
+    Tasks that run Python (ZIP expansion) unpickle functions from this
+    package; the package is zipped into the shared scratch folder and added
+    with ``addPyFile``, which distributes it to every executor.
+    """
+    import io
+    import zipfile
+
+    import tabelion
+    from tabelion.sources import fs
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(tabelion.__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    uri = scratch_path(spark, "pyfiles", "tabelion.zip")
+    fs.makedirs(uri.rsplit("/", 1)[0])
+    filesystem, path = fs.resolve(uri)
+    with filesystem.open_output_stream(path) as out:
+        out.write(buf.getvalue())
+    spark.sparkContext.addPyFile(uri)
+    _SHIPPED.add(app)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabelion import schemas
-from tabelion.session import scratch_path
+from tabelion.session import scratch_path, ship_package
 from tabelion.sources import fs
 from tabelion.sources.registry import list_extracts
 
@@ -139,6 +139,7 @@ def _manifest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _archives(spark: SparkSession, folder: str, only: list[str] | None = None) -> DataFrame:
     """One row per archive path, spread one archive per task."""
+    ship_package(spark)
     listing = list_extracts(spark, folder, "*.zip").select("path", "file_name")
     if only is not None:
         listing = listing.filter(F.col("file_name").isin(only))
@@ -237,6 +238,7 @@ def archive_of(file_name) -> F.Column:
 def build_archives(spark: SparkSession, extracts_folder: str, root: str) -> DataFrame:
     """Pack extract files into registry-named archives under ``root`` (one task per archive)."""
     fs.makedirs(root)
+    ship_package(spark)
     files = list_extracts(spark, extracts_folder).withColumn("archive", archive_of("file_name"))
     files = files.filter(F.col("archive").isNotNull()).repartition(
         max(1, spark.sparkContext.defaultParallelism), "archive"

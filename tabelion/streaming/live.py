@@ -42,11 +42,15 @@ def live_counts(
     files_per_trigger: int | None = None,
     available_now: bool = True,
     interval: str = "30 seconds",
+    state_partitions: int = 8,
 ):
     """Start the counting stream; each batch overwrites ``output`` with the full counts.
 
     Returns the ``StreamingQuery``. With ``available_now`` it processes what is
-    there and stops; otherwise it triggers every ``interval``.
+    there and stops; otherwise it triggers every ``interval``. The state holds
+    one row per table whatever the input volume (rows are pre-aggregated in
+    each task), so it is kept in ``state_partitions`` partitions; a stream
+    fixes that number from its session when it first starts.
     """
     lines = stream_lines(spark, folder, files_per_trigger=files_per_trigger)
     tagged = lines.withColumn("table_name", table_of(F.col("file_name"))).filter(F.col("table_name").isNotNull())
@@ -58,7 +62,13 @@ def live_counts(
 
     writer = counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(publish)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
-    return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
 
 
 # Ordering of each latest-records listing: (table, k, sort columns, listing).

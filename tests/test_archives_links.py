@@ -92,3 +92,15 @@ def test_stage_archives_once_and_load_from_staged(spark, folder):
     assert spark.table(f"{db}.simples").exceptAll(direct).count() == 0
     assert tb.read(spark, db, "socios").count() > 0
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_package_is_shipped_for_python_tasks(spark):
+    import zipfile as zf
+
+    from tabelion.session import scratch_path, ship_package
+    from tabelion.sources import fs
+
+    ship_package(spark)
+    local = fs.resolve(scratch_path(spark, "pyfiles", "tabelion.zip"))[1]
+    names = zf.ZipFile(local).namelist()
+    assert "tabelion/__init__.py" in names and "tabelion/sources/archives.py" in names
