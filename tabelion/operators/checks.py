@@ -100,13 +100,6 @@ def code_ends(tables: dict[str, DataFrame]) -> DataFrame:
     return _ends(tables).select("table_name", "first_code", "last_code")
 
 
-def side_stats(df: DataFrame, key: str = "codigo") -> DataFrame:
-    """One row: row count and first/last key of one side of a load."""
-    c = F.col(key)
-    return df.agg(
-        F.count(F.lit(1)).alias("n"), _first_code(c).alias("first_code"), _last_code(c).alias("last_code")
-    )
-
 
 def _side(tables: dict[str, DataFrame], names: list[str]) -> DataFrame:
     """Count and ends per table; a table with no rows still gets its row (count 0, NULL ends)."""
@@ -190,10 +183,6 @@ def table_counts_named(tables: dict[str, DataFrame], alias: str) -> DataFrame:
     return table_counts(spark, dict(tables)).select("table_name", F.col("n_rows").alias(alias))
 
 
-def rows_per_file(rows: DataFrame, file_col: str = "source_file") -> DataFrame:
-    """Rows read from each extract file."""
-    return rows.groupBy(F.col(file_col).alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
-
 
 def reconciliation(expected_per_file: DataFrame, stored: DataFrame) -> DataFrame:
     """Expected rows (sum over a table's files) against stored rows, per table.

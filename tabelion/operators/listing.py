@@ -48,8 +48,3 @@ def code_preview(tables: dict[str, DataFrame], k: int = 5) -> DataFrame:
         for n, df in tables.items()
     ]
     return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-def table_names(listing: DataFrame) -> DataFrame:
-    """Table names in order."""
-    return listing.select("table_name").orderBy("table_name")

@@ -162,9 +162,6 @@ def load_code_lists(spark, source, db, tables: list[str], mode="overwrite", forc
     return sorted(decisions, key=lambda d: tables.index(d["table_name"]))
 
 
-def load_code_list(spark, source, db, table, mode="overwrite", force=False) -> dict:
-    return load_code_lists(spark, source, db, [table], mode, force)[0]
-
 
 def load_main_tables(
     spark, source, db, tables: list[str], per_file: DataFrame, mode="overwrite", n_parts: int = tb.DEFAULT_BUCKETS
@@ -186,9 +183,6 @@ def load_main_tables(
     return [decisions[t] for t in tables]
 
 
-def load_main_table(spark, source, db, table, per_file: DataFrame, mode="overwrite") -> dict:
-    return load_main_tables(spark, source, db, [table], per_file, mode)[0]
-
 
 def derive_tables(spark: SparkSession, db: str, strict: bool = True, n_buckets: int = tb.DEFAULT_BUCKETS) -> None:
     """Capital as DECIMAL, registration number, partners per head office; drop the partner staging."""

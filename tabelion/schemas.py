@@ -190,14 +190,3 @@ def spec(name: str) -> TableSpec:
 
 
 ALL_SPECS = {name: spec(name) for name in BASE_TABLES}
-
-
-def suffix_of(file_name: str) -> str | None:
-    """Table whose extract suffix the file name carries (None when unknown)."""
-    for s in ALL_SPECS.values():
-        if s.name == "simples":
-            if s.suffix in file_name:
-                return s.name
-        elif file_name.endswith(s.suffix):
-            return s.name
-    return None

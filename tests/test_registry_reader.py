@@ -74,3 +74,16 @@ def test_round_trip_matches_view(spark):
     codes = registry.read_table(spark, root, "cnae")
     assert codes.exceptAll(fx.view(spark, sf, "cnae")).count() == 0
     assert codes.filter(F.col("descricao").isNull()).count() == 0
+
+
+def test_write_extracts_round_trip(spark, folder):
+    from tabelion.sources import extracts
+
+    uri, _ = folder
+    df = spark.createDataFrame(
+        [("01", 'Aç"o;x'), ("02", ""), ("03", "b")], "codigo string, descricao string"
+    )
+    names = extracts.write_extracts(df, uri, F.concat(F.lit("F.Z."), F.col("codigo"), F.lit(".D30610.PAISCSV")))
+    assert names == ["F.Z.01.D30610.PAISCSV", "F.Z.02.D30610.PAISCSV", "F.Z.03.D30610.PAISCSV"]
+    back = {(r.codigo, r.descricao) for r in registry.read_table(spark, uri, "pais").collect()}
+    assert back == {("01", 'Aç"o;x'), ("02", None), ("03", "b")}

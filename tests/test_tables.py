@@ -23,6 +23,9 @@ def test_ddl_widths_and_comments(spark, db):
     assert names == set(schemas.BASE_TABLES)
     desc = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {db}.cnae").collect()}
     assert desc["codigo"] == "varchar(7)" and "Atividades" in desc.get("Comment", "")
+    tb.set_comment(spark, db, "cnae", "CNAE d'Ávila")
+    desc = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {db}.cnae").collect()}
+    assert desc["Comment"] == "CNAE d'Ávila"
     ok = spark.createDataFrame([("abc    ", "x")], "codigo string, descricao string")
     tb.write_rows(ok, db, "pais")  # trailing blanks over the width are trimmed
     assert spark.table(f"{db}.pais").first().codigo == "abc"
