@@ -27,17 +27,30 @@ def row_number_within(df: DataFrame, key: str, order: str, out: str = "rn", n_pa
     """``df`` plus ``out`` = 1-based position of the row within its key, by ``order``.
 
     ``(key, order)`` must identify a row (ties would be numbered arbitrarily,
-    as with ``row_number``).
+    as with ``row_number``). Steps:
+
+    1. range-partition on (key, order) and sort each partition; attach the
+       partition id and ``monotonically_increasing_id`` (consecutive within a
+       partition, so it numbers the sorted slice); write as Parquet;
+    2. per (partition, key): row count and first id (map-side partial
+       aggregation), and the key's rows in earlier partitions (a window over
+       at most ``n_parts`` rows per key);
+    3. position = rows in earlier partitions + (id - first id) + 1.
     """
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "ranged", uuid.uuid4().hex)
-    ranged = df.repartitionByRange(n, F.col(key), F.col(order)).withColumn("_pid", F.spark_partition_id())
+    ranged = (
+        df.repartitionByRange(n, F.col(key), F.col(order))
+        .sortWithinPartitions(key, order)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_mid", F.monotonically_increasing_id())
+    )
     ranged.write.mode("overwrite").parquet(path)
     ranged = spark.read.parquet(path)
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid", key).orderBy(order)))
-    sizes = ranged.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"))
+    slices = ranged.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", key, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    joined = local.join(offsets, ["_pid", key], "inner")
-    return joined.withColumn(out, (F.col("_off") + F.col("_local")).cast("int")).drop("_pid", "_local", "_off")
+    offsets = slices.select("_pid", key, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    joined = ranged.join(offsets, ["_pid", key], "inner")
+    position = F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(1)
+    return joined.withColumn(out, position.cast("int")).drop("_pid", "_mid", "_first", "_off")

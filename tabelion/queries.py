@@ -7,12 +7,18 @@ DuckDB oracle texts are in ``tabelion.oracles``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabelion import fixtures as fx
-from tabelion import schemas
+from tabelion import schemas, session
 from tabelion.operators import checks, derive, listing
+from tabelion.plans import expand, pipeline
+from tabelion.plans import tables as tb
+from tabelion.sources import archives, extracts, links, registry
+from tabelion.streaming import live
 
 
 class Stored:
@@ -173,14 +179,6 @@ QUERIES = {
 # archives) under the shared scratch folder once per session, then read back.
 # ---------------------------------------------------------------------------
 
-import hashlib  # noqa: E402
-
-from tabelion import session  # noqa: E402
-from tabelion.plans import pipeline  # noqa: E402
-from tabelion.plans import tables as tb  # noqa: E402
-from tabelion.sources import archives, extracts, links, registry  # noqa: E402
-from tabelion.streaming import live  # noqa: E402
-
 _LOADS: dict[tuple[str, str], pipeline.LoadResult] = {}
 
 
@@ -254,8 +252,6 @@ def derived_state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, sf: str) -> str:
-    from tabelion.plans import expand
-
     path = session.scratch_path(spark, "staged", hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:12])
     expand.stage_archives(spark, _archives(spark, sf), path)
     return path
