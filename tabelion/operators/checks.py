@@ -206,9 +206,17 @@ def reconciliation(expected_per_file: DataFrame, stored: DataFrame) -> DataFrame
 
 
 def relationship_count(name: str, left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of an inner equi-join, counted (no rows leave the executors)."""
-    joined = left.select(key).join(right.select(key), key, "inner")
-    return joined.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("check_name"), "n_rows")
+    """Rows of the inner equi-join of ``left`` and ``right`` on ``key``, counted without joining rows.
+
+    Each side is first reduced to one row per key (partial counts in every
+    task, so a key holding a third of all rows is just one number), then the
+    per-key counts are joined and their products summed. NULL keys match
+    nothing, as in the join.
+    """
+    lc = left.groupBy(key).agg(F.count(F.lit(1)).alias("_l"))
+    rc = right.groupBy(key).agg(F.count(F.lit(1)).alias("_r"))
+    total = lc.join(rc, key, "inner").agg(F.coalesce(F.sum(F.col("_l") * F.col("_r")), F.lit(0)).cast("long").alias("n_rows"))
+    return total.select(F.lit(name).alias("check_name"), "n_rows")
 
 
 def integrity_report(

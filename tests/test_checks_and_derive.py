@@ -99,3 +99,15 @@ def test_lenient_capital_rejects(spark):
     assert derive.rejected_capital(emp).count() == 2
     vals = [r.capital_social for r in derive.companies_with_capital(emp, strict=False).orderBy("cnpj_basico").collect()]
     assert str(vals[0]) == "10.50" and vals[1] is None
+
+
+def test_relationship_count_equals_join_count_with_hot_key(spark):
+    left = spark.range(0, 3000).select((F.col("id") % 7).cast("string").alias("k"))
+    right = spark.range(0, 9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("1")).otherwise((F.col("id") % 11).cast("string")).alias("k")
+    ).union(spark.createDataFrame([(None,)], "k string"))
+    expected = left.join(right, "k").count()
+    got = checks.relationship_count("x", left, right, "k").first()
+    assert got.n_rows == expected and got.check_name == "x"
+    p = plan(checks.relationship_count("x", left, right, "k"))
+    assert "partial_count" in p
