@@ -80,6 +80,8 @@ def main(argv: list[str] | None = None) -> int:
         res = pipeline.run_load(
             spark, source, args.db, args.location, args.mode, args.force, not args.lenient, args.buckets
         )
+        for r in res.state_before:
+            print(f"before: {r.table_name:20} {r.state:7} {r.n_rows:>12,}")
         for d in res.decisions:
             print(f"{d['table_name']:20} {d['decision']:22} existing={d['existing']} expected={d['expected']}")
         spark.createDataFrame(res.reconciliation_rows, res.reconciliation_schema).show(truncate=False)

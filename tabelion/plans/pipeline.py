@@ -130,6 +130,7 @@ class LoadResult:
     reconciliation_schema: object = None
     rejected_capital: int | None = None
     n_buckets: int | None = None
+    state_before: list = field(default_factory=list)
 
 
 def _stored(spark: SparkSession, db: str, table: str) -> DataFrame:
@@ -260,6 +261,8 @@ def run_load(
     result_buckets = n_buckets
     tb.create_database(spark, db, location)
     result = LoadResult(db, n_buckets=result_buckets)
+    # state of every table before loading: absent / empty / filled (one row per table)
+    result.state_before = checks.derived_state(tb.counts(spark, db, schemas.STATE_TABLES)).collect()
     missing = [t for t in schemas.BASE_TABLES if t not in landing.tables_present(schemas.BASE_TABLES)]
     if missing:
         raise registry.NoInputFiles(f"no extract for {', '.join(missing)}")

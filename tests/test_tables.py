@@ -51,10 +51,13 @@ def test_load_rerun_and_purge(spark, db):
     loc = scratch_path(spark, "wh", db)
     first = pipeline.run_load(spark, landing, db, loc)
     assert all(d["decision"] == "insert" for d in first.decisions)
+    assert {r.state for r in first.state_before} == {"absent"}
     assert all(r.matches for r in first.reconciliation_rows)
     snap = {t: sorted(tuple(r) for r in spark.table(f"{db}.{t}").collect()) for t in ("socios", "empresas", "_referencia")}
     again = pipeline.run_load(spark, landing, db, loc)
     assert {d["table_name"]: d["decision"] for d in again.decisions}["empresas"] == "skip"
+    before = {r.table_name: r.state for r in again.state_before}
+    assert before["socios"] == "filled" and before["socios_original"] == "absent"
     for t, rows in snap.items():
         assert sorted(tuple(r) for r in spark.table(f"{db}.{t}").collect()) == rows
     assert not tb.table_exists(spark, db, "socios_original")
