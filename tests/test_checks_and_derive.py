@@ -111,3 +111,38 @@ def test_relationship_count_equals_join_count_with_hot_key(spark):
     assert got.n_rows == expected and got.check_name == "x"
     p = plan(checks.relationship_count("x", left, right, "k"))
     assert "partial_count" in p
+
+
+def _model_decision(stored, incoming):
+    """Plain-Python statement of the code-list decision rules."""
+    existing, expected = len(stored), len(incoming)
+
+    def ends(v):
+        first = min((x for x in v if x is not None), default=None)
+        last = None if any(x is None for x in v) else max(v, default=None)
+        return first, last
+
+    if existing == 0:
+        return "insert"
+    if expected == 0:
+        return "skip_empty_input"
+    same = ends(stored) == ends(incoming)
+    if existing >= expected and same:
+        return "skip"
+    if existing > expected:
+        return "inconsistent_severe" if (existing - expected) / expected * 100 > 50 else "inconsistent_moderate"
+    return "append"
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+codes_st = st.lists(st.one_of(st.none(), st.sampled_from(["01", "02", "03", "04", "05", "06"])), max_size=9)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(codes_st, codes_st), min_size=1, max_size=4))
+def test_code_decision_matches_model(spark, cases):
+    pairs = {f"t{i}": (codes(spark, s), codes(spark, inc)) for i, (s, inc) in enumerate(cases)}
+    got = {r.table_name: r.decision for r in checks.code_load_decision(pairs).collect()}
+    assert got == {f"t{i}": _model_decision(s, inc) for i, (s, inc) in enumerate(cases)}
