@@ -163,7 +163,6 @@ def load_code_lists(spark, source, db, tables: list[str], mode="overwrite", forc
     return sorted(decisions, key=lambda d: tables.index(d["table_name"]))
 
 
-
 def load_main_tables(
     spark, source, db, tables: list[str], per_file: DataFrame, mode="overwrite", n_parts: int = tb.DEFAULT_BUCKETS
 ) -> list[dict]:
@@ -184,7 +183,6 @@ def load_main_tables(
     return [decisions[t] for t in tables]
 
 
-
 def derive_tables(spark: SparkSession, db: str, strict: bool = True, n_buckets: int = tb.DEFAULT_BUCKETS) -> None:
     """Capital as DECIMAL, registration number, partners per head office; drop the partner staging."""
     emp = tb.read(spark, db, "empresas")
