@@ -1,0 +1,96 @@
+"""The registered queries of the operators, and DuckDB SQL where it can state them."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabelion.llm import decontaminate, linededup, mixing
+from tabelion.llm.common import table
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_items = F.size("item_ids").cast("long")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        n_items.alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    joined, dropped, runs = linededup.join_bitmaps(docs, linededup.line_bitmaps(docs))
+    return joined.select(
+        docs["doc_id"],
+        F.size(linededup.lines_of(docs["text"])).cast("long").alias("n_lines"),
+        dropped.alias("n_dropped"),
+        F.sha2(linededup.kept_lines(docs["text"], runs), 256).alias("kept_sha256"),
+    )
+
+
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op3_benchmark_decontamination, op5_mix_sources, op10_line_dedup)
+}
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+LLM_ORACLES: dict[str, str] = {
+    "op3_benchmark_decontamination": rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item,
+    regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM wins),
+starts AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n),
+grams AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM starts),
+hits AS (SELECT r, grams.n, i, item FROM grams JOIN wins ON grams.n = wins.n AND grams.g = wins.g),
+hit_words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+found AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+  FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (r) LEFT JOIN found USING (r)""",
+    "op5_mix_sources": rf"""
+WITH s AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+src AS (SELECT source, sum(size) AS ss, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3]
+    AS DOUBLE) AS w FROM s GROUP BY source),
+cum AS (SELECT *, 2.0 * ss / w AS ratio,
+    coalesce(sum(2.0 * ss) OVER (ORDER BY 2.0 * ss / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
+    sum(w) OVER (ORDER BY 2.0 * ss / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free FROM src),
+lev AS (SELECT min_by((1.5 * (SELECT sum(ss) FROM src) - capped) / free, ratio) FILTER
+    (WHERE (1.5 * (SELECT sum(ss) FROM src) - capped) / free < ratio) AS level FROM cum),
+tgt AS (SELECT source, ss, CASE WHEN level IS NULL THEN 2.0 * ss ELSE least(2.0 * ss, w * level) END AS target
+    FROM src, lev),
+e AS (SELECT *, CASE WHEN ss > 0 THEN floor(target / ss) ELSE 0 END AS whole FROM tgt),
+k AS (SELECT source, k, sum(size) AS size FROM s GROUP BY source, k),
+u AS (SELECT source, k, size, sum(size) OVER (PARTITION BY source ORDER BY k) AS upto FROM k),
+last AS (SELECT u.source, max(k) AS last_key FROM u JOIN e ON u.source IS NOT DISTINCT FROM e.source
+    WHERE target - whole * ss > 0 AND 2 * upto - size <= 2 * (target - whole * ss) GROUP BY u.source)
+SELECT doc_id, size, CAST(ss AS BIGINT) AS source_size, round(target, 6) AS target,
+  CAST((whole + CASE WHEN s.k <= last_key THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM s JOIN e ON s.source IS NOT DISTINCT FROM e.source LEFT JOIN last ON s.source IS NOT DISTINCT FROM last.source""",
+    "op10_line_dedup": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, p, ls[p] AS line, translate(trim(ls[p], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    {_AZ}) AS k FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS p FROM d)),
+m AS (SELECT k, max(doc_id) AS keeper FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+f AS (SELECT r, doc_id, p, line, coalesce(doc_id < keeper, false) AS dropped FROM l LEFT JOIN m USING (k))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM f GROUP BY r""",
+}
