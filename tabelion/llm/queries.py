@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabelion.llm import decontaminate, linededup, mixing
+from tabelion.llm import decontaminate, linededup, mixing, neardup
 from tabelion.llm.common import table
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_items = F.size("item_ids").cast("long")
@@ -40,7 +44,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_benchmark_decontamination, op5_mix_sources, op10_line_dedup)
+    f.__name__: f for f in (op1_minhash_near_dedup, op3_benchmark_decontamination, op5_mix_sources, op10_line_dedup)
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
