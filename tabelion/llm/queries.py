@@ -7,14 +7,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabelion.llm import decontaminate, linededup, mixing, neardup
-from tabelion.llm.common import table
+from tabelion.llm import crf, decontaminate, linededup, merkle, mixing, neardup, ordinal, rules, secrets, urls
+from tabelion.llm.common import staged, table
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_warc_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of a replica of all pages in which bytes were altered, texts cut and records lost at known ids."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    html, at = F.coalesce("html", F.lit("")), F.col("page_id")
+    body = (
+        F.when(at % 97 == 5, F.overlay(html, F.lit("~"), F.lit(12)))
+        .when(at % 157 == 9, F.left(html, F.floor(F.char_length(html) / 2).cast("int")))
+        .otherwise(html)
+    )
+    index = staged(merkle.archive_index(merkle.record_digests(pages).drop("own")), "index")
+    # The replica's records lie where the index says; they are found by the page's own digest.
+    copy = merkle.record_digests(pages, body).where(F.coalesce(at % 211 != 3, F.lit(True))).distinct()
+    copy = copy.select("page_id", "own", F.col("digest").alias("read"))
+    here = index["page_id"].eqNullSafe(copy["page_id"]) & (index["digest"] == copy["own"])
+    replica = index.join(copy, here).select(
+        "archive", "ordinal", "record_start", "record_end", F.col("read").alias("digest")
+    )
+    return merkle.audit(index, staged(replica, "replica")).select(
+        "page_id",
+        "archive",
+        "record_start",
+        "record_end",
+        F.col("digest").alias("sha256"),
+        "archive_root",
+        "verdict",
+    )
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_items = F.size("item_ids").cast("long")
@@ -28,10 +56,34 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ordinal.grade_documents(docs, ordinal.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return crf.score_documents(docs, crf.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     joined, dropped, runs = linededup.join_bitmaps(docs, linededup.line_bitmaps(docs))
@@ -43,8 +95,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash_near_dedup, op3_benchmark_decontamination, op5_mix_sources, op10_line_dedup)
+    f.__name__: f
+    for f in (
+        op1_minhash_near_dedup,
+        op2_warc_merkle_audit,
+        op3_benchmark_decontamination,
+        op4_url_filter,
+        op5_mix_sources,
+        op6_secret_scan,
+        op7_quality_rules,
+        op8_toxicity,
+        op9_line_quality,
+        op10_line_dedup,
+        pipeline,
+    )
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
