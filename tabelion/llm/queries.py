@@ -120,7 +120,32 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+_RECORD = """'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+  || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+  || chr(13) || chr(10) || 'Content-Length: ' || CAST(strlen({body}) AS VARCHAR) || chr(13) || chr(10) || chr(13) || chr(10)
+  || {body} || chr(13) || chr(10) || chr(13) || chr(10)"""
+
+
+def _level(below: str) -> str:
+    return f"""SELECT archive, node // 10 AS node, min(a) AS a, max(b) AS b,
+  sha256(string_agg(a || ':' || b || ':' || digest, chr(10) ORDER BY node)) AS digest FROM {below} GROUP BY ALL"""
+
+
 LLM_ORACLES: dict[str, str] = {
+    "op2_warc_merkle_audit": f"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html,
+  CASE WHEN page_id % 97 = 5 THEN html[:11] || '~' || html[13:] WHEN page_id % 157 = 9 THEN html[:length(html) // 2]
+    ELSE html END AS body FROM pages),
+r AS (SELECT page_id, {_RECORD.format(body="html")} AS mine, {_RECORD.format(body="coalesce(body, '')")} AS theirs FROM p),
+d AS (SELECT page_id, strlen(mine) AS n, sha256(mine) AS digest,
+  CASE WHEN page_id % 211 = 3 THEN 'missing' WHEN mine <> theirs THEN 'altered' ELSE 'intact' END AS verdict FROM r),
+o AS (SELECT *, row_number() OVER (ORDER BY page_id NULLS FIRST, digest) - 1 AS rn FROM d),
+l0 AS (SELECT *, rn // 1000 AS archive, rn % 1000 AS node,
+  CAST(sum(n) OVER (PARTITION BY rn // 1000 ORDER BY rn) AS BIGINT) AS b FROM o),
+l0a AS (SELECT archive, node, b - n AS a, b, digest FROM l0),
+l1 AS ({_level("l0a")}), l2 AS ({_level("l1")}), l3 AS ({_level("l2")})
+SELECT page_id, l0.archive, l0.b - n AS record_start, l0.b AS record_end, l0.digest AS sha256,
+  l3.digest AS archive_root, verdict FROM l0 JOIN l3 ON l0.archive = l3.archive""",
     "op3_benchmark_decontamination": rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r,
     regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
