@@ -23,12 +23,16 @@ from tabelion.llm.decontaminate import words_of
 ship(__name__)
 ship("tabelion.llm.decontaminate")
 
+#: A document is called toxic from this probability of grade 1 or more.
+FLAG = 0.3
 #: Labelled documents that the model is fitted on, at most; and of a text, the characters used for fitting.
 SAMPLE_DOCS = 8000
 SAMPLE_CHARS = 40_000
-#: Kept features, and the smallest number of training documents that hold one.
+#: Kept features at most, the smallest number of training documents that hold one, and the least force (log odds
+#: of the label times the root of that number) that sets one apart from chance.
 N_FEATURES = 4000
 MIN_DOCS = 3
+MIN_FORCE = 7.0
 #: Lengths in bytes of the word beginnings that are features beside the words.
 STEMS = (4, 5, 6)
 #: Marked words in a toxic document from which it is graded 1, 2 and 3.
@@ -68,9 +72,9 @@ class OrdinalModel:
 
 
 def fit_ordinal(
-    x: list[dict[int, float]], grades: np.ndarray, n_features: int, n_grades: int, rounds: int = 300, l2: float = 1e-4
+    x: list[dict[int, float]], grades: np.ndarray, n_features: int, n_grades: int, rounds: int = 400, l2: float = 1e-4
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and increasing cuts by maximum likelihood (Adam), each grade weighing the same in total.
+    """Weights and increasing cuts by maximum likelihood (Adam) with an L2 penalty.
 
     The increments of the cuts are exponentials, so their order holds throughout.
     """
@@ -78,10 +82,10 @@ def fit_ordinal(
     rows = np.repeat(np.arange(n), [len(r) for r in x])
     cols = np.fromiter((c for r in x for c in r), np.int64, len(rows))
     vals = np.fromiter((v for r in x for v in r.values()), float, len(rows))
-    sizes = np.bincount(grades, minlength=n_grades)
-    share = 1.0 / np.maximum(sizes[grades], 1) / max(1, (sizes > 0).sum())
+    share = np.full(n, 1.0 / n)
     theta = np.zeros(n_features + k)
-    theta[n_features] = 1.0
+    above = (grades > 0).mean()
+    theta[n_features] = np.log((1 - above + 1e-6) / (above + 1e-6))
     moment = [np.zeros_like(theta), np.zeros_like(theta)]
     padded = lambda c: np.concatenate(([-np.inf], c, [np.inf]))
     logistic = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
@@ -130,8 +134,8 @@ def fit(documents: list[tuple[bytes, int]]) -> OrdinalModel:
         if df[1][t] + df[0][t] >= MIN_DOCS
     }
     # What goes with the label at all, the strongest first: log odds times the root of the support.
-    force = {t: abs(o) * np.sqrt(df[1][t] + df[0][t]) for t, o in odds.items() if abs(o) > 1}
-    chosen = sorted(force, key=lambda t: (-force[t], t))[:N_FEATURES]
+    force = {t: abs(o) * np.sqrt(df[1][t] + df[0][t]) for t, o in odds.items()}
+    chosen = sorted((t for t in force if force[t] >= MIN_FORCE), key=lambda t: (-force[t], t))[:N_FEATURES]
     marked = {t for t in chosen if not df[0][t] and not t.endswith(b"*")}
     number = {t: i for i, t in enumerate(chosen)}
     x = [{number[t]: float(np.log1p(n)) for t, n in c.items() if t in number} for c in counts]
@@ -159,6 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
 def _grade(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ordinal = model.value
+        # A text without any telling word is never flagged.
+        flag = max(FLAG, ordinal.exceedance(b"")[0] + 0.05)
         for batch in batches:
             p = [ordinal.exceedance(x or b"") for x in batch.column("_text").cast(pa.binary()).to_pylist()]
             above = np.array(p).reshape(len(p), len(ordinal.cuts))
@@ -167,7 +173,7 @@ def _grade(model):
                     batch.column("_id"),
                     pa.array(above.sum(1)),
                     pa.array((above >= 0.5).sum(1).astype(np.int32)),
-                    pa.array((above[:, 0] >= 0.5).astype(np.int32)),
+                    pa.array((above[:, 0] >= flag).astype(np.int32)),
                 ],
                 names=["_id", "severity", "grade", "toxic"],
             )
@@ -176,7 +182,7 @@ def _grade(model):
 
 
 def grade_documents(docs: DataFrame, model: OrdinalModel) -> DataFrame:
-    """doc_id, severity (expected grade), grade (0 to 3), toxic (1 if grade >= 1) of every document row.
+    """doc_id, severity (expected grade), grade (0 to 3), toxic (1 if P(grade >= 1) reaches FLAG and exceeds an empty text's) of every document row.
 
     Nulls: a null text has no words; a null id passes through. Repeated rows
     each give a row, empty tables none. Other columns are not read. Texts are
