@@ -57,7 +57,7 @@ def line_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     )
     # Few hashes occur min_docs times at all; counting them first is a map-side aggregate.
     often = rows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc").alias("a"), F.max("doc").alias("b"))
-    often = often.where((F.col("n") >= min_docs) & (F.col("a") < F.col("b"))).select("h1", "h2")
+    often = staged(often.where((F.col("n") >= min_docs) & (F.col("a") < F.col("b"))).select("h1", "h2"), "often")
     ranged = staged(
         rows.join(often, ["h1", "h2"], "left_semi")
         .repartitionByRange(n, F.col("h1"), F.col("h2"), F.col("doc").desc(), F.col("pos"))
