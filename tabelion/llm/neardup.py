@@ -10,12 +10,13 @@ dart; two documents agree in a coordinate with their weighted Jaccard
 similarity as probability.
 
 Coordinates are cut into bands; documents with an equal band share a bucket.
-Exact copies are collapsed first. A bucket does not emit its pairs: each member
-is compared with the bucket's smallest document, exactly, on the shingles. By
-the triangle inequality of Jaccard distance, members far from that document
-cannot be linked to those near it; what is left undecided goes on in smaller
-buckets, the intersections with the members' other bands, until none is left.
-Classes are the connected components of the links.
+Exact copies are collapsed first. A bucket does not emit its pairs: its members
+are compared with one document of it, the centre, exactly, on the shingles. By
+the triangle inequality of Jaccard distance, members far from the centre cannot
+be linked to those near it, so a bucket falls into two parts; a part whose
+members are already one component is done. The others go on with new centres
+until no bucket has members of several components left to compare. Classes are
+the connected components of the links.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: 32 bands of 5: a pair at similarity 0.8 misses all buckets with probability 3e-6.
 BANDS, ROWS = 32, 5
+#: Components in a bucket beyond which it is cut by further bands rather than compared with more centres.
+CROWD = 64
 SEED = 0x5DEECE66D
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -203,10 +206,10 @@ def similarity(pairs: DataFrame, strips: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", j.alias("j"))
 
 
-def _crowded(members: DataFrame) -> DataFrame:
-    """The rows (key, doc) of buckets with at least two documents, with the smallest as ``centre``."""
-    shared = members.groupBy("key").agg(F.min("doc").alias("centre"), F.max("doc").alias("_last"))
-    return members.join(shared.where("centre < _last").select("key", "centre"), "key")
+def _shared(members: DataFrame) -> DataFrame:
+    """The rows (key, doc) of buckets with at least two documents."""
+    ends = members.groupBy("key").agg(F.min("doc").alias("_a"), F.max("doc").alias("_b")).where("_a < _b")
+    return members.join(ends.select("key"), "key", "left_semi")
 
 
 def near_duplicates(
@@ -239,30 +242,40 @@ def near_duplicates(
     copies = staged(named.groupBy("f1", "f2").agg(F.min("doc").alias("rep")), "copies")
     reps = named.join(copies.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
     keys = staged(reps.select("doc", F.explode("bands").alias("key")), "keys")
-    bucket = staged(_crowded(keys), "buckets")
+    members = staged(_shared(keys), "buckets")
     # Only documents that share a bucket are read a second time, for their shingles.
-    strips = source.join(bucket.select("doc").distinct(), "doc", "left_semi").mapInArrow(
+    strips = source.join(members.select("doc").distinct(), "doc", "left_semi").mapInArrow(
         _strips, "doc bigint, strips array<bigint>"
     )
     one_text_each = reps.groupBy("doc").count().where("count > 1").isEmpty()
     strips = staged(strips if one_text_each else strips.distinct(), "strips")
 
-    empty = spark.createDataFrame([], "a bigint, b bigint, j double")
-    tested, labels = empty, None
-    while not bucket.isEmpty():
-        pairs = bucket.where("doc != centre").select(F.col("doc").alias("a"), F.col("centre").alias("b")).distinct()
-        pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        if labels is not None:
-            la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-            lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-            pairs = pairs.join(la, "a", "left").join(lb, "b", "left")
-            pairs = pairs.where(F.col("la").isNull() | F.col("lb").isNull() | (F.col("la") != F.col("lb"))).select("a", "b")
+    members = members.withColumn("label", F.col("doc"))
+    tested, labels, turn = None, None, 0
+    while not members.isEmpty():
+        # One centre in the first two rounds (the smallest document, then one of the highest label, as large
+        # components have low ones), then twice as many each time, of different components.
+        n_centres = max(1, 2 ** (turn - 1))
+        pick = F.struct("label", "doc")
+        centres = members.groupBy("key", F.pmod(F.xxhash64("label"), F.lit(n_centres)).alias("share")).agg(
+            (F.max(pick) if turn else F.min(pick)).alias("centre")
+        )
+        centres = centres.select("key", F.col("centre.doc").alias("centre"), F.col("centre.label").alias("its_label"))
+        met = staged(members.join(centres, "key").where("label != its_label"), "met")
+        pairs = met.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
+        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         compared = similarity(pairs, strips)
         if not one_text_each:
             compared = compared.groupBy("a", "b").agg(F.max("j").alias("j"))
-        tested = staged(tested.unionByName(compared), "tested")
-        labels = components(tested.where(F.col("j") >= threshold))
-        bucket = staged(_crowded(_undecided(bucket, tested, labels, reps, threshold)), "buckets")
+        compared = staged(compared, "tested")
+        tested = compared if tested is None else tested.unionByName(compared)
+        if labels is None or not compared.where(F.col("j") >= threshold).isEmpty():
+            labels = components(tested.where(F.col("j") >= threshold))
+        rest = members.join(centres, (members["key"] == centres["key"]) & (members["doc"] == centres["centre"]), "left_anti")
+        if n_centres == 1:
+            rest = _sides(rest, centres, tested, threshold)
+        members = staged(_undecided(rest.select("key", "doc"), labels, reps), "buckets")
+        turn += 1
 
     found = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left") if labels is not None else copies
     label = F.coalesce("label", "rep") if labels is not None else F.col("rep")
@@ -274,36 +287,45 @@ def near_duplicates(
     )
 
 
-def _undecided(
-    bucket: DataFrame, tested: DataFrame, labels: DataFrame, sketch: DataFrame, threshold: float
-) -> DataFrame:
-    """(key, doc) of the smaller buckets in which links may still be hidden.
+def _sides(rest: DataFrame, centres: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
+    """(key, doc) of each bucket's two parts around its centre.
 
-    With t the threshold, d = 1 - t: members within d of the centre and
-    members beyond 2d of it are more than d apart. So a bucket falls into two
-    parts: near ones with those in between, and far ones with those in
-    between. A part whose members are all in one component is done. The others
-    are cut by every other band of their members.
+    With t the threshold and d = 1 - t, members within d of the centre and
+    members beyond 2d of it are more than d apart. So a bucket falls into near
+    members with those in between, and far members with those in between.
+    Members that were not compared with the centre, being of its component,
+    may be anywhere.
     """
-    far = 2 * threshold - 1
-    rest = bucket.where("doc != centre").join(
-        tested.select(F.col("a").alias("doc"), F.col("b").alias("centre"), "j"), ["doc", "centre"], "left"
-    )
-    # Members of the centre's component that were not compared with it may be anywhere.
+    at = rest.join(centres.select("key", "centre"), "key")
+    at = at.select("key", "doc", F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b"))
+    j = F.col("j")
     sides = F.array_compact(
         F.array(
-            F.when(F.col("j").isNull() | (F.col("j") >= far), F.lit("near")),
-            F.when(F.col("j").isNull() | (F.col("j") < threshold), F.lit("far")),
+            F.when(j.isNull() | (j >= 2 * threshold - 1), F.lit("near")),
+            F.when(j.isNull() | (j < threshold), F.lit("far")),
         )
     )
-    parts = rest.select("key", "doc", F.explode(sides).alias("side"))
-    parts = parts.select(F.xxhash64("key", "side").alias("key"), "doc")
-    parts = parts.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    parts = parts.select("key", "doc", F.coalesce("label", "doc").alias("label"))
-    mixed = parts.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b")
-    parts = parts.join(mixed.select("key"), "key", "left_semi").select("key", "doc")
-    bands = parts.join(sketch.select("doc", "bands"), "doc").select("key", "doc", F.explode("bands").alias("other"))
-    return bands.select(F.xxhash64("key", "other").alias("key"), "doc").distinct()
+    parts = at.join(tested, ["a", "b"], "left").select("key", "doc", F.explode(sides).alias("side"))
+    return parts.select(F.xxhash64("key", "side").alias("key"), "doc")
+
+
+def _undecided(members: DataFrame, labels: DataFrame, sketch: DataFrame) -> DataFrame:
+    """The buckets (key, doc, label) whose members are of several components.
+
+    A bucket of more than ``CROWD`` components is cut by every other band of
+    its members: those who are alike share one of them, those who met by a
+    common passage do not.
+    """
+    named = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    named = named.select("key", "doc", F.coalesce("label", "doc").alias("label"))
+    parts = named.groupBy("key").agg(F.count_distinct("label").alias("n_labels")).where("n_labels > 1")
+    named = named.join(parts, "key")
+    small = named.where(F.col("n_labels") <= CROWD).drop("n_labels")
+    large = named.where(F.col("n_labels") > CROWD).join(sketch.select("doc", "bands"), "doc")
+    cut = large.select("key", "doc", "label", F.explode("bands").alias("other"))
+    cut = cut.select(F.xxhash64("key", "other").alias("key"), "doc", "label").distinct()
+    whole = cut.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b")
+    return small.unionByName(cut.join(whole.select("key"), "key", "left_semi"))
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
