@@ -250,35 +250,27 @@ def near_duplicates(
     one_text_each = reps.groupBy("doc").count().where("count > 1").isEmpty()
     strips = staged(strips if one_text_each else strips.distinct(), "strips")
 
-    members = members.withColumn("label", F.col("doc"))
-    tested, labels, turn = None, None, 0
+    # Round 0: every member against the bucket's smallest document.
+    centres = members.groupBy("key").agg(F.min("doc").alias("centre"))
+    tested = _compare(members.join(centres, "key").where("doc != centre"), None, strips, one_text_each)
+    labels = components(tested.where(F.col("j") >= threshold))
+    rest = _sides(members.join(centres, "key").where("doc != centre"), tested, threshold)
+    members = staged(_undecided(rest, labels, reps), "buckets")
+    n_centres = 1
     while not members.isEmpty():
-        # One centre in the first two rounds (the smallest document, then one of the highest label, as large
-        # components have low ones), then twice as many each time, of different components.
-        n_centres = max(1, 2 ** (turn - 1))
-        pick = F.struct("label", "doc")
-        centres = members.groupBy("key", F.pmod(F.xxhash64("label"), F.lit(n_centres)).alias("share")).agg(
-            (F.max(pick) if turn else F.min(pick)).alias("centre")
-        )
-        centres = centres.select("key", F.col("centre.doc").alias("centre"), F.col("centre.label").alias("its_label"))
-        met = staged(members.join(centres, "key").where("label != its_label"), "met")
-        pairs = met.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
-        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        compared = similarity(pairs, strips)
-        if not one_text_each:
-            compared = compared.groupBy("a", "b").agg(F.max("j").alias("j"))
-        compared = staged(compared, "tested")
-        tested = compared if tested is None else tested.unionByName(compared)
-        if labels is None or not compared.where(F.col("j") >= threshold).isEmpty():
+        # Then against more and more documents, those of the smallest components first.
+        centres = _rare(members, n_centres)
+        with_centre = members.join(centres, "key").where("label != its_label").where(_may_link(threshold))
+        new = _compare(with_centre, tested, strips, one_text_each)
+        tested = tested.unionByName(new)
+        if not new.where(F.col("j") >= threshold).isEmpty():
             labels = components(tested.where(F.col("j") >= threshold))
-        rest = members.join(centres, (members["key"] == centres["key"]) & (members["doc"] == centres["centre"]), "left_anti")
-        if n_centres == 1:
-            rest = _sides(rest, centres, tested, threshold)
-        members = staged(_undecided(rest.select("key", "doc"), labels, reps), "buckets")
-        turn += 1
-
-    found = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left") if labels is not None else copies
-    label = F.coalesce("label", "rep") if labels is not None else F.col("rep")
+        rest = members.join(centres.select("key", F.col("centre").alias("doc")), ["key", "doc"], "left_anti")
+        members = staged(_undecided(rest.select("key", "doc", "j"), labels, reps), "buckets")
+        n_centres *= 4
+
+    found = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    label = F.coalesce("label", "rep")
     of_print = found.select("f1", "f2", label.alias("class_id"))
     out = sketch.select("doc", "f1", "f2", "n").join(of_print, ["f1", "f2"], "left")
     own = F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.col("class_id")).otherwise(F.col("doc"))
@@ -287,43 +279,78 @@ def near_duplicates(
     )
 
 
-def _sides(rest: DataFrame, centres: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
-    """(key, doc) of each bucket's two parts around its centre.
+def _compare(met: DataFrame, tested: DataFrame | None, strips: DataFrame, one_text_each: bool) -> DataFrame:
+    """a, b, j of the pairs (doc, centre) of ``met`` that are not in ``tested`` yet, each once."""
+    pairs = met.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
+    if tested is not None:
+        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    compared = similarity(pairs, strips)
+    if not one_text_each:
+        compared = compared.groupBy("a", "b").agg(F.max("j").alias("j"))
+    return staged(compared, "tested")
+
+
+def _sides(met: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
+    """(key, doc, j) of each bucket's two parts around its centre; j is the similarity to it.
 
     With t the threshold and d = 1 - t, members within d of the centre and
     members beyond 2d of it are more than d apart. So a bucket falls into near
     members with those in between, and far members with those in between.
-    Members that were not compared with the centre, being of its component,
-    may be anywhere.
     """
-    at = rest.join(centres.select("key", "centre"), "key")
-    at = at.select("key", "doc", F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b"))
+    at = met.select("key", "doc", F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b"))
     j = F.col("j")
     sides = F.array_compact(
-        F.array(
-            F.when(j.isNull() | (j >= 2 * threshold - 1), F.lit("near")),
-            F.when(j.isNull() | (j < threshold), F.lit("far")),
-        )
+        F.array(F.when(j >= 2 * threshold - 1, F.lit("near")), F.when(j < threshold, F.lit("far")))
+    )
+    parts = at.join(tested, ["a", "b"]).select("key", "doc", "j", F.explode(sides).alias("side"))
+    return parts.select(F.xxhash64("key", "side").alias("key"), "doc", "j")
+
+
+def _may_link(threshold: float) -> Column:
+    """By the triangle inequality, documents whose distances to a third one differ by more cannot be linked."""
+    return F.abs(F.col("j") - F.col("its_j")) <= 1 - threshold + 1e-9
+
+
+def _rare(members: DataFrame, n: int) -> DataFrame:
+    """key, centre, its_label, its_j: about ``n`` members of each bucket, smallest components first.
+
+    Components are taken whole while ``n`` lasts; of the smallest at least one
+    document is taken. The window is over the components of a bucket, of which
+    there are ``CROWD`` at most.
+    """
+    pick = F.max(F.struct("doc", "j")).alias("one")
+    parts = members.groupBy("key", "label").agg(F.count("*").alias("n"), pick)
+    order = Window.partitionBy("key").orderBy("n", F.col("label").desc())
+    ranked = parts.select(
+        "key",
+        "label",
+        "one",
+        F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+        F.row_number().over(order).alias("rank"),
+    )
+    whole = ranked.where(F.col("upto") <= n).select("key", "label")
+    taken = members.join(whole, ["key", "label"]).select("key", "label", "doc", "j")
+    first = ranked.where((F.col("rank") == 1) & (F.col("upto") > n)).select("key", "label", "one.doc", "one.j")
+    return taken.unionByName(first).select(
+        "key", F.col("doc").alias("centre"), F.col("label").alias("its_label"), F.col("j").alias("its_j")
     )
-    parts = at.join(tested, ["a", "b"], "left").select("key", "doc", F.explode(sides).alias("side"))
-    return parts.select(F.xxhash64("key", "side").alias("key"), "doc")
 
 
 def _undecided(members: DataFrame, labels: DataFrame, sketch: DataFrame) -> DataFrame:
-    """The buckets (key, doc, label) whose members are of several components.
+    """The buckets (key, doc, j, label) whose members are of several components.
 
     A bucket of more than ``CROWD`` components is cut by every other band of
     its members: those who are alike share one of them, those who met by a
     common passage do not.
     """
     named = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    named = named.select("key", "doc", F.coalesce("label", "doc").alias("label"))
+    named = named.select("key", "doc", "j", F.coalesce("label", "doc").alias("label"))
     parts = named.groupBy("key").agg(F.count_distinct("label").alias("n_labels")).where("n_labels > 1")
     named = named.join(parts, "key")
     small = named.where(F.col("n_labels") <= CROWD).drop("n_labels")
     large = named.where(F.col("n_labels") > CROWD).join(sketch.select("doc", "bands"), "doc")
-    cut = large.select("key", "doc", "label", F.explode("bands").alias("other"))
-    cut = cut.select(F.xxhash64("key", "other").alias("key"), "doc", "label").distinct()
+    cut = large.select("key", "doc", "j", "label", F.explode("bands").alias("other"))
+    cut = cut.select(F.xxhash64("key", "other").alias("key"), "doc", "j", "label").distinct()
     whole = cut.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b")
     return small.unionByName(cut.join(whole.select("key"), "key", "left_semi"))
 
