@@ -3,7 +3,7 @@
     python -m tabelion expand  --archives DIR --staged PATH
     python -m tabelion create  --db NAME --location PATH
     python -m tabelion load    --source DIR|PATH [--staged] --db NAME --location PATH
-                               [--mode overwrite|append] [--force] [--lenient] [--buckets N]
+                               [--mode overwrite|append] [--force] [--lenient] [--lenient-rows] [--buckets N]
     python -m tabelion counts  --db NAME
     python -m tabelion latest  --db NAME
     python -m tabelion links   --pages PARQUET [--prefix 20] [--suffix .zip]
@@ -47,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     ld.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     ld.add_argument("--force", action="store_true")
     ld.add_argument("--lenient", action="store_true")
+    ld.add_argument("--lenient-rows", action="store_true", help="store rejected records in _rejeitados and go on")
     ld.add_argument("--buckets", type=int, default=None, help="default: ~256 MB of input per bucket")
     for name in ("counts", "latest"):
         s = sub.add_parser(name)
@@ -78,13 +79,16 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "load":
         source = pipeline.StagedSource(spark, args.source) if args.staged else args.source
         res = pipeline.run_load(
-            spark, source, args.db, args.location, args.mode, args.force, not args.lenient, args.buckets
+            spark, source, args.db, args.location, args.mode, args.force, not args.lenient, args.buckets,
+            not args.lenient_rows,
         )
         for r in res.state_before:
             print(f"before: {r.table_name:20} {r.state:7} {r.n_rows:>12,}")
         for d in res.decisions:
             print(f"{d['table_name']:20} {d['decision']:22} existing={d['existing']} expected={d['expected']}")
-        spark.createDataFrame(res.reconciliation_rows, res.reconciliation_schema).show(truncate=False)
+        if res.n_rejected:
+            print(f"records rejected (stored in _rejeitados): {res.n_rejected}")
+        res.reconciliation.show(truncate=False)
         if res.rejected_capital is not None:
             print(f"amounts rejected (stored as NULL): {res.rejected_capital}")
         pipeline.integrity(spark, args.db).show(truncate=False)
@@ -102,15 +106,20 @@ def main(argv: list[str] | None = None) -> int:
         pages = spark.read.parquet(args.pages)
         links.latest_link(pages, args.prefix).show(truncate=False)
         links.resolved_links(pages, args.suffix).show(truncate=False)
+        links.latest_folder_archives(pages, pages, args.prefix, args.suffix).show(truncate=False)
     elif args.cmd == "monitor":
-        q = live.live_counts(spark, args.folder, args.checkpoint, args.output, available_now=False,
-                             interval=args.interval)
+        streams = live.monitor(spark, args.folder, args.checkpoint, args.output, args.interval)
         try:
-            while q.isActive:
-                q.awaitTermination(60)
-                spark.read.parquet(args.output).orderBy("table_name").show(truncate=False)
+            while all(q.isActive for q in streams):
+                streams[0].awaitTermination(30)
+                for df in live.monitor_report(spark, args.output).values():
+                    df.show(truncate=False)
+            for q in streams:
+                if q.exception():
+                    raise q.exception()
         except KeyboardInterrupt:
-            q.stop()
+            for q in streams:
+                q.stop()
     elif args.cmd == "purge":
         if not args.yes:
             print("purge empties every table of the database; pass --yes to confirm", file=sys.stderr)

@@ -35,7 +35,8 @@ VIEWS: dict[str, str] = {
         "select lpad(cast(r_regionkey as string),2,'0') codigo, r_name descricao from {region}"
     ),
     "empresas_raw": (
-        "select lpad(cast(c_custkey as string),8,'0') cnpj_basico, c_name razao_social, "
+        "select lpad(cast(c_custkey as string),8,'0') cnpj_basico, "
+        "concat(c_name,' COMERCIO DE ARTIGOS EM GERAL LTDA') razao_social, "
         "lpad(cast(c_nationkey as string),4,'0') natureza_juridica, "
         "lpad(cast(c_custkey % 5 as string),2,'0') qualificacao_responsavel, "
         "replace(cast(cast(c_acctbal as decimal(18,2)) as string),'.',',') capital_social_str, "
@@ -44,10 +45,10 @@ VIEWS: dict[str, str] = {
         "'' ente_federativo_responsavel from {customer}"
     ),
     "estabelecimento_raw": (
-        "select lpad(cast(o_custkey as string),8,'0') cnpj_basico, lpad(cast(rn as string),4,'0') cnpj_ordem, "
+        "select lpad(cast(o_custkey as string),8,'0') cnpj_basico, lpad(cast(rn as string),case when rn > 9999 then 9 else 4 end,'0') cnpj_ordem, "
         "lpad(cast(o_orderkey % 100 as string),2,'0') cnpj_dv, "
         "case when rn=1 then '1' else '2' end matriz_filial, "
-        "concat('LOJA ',cast(o_orderkey as string)) nome_fantasia, "
+        "concat('LOJA ',cast(o_orderkey as string),' ARTIGOS EM GERAL E SERVICOS') nome_fantasia, "
         "case o_orderstatus when 'F' then '08' when 'O' then '02' else '03' end situacao_cadastral, "
         "replace(cast(cast(o_orderdate as date) as string),'-','') data_situacao_cadastral, "
         "lpad(substr(o_orderpriority,1,1),2,'0') motivo_situacao_cadastral, "
@@ -67,7 +68,8 @@ VIEWS: dict[str, str] = {
     "simples": (
         "select lpad(cast(c_custkey as string),8,'0') cnpj_basico, "
         "case when c_custkey % 2=0 then 'S' else 'N' end opcao_simples, "
-        "case when c_custkey % 7=0 then 'S' else 'N' end opcao_mei from {customer} where c_custkey % 3=0"
+        "case when c_custkey % 7=0 then 'S' else 'N' end opcao_mei, "
+        "case when c_custkey % 3=0 then '20240131' else '' end data_exclusao_simples from {customer}"
     ),
 }
 

@@ -9,6 +9,7 @@ from tabelion.functions.scalar import (  # noqa: F401
     megabytes,
     reference_date,
     registration_number,
+    reject_cause,
     resolve_link,
     thousands,
 )

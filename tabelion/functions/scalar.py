@@ -94,5 +94,14 @@ def exceeds_fields(line, n, sep: str = ";") -> Column:
 
 def count_fields(line, sep: str = ";") -> Column:
     """Number of fields in one delimited line, separators inside quotes ignored."""
-    unquoted = F.regexp_replace(_c(line), r'"(?:[^"]|"")*"', "")
+    unquoted = F.regexp_replace(_c(line), r'"[^"]*+(?:""[^"]*+)*+"', "")
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + F.lit(1)
+
+
+TOO_LONG, OPEN_QUOTE = "too_long", "open_quote"
+
+
+def reject_cause(line, n) -> Column:
+    """Why a record cannot be stored, or NULL: an unclosed quote (a record cut by a line break), or too many fields."""
+    quotes = F.length(_c(line)) - F.length(F.replace(_c(line), F.lit('"'), F.lit("")))
+    return F.when(quotes % 2 == 1, F.lit(OPEN_QUOTE)).when(exceeds_fields(line, n), F.lit(TOO_LONG))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabelion.functions import excess_percent, thousands
+from tabelion.functions import excess_percent, gigabytes, megabytes, thousands
 
 SEVERE_EXCESS_PERCENT = 50.0
 
@@ -187,35 +187,35 @@ def table_counts_named(tables: dict[str, DataFrame], alias: str) -> DataFrame:
 def reconciliation(expected_per_file: DataFrame, stored: DataFrame) -> DataFrame:
     """Expected rows (sum over a table's files) against stored rows, per table.
 
-    ``expected_per_file``: table_name, file_name, n_rows.
-    ``stored``: table_name, n_rows (from ``table_counts``).
+    ``expected_per_file``: table_name, file_name, n_rows, n_rejected.
+    ``stored``: table_name, n_rows (from ``table_counts``). A table matches
+    only if nothing was rejected, too.
     """
     exp = expected_per_file.groupBy("table_name").agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").cast("long").alias("expected")
+        F.count(F.lit(1)).alias("n_files"),
+        F.sum("n_rows").cast("long").alias("expected"),
+        F.sum("n_rejected").cast("long").alias("rejected"),
     )
     st = stored.select("table_name", F.col("n_rows").alias("stored"))
+    zero = F.lit(0).cast("long")
     out = exp.join(st, "table_name", "full_outer").select(
-        "table_name",
-        F.coalesce("n_files", F.lit(0).cast("long")).alias("n_files"),
-        F.coalesce("expected", F.lit(0).cast("long")).alias("expected"),
-        F.coalesce("stored", F.lit(0).cast("long")).alias("stored"),
+        "table_name", *[F.coalesce(c, zero).alias(c) for c in ("n_files", "expected", "rejected", "stored")]
     )
     return out.withColumn("difference", F.col("stored") - F.col("expected")).withColumn(
-        "matches", F.col("stored") == F.col("expected")
+        "matches", (F.col("stored") == F.col("expected")) & (F.col("rejected") == 0)
     )
 
 
-def relationship_count(name: str, left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of the inner equi-join of ``left`` and ``right`` on ``key``, counted without joining rows.
+def relationship_count(name: str, many: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Rows of the inner equi-join of both on ``key``, counted without joining their rows.
 
-    Each side is first reduced to one row per key (partial counts in every
-    task, so a key holding a third of all rows is just one number), then the
-    per-key counts are joined and their products summed. NULL keys match
-    nothing, as in the join.
+    ``other`` is reduced to one row per key first (partial counts in every
+    task, so a key holding a third of all rows is just one number). The rows
+    of ``many``, in which a key occurs about once, are joined as they are and
+    take their key's count. NULL keys match nothing, as in the join.
     """
-    lc = left.groupBy(key).agg(F.count(F.lit(1)).alias("_l"))
-    rc = right.groupBy(key).agg(F.count(F.lit(1)).alias("_r"))
-    total = lc.join(rc, key, "inner").agg(F.coalesce(F.sum(F.col("_l") * F.col("_r")), F.lit(0)).cast("long").alias("n_rows"))
+    counts = other.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = many.select(key).join(counts, key, "inner").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_rows"))
     return total.select(F.lit(name).alias("check_name"), "n_rows")
 
 
@@ -268,7 +268,9 @@ def width_report(tables: dict[str, tuple[DataFrame, dict[str, int]]]) -> DataFra
     """Per column: declared width, longest value and values over the width (one pass per table)."""
     frames = []
     for name, (df, widths) in tables.items():
-        cols = [c for c in df.columns if c in widths]
+        cols = list(widths)
+        if missing := [c for c in cols if c not in df.columns]:
+            raise ValueError(f"{name} lacks the declared columns {', '.join(missing)}")
         aggs = []
         for c in cols:
             n = F.length(F.col(c))
@@ -287,13 +289,22 @@ def width_report(tables: dict[str, tuple[DataFrame, dict[str, int]]]) -> DataFra
     return _union(frames)
 
 
-def purge_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows before and after emptying, and rows removed, per table."""
+def purge_report(before: DataFrame, after: DataFrame, errors: DataFrame) -> DataFrame:
+    """Rows before and after emptying, rows removed, status and the cause of a failure, per table.
+
+    ``errors``: table_name, error of the tables that could not be emptied.
+    """
     b = before.select("table_name", F.col("n_rows").alias("before"))
     a = after.select("table_name", F.col("n_rows").alias("after"))
-    out = b.join(a, "table_name", "left")
-    return out.withColumn("removed", F.col("before") - F.col("after")).withColumn(
-        "status", F.when(F.col("before") == 0, "already_empty").when(F.col("after") == 0, "emptied").otherwise("rows_left")
+    out = b.join(a, "table_name", "left").join(errors, "table_name", "left")
+    status = (
+        F.when(F.col("error").isNotNull(), "failed")
+        .when(F.col("before") == 0, "already_empty")
+        .when(F.col("after") == 0, "emptied")
+        .otherwise("rows_left")
+    )
+    return out.select(
+        "table_name", "before", "after", (F.col("before") - F.col("after")).alias("removed"), status.alias("status"), "error"
     )
 
 
@@ -303,3 +314,13 @@ def purge_summary(after: DataFrame) -> DataFrame:
         F.sum("n_rows").cast("long").alias("total_left"),
         F.sort_array(F.collect_list(F.when(F.col("n_rows") > 0, F.col("table_name")))).alias("tables_with_rows"),
     )
+
+
+def file_sizes(files: DataFrame) -> DataFrame:
+    """file_name, size_bytes and the size in MB and GB (two decimals) of a file listing."""
+    return files.select(
+        "file_name",
+        "size_bytes",
+        F.round(megabytes("size_bytes"), 2).alias("size_mb"),
+        F.round(gigabytes("size_bytes"), 6).alias("size_gb"),
+    )

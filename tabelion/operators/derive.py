@@ -27,6 +27,18 @@ def establishments_with_number(estabelecimento: DataFrame) -> DataFrame:
     return estabelecimento.withColumn("cnpj", registration_number())
 
 
+def head_offices(estabelecimento: DataFrame) -> DataFrame:
+    """Company key and number of the head offices; the filter and the two columns reach the scan."""
+    heads = estabelecimento.filter(F.col("matriz_filial") == F.lit(HEAD_OFFICE))
+    return heads.select(F.col("cnpj_basico").alias("_hq_basico"), F.col("cnpj"))
+
+
+def partners_of(socios_original: DataFrame, heads: DataFrame) -> DataFrame:
+    """Partners joined to ``head_offices``: the number first, then all columns of the partners."""
+    joined = socios_original.join(heads, socios_original["cnpj_basico"] == heads["_hq_basico"], "inner")
+    return joined.select("cnpj", *[socios_original[c] for c in socios_original.columns])
+
+
 def partners_head_office(socios_original: DataFrame, estabelecimento: DataFrame) -> DataFrame:
     """Partners keyed by their company's head-office number.
 
@@ -34,11 +46,5 @@ def partners_head_office(socios_original: DataFrame, estabelecimento: DataFrame)
     ``WHERE matriz_filial = '1'``; the filter rejects the NULL-extended rows,
     so the result is the inner join. Partners of a company with no head office
     drop out; a company with two head offices yields two rows per partner.
-    The head-office filter and the two-column projection reach the scan.
     """
-    heads = (
-        estabelecimento.filter(F.col("matriz_filial") == F.lit(HEAD_OFFICE))
-        .select(F.col("cnpj_basico").alias("_hq_basico"), F.col("cnpj"))
-    )
-    joined = socios_original.join(heads, socios_original["cnpj_basico"] == heads["_hq_basico"], "inner")
-    return joined.select("cnpj", *[socios_original[c] for c in socios_original.columns])
+    return partners_of(socios_original, head_offices(estabelecimento))

@@ -1,23 +1,28 @@
 """The load: code lists, main tables, derived tables, reference metadata, checks.
 
-Order of work: state report -> six code lists -> four main tables -> derived
-tables -> reference metadata -> integrity report. Each load step reads every
-extract of its table in one scan, decides from one-row counts whether to
-write, and writes with the table's width checks. Only one-row decisions and
-counts come back to the driver.
+Order of work: state report -> counts per extract file -> six code lists ->
+four main tables -> partners -> reference metadata -> integrity report. Each
+load step reads every extract of its table in one scan, decides from one-row
+counts whether to write, derives the computed columns on the way and writes
+once, into a table declared with its widths, types, comment and layout. By
+default a record that cannot be stored stops the load before anything is
+written; a lenient load stores such records in ``_rejeitados``.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabelion import schemas
-from tabelion.functions import exceeds_fields, reference_date
+from tabelion.functions import reference_date
 from tabelion.operators import checks, derive
+from tabelion.plans import expand
 from tabelion.plans import tables as tb
+from tabelion.session import scratch_path
 from tabelion.sources import registry
 
 MAIN_ORDER = ["estabelecimento", "socios_original", "empresas", "simples"]
@@ -41,84 +46,58 @@ class FolderSource:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def rows(self, table: str) -> DataFrame:
-        return registry.read_table(self.spark, self.folder, table)
+    def rows(self, table: str, strict: bool = True) -> DataFrame:
+        return registry.read_table(self.spark, self.folder, table, strict=strict)
 
-    def file_counts(self, names: list[str]) -> DataFrame:
-        return registry.file_row_counts_all(self.spark, self.folder, names)
+    def lines(self, names: list[str]) -> DataFrame:
+        """table_name, file_name, line of the tables' extracts."""
+        return registry.tagged_lines(self.spark, self.folder, names)
 
-    def file_names(self) -> DataFrame:
-        return registry.list_extracts(self.spark, self.folder).select("file_name")
-
-    def check(self, table: str) -> None:
-        registry.find_files(self.spark, self.folder, table)
-
-    def bytes_per_table(self, names: list[str]) -> dict[str, int]:
-        """Extract bytes per table from the folder listing (no file is read)."""
-        files = registry.list_extracts(self.spark, self.folder)
-        t = registry.table_of(F.col("file_name"), names)
-        sizes = files.groupBy(t.alias("t")).agg(F.sum("size_bytes").alias("b")).filter("t IS NOT NULL")
-        return {r.t: int(r.b) for r in sizes.collect()}  # at most one row per table
-
-    def tables_present(self, names: list[str]) -> set[str]:
-        """Tables with at least one extract file (one listing of the folder)."""
+    def files(self, names: list[str]) -> DataFrame:
+        """table_name, file_name, size_bytes of the tables' extracts, from the listing."""
         files = registry.list_extracts(self.spark, self.folder)
-        found = files.select(registry.table_of(F.col("file_name"), names).alias("t")).filter("t IS NOT NULL")
-        return {r.t for r in found.distinct().collect()}  # at most one row per table
+        return files.select(registry.table_of(F.col("file_name"), names).alias("table_name"), "file_name", "size_bytes").filter(
+            "table_name IS NOT NULL"
+        )
 
 
 class StagedSource:
-    """Lines staged as Parquet by ``expand.stage_archives`` (partitioned by table)."""
+    """Lines staged as Parquet by ``expand.stage_archives``; only finished members are read."""
 
     def __init__(self, spark: SparkSession, staged: str):
         self.spark, self.staged = spark, staged
 
-    def rows(self, table: str) -> DataFrame:
-        from tabelion.plans.expand import staged_rows
-
-        rows = staged_rows(self.spark, self.staged, table)
-        return rows.filter(~F.col(registry.LONG)).select(*schemas.spec(table).names)
-
-    def file_counts(self, names: list[str]) -> DataFrame:
-        lines = self.spark.read.parquet(self.staged).filter(F.col("table_name").isin(names))
-        long_row = exceeds_fields(F.col("line"), registry.width_of(F.col("table_name"), names))
-        return lines.groupBy("table_name", F.col("entry").alias("file_name")).agg(
-            F.count_if(~long_row).alias("n_rows"), F.count_if(long_row).alias("n_rejected")
-        )
-
-    def file_names(self) -> DataFrame:
-        return self.spark.read.parquet(self.staged).select(F.col("entry").alias("file_name")).distinct()
-
-    def check(self, table: str) -> None:
-        from tabelion.plans.expand import staged_lines
+    def rows(self, table: str, strict: bool = True) -> DataFrame:
+        lines = self.lines([table]).select(F.col("file_name").alias(registry.SOURCE), "line")
+        parsed = registry.accepted(registry.parse_lines(lines, table), strict, F.col(registry.SOURCE))
+        return parsed.select(*schemas.spec(table).names)
 
-        if staged_lines(self.spark, self.staged, table).isEmpty():
-            raise registry.NoInputFiles(f"no staged lines for {table} under {self.staged}")
+    def lines(self, names: list[str]) -> DataFrame:
+        lines = expand.staged_lines(self.spark, self.staged, names)
+        return lines.select("table_name", F.col("entry").alias("file_name"), "line")
 
-    def bytes_per_table(self, names: list[str]) -> dict[str, int]:
-        """Staged Parquet bytes per table partition, from the file listing."""
-        files = registry.list_extracts(self.spark, self.staged, "*.parquet")
-        t = F.regexp_extract("path", r"table_name=([^/]+)/", 1)
-        sizes = files.groupBy(t.alias("t")).agg(F.sum("size_bytes").alias("b"))
-        return {r.t: int(r.b) for r in sizes.collect() if r.t in names}
-
-    def tables_present(self, names: list[str]) -> set[str]:
-        df = self.spark.read.parquet(self.staged).select("table_name").distinct()
-        return {r.table_name for r in df.collect()} & set(names)  # partition values only
+    def files(self, names: list[str]) -> DataFrame:
+        done = expand.finished_members(self.spark, self.staged).filter(F.col("table_name").isin(names))
+        return done.select("table_name", F.col("entry").alias("file_name"), F.col("uncompressed_bytes").alias("size_bytes"))
 
 
 def as_source(spark: SparkSession, source) -> FolderSource | StagedSource:
     return FolderSource(spark, source) if isinstance(source, str) else source
 
 
+class RejectedRows(ValueError):
+    """Records that cannot be stored: too many fields, or an unclosed quote."""
+
+
 BUCKET_TARGET_BYTES = 256 * 1024 * 1024
-MIN_BUCKETS, MAX_BUCKETS = 8, 4096
+MIN_BUCKETS = 8
 
 
 def bucket_count(source, names: list[str]) -> int:
-    """Buckets for the derived tables: about 256 MB of input per bucket for the largest table."""
-    largest = max(source.bytes_per_table(names).values(), default=0)
-    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, -(-largest // BUCKET_TARGET_BYTES))))
+    """Buckets for the derived tables: about 256 MB of input per bucket for the largest table, at any size."""
+    sizes = source.files(names).groupBy("table_name").agg(F.sum("size_bytes").alias("b"))
+    largest = sizes.agg(F.max("b")).first()[0] or 0
+    return int(max(MIN_BUCKETS, -(-largest // BUCKET_TARGET_BYTES)))
 
 
 @dataclass
@@ -126,9 +105,9 @@ class LoadResult:
     database: str
     decisions: list[dict] = field(default_factory=list)
     expected_per_file: DataFrame | None = None
-    reconciliation_rows: list = field(default_factory=list)
-    reconciliation_schema: object = None
+    reconciliation: DataFrame | None = None
     rejected_capital: int | None = None
+    n_rejected: int = 0
     n_buckets: int | None = None
     state_before: list = field(default_factory=list)
 
@@ -150,10 +129,10 @@ def lookup_layout(df: DataFrame, table: str, n_parts: int) -> DataFrame:
     return df.sortWithinPartitions(key)
 
 
-def load_code_lists(spark, source, db, tables: list[str], mode="overwrite", force=False) -> list[dict]:
+def load_code_lists(spark, source, db, tables: list[str], mode="overwrite", force=False, strict_rows=True) -> list[dict]:
     """Decide for every code list in one job (one small row each), then write those to insert."""
     source = as_source(spark, source)
-    pairs = {t: (_stored(spark, db, t), source.rows(t)) for t in tables}
+    pairs = {t: (_stored(spark, db, t), source.rows(t, strict_rows)) for t in tables}
     decisions = [r.asDict() for r in checks.code_load_decision(pairs, force=force).collect()]
     for d in sorted(decisions, key=lambda d: tables.index(d["table_name"])):
         if d["will_insert"]:
@@ -163,10 +142,24 @@ def load_code_lists(spark, source, db, tables: list[str], mode="overwrite", forc
     return sorted(decisions, key=lambda d: tables.index(d["table_name"]))
 
 
+def derived(table: str, rows: DataFrame, strict: bool = True) -> DataFrame:
+    """Rows of an extract with the computed columns of the final table."""
+    if table == "empresas":
+        return derive.companies_with_capital(rows, strict)
+    if table == "estabelecimento":
+        return derive.establishments_with_number(rows)
+    return rows
+
+
 def load_main_tables(
-    spark, source, db, tables: list[str], per_file: DataFrame, mode="overwrite", n_parts: int = tb.DEFAULT_BUCKETS
+    spark, source, db, tables: list[str], per_file: DataFrame, mode="overwrite",
+    n_buckets: int = tb.DEFAULT_BUCKETS, strict: bool = True, strict_rows: bool = True,
 ) -> list[dict]:
-    """Decide for every main table in one job on the sum of rows over all its files, then write."""
+    """Decide for every main table in one job on the sum of rows over all its files, then write final rows once.
+
+    ``append`` adds the derived incoming rows to the stored ones. Otherwise a
+    new table is filled and takes the old one's place.
+    """
     source = as_source(spark, source)
     stored = {t: _stored(spark, db, t) for t in tables}
     existing = checks.table_counts_named(stored, "existing")
@@ -175,39 +168,51 @@ def load_main_tables(
     decisions = {r.table_name: r.asDict() for r in checks.decide_main_load(stats).collect()}  # one row per table
     for t in tables:
         d = decisions[t]
-        if d["will_insert"]:
-            if set(schemas.spec(t).names) != set(stored[t].columns):
-                tb.create_base_table(spark, db, t)  # a derived table from an earlier run is replaced
-            write_mode = "append" if (mode == "append" and d["existing"] > 0) else "overwrite"
-            tb.write_rows(lookup_layout(source.rows(t), t, n_parts), db, t, write_mode)
+        if not d["will_insert"]:
+            continue
+        rows = derived(t, source.rows(t, strict_rows), strict)
+        final = [c for c, _ in schemas.final_columns(t)]
+        appending = mode == "append" and d["existing"] > 0
+        if appending and stored[t].columns == final:
+            insert_rows(rows, db, t, n_buckets, "append")
+            continue
+        if appending:  # stored without the computed columns so far
+            rows = derived(t, stored[t], strict).unionByName(rows)
+        tb.create_final_table(spark, db, f"{t}__new", t, BUCKETED.get(t), SORTED.get(t), n_buckets)
+        insert_rows(rows, db, f"{t}__new", n_buckets, "append", t)
+        tb.drop_table(spark, db, t)
+        tb.rename_table(spark, db, f"{t}__new", t)
     return [decisions[t] for t in tables]
 
 
-def derive_tables(spark: SparkSession, db: str, strict: bool = True, n_buckets: int = tb.DEFAULT_BUCKETS) -> None:
-    """Capital as DECIMAL, registration number, partners per head office; drop the partner staging."""
-    emp = tb.read(spark, db, "empresas")
-    if emp is not None and "capital_social_str" in emp.columns:
-        tb.create_as_select(
-            derive.companies_with_capital(emp, strict), db, "empresas__new",
-            BUCKETED["empresas"], SORTED["empresas"], n_buckets,
-        )
-        tb.drop_table(spark, db, "empresas")
-        tb.rename_table(spark, db, "empresas__new", "empresas")
-    est = tb.read(spark, db, "estabelecimento")
-    if est is not None and "cnpj" not in est.columns:
-        tb.create_as_select(
-            derive.establishments_with_number(est), db, "estabelecimento__new",
-            BUCKETED["estabelecimento"], SORTED["estabelecimento"], n_buckets,
-        )
-        tb.drop_table(spark, db, "estabelecimento")
-        tb.rename_table(spark, db, "estabelecimento__new", "estabelecimento")
-    so = tb.read(spark, db, "socios_original")
-    est = tb.read(spark, db, "estabelecimento")
-    if so is not None and est is not None:
-        tb.create_as_select(
-            derive.partners_head_office(so, est), db, "socios", BUCKETED["socios"], SORTED["socios"], n_buckets
-        )
-        tb.drop_table(spark, db, "socios_original")
+def insert_rows(rows: DataFrame, db: str, name: str, n_parts: int, mode: str, table: str | None = None) -> None:
+    table = table or name
+    if table in BUCKETED:
+        tb.insert_bucketed(rows, db, name, mode)
+    else:
+        tb.write_rows(lookup_layout(rows, table, n_parts), db, name, mode)
+
+
+def load_partners(spark: SparkSession, db: str, mode: str, n_buckets: int = tb.DEFAULT_BUCKETS) -> None:
+    """Partners per head office from the partner staging, which is dropped afterwards.
+
+    In ``append`` mode the staged partners are added to the stored ones.
+    """
+    so, est = tb.read(spark, db, "socios_original"), tb.read(spark, db, "estabelecimento")
+    if so is None or est is None or "cnpj" not in est.columns:
+        return
+    # The head offices are dealt anew, not read by bucket: with a shuffle on both sides, adaptive execution splits
+    # the partition of a company that owns very many partners.
+    offices = derive.head_offices(est).hint("rebalance")
+    rows = derive.partners_of(so, offices)
+    if mode == "append" and tb.table_exists(spark, db, "socios"):
+        tb.insert_bucketed(rows, db, "socios", "append")
+    else:
+        tb.create_final_table(spark, db, "socios__new", "socios", BUCKETED["socios"], SORTED["socios"], n_buckets)
+        tb.insert_bucketed(rows, db, "socios__new", "append")
+        tb.drop_table(spark, db, "socios")
+        tb.rename_table(spark, db, "socios__new", "socios")
+    tb.drop_table(spark, db, "socios_original")
 
 
 def reference_rows(extract_files: DataFrame, estabelecimento: DataFrame) -> DataFrame:
@@ -224,14 +229,15 @@ def reference_rows(extract_files: DataFrame, estabelecimento: DataFrame) -> Data
 
 def write_reference(spark: SparkSession, db: str, source) -> None:
     tb.create_reference_table(spark, db)
-    files = as_source(spark, source).file_names()
+    files = as_source(spark, source).files(["empresas"])
     rows = reference_rows(files, spark.table(tb.q(db, "estabelecimento")))
     tb.write_rows(rows, db, "_referencia", "append")
 
 
 def expected_per_file(spark: SparkSession, source, names: list[str]) -> DataFrame:
-    """Accepted and rejected rows per extract file of the given tables, in one scan."""
-    return as_source(spark, source).file_counts(names)
+    """Accepted and rejected rows per extract file of the given tables, in one scan; empty files included."""
+    source = as_source(spark, source)
+    return registry.count_lines(source.lines(names), source.files(names).select("table_name", "file_name"), names)
 
 
 def integrity(spark: SparkSession, db: str) -> DataFrame:
@@ -248,34 +254,63 @@ def run_load(
     force: bool = False,
     strict: bool = True,
     n_buckets: int | None = None,
+    strict_rows: bool = True,
 ) -> LoadResult:
     """Load every table from ``landing`` (a folder of extracts, or a ``StagedSource``).
 
-    ``n_buckets`` defaults to one bucket per ~256 MB of the largest table's input.
+    ``n_buckets`` defaults to one bucket per ~256 MB of the largest table's
+    input. ``strict`` concerns malformed amounts. With ``strict_rows`` a
+    record that cannot be stored raises ``RejectedRows`` before any write;
+    without, such records go to the table ``_rejeitados``.
     """
     landing = as_source(spark, landing)
     if n_buckets is None:
         n_buckets = bucket_count(landing, MAIN_ORDER)
-    result_buckets = n_buckets
     tb.create_database(spark, db, location)
-    result = LoadResult(db, n_buckets=result_buckets)
+    result = LoadResult(db, n_buckets=n_buckets)
     # state of every table before loading: absent / empty / filled (one row per table)
     result.state_before = checks.derived_state(tb.counts(spark, db, schemas.STATE_TABLES)).collect()
-    missing = [t for t in schemas.BASE_TABLES if t not in landing.tables_present(schemas.BASE_TABLES)]
-    if missing:
-        raise registry.NoInputFiles(f"no extract for {', '.join(missing)}")
-    # rows per extract file, all tables in one job; one small row per file
-    per_file = expected_per_file(spark, landing, schemas.BASE_TABLES)
-    per_file = spark.createDataFrame(per_file.collect(), per_file.schema)
+    # rows per extract file, all tables in one scan; written, as later steps read it several times
+    path = scratch_path(spark, "expected", uuid.uuid4().hex)
+    expected_per_file(spark, landing, schemas.BASE_TABLES).coalesce(1).write.parquet(path)
+    per_file = spark.read.parquet(path)
     result.expected_per_file = per_file
-    result.decisions.extend(load_code_lists(spark, landing, db, schemas.CODE_TABLES, mode, force))
-    result.decisions.extend(load_main_tables(spark, landing, db, MAIN_ORDER, per_file, mode, n_buckets))
-    # post-load reconciliation, before the derivation replaces the staging tables
-    rec = checks.reconciliation(per_file, tb.counts(spark, db, schemas.BASE_TABLES))
-    result.reconciliation_rows, result.reconciliation_schema = rec.collect(), rec.schema
-    emp = tb.read(spark, db, "empresas")
-    if not strict and emp is not None and "capital_social_str" in emp.columns:
-        result.rejected_capital = derive.rejected_capital(emp).count()  # amounts stored as NULL
-    derive_tables(spark, db, strict, n_buckets)
+    tables_present = {r.table_name for r in per_file.select("table_name").distinct().collect()}  # at most ten
+    if missing := [t for t in schemas.BASE_TABLES if t not in tables_present]:
+        raise registry.NoInputFiles(f"no extract for {', '.join(missing)}")
+    result.n_rejected = per_file.agg(F.coalesce(F.sum("n_rejected"), F.lit(0))).first()[0]
+    if result.n_rejected:
+        if strict_rows:
+            worst = per_file.filter("n_rejected > 0").orderBy(F.desc("n_rejected"), "file_name").limit(10).collect()
+            named = ", ".join(f"{r.file_name}: {r.n_rejected}" for r in worst)
+            raise RejectedRows(f"{result.n_rejected} records cannot be stored ({named})")
+        rejects = registry.rejects(landing.lines(schemas.BASE_TABLES), schemas.BASE_TABLES)
+        rejects.write.mode("append" if mode == "append" else "overwrite").format("parquet").saveAsTable(tb.q(db, "_rejeitados"))
+    result.decisions.extend(load_code_lists(spark, landing, db, schemas.CODE_TABLES, mode, force, strict_rows))
+    result.decisions.extend(
+        load_main_tables(spark, landing, db, MAIN_ORDER, per_file, mode, n_buckets, strict, strict_rows)
+    )
+    result.reconciliation = spark.createDataFrame(
+        *_reconciled(spark, db, per_file, result.decisions, mode)
+    )
+    if not strict:
+        amounts = landing.rows("empresas", strict_rows)
+        result.rejected_capital = derive.rejected_capital(amounts).count()  # amounts stored as NULL
+    load_partners(spark, db, mode, n_buckets)
     write_reference(spark, db, landing)
     return result
+
+
+def _reconciled(spark, db, per_file, decisions, mode):
+    """Reconciliation rows (one per table) and schema; rows that an append found are part of what is expected."""
+    kept = [
+        (d["table_name"], int(d["existing"]))
+        for d in decisions
+        if mode == "append" and d["decision"] == "append" and d["existing"] > 0
+    ]
+    stored = tb.counts(spark, db, schemas.BASE_TABLES)
+    if kept:
+        there = spark.createDataFrame(kept, "table_name string, kept long")
+        stored = stored.join(there, "table_name", "left").withColumn("n_rows", F.col("n_rows") - F.coalesce("kept", F.lit(0)))
+    report = checks.reconciliation(per_file, stored)
+    return report.collect(), report.schema

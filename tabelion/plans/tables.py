@@ -34,6 +34,58 @@ def create_base_table(spark: SparkSession, db: str, table: str) -> None:
     spark.sql(f"CREATE TABLE {q(db, table)} ({s.ddl()}) USING parquet COMMENT '{comment}'")
 
 
+def create_final_table(
+    spark: SparkSession,
+    db: str,
+    name: str,
+    table: str,
+    bucket_by: str | None = None,
+    sort_by: list[str] | None = None,
+    n_buckets: int = DEFAULT_BUCKETS,
+) -> None:
+    """(Re)create ``name`` as ``table`` stands after the load: typed columns, comment, bucket layout."""
+    columns = ", ".join(f"{c} {t}" for c, t in schemas.final_columns(table))
+    layout = f"CLUSTERED BY ({bucket_by}) SORTED BY ({', '.join(sort_by or [bucket_by])}) INTO {n_buckets} BUCKETS" if bucket_by else ""
+    comment = schemas.TABLE_COMMENTS.get(table)
+    note = f"COMMENT '{_quote(comment)}'" if comment else ""
+    spark.sql(f"DROP TABLE IF EXISTS {q(db, name)}")
+    spark.sql(f"CREATE TABLE {q(db, name)} ({columns}) USING parquet {layout} {note}")
+
+
+def bucket_layout(spark: SparkSession, db: str, table: str) -> tuple[str, int] | None:
+    """Bucket column and count of a table, or None."""
+    rows = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {q(db, table)}").collect()}
+    n = rows.get("Num Buckets")
+    return (rows["Bucket Columns"].strip("[]`"), int(n)) if n and int(n) > 0 else None
+
+
+def insert_bucketed(df: DataFrame, db: str, table: str, mode: str = "append") -> None:
+    """Insert by position into a bucketed table.
+
+    Rows are dealt to the buckets' tasks first, so a bucket gets few files;
+    the rebalance lets adaptive execution split a bucket that a hot key
+    swells, and a bucket may then have several files.
+    """
+    layout = bucket_layout(df.sparkSession, db, table)
+    if layout:
+        df = df.hint("rebalance", layout[0]) if layout[1] > 1 else df
+    write_rows(df, db, table, mode)
+
+
+def table_definitions(spark: SparkSession, db: str, tables: list[str]) -> DataFrame:
+    """table_name, position, column_name, data_type, table_comment of existing tables, from the catalog."""
+    rows = []
+    for t in tables:
+        if table_exists(spark, db, t):
+            listed = spark.sql(f"DESCRIBE TABLE EXTENDED {q(db, t)}").collect()
+            at = next((i for i, r in enumerate(listed) if r.col_name.startswith("#") or not r.col_name), len(listed))
+            comment = next((r.data_type for r in listed[at:] if r.col_name == "Comment"), None)
+            rows += [(t, i + 1, r.col_name, r.data_type, comment) for i, r in enumerate(listed[:at])]
+    return spark.createDataFrame(
+        rows, "table_name string, position int, column_name string, data_type string, table_comment string"
+    )
+
+
 def _quote(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
@@ -67,31 +119,6 @@ def write_rows(df: DataFrame, db: str, table: str, mode: str = "append") -> None
     df.write.insertInto(q(db, table), overwrite=(mode == "overwrite"))
 
 
-def create_as_select(
-    df: DataFrame,
-    db: str,
-    table: str,
-    bucket_by: str | None = None,
-    sort_by: list[str] | None = None,
-    n_buckets: int = DEFAULT_BUCKETS,
-) -> None:
-    """Create (or replace) a table from a query.
-
-    With ``bucket_by`` the rows are hash-partitioned into exactly the bucket
-    count first, so each task writes one file per bucket it owns.
-    """
-    writer_df = df
-    if bucket_by:
-        writer_df = df.repartition(n_buckets, bucket_by)
-        w = writer_df.write.mode("overwrite").format("parquet").bucketBy(n_buckets, bucket_by)
-        w = w.sortBy(*(sort_by or [bucket_by]))
-    else:
-        if sort_by:
-            writer_df = df.sortWithinPartitions(*sort_by)
-        w = writer_df.write.mode("overwrite").format("parquet")
-    w.saveAsTable(q(db, table))
-
-
 def drop_table(spark: SparkSession, db: str, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {q(db, table)}")
 
@@ -101,10 +128,12 @@ def rename_table(spark: SparkSession, db: str, old: str, new: str) -> None:
 
 
 def list_tables(spark: SparkSession, db: str) -> DataFrame:
-    """Tables of the database as a DataFrame (``table_name``), in name order."""
-    return spark.sql(f"SHOW TABLES IN `{db}`").filter(~F.col("isTemporary")).select(
-        F.col("tableName").alias("table_name")
-    ).orderBy("table_name")
+    """Tables of the database in name order: position (from 1) and table_name."""
+    names = spark.sql(f"SHOW TABLES IN `{db}`").filter(~F.col("isTemporary")).select(F.col("tableName").alias("table_name"))
+    ordered = names.agg(F.sort_array(F.collect_list("table_name")).alias("names"))  # the catalog's names, no rows of data
+    return ordered.select(F.posexplode("names").alias("position", "table_name")).select(
+        (F.col("position") + 1).alias("position"), "table_name"
+    )
 
 
 def counts(spark: SparkSession, db: str, tables: list[str], with_text: bool = False) -> DataFrame:
@@ -121,18 +150,19 @@ def purge(spark: SparkSession, db: str, tables: list[str] | None = None) -> tupl
     names = tables if tables is not None else [r.table_name for r in list_tables(spark, db).collect()]
     before_rows = counts(spark, db, names).collect()  # one row per table
     before = spark.createDataFrame(before_rows, checks.COUNT_SCHEMA)
-    failed = []
+    failed = []  # (table, cause)
     for r in before_rows:
         if not r.present or r.n_rows == 0:
             continue
         try:
             spark.sql(f"TRUNCATE TABLE {q(db, r.table_name)}")
-        except Exception:  # report the table as not emptied and continue with the next
-            failed.append(r.table_name)
+        except Exception as e:  # reported with its cause; the next tables are still emptied
+            failed.append((r.table_name, f"{type(e).__name__}: {str(e).splitlines()[0]}"))
     spark.catalog.clearCache()
     for t in names:
         if table_exists(spark, db, t):
             spark.sql(f"REFRESH TABLE {q(db, t)}")
-    after = counts(spark, db, names)
-    report = checks.purge_report(before, after)
-    return report, checks.purge_summary(after)
+    # Counted now: the report stays what this purge left.
+    after = spark.createDataFrame(counts(spark, db, names).collect(), checks.COUNT_SCHEMA)
+    errors = spark.createDataFrame(failed, "table_name string, error string")
+    return checks.purge_report(before, after, errors), checks.purge_summary(after)

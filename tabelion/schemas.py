@@ -190,3 +190,15 @@ def spec(name: str) -> TableSpec:
 
 
 ALL_SPECS = {name: spec(name) for name in BASE_TABLES}
+
+
+def final_columns(table: str) -> list[tuple[str, str]]:
+    """(column, type) of a table as it stands after the load."""
+    text = lambda t: [(c, f"VARCHAR({w})") for c, w in spec(t).columns]
+    if table == "empresas":
+        return [c for c in text(table) if c[0] != "capital_social_str"] + [("capital_social", "DECIMAL(18,2)")]
+    if table == "estabelecimento":
+        return [*text(table), ("cnpj", "VARCHAR(14)")]
+    if table == "socios":
+        return [("cnpj", "VARCHAR(14)"), *text("socios_original")]
+    return text(table)

@@ -2,8 +2,8 @@
 
 Intermediate files (landing extracts, staged lines, stream checkpoints,
 catalog databases) live under the folder the cluster names in
-``spark.checkpoint.dir``. A session that does not name one (local runs,
-tests) gets a fresh folder here; a cluster session is never overridden.
+``spark.checkpoint.dir``. A local session that does not name one (tests)
+gets a fresh folder here; a cluster session without one is an error.
 """
 
 from __future__ import annotations
@@ -15,18 +15,20 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app: str = "tabelion", partitions: int = 8) -> SparkSession:
+    """A session; partition count and driver memory are set for a given local master only, else the cluster's hold."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if master and master.startswith("local"):
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+        builder = builder.config("spark.driver.memory", os.environ.get("TABELION_DRIVER_MEMORY", "16g"))
     spark = (
-        builder.config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.adaptive.enabled", "true")
+        builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("TABELION_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -36,7 +38,7 @@ def build_session(master: str | None = None, app: str = "tabelion", partitions:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a local one only when unset."""
+    """Return the session's checkpoint folder; where unset, a local master gets a local one and a cluster fails."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -45,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tabelion-ckpt-")
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")

@@ -1,18 +1,19 @@
-"""ZIP archives of registry extracts: expand to lines, list entries, check extraction.
+"""ZIP archives of registry extracts: list members, expand them to lines, check extraction.
 
 A ZIP member is one deflate stream and cannot be split, so the unit of
-parallelism is the archive (one task each, assigned by ``repartition`` on the
-path). Inside a task the archive is opened through ``pyarrow.fs`` (random
-access for the central directory) and each member is streamed in fixed-size
-chunks, so no archive or member is ever held whole in memory; lines are
-handed back to Spark as Arrow batches. Parsing the lines into columns then
-happens in the JVM (``registry.parse_lines``).
+parallelism is the member: members are numbered and each has a task of its
+own. Inside a task the archive is opened through ``pyarrow.fs`` (random access)
+and the member is streamed in fixed-size chunks, so it is never held whole in
+memory; lines are handed back to Spark as Arrow batches. Parsing the lines into
+columns then happens in the JVM (``registry.parse_lines``). An archive or member
+that cannot be read gives a row with its error, and the others go on.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,15 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabelion import schemas
+from tabelion.operators.numbering import row_number_within
 from tabelion.session import scratch_path, ship_package
 from tabelion.sources import fs
 from tabelion.sources.registry import list_extracts
 
 CHUNK_BYTES = 8 * 1024 * 1024
 BATCH_ROWS = 65536
+#: What a damaged archive or member raises.
+BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, OSError, ValueError, NotImplementedError, RuntimeError)
 
-LINES_SCHEMA = "archive string, entry string, line_no long, line string"
-MANIFEST_SCHEMA = "archive string, entry string, compressed_bytes long, uncompressed_bytes long"
+LINES_SCHEMA = "archive string, entry string, line_no long, line string, error string"
+MANIFEST_SCHEMA = "path string, archive string, entry string, compressed_bytes long, uncompressed_bytes long, error string"
 BUILD_SCHEMA = "archive string, entry string, entry_bytes long"
 
 # Archive names the registry publishes per table (fixed values); main tables
@@ -48,55 +52,45 @@ ARCHIVE_NAMES = {
 NUMBERED = ("empresas", "estabelecimento", "socios_original")
 
 
+def _lines_batch(archive: str, entry: str, numbers: list[int], lines: list[str | None], error: str | None = None):
+    n = len(lines)
+    return pa.record_batch(
+        [
+            pa.array([archive] * n, pa.string()),
+            pa.array([entry] * n, pa.string()),
+            pa.array(numbers, pa.int64()),
+            pa.array(lines, pa.string()),
+            pa.array([error] * n, pa.string()),
+        ],
+        names=["archive", "entry", "line_no", "line", "error"],
+    )
+
+
 def _member_lines(archive: str, entry: str, member) -> Iterator[pa.RecordBatch]:
     """Stream one member as Latin-1 lines; blank lines are skipped, numbering counts them."""
-    rest = b""
-    line_no = 0
+    rest, line_no = b"", 0
     lines: list[str] = []
     numbers: list[int] = []
-
-    def flush():
-        n = len(lines)
-        batch = pa.record_batch(
-            [
-                pa.array([archive] * n, pa.string()),
-                pa.array([entry] * n, pa.string()),
-                pa.array(numbers, pa.int64()),
-                pa.array(lines, pa.string()),
-            ],
-            names=["archive", "entry", "line_no", "line"],
-        )
-        lines.clear()
-        numbers.clear()
-        return batch
-
     while True:
         chunk = member.read(CHUNK_BYTES)
-        if not chunk:
-            break
         data = rest + chunk
-        cut = data.rfind(b"\n")
+        cut = data.rfind(b"\n") if chunk else len(data)
         if cut < 0:
             rest = data
             continue
-        rest = data[cut + 1:]
-        for text in data[:cut].decode("latin-1").split("\n"):
-            line_no += 1
-            if text.endswith("\r"):
-                text = text[:-1]
-            if text:
-                lines.append(text)
-                numbers.append(line_no)
-        if len(lines) >= BATCH_ROWS:
-            yield flush()
-    if rest:
-        line_no += 1
-        text = rest.decode("latin-1").rstrip("\r")
-        if text:
-            lines.append(text)
-            numbers.append(line_no)
-    if lines:
-        yield flush()
+        if chunk or data:
+            for text in data[:cut].decode("latin-1").split("\n"):
+                line_no += 1
+                text = text.rstrip("\r")
+                if text.strip(" \t"):
+                    lines.append(text)
+                    numbers.append(line_no)
+        rest = data[cut + 1 :]
+        if lines and (not chunk or len(lines) >= BATCH_ROWS):
+            yield _lines_batch(archive, entry, numbers, lines)
+            lines, numbers = [], []
+        if not chunk:
+            return
 
 
 def _archive_name(path: str) -> str:
@@ -105,55 +99,66 @@ def _archive_name(path: str) -> str:
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for path in b.column("path").to_pylist():
-            filesystem, p = fs.resolve(path)
-            with filesystem.open_input_file(p) as raw, zipfile.ZipFile(raw) as z:
-                for info in z.infolist():
-                    if info.is_dir():
-                        continue
-                    with z.open(info) as member:
-                        yield from _member_lines(_archive_name(path), info.filename, member)
+        for path, entry in zip(b.column("path").to_pylist(), b.column("entry").to_pylist()):
+            archive = _archive_name(path)
+            try:
+                filesystem, p = fs.resolve(path)
+                with filesystem.open_input_file(p) as raw, zipfile.ZipFile(raw) as z, z.open(entry) as member:
+                    yield from _member_lines(archive, entry, member)
+            except BROKEN as e:
+                yield _lines_batch(archive, entry, [0], [None], f"{type(e).__name__}: {e}")
 
 
 def _manifest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = {"archive": [], "entry": [], "compressed_bytes": [], "uncompressed_bytes": []}
+        rows = []
         for path in b.column("path").to_pylist():
-            filesystem, p = fs.resolve(path)
-            with filesystem.open_input_file(p) as raw, zipfile.ZipFile(raw) as z:
-                for info in z.infolist():
-                    if info.is_dir():
-                        continue
-                    rows["archive"].append(_archive_name(path))
-                    rows["entry"].append(info.filename)
-                    rows["compressed_bytes"].append(info.compress_size)
-                    rows["uncompressed_bytes"].append(info.file_size)
-        yield pa.RecordBatch.from_pydict(
-            rows,
-            schema=pa.schema(
-                [("archive", pa.string()), ("entry", pa.string()), ("compressed_bytes", pa.int64()),
-                 ("uncompressed_bytes", pa.int64())]
-            ),
-        )
+            try:
+                filesystem, p = fs.resolve(path)
+                with filesystem.open_input_file(p) as raw, zipfile.ZipFile(raw) as z:
+                    found = [(i.filename, i.compress_size, i.file_size, None) for i in z.infolist() if not i.is_dir()]
+            except BROKEN as e:
+                found = [(None, None, None, f"{type(e).__name__}: {e}")]
+            rows += [(path, _archive_name(path), *x) for x in found]
+        columns = list(zip(*rows)) or [()] * 6
+        types = [pa.string()] * 3 + [pa.int64()] * 2 + [pa.string()]
+        names = ["path", "archive", "entry", "compressed_bytes", "uncompressed_bytes", "error"]
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+
+def list_members(spark: SparkSession, folder: str) -> DataFrame:
+    """path, archive, entry, sizes of every member (central directories only); unreadable archives have an error."""
+    ship_package(spark)
+    listing = list_extracts(spark, folder, "*.zip").select("path")
+    tasks = max(1, spark.sparkContext.defaultParallelism)
+    return listing.repartition(tasks, "path").mapInArrow(_manifest, MANIFEST_SCHEMA)
 
 
-def _archives(spark: SparkSession, folder: str, only: list[str] | None = None) -> DataFrame:
-    """One row per archive path, spread one archive per task."""
-    ship_package(spark)
-    listing = list_extracts(spark, folder, "*.zip").select("path", "file_name")
-    if only is not None:
-        listing = listing.filter(F.col("file_name").isin(only))
-    return listing.select("path").repartition(max(1, spark.sparkContext.defaultParallelism), "path")
+def expand_members(members: DataFrame) -> DataFrame:
+    """Every line of the given members (path, entry), one member per task.
 
+    A member that breaks off gives a row with its error beside the lines read.
+    """
+    readable = members.filter(F.col("entry").isNotNull()).select("path", "entry")
+    n = max(1, readable.count())
+    one_each = row_number_within(readable.withColumn("one", F.lit(1)).withColumn("at", F.struct("path", "entry")), "one", "at")
+    return one_each.repartitionByRange(n, "rn").select("path", "entry").mapInArrow(_expand, LINES_SCHEMA)
 
-def archive_lines(spark: SparkSession, folder: str, only: list[str] | None = None) -> DataFrame:
-    """Every line of every member of every ``*.zip`` under ``folder`` (or of the named archives)."""
-    return _archives(spark, folder, only).mapInArrow(_expand, LINES_SCHEMA)
+
+def archive_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of every member of every ``*.zip`` under ``folder``."""
+    return expand_members(list_members(spark, folder))
 
 
 def archive_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per member: archive, entry, compressed and uncompressed bytes (central directory only)."""
-    return _archives(spark, folder).mapInArrow(_manifest, MANIFEST_SCHEMA)
+    """One row per member of a readable archive: archive, entry, compressed and uncompressed bytes."""
+    members = list_members(spark, folder).filter(F.col("entry").isNotNull())
+    return members.select("archive", "entry", "compressed_bytes", "uncompressed_bytes")
+
+
+def archive_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """archive, error of the archives that cannot be opened."""
+    return list_members(spark, folder).filter(F.col("error").isNotNull()).select("archive", "error")
 
 
 def archive_sizes(manifest: DataFrame) -> DataFrame:
@@ -235,11 +240,13 @@ def archive_of(file_name) -> F.Column:
     return expr
 
 
-def build_archives(spark: SparkSession, extracts_folder: str, root: str) -> DataFrame:
-    """Pack extract files into registry-named archives under ``root`` (one task per archive)."""
+def build_archives(spark: SparkSession, extracts_folder: str, root: str, archive: F.Column | None = None) -> DataFrame:
+    """Pack files into archives under ``root``, by default the registry's; an archive is written by one task."""
     fs.makedirs(root)
     ship_package(spark)
-    files = list_extracts(spark, extracts_folder).withColumn("archive", archive_of("file_name"))
+    files = list_extracts(spark, extracts_folder).withColumn(
+        "archive", archive_of("file_name") if archive is None else archive
+    )
     files = files.filter(F.col("archive").isNotNull()).repartition(
         max(1, spark.sparkContext.defaultParallelism), "archive"
     )

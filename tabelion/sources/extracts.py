@@ -1,9 +1,10 @@
 """Registry-format writer: DataFrames to headerless ``;`` Latin-1 extract files.
 
-Rows are routed to files by a name column; Spark's CSV writer produces one
-part file per name (``partitionBy``), which is then renamed to the registry
-file name. Renames are metadata operations on the driver; the bytes are
-written by the executors.
+Rows are routed to files by a name column (``partitionBy``) and the parts are
+then renamed to the registry file name. A name whose rows are spread over
+several tasks gives several files, numbered in the second dot-separated part,
+so no file has to pass through one task. Renames are metadata operations on
+the driver; the bytes are written by the executors.
 """
 
 from __future__ import annotations
@@ -52,10 +53,25 @@ def write_extracts(df: DataFrame, root: str, names: Column, order: list[str] | N
     return _write_routed(routed, root, WRITE_OPTIONS)
 
 
-def write_lines(lines: DataFrame, root: str) -> list[str]:
-    """Write preformatted lines (columns ``_file``, ``_key``, ``line``) as registry files, one job."""
-    routed = lines.repartition("_file").sortWithinPartitions("_file", "_key").select("_file", "line")
-    return _write_routed(routed, root, LINE_WRITE_OPTIONS)
+#: Lines of one extract file, about; names with more are written in several files.
+LINES_PER_FILE = 20_000_000
+
+
+def write_lines(lines: DataFrame, root: str, parts: int = 1) -> list[str]:
+    """Write preformatted lines (columns ``_file``, ``_key``, ``line``) as registry files, one job.
+
+    The lines of a name go to ``parts`` tasks, by the hash of the line.
+    """
+    part = F.pmod(F.xxhash64("line"), F.lit(parts)).alias("_part")
+    routed = lines.select("*", part)
+    if parts > 1:
+        # A part is a task's share of a file, so it must not be merged with others: a fixed number of partitions.
+        n = parts * max(1, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        routed = routed.repartition(n, "_file", "_part")
+    else:
+        routed = routed.repartition("_file", "_part")
+    routed = routed.sortWithinPartitions("_file", "_part", "_key")
+    return _write_routed(routed.select("_file", "line"), root, LINE_WRITE_OPTIONS)
 
 
 def _write_routed(routed: DataFrame, root: str, options: dict) -> list[str]:
@@ -69,10 +85,11 @@ def _write_routed(routed: DataFrame, root: str, options: dict) -> list[str]:
             by_name.setdefault(parent[len("_file="):], []).append(path)
     written = []
     for name, parts in sorted(by_name.items()):
-        if len(parts) != 1:
-            raise RuntimeError(f"{name}: expected one part file, got {len(parts)}")
-        filesystem.move(parts[0], f"{base}/{name}")
-        written.append(name)
+        for i, part in enumerate(sorted(parts)):
+            pieces = name.split(".")
+            target = name if i == 0 else ".".join([pieces[0], f"{pieces[1]}P{i}", *pieces[2:]])
+            filesystem.move(part, f"{base}/{target}")
+            written.append(target)
     return written
 
 
@@ -114,6 +131,7 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     lines = frames[0]
     for f in frames[1:]:
         lines = lines.unionByName(f)
-    write_lines(lines, root)  # all tables in one job
+    largest = fx.source(spark, sf_dir, "lineitem").count()  # from the files' footers
+    write_lines(lines, root, max(1, -(-largest // (10 * LINES_PER_FILE))))  # all tables in one job
     fs.touch(f"{root}/{READY}")
     return root

@@ -2,7 +2,11 @@
 
 * main tables keep empty fields as ``''`` (never NULL);
 * code lists turn empty fields and the missing-value tokens into NULL;
-* short rows are padded (``''`` / NULL), long rows are rejected and counted;
+* short rows are padded (``''`` / NULL); records with too many fields or an
+  unclosed quote (cut by a line break inside a field) are rejects: reading is
+  strict by default and fails on one, naming its file; lenient reading leaves
+  them out, and ``rejected_rows`` lists them;
+* lines end with ``\\n`` (a trailing ``\\r`` is dropped); blank ones are skipped;
 * every matching file of a table is read in one scan (several files make
   one table), with the file name kept per row for per-file counts.
 
@@ -13,15 +17,18 @@ filters apply as for any file source.
 
 from __future__ import annotations
 
+from fnmatch import fnmatchcase as fnmatch
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabelion.functions import exceeds_fields, file_name
+from tabelion.functions import file_name, reject_cause
 from tabelion.schemas import ALL_SPECS, MISSING_TOKENS, TableSpec, spec
+from tabelion.sources import fs
 
 SOURCE = "source_file"
-LONG = "_long_row"
+REJECT = "_reject"
 LINE = "line"
 
 # The extract is scanned as whole lines (a separator that never occurs, quoting
@@ -34,6 +41,7 @@ LINE_OPTIONS = {
     "header": "false",
     "encoding": "ISO-8859-1",
     "multiLine": "false",
+    "lineSep": "\n",
 }
 PARSE_OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
@@ -69,54 +77,88 @@ def _clean(s: TableSpec, c: str) -> Column:
     return F.coalesce(col, F.lit("")).alias(c)
 
 
+def content(lines: DataFrame, line_col: str = LINE) -> DataFrame:
+    """The lines that hold a record: the carriage return of a line end dropped, blank lines left out."""
+    text = F.rtrim(F.coalesce(F.col(line_col), F.lit("")), F.lit("\r"))
+    return lines.withColumn(line_col, text).where(F.btrim(line_col, F.lit(" \t")) != "")
+
+
 def scan_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """Raw lines of every file under ``folder`` whose name matches ``pattern``."""
+    """Record lines of every file under ``folder`` whose name matches ``pattern``."""
     raw = (
         spark.read.schema(T.StructType([T.StructField(LINE, T.StringType(), True)]))
         .options(**LINE_OPTIONS)
         .option("pathGlobFilter", pattern)
         .csv(folder)
     )
-    return raw.select(F.col("_metadata.file_name").alias(SOURCE), F.coalesce(F.col(LINE), F.lit("")).alias(LINE))
+    return content(raw.select(F.col("_metadata.file_name").alias(SOURCE), LINE))
 
 
 def parse_lines(lines: DataFrame, table: str, line_col: str = LINE) -> DataFrame:
-    """Parse decoded extract lines into the table's columns plus ``_long_row``.
+    """Parse decoded extract lines into the table's columns plus ``_reject`` (the cause, or NULL).
 
     Other columns of ``lines`` (file or archive names) are kept in front.
     """
     s = spec(table)
     parsed = F.from_csv(F.col(line_col), s.read_schema().simpleString(), PARSE_OPTIONS)
     extra = [c for c in lines.columns if c != line_col]
-    long_row = exceeds_fields(F.col(line_col), len(s.names))
-    tmp = lines.select(*extra, parsed.alias("_p"), long_row.alias(LONG))
-    return tmp.select(*extra, "_p.*", LONG).select(*extra, *[_clean(s, c) for c in s.names], LONG)
+    tmp = lines.select(*extra, parsed.alias("_p"), reject_cause(line_col, len(s.names)).alias(REJECT))
+    return tmp.select(*extra, "_p.*", REJECT).select(*extra, *[_clean(s, c) for c in s.names], REJECT)
+
+
+def accepted(parsed: DataFrame, strict: bool, where: Column) -> DataFrame:
+    """Rows without a reject cause; in strict reading the first reject fails the job, naming ``where``."""
+    cause = F.col(REJECT)
+    if not strict:
+        return parsed.filter(cause.isNull())
+    return parsed.filter(F.when(cause.isNull(), True).otherwise(F.raise_error(F.concat_ws(": ", where, cause))))
 
 
 def scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """Every extract row of ``table`` under ``folder``: source_file, columns, _long_row."""
+    """Every extract row of ``table`` under ``folder``: source_file, columns, _reject."""
     return parse_lines(scan_lines(spark, folder, spec(table).glob), table)
 
 
-def read_table(spark: SparkSession, folder: str, table: str, with_source: bool = False) -> DataFrame:
-    """Accepted rows of a table's extracts (long rows dropped)."""
-    df = scan(spark, folder, table).filter(~F.col(LONG))
-    cols = spec(table).names + ([SOURCE] if with_source else [])
-    return df.select(*cols)
+def read_table(
+    spark: SparkSession, folder: str, table: str, with_source: bool = False, strict: bool = True
+) -> DataFrame:
+    """Accepted rows of a table's extracts."""
+    df = accepted(scan(spark, folder, table), strict, F.col(SOURCE))
+    return df.select(*spec(table).names, *([SOURCE] if with_source else []))
+
+
+def rejects(lines: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """table_name, file_name, cause, line of the rejects among ``lines`` (table_name, file_name, line)."""
+    cause = reject_cause(LINE, width_of(F.col("table_name"), names))
+    return lines.select("table_name", "file_name", cause.alias("cause"), LINE).filter(F.col("cause").isNotNull())
 
 
-def rejected_rows(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """Rows with more fields than the table has columns."""
-    return scan(spark, folder, table).filter(F.col(LONG)).select(SOURCE)
+def tagged_lines(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
+    """table_name, file_name, line over the extracts of several tables, one scan of the folder."""
+    lines = scan_lines(spark, folder, "*").withColumn("table_name", table_of(F.col(SOURCE), names))
+    lines = lines.filter(F.col("table_name").isNotNull())
+    return lines.select("table_name", F.col(SOURCE).alias("file_name"), LINE)
 
 
-def file_row_counts(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """Accepted and rejected rows per extract file (one pass, partial counts per task)."""
-    df = scan_lines(spark, folder, spec(table).glob)
-    long_row = exceeds_fields(F.col(LINE), len(spec(table).names))
-    return df.groupBy(F.col(SOURCE).alias("file_name")).agg(
-        F.count_if(~long_row).alias("n_rows"), F.count_if(long_row).alias("n_rejected")
-    ).select(F.lit(table).alias("table_name"), "file_name", "n_rows", "n_rejected")
+def rejected_rows(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
+    """Rejected records per extract file and cause."""
+    found = rejects(tagged_lines(spark, folder, names), names)
+    return found.groupBy("table_name", "file_name", "cause").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def count_lines(lines: DataFrame, files: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Accepted and rejected rows per file; ``files`` (table_name, file_name) without any line count 0."""
+    bad = reject_cause(LINE, width_of(F.col("table_name"), names)).isNotNull()
+    counts = lines.groupBy("table_name", "file_name").agg(
+        F.count_if(~bad).alias("n_rows"), F.count_if(bad).alias("n_rejected")
+    )
+    zero = F.lit(0).cast("long")
+    return files.join(counts, ["table_name", "file_name"], "left").select(
+        "table_name",
+        "file_name",
+        F.coalesce("n_rows", zero).alias("n_rows"),
+        F.coalesce("n_rejected", zero).alias("n_rejected"),
+    )
 
 
 def table_of(file_name: Column, names: list[str] | None = None) -> Column:
@@ -142,14 +184,10 @@ def width_of(table: Column, names: list[str] | None = None) -> Column:
 
 
 def file_row_counts_all(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
-    """``file_row_counts`` for several tables with one scan of the folder."""
-    names = names or list(ALL_SPECS)
-    lines = scan_lines(spark, folder, "*").withColumn("table_name", table_of(F.col(SOURCE), names))
-    lines = lines.filter(F.col("table_name").isNotNull())
-    long_row = exceeds_fields(F.col(LINE), width_of(F.col("table_name"), names))
-    return lines.groupBy("table_name", F.col(SOURCE).alias("file_name")).agg(
-        F.count_if(~long_row).alias("n_rows"), F.count_if(long_row).alias("n_rejected")
-    )
+    """Accepted and rejected rows of every extract file of the tables, empty files included; one scan of the folder."""
+    files = list_extracts(spark, folder).withColumn("table_name", table_of(F.col("file_name"), names))
+    files = files.filter(F.col("table_name").isNotNull()).select("table_name", "file_name")
+    return count_lines(tagged_lines(spark, folder, names), files, names)
 
 
 def list_extracts(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -161,11 +199,10 @@ def list_extracts(spark: SparkSession, folder: str, pattern: str = "*") -> DataF
         .load(folder)
         .select("path", "length", "modificationTime")
     )
-    return df.select(
-        "path",
-        file_name("path").alias("file_name"),
-        F.col("length").alias("size_bytes"),
-    )
+    listed = df.select("path", file_name("path").alias("file_name"), F.col("length").alias("size_bytes"))
+    # Spark's sources pass over files without a byte.
+    empty = [(p, p.rsplit("/", 1)[-1], 0) for p in fs.empty_files(folder) if fnmatch(p.rsplit("/", 1)[-1], pattern)]
+    return listed.unionByName(spark.createDataFrame(empty, listed.schema)) if empty else listed
 
 
 def find_files(spark: SparkSession, folder: str, table: str) -> DataFrame:

@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabelion import schemas
-from tabelion.functions import exceeds_fields
+from tabelion.functions import reject_cause
 from tabelion.operators import listing
 from tabelion.sources import fs
-from tabelion.sources.registry import LINE, LINE_OPTIONS, parse_lines, table_of, width_of
+from tabelion.sources.registry import LINE, LINE_OPTIONS, REJECT, content, parse_lines, table_of, width_of
 
 LINE_SCHEMA = T.StructType([T.StructField(LINE, T.StringType(), True)])
 
@@ -31,7 +31,7 @@ def stream_lines(spark: SparkSession, folder: str, pattern: str = "*", files_per
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     raw = reader.csv(folder)
-    return raw.select(F.col("_metadata.file_name").alias("file_name"), F.coalesce(F.col(LINE), F.lit("")).alias(LINE))
+    return content(raw.select(F.col("_metadata.file_name").alias("file_name"), LINE))
 
 
 def live_counts(
@@ -44,7 +44,10 @@ def live_counts(
     interval: str = "30 seconds",
     state_partitions: int = 8,
 ):
-    """Start the counting stream; each batch overwrites ``output`` with the full counts.
+    """Start the counting stream; each batch writes the full counts (accepted and rejected rows per table).
+
+    They go to a folder of their own under ``output``, so a reader of the
+    latest finished one (``published_counts``) is never overwritten.
 
     Returns the ``StreamingQuery``. With ``available_now`` it processes what is
     there and stops; otherwise it triggers every ``interval``. The state holds
@@ -54,11 +57,13 @@ def live_counts(
     """
     lines = stream_lines(spark, folder, files_per_trigger=files_per_trigger)
     tagged = lines.withColumn("table_name", table_of(F.col("file_name"))).filter(F.col("table_name").isNotNull())
-    accepted = tagged.filter(~exceeds_fields(F.col(LINE), width_of(F.col("table_name"))))
-    counts = accepted.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    bad = reject_cause(LINE, width_of(F.col("table_name"))).isNotNull()
+    counts = tagged.groupBy("table_name").agg(
+        F.count_if(~bad).alias("n_rows"), F.count_if(bad).alias("n_rejected")
+    )
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(output)
+        batch.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
 
     writer = counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(publish)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
@@ -71,6 +76,18 @@ def live_counts(
         spark.conf.set(key, previous)
 
 
+def _last_batch(path: str) -> int | None:
+    """The greatest batch whose folder is finished (its writer leaves ``_SUCCESS``)."""
+    done = [p for p in fs.list_files(path) if p.endswith("/_SUCCESS") and "batch_id=" in p]
+    return max((int(p.rsplit("batch_id=", 1)[1].split("/")[0]) for p in done), default=None)
+
+
+def published_counts(spark: SparkSession, output: str) -> DataFrame | None:
+    """The counts of the last finished batch, or None before the first."""
+    last = _last_batch(output)
+    return None if last is None else spark.read.parquet(f"{output}/batch_id={last}")
+
+
 # Ordering of each latest-records listing: (table, k, sort columns, listing).
 LATEST = {
     "estabelecimento": (5, ["cnpj_basico", "cnpj"], listing.latest_establishments),
@@ -90,6 +107,8 @@ def live_latest(
     table_path: str,
     listing_path: str,
     files_per_trigger: int | None = None,
+    available_now: bool = True,
+    interval: str = "30 seconds",
 ):
     """Append each batch of ``table``'s extract rows, then refresh its latest-records listing.
 
@@ -97,31 +116,53 @@ def live_latest(
     k of batch N-1's candidates and batch N's rows, so a trigger costs the
     batch plus k rows, not a rescan of everything appended so far. Every
     output goes to a folder named by batch id and is overwritten on a retry.
+    A missing folder of the batch before is an error: what it held would be
+    forgotten. Rejected rows are left out here; ``live_counts`` counts them.
     """
     k, order, _ = LATEST[table]
     lines = stream_lines(spark, folder, schemas.spec(table).glob, files_per_trigger)
-    rows = parse_lines(lines, table).filter(~F.col("_long_row")).drop("_long_row", "file_name")
+    rows = parse_lines(lines, table).filter(F.col(REJECT).isNull()).drop(REJECT, "file_name")
     if table == "estabelecimento":
         rows = rows.withColumn("cnpj", F.concat_ws("", "cnpj_basico", "cnpj_ordem", "cnpj_dv"))
 
     def append_and_list(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
-        candidates = _top(batch, k, order)
-        previous = f"{listing_path}/batch_id={batch_id - 1}"
-        if batch_id > 0 and fs.exists(previous):
-            candidates = _top(candidates.unionByName(spark.read.parquet(previous)), k, order)
-        candidates.write.mode("overwrite").parquet(f"{listing_path}/batch_id={batch_id}")
-
-    return (
-        rows.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(append_and_list)
-        .trigger(availableNow=True)
-        .start()
-    )
+        written = f"{table_path}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(written)
+        # The listing is taken from what was written, so the extract is parsed once.
+        candidates = spark.read.schema(batch.schema).parquet(written)
+        if batch_id > 0:
+            previous = f"{listing_path}/batch_id={batch_id - 1}"
+            if not fs.exists(f"{previous}/_SUCCESS"):
+                raise FileNotFoundError(f"{previous}: the listing of the batch before is missing")
+            candidates = candidates.unionByName(spark.read.schema(batch.schema).parquet(previous))
+        _top(candidates, k, order).write.mode("overwrite").parquet(f"{listing_path}/batch_id={batch_id}")
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(append_and_list)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
+    return writer.start()
 
 
-def latest_listing(spark: SparkSession, table: str, listing_path: str) -> DataFrame:
-    """The listing after the last processed batch."""
+def latest_listing(spark: SparkSession, table: str, listing_path: str) -> DataFrame | None:
+    """The listing after the last finished batch, or None before the first."""
     _, _, make = LATEST[table]
-    last = max(int(p.split("batch_id=")[1].split("/")[0]) for p in fs.list_files(listing_path) if "batch_id=" in p)
-    return make(spark.read.parquet(f"{listing_path}/batch_id={last}"))
+    last = _last_batch(listing_path)
+    return None if last is None else make(spark.read.parquet(f"{listing_path}/batch_id={last}"))
+
+
+def monitor(spark: SparkSession, folder: str, checkpoint: str, output: str, interval: str = "30 seconds", available_now: bool = False):
+    """Counts and both latest-records listings over one landing folder; returns the three queries."""
+    counting = live_counts(spark, folder, f"{checkpoint}/counts", f"{output}/counts", None, available_now, interval)
+    listings = [
+        live_latest(
+            spark, folder, t, f"{checkpoint}/{t}", f"{output}/{t}", f"{output}/{t}_latest", None, available_now, interval
+        )
+        for t in LATEST
+    ]
+    return [counting, *listings]
+
+
+def monitor_report(spark: SparkSession, output: str) -> dict[str, DataFrame]:
+    """What the monitor has published so far: counts, and a listing for each table."""
+    found = {"counts": published_counts(spark, f"{output}/counts")}
+    found |= {t: latest_listing(spark, t, f"{output}/{t}_latest") for t in LATEST}
+    return {k: df for k, df in found.items() if df is not None}

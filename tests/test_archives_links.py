@@ -69,6 +69,7 @@ def test_links_latest_and_resolved(spark):
 def test_stage_archives_once_and_load_from_staged(spark, folder):
     import uuid
 
+    from tabelion import schemas
     from tabelion.plans import expand, pipeline
     from tabelion.plans import tables as tb
     from tabelion.session import scratch_path
@@ -80,20 +81,69 @@ def test_stage_archives_once_and_load_from_staged(spark, folder):
     archives.build_archives(spark, landing, uri).write.format("noop").mode("overwrite").save()
     staged = f"{uri}/staged"
     first = expand.stage_archives(spark, uri, staged)
-    assert first.filter("all_present").count() == 0
-    n = spark.read.parquet(staged).count()
-    again = expand.stage_archives(spark, uri, staged)
-    assert again.filter("all_present").count() == 37
-    assert spark.read.parquet(staged).count() == n  # nothing expanded twice
+    assert first.filter("all_present").count() == 37
+    n = pipeline.StagedSource(spark, staged).lines(schemas.BASE_TABLES).count()
+    assert expand.stage_archives(spark, uri, staged).filter("all_present").count() == 37
+    assert pipeline.StagedSource(spark, staged).lines(schemas.BASE_TABLES).count() == n  # nothing expanded twice
     db = "st_" + uuid.uuid4().hex[:8]
     res = pipeline.run_load(spark, pipeline.StagedSource(spark, staged), db, scratch_path(spark, "wh", db))
-    assert all(r.matches for r in res.reconciliation_rows)
+    assert all(r.matches for r in res.reconciliation.collect())
     direct = registry.read_table(spark, landing, "simples")
     assert spark.table(f"{db}.simples").exceptAll(direct).count() == 0
     assert tb.read(spark, db, "socios").count() > 0
     spark.sql(f"DROP DATABASE {db} CASCADE")
 
 
+def test_damaged_archives_are_reported_and_the_others_go_on(spark, folder):
+    """A file that is no archive, and a member whose bytes are damaged: an error each, the rest staged; a rerun mends."""
+    from tabelion.plans import expand
+
+    uri, local = folder
+    text = b"".join(b'"%07d";"nome"\n' % i for i in range(50_000))
+    for name in ("A.zip", "B.zip"):
+        with zipfile.ZipFile(os.path.join(local, name), "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr(f"{name}.D30610.CNAECSV", text)
+            z.writestr(f"{name}.D30610.PAISCSV", b'"001";"p"\n')
+    whole = open(os.path.join(local, "B.zip"), "rb").read()
+    write_bytes(local, "B.zip", whole[:20_000] + b"\x00" * 64 + whole[20_064:])
+    write_bytes(local, "C.zip", b"not an archive")
+    status = {r.archive: r for r in expand.stage_archives(spark, uri, f"{uri}/staged").collect()}
+    assert status["A.zip"].all_present and status["A.zip"].error is None
+    assert (status["B.zip"].n_entries, status["B.zip"].n_present) == (2, 1) and status["B.zip"].error
+    assert not status["C.zip"].all_present and status["C.zip"].error
+    assert [r.archive for r in archives.archive_errors(spark, uri).collect()] == ["C.zip"]
+    n = expand.staged_lines(spark, f"{uri}/staged", ["cnae", "pais"]).groupBy("archive", "entry").count().collect()
+    assert sorted((r.archive, r["count"]) for r in n) == [("A.zip", 1), ("A.zip", 50_000), ("B.zip", 1)]
+    write_bytes(local, "B.zip", whole)
+    again = {r.archive: r.all_present for r in expand.stage_archives(spark, uri, f"{uri}/staged").collect()}
+    assert again == {"A.zip": True, "B.zip": True, "C.zip": False}
+    assert expand.staged_lines(spark, f"{uri}/staged", ["cnae"]).count() == 100_000
+
+
+def test_anchor_forms(spark):
+    html = (
+        "<a href='s.zip'>1</a><A HREF=\"U.zip\">2</A><a href=bare.zip>3</a>"
+        '<a data-href="no.zip" class=k href="yes.zip" data-href="no2.zip">4</a><a title="x > y" href="t.zip">5</a>'
+        '<a href="q.zip?a=1&amp;b=2">6</a><a name="n">7</a><abbr href="no3.zip">8</abbr><a data-href="no4.zip">9</a>'
+    )
+    pages = spark.createDataFrame([(1, "http://s/", html)], "page_id long, url string, html string")
+    got = [r.href for r in links.links(pages).orderBy("link_pos").collect()]
+    assert got == ["s.zip", "U.zip", "bare.zip", "yes.zip", "t.zip", "q.zip?a=1&b=2"]
+
+
+def test_latest_folder_archives(spark):
+    index = [(1, "http://s/", "<a href='2024-07/'>a</a><a href='2024-08/'>b</a><a href='x/'>c</a>"), (2, "http://t/", "<a href=2023-01/>")]
+    folders = [
+        (3, "http://s/2024-07/", "<a href=old.zip>"),
+        (4, "http://s/2024-08/", "<a href=new.zip><a href=readme.txt><a href='http://o/abs.zip'>"),
+        (5, "http://t/2023-01/", "<a href=t.zip>"),
+    ]
+    schema = "page_id long, url string, html string"
+    got = links.latest_folder_archives(spark.createDataFrame(index, schema), spark.createDataFrame(folders, schema))
+    assert sorted((r.host, r.resolved_url) for r in got.collect()) == [
+        ("s", "http://o/abs.zip"), ("s", "http://s/2024-08/new.zip"), ("t", "http://t/2023-01/t.zip")]
+
+
 def test_package_is_shipped_for_python_tasks(spark):
     import zipfile as zf
 

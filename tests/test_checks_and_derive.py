@@ -89,9 +89,9 @@ def test_reconciliation(spark):
         [("a", "f1", 3, 0), ("a", "f2", 4, 1), ("b", "g1", 2, 0)], "table_name string, file_name string, n_rows long, n_rejected long"
     )
     stored = spark.createDataFrame([("a", 7, True), ("b", 1, True)], checks.COUNT_SCHEMA)
-    got = {r.table_name: (r.n_files, r.expected, r.stored, r.difference, r.matches)
+    got = {r.table_name: (r.n_files, r.expected, r.rejected, r.stored, r.difference, r.matches)
            for r in checks.reconciliation(per_file, stored).collect()}
-    assert got == {"a": (2, 7, 7, 0, True), "b": (1, 2, 1, -1, False)}
+    assert got == {"a": (2, 7, 1, 7, 0, False), "b": (1, 2, 0, 1, -1, False)}
 
 
 def test_lenient_capital_rejects(spark):
@@ -146,3 +146,8 @@ def test_code_decision_matches_model(spark, cases):
     pairs = {f"t{i}": (codes(spark, s), codes(spark, inc)) for i, (s, inc) in enumerate(cases)}
     got = {r.table_name: r.decision for r in checks.code_load_decision(pairs).collect()}
     assert got == {f"t{i}": _model_decision(s, inc) for i, (s, inc) in enumerate(cases)}
+
+
+def test_width_report_needs_every_declared_column(spark):
+    with pytest.raises(ValueError, match="descricao"):
+        checks.width_report({"t": (spark.createDataFrame([("a",)], "codigo string"), {"codigo": 3, "descricao": 9})})

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import write_bytes
@@ -15,7 +16,9 @@ def test_main_table_edge_rows(spark, folder):
         b'"5";"\xe7\xe3o";"";"";"";"";""',
     ]
     write_bytes(local, "K.Y0.D30610.EMPRECSV", b"\n".join(rows) + b"\n")
-    df = registry.read_table(spark, uri, "empresas")
+    with pytest.raises(Exception, match="too_long"):
+        registry.read_table(spark, uri, "empresas").collect()
+    df = registry.read_table(spark, uri, "empresas", strict=False)
     got = {tuple(r) for r in df.collect()}
     assert ("1", 'A"B', "x", "", "", "", "") in got
     assert ("1", "x;y", "z", "", "", "", "") in got
@@ -23,8 +26,10 @@ def test_main_table_edge_rows(spark, folder):
     assert ("4", "s", "", "", "", "", "") in got
     assert ("5", "ção", "", "", "", "", "") in got
     assert df.count() == 5
-    assert registry.rejected_rows(spark, uri, "empresas").count() == 1
-    counts = registry.file_row_counts(spark, uri, "empresas").first()
+    assert [tuple(r) for r in registry.rejected_rows(spark, uri).collect()] == [
+        ("empresas", "K.Y0.D30610.EMPRECSV", "too_long", 1)
+    ]
+    counts = registry.file_row_counts_all(spark, uri).first()
     assert (counts.n_rows, counts.n_rejected) == (5, 1)
 
 
@@ -56,8 +61,6 @@ def test_simples_suffix_not_at_end(spark, folder):
 
 def test_no_files_fails(spark, folder):
     uri, _ = folder
-    import pytest
-
     with pytest.raises(registry.NoInputFiles):
         registry.find_files(spark, uri, "cnae")
 
@@ -87,3 +90,50 @@ def test_write_extracts_round_trip(spark, folder):
     assert names == ["F.Z.01.D30610.PAISCSV", "F.Z.02.D30610.PAISCSV", "F.Z.03.D30610.PAISCSV"]
     back = {(r.codigo, r.descricao) for r in registry.read_table(spark, uri, "pais").collect()}
     assert back == {("01", 'Aç"o;x'), ("02", None), ("03", "b")}
+
+
+def test_line_ends_cut_records_and_empty_files(spark, folder):
+    """Both readers agree: CRLF ends, blank lines skipped, a lone CR kept, a line break in a field rejected twice."""
+    import os
+    import zipfile
+
+    from tabelion.plans import expand, pipeline
+
+    uri, local = folder
+    body = b'"01";"a"\r\n   \n\n"02";"b\rc"\n"03";"cut\nhere"\n"04";"d"'
+    os.makedirs(f"{local}/in")
+    write_bytes(f"{local}/in", "F.Z.D30610.PAISCSV", body)
+    write_bytes(f"{local}/in", "F.E.D30610.PAISCSV", b"")
+    with zipfile.ZipFile(f"{local}/A.zip", "w") as z:
+        z.writestr("F.Z.D30610.PAISCSV", body)
+        z.writestr("F.E.D30610.PAISCSV", b"")
+    expand.stage_archives(spark, uri, f"{uri}/staged")
+    for source in (pipeline.FolderSource(spark, f"{uri}/in"), pipeline.StagedSource(spark, f"{uri}/staged")):
+        rows = {tuple(r) for r in source.rows("pais", strict=False).collect()}
+        assert rows == {("01", "a"), ("02", "b\rc"), ("04", "d")}
+        counts = {r.file_name: (r.n_rows, r.n_rejected) for r in pipeline.expected_per_file(spark, source, ["pais"]).collect()}
+        assert counts == {"F.Z.D30610.PAISCSV": (3, 2), "F.E.D30610.PAISCSV": (0, 0)}
+        assert {r.cause for r in registry.rejects(source.lines(["pais"]), ["pais"]).collect()} == {"open_quote"}
+        with pytest.raises(Exception, match="open_quote"):
+            source.rows("pais").collect()
+
+
+def test_long_names_are_spread_over_files(spark, folder):
+    from tabelion.sources import extracts
+
+    uri, _ = folder
+    lines = spark.range(200).select(
+        F.lit("K.Y0.D30610.PAISCSV").alias("_file"), F.col("id").alias("_key"), F.concat(F.lit('"'), "id", F.lit('";"x"')).alias("line")
+    )
+    names = extracts.write_lines(lines, uri, parts=3)
+    assert names[0] == "K.Y0.D30610.PAISCSV" and len(names) > 1 and names[1].split(".")[1:] == ["Y0P1", "D30610", "PAISCSV"]
+    assert registry.read_table(spark, uri, "pais").count() == 200
+
+
+def test_store_names_of_spark_are_known_to_the_file_helpers(monkeypatch):
+    from tabelion.sources import fs
+
+    seen = []
+    monkeypatch.setattr(fs.pafs, "FileSystem", type("F", (), {"from_uri": staticmethod(lambda u: (seen.append(u), ("f", u))[1])}))
+    fs.resolve("s3a://bucket/x")
+    assert seen == ["s3://bucket/x"] and fs.resolve("dbfs:/a/b")[1] == "/dbfs/a/b" and fs.resolve("file:///a")[1] == "/a"
