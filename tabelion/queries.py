@@ -7,7 +7,6 @@ DuckDB oracle texts are in ``tabelion.oracles``.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -466,7 +465,7 @@ def derived_state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, sf: str) -> str:
-    path = session.scratch_path(spark, "staged", hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:12])
+    path = session.scratch_path(spark, "staged", uuid.uuid4().hex)
     expand.stage_archives(spark, _archives(spark, sf), path)
     return path
 
