@@ -40,6 +40,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 #: Components in a bucket beyond which it is cut by further bands rather than compared with more centres.
 CROWD = 64
+CUT = 8
 SEED = 0x5DEECE66D
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -207,7 +208,7 @@ def similarity(pairs: DataFrame, strips: DataFrame) -> DataFrame:
 
 
 def _shared(members: DataFrame) -> DataFrame:
-    """The rows (key, doc) of buckets with at least two documents."""
+    """The rows (key, band, doc) of buckets with at least two documents."""
     ends = members.groupBy("key").agg(F.min("doc").alias("_a"), F.max("doc").alias("_b")).where("_a < _b")
     return members.join(ends.select("key"), "key", "left_semi")
 
@@ -240,21 +241,23 @@ def near_duplicates(
     named = sketch.where("doc is not null and n > 0")
     # Exact copies: the smallest id stands for all of them.
     copies = staged(named.groupBy("f1", "f2").agg(F.min("doc").alias("rep")), "copies")
+    one_text_each = named.groupBy("doc").count().where("count > 1").isEmpty()
     reps = named.join(copies.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
-    keys = staged(reps.select("doc", F.explode("bands").alias("key")), "keys")
+    reps = reps if one_text_each else reps.distinct()
+    keys = staged(reps.select("doc", F.posexplode("bands").alias("band", "key")), "keys")
     members = staged(_shared(keys), "buckets")
     # Only documents that share a bucket are read a second time, for their shingles.
     strips = source.join(members.select("doc").distinct(), "doc", "left_semi").mapInArrow(
         _strips, "doc bigint, strips array<bigint>"
     )
-    one_text_each = reps.groupBy("doc").count().where("count > 1").isEmpty()
     strips = staged(strips if one_text_each else strips.distinct(), "strips")
 
-    # Round 0: every member against the bucket's smallest document.
-    centres = members.groupBy("key").agg(F.min("doc").alias("centre"))
-    tested = _compare(members.join(centres, "key").where("doc != centre"), None, strips, one_text_each)
+    # Round 0: every member against the bucket's document that meets most others (over all buckets): what copies
+    # were made from is nearer to each of them than they are to one another.
+    met = staged(_with_hub(members), "met")
+    tested = _compare(met, None, strips, one_text_each)
     labels = components(tested.where(F.col("j") >= threshold))
-    rest = _sides(members.join(centres, "key").where("doc != centre"), tested, threshold)
+    rest = _sides(met, tested, threshold)
     members = staged(_undecided(rest, labels, reps), "buckets")
     n_centres = 1
     while not members.isEmpty():
@@ -266,7 +269,7 @@ def near_duplicates(
         if not new.where(F.col("j") >= threshold).isEmpty():
             labels = components(tested.where(F.col("j") >= threshold))
         rest = members.join(centres.select("key", F.col("centre").alias("doc")), ["key", "doc"], "left_anti")
-        members = staged(_undecided(rest.select("key", "doc", "j"), labels, reps), "buckets")
+        members = staged(_undecided(rest.select("key", "band", "doc", "j"), labels, reps), "buckets")
         n_centres *= 4
 
     found = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -279,6 +282,15 @@ def near_duplicates(
     )
 
 
+def _with_hub(members: DataFrame) -> DataFrame:
+    """``members`` without the centre of each bucket, and with it: the one with most meetings, then the smallest id."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
+    meetings = members.join(sizes, "key").groupBy("doc").agg(F.sum("size").alias("meetings"))
+    best = F.max(F.struct("meetings", (-F.col("doc")).alias("last"))).alias("best")
+    hubs = members.join(meetings, "doc").groupBy("key").agg(best)
+    return members.join(hubs.select("key", (-F.col("best.last")).alias("centre")), "key").where("doc != centre")
+
+
 def _compare(met: DataFrame, tested: DataFrame | None, strips: DataFrame, one_text_each: bool) -> DataFrame:
     """a, b, j of the pairs (doc, centre) of ``met`` that are not in ``tested`` yet, each once."""
     pairs = met.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
@@ -291,19 +303,19 @@ def _compare(met: DataFrame, tested: DataFrame | None, strips: DataFrame, one_te
 
 
 def _sides(met: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
-    """(key, doc, j) of each bucket's two parts around its centre; j is the similarity to it.
+    """(key, band, doc, j) of each bucket's two parts around its centre; j is the similarity to it.
 
     With t the threshold and d = 1 - t, members within d of the centre and
     members beyond 2d of it are more than d apart. So a bucket falls into near
     members with those in between, and far members with those in between.
     """
-    at = met.select("key", "doc", F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b"))
+    at = met.select("key", "band", "doc", F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b"))
     j = F.col("j")
     sides = F.array_compact(
         F.array(F.when(j >= 2 * threshold - 1, F.lit("near")), F.when(j < threshold, F.lit("far")))
     )
-    parts = at.join(tested, ["a", "b"]).select("key", "doc", "j", F.explode(sides).alias("side"))
-    return parts.select(F.xxhash64("key", "side").alias("key"), "doc", "j")
+    parts = at.join(tested, ["a", "b"]).select("key", "band", "doc", "j", F.explode(sides).alias("side"))
+    return parts.select(F.xxhash64("key", "side").alias("key"), "band", "doc", "j")
 
 
 def _may_link(threshold: float) -> Column:
@@ -337,20 +349,21 @@ def _rare(members: DataFrame, n: int) -> DataFrame:
 
 
 def _undecided(members: DataFrame, labels: DataFrame, sketch: DataFrame) -> DataFrame:
-    """The buckets (key, doc, j, label) whose members are of several components.
+    """The buckets (key, band, doc, j, label) whose members are of several components.
 
-    A bucket of more than ``CROWD`` components is cut by every other band of
-    its members: those who are alike share one of them, those who met by a
-    common passage do not.
+    A bucket of more than ``CROWD`` components is cut by the next ``CUT`` bands
+    of its members: those who are alike share one of them (if not here, then
+    in another of their buckets), those who met by a common passage do not.
     """
     named = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    named = named.select("key", "doc", "j", F.coalesce("label", "doc").alias("label"))
+    named = named.select("key", "band", "doc", "j", F.coalesce("label", "doc").alias("label"))
     parts = named.groupBy("key").agg(F.count_distinct("label").alias("n_labels")).where("n_labels > 1")
     named = named.join(parts, "key")
     small = named.where(F.col("n_labels") <= CROWD).drop("n_labels")
     large = named.where(F.col("n_labels") > CROWD).join(sketch.select("doc", "bands"), "doc")
-    cut = large.select("key", "doc", "j", "label", F.explode("bands").alias("other"))
-    cut = cut.select(F.xxhash64("key", "other").alias("key"), "doc", "j", "label").distinct()
+    cut = large.select("key", "band", "doc", "j", "label", F.size("bands").alias("of"), F.posexplode("bands").alias("at", "other"))
+    cut = cut.where(F.pmod(F.col("at") - F.col("band"), "of").between(1, CUT))
+    cut = cut.select(F.xxhash64("key", "other").alias("key"), F.col("at").alias("band"), "doc", "j", "label")
     whole = cut.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b")
     return small.unionByName(cut.join(whole.select("key"), "key", "left_semi"))
 
