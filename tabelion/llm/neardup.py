@@ -14,9 +14,11 @@ Exact copies are collapsed first. A bucket does not emit its pairs: its members
 are compared with one document of it, the centre, exactly, on the shingles. By
 the triangle inequality of Jaccard distance, members far from the centre cannot
 be linked to those near it, so a bucket falls into two parts; a part whose
-members are already one component is done. The others go on with new centres
-until no bucket has members of several components left to compare. Classes are
-the connected components of the links.
+members are already one component is done. Members of a part with very many
+components meet anew in buckets of their rarest shingles, of which linked ones
+share one for certain. All go on with new centres until no bucket has members of
+several components left to compare. Classes are the connected components of the
+links.
 """
 
 from __future__ import annotations
@@ -38,9 +40,12 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: 32 bands of 5: a pair at similarity 0.8 misses all buckets with probability 3e-6.
 BANDS, ROWS = 32, 5
-#: Components in a bucket beyond which it is cut by further bands rather than compared with more centres.
+#: Components in a bucket beyond which its members meet by their rarest shingles rather than in it.
 CROWD = 64
-CUT = 8
+#: Slots in which shingles are counted to tell rare ones; any count gives the same links.
+SLOTS = 1 << 20
+#: Components of a bucket that one task puts in order.
+ORDERED = 4096
 SEED = 0x5DEECE66D
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -208,7 +213,7 @@ def similarity(pairs: DataFrame, strips: DataFrame) -> DataFrame:
 
 
 def _shared(members: DataFrame) -> DataFrame:
-    """The rows (key, band, doc) of buckets with at least two documents."""
+    """The rows (key, doc) of buckets with at least two documents."""
     ends = members.groupBy("key").agg(F.min("doc").alias("_a"), F.max("doc").alias("_b")).where("_a < _b")
     return members.join(ends.select("key"), "key", "left_semi")
 
@@ -244,7 +249,7 @@ def near_duplicates(
     one_text_each = named.groupBy("doc").count().where("count > 1").isEmpty()
     reps = named.join(copies.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
     reps = reps if one_text_each else reps.distinct()
-    keys = staged(reps.select("doc", F.posexplode("bands").alias("band", "key")), "keys")
+    keys = staged(reps.select("doc", F.explode("bands").alias("key")), "keys")
     members = staged(_shared(keys), "buckets")
     # Only documents that share a bucket are read a second time, for their shingles.
     strips = source.join(members.select("doc").distinct(), "doc", "left_semi").mapInArrow(
@@ -257,8 +262,11 @@ def near_duplicates(
     met = staged(_with_hub(members), "met")
     tested = _compare(met, None, strips, one_text_each)
     labels = components(tested.where(F.col("j") >= threshold))
-    rest = _sides(met, tested, threshold)
-    members = staged(_undecided(rest, labels, reps), "buckets")
+    named = staged(_undecided(_sides(met, tested, threshold), labels), "buckets")
+    members = named.where(F.col("n_labels") <= CROWD)
+    crowd = staged(named.where(F.col("n_labels") > CROWD).select("doc", "label").distinct(), "crowd")
+    if not crowd.isEmpty():
+        members = staged(members.unionByName(_undecided(_by_rare_shingles(crowd, strips, threshold), labels)), "buckets")
     n_centres = 1
     while not members.isEmpty():
         # Then against more and more documents, those of the smallest components first.
@@ -269,7 +277,7 @@ def near_duplicates(
         if not new.where(F.col("j") >= threshold).isEmpty():
             labels = components(tested.where(F.col("j") >= threshold))
         rest = members.join(centres.select("key", F.col("centre").alias("doc")), ["key", "doc"], "left_anti")
-        members = staged(_undecided(rest.select("key", "band", "doc", "j"), labels, reps), "buckets")
+        members = staged(_undecided(rest, labels), "buckets")
         n_centres *= 4
 
     found = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -303,36 +311,43 @@ def _compare(met: DataFrame, tested: DataFrame | None, strips: DataFrame, one_te
 
 
 def _sides(met: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
-    """(key, band, doc, j) of each bucket's two parts around its centre; j is the similarity to it.
+    """(key, doc, j, decides) of each bucket's two parts around its centre; j is the similarity to it.
 
     With t the threshold and d = 1 - t, members within d of the centre and
     members beyond 2d of it are more than d apart. So a bucket falls into near
     members with those in between, and far members with those in between.
     """
-    at = met.select("key", "band", "doc", F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b"))
+    at = met.select("key", "doc", F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b"))
     j = F.col("j")
     sides = F.array_compact(
         F.array(F.when(j >= 2 * threshold - 1, F.lit("near")), F.when(j < threshold, F.lit("far")))
     )
-    parts = at.join(tested, ["a", "b"]).select("key", "band", "doc", "j", F.explode(sides).alias("side"))
-    return parts.select(F.xxhash64("key", "side").alias("key"), "band", "doc", "j")
+    parts = at.join(tested, ["a", "b"]).select("key", "doc", "j", F.explode(sides).alias("side"))
+    return parts.select(F.xxhash64("key", "side").alias("key"), "doc", "j", F.lit(True).alias("decides"))
 
 
 def _may_link(threshold: float) -> Column:
-    """By the triangle inequality, documents whose distances to a third one differ by more cannot be linked."""
-    return F.abs(F.col("j") - F.col("its_j")) <= 1 - threshold + 1e-9
+    """Whether a member and a centre of a bucket can be linked, and this bucket is where that is found out.
+
+    By the triangle inequality, documents whose distances to a third one differ
+    by more than 1 - threshold cannot; of the two, the one of smaller ``j`` decides.
+    """
+    near = F.abs(F.col("j") - F.col("its_j")) <= 1 - threshold + 1e-9
+    here = (F.col("decides") & (F.col("j") <= F.col("its_j"))) | (F.col("its_decides") & (F.col("its_j") <= F.col("j")))
+    return near & here
 
 
 def _rare(members: DataFrame, n: int) -> DataFrame:
-    """key, centre, its_label, its_j: about ``n`` members of each bucket, smallest components first.
+    """key, centre, its_label, its_j, its_decides: some members of each bucket, smallest components first.
 
-    Components are taken whole while ``n`` lasts; of the smallest at least one
-    document is taken. The window is over the components of a bucket, of which
-    there are ``CROWD`` at most.
+    There are about ``n`` for each ``ORDERED`` components. Components are taken
+    whole while ``n`` lasts; of the smallest at least one document is taken.
+    The window is over some ``ORDERED`` components at most.
     """
-    pick = F.max(F.struct("doc", "j")).alias("one")
-    parts = members.groupBy("key", "label").agg(F.count("*").alias("n"), pick)
-    order = Window.partitionBy("key").orderBy("n", F.col("label").desc())
+    share = F.pmod(F.xxhash64("label"), F.ceil(F.max("n_labels") / ORDERED)).alias("share")
+    pick = F.max(F.struct("doc", "j", "decides")).alias("one")
+    parts = members.groupBy("key", "label").agg(F.count("*").alias("n"), pick, share)
+    order = Window.partitionBy("key", "share").orderBy("n", F.col("label").desc())
     ranked = parts.select(
         "key",
         "label",
@@ -341,31 +356,89 @@ def _rare(members: DataFrame, n: int) -> DataFrame:
         F.row_number().over(order).alias("rank"),
     )
     whole = ranked.where(F.col("upto") <= n).select("key", "label")
-    taken = members.join(whole, ["key", "label"]).select("key", "label", "doc", "j")
-    first = ranked.where((F.col("rank") == 1) & (F.col("upto") > n)).select("key", "label", "one.doc", "one.j")
+    taken = members.join(whole, ["key", "label"]).select("key", "label", "doc", "j", "decides")
+    first = ranked.where((F.col("rank") == 1) & (F.col("upto") > n)).select("key", "label", "one.*")
     return taken.unionByName(first).select(
-        "key", F.col("doc").alias("centre"), F.col("label").alias("its_label"), F.col("j").alias("its_j")
+        "key",
+        F.col("doc").alias("centre"),
+        F.col("label").alias("its_label"),
+        F.col("j").alias("its_j"),
+        F.col("decides").alias("its_decides"),
     )
 
 
-def _undecided(members: DataFrame, labels: DataFrame, sketch: DataFrame) -> DataFrame:
-    """The buckets (key, band, doc, j, label) whose members are of several components.
+def _undecided(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The buckets (key, doc, j, decides, label, n_labels) whose members are of several components.
+
+    Buckets that decide nothing are done.
+    """
+    named = members.select("key", "doc", "j", "decides").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    named = named.select("key", "doc", "j", "decides", F.coalesce("label", "doc").alias("label"))
+    parts = named.groupBy("key").agg(F.count_distinct("label").alias("n_labels"), F.max("decides").alias("_any"))
+    return named.join(parts.where("n_labels > 1 and _any").drop("_any"), "key")
+
+
+def _slots(strips: np.ndarray) -> np.ndarray:
+    return (mix(strips ^ _FOLD) % np.uint64(SLOTS)).astype(np.int64)
+
+
+def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        flat = batch.column("strips").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        counts += np.bincount(_slots(flat), minlength=SLOTS)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["slot", "n"])
+
+
+def _rare_shingles(counts, threshold: float):
+    """Rows (key, doc, j, decides) for the rarest strips of each document that any other can share."""
+    scale = (1 - threshold) / -np.log(threshold) if threshold < 1 else 1.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequency = counts.value
+        for batch in batches:
+            for doc, row in zip(batch.column("doc").to_pylist(), batch.column("strips"), strict=True):
+                strips = row.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                n, seen = len(strips), frequency[_slots(strips)]
+                first = n - int(np.ceil(threshold * n - 1e-6)) + 1
+                deciding = n - int(np.ceil(2 * threshold / (1 + threshold) * n - 1e-6)) + 1
+                order = np.lexsort((strips, seen))[:first]
+                at = np.flatnonzero(seen[order] > 1)
+                keys = pa.array(strips[order[at]].view(np.int64))
+                same = [np.full(len(at), doc, np.int64), np.full(len(at), np.log(n) * scale), at < deciding]
+                yield pa.RecordBatch.from_arrays([keys, *map(pa.array, same)], names=["key", "doc", "j", "decides"])
+
+    return run
+
+
+def _by_rare_shingles(crowd: DataFrame, strips: DataFrame, threshold: float) -> DataFrame:
+    """Buckets (key, doc, j, decides) in which any two of ``crowd`` (doc, label) that can be linked meet.
+
+    With all strips in one order, rarest first, documents x and y (not larger)
+    at similarity t share their first common strip among the first
+    |x| - ceil(t |x|) + 1 of x and the first |y| - ceil(2t / (1 + t) |y|) + 1
+    of y, since they share at least t |x|, and at least t / (1 + t) (|x| + |y|).
+    So a bucket holds the documents with a strip among their first ones, and
+    those where it is among the fewer decide what is linked to larger ones.
+    The order is by counts of strips' hashes: any order is right, and a strip
+    whose hash occurs once has no partner.
 
-    A bucket of more than ``CROWD`` components is cut by the next ``CUT`` bands
-    of its members: those who are alike share one of them (if not here, then
-    in another of their buckets), those who met by a common passage do not.
+    ``j`` grows with the logarithm of the size, by 1 - t where the sizes are as
+    t to 1: documents further apart cannot be linked, as with similarities.
     """
-    named = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    named = named.select("key", "band", "doc", "j", F.coalesce("label", "doc").alias("label"))
-    parts = named.groupBy("key").agg(F.count_distinct("label").alias("n_labels")).where("n_labels > 1")
-    named = named.join(parts, "key")
-    small = named.where(F.col("n_labels") <= CROWD).drop("n_labels")
-    large = named.where(F.col("n_labels") > CROWD).join(sketch.select("doc", "bands"), "doc")
-    cut = large.select("key", "band", "doc", "j", "label", F.size("bands").alias("of"), F.posexplode("bands").alias("at", "other"))
-    cut = cut.where(F.pmod(F.col("at") - F.col("band"), "of").between(1, CUT))
-    cut = cut.select(F.xxhash64("key", "other").alias("key"), F.col("at").alias("band"), "doc", "j", "label")
-    whole = cut.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b")
-    return small.unionByName(cut.join(whole.select("key"), "key", "left_semi"))
+    spark = crowd.sparkSession
+    mine = staged(strips.join(crowd.select("doc"), "doc", "left_semi"), "crowd-strips")
+    counted = mine.select("strips").mapInArrow(_count_slots, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    counts = np.zeros(SLOTS, np.int64)
+    counted = counted.toArrow()  # SLOTS rows at most
+    counts[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
+    run = _rare_shingles(spark.sparkContext.broadcast(counts), threshold)
+    rows = mine.mapInArrow(run, "key bigint, doc bigint, j double, decides boolean").join(crowd, "doc")
+    # Few strips are shared by several components.
+    ends = rows.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.max("decides").alias("_any"))
+    shared = rows.join(ends.where("_a < _b and _any").select("key"), "key", "left_semi")
+    return staged(shared.drop("label"), "rare")
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:

@@ -84,6 +84,36 @@ def test_near_duplicate_chains_and_crowded_buckets(spark):
     assert all(got[100 + i] == 100 + i for i in range(60))
 
 
+def family_with_single_links(seeds):
+    """Texts of one template, mutually at 0.55 to 0.79, but for a pair at 0.8 of each seed."""
+    rows = []
+    for n, seed in enumerate(seeds):
+        at = np.random.default_rng(seed).choice(35, 7, replace=False) * 5 + 5
+        for which, changed in ((0, at[:3]), (1, at)):
+            text = " ".join(f"x{seed}y{k}" if k in changed else f"t{k}" for k in range(184))
+            rows.append((2 * n + which, text, "a"))
+    return rows
+
+
+def test_single_links_within_a_crowd_match_brute_force(spark):
+    # The last pairs share one or two bands, that many others share, and none of the eight bands after those.
+    rows = family_with_single_links([*range(250), 25056, 29440, 41730])
+    sets = {i: set(zip(*[t.split()[k:] for k in range(5)])) for i, t, _ in rows}
+    close = {i: {k for k in sets if k < i and len(sets[i] & sets[k]) >= 0.8 * len(sets[i] | sets[k])} for i in sets}
+    links = {(k, i) for i, ks in close.items() for k in ks}
+    assert len(links) >= 253
+    want = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(want[a], want[b])
+            changed |= want[a] != low or want[b] != low
+            want[a] = want[b] = low
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(make(spark, rows)).collect()}
+    assert got == want
+
+
 def test_signatures_estimate_weighted_jaccard():
     ids = np.arange(1, 61, dtype=np.uint64) * np.uint64(7919)
     a, b = np.linspace(0.3, 4, 60), np.linspace(4, 0.3, 60)
