@@ -165,12 +165,18 @@ def _sketch(bands: int, rows: int):
 
 
 def _strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import xxhash
+
     for batch in batches:
-        rows = [unit_strips(shingles(words_of(x or b""))) for x in batch.column("text").cast(pa.binary()).to_pylist()]
+        texts = [words_of(x or b"") for x in batch.column("text").cast(pa.binary()).to_pylist()]
+        prints = b"".join(xxhash.xxh3_128_digest(b" ".join(words)) for words in texts)
+        halves = np.frombuffer(prints, np.int64).reshape(-1, 2)
+        rows = [unit_strips(shingles(words)) for words in texts]
         ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
         flat = np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), lists], names=["doc", "strips"])
+        arrays = [batch.column("doc"), pa.array(halves[:, 0]), pa.array(halves[:, 1]), lists]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc", "f1", "f2", "strips"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -235,7 +241,8 @@ def near_duplicates(
     Nulls: a null id gives a null class, and such a row is kept. A null text,
     or one without words, is a class of its own. A text of fewer than five
     words is one shingle. Rows with the same id are one document: all their
-    texts link it. Empty tables give no rows. Other columns are not read.
+    texts link it, and the documents that any of them links are one class.
+    Empty tables give no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
@@ -244,24 +251,37 @@ def near_duplicates(
         "sketch",
     )
     named = sketch.where("doc is not null and n > 0")
-    # Exact copies: the smallest id stands for all of them.
-    copies = staged(named.groupBy("f1", "f2").agg(F.min("doc").alias("rep")), "copies")
-    one_text_each = named.groupBy("doc").count().where("count > 1").isEmpty()
-    reps = named.join(copies.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
-    reps = reps if one_text_each else reps.distinct()
+    # Exact copies: the smallest id stands for all of them. If ids are repeated, every text has a number instead,
+    # for an id may stand for several; else ids do. From here on, "doc" is what stands for one text.
+    copies = named.groupBy("f1", "f2").agg(F.min("doc").alias("rep"))
+    repeated = not named.groupBy("doc").count().where("count > 1").isEmpty()
+    copies = staged(copies.withColumn("node", F.monotonically_increasing_id() if repeated else F.col("rep")), "copies")
+    if repeated:
+        firsts = named.join(copies, ["f1", "f2"]).where("doc = rep")
+        reps = firsts.groupBy(F.col("node").alias("doc")).agg(F.first("bands").alias("bands"))
+        of_id = named.join(copies, ["f1", "f2"]).select("doc", "node").distinct()
+        first = of_id.groupBy("doc").agg(F.min("node").alias("a"))
+        same = staged(of_id.join(first, "doc").select("a", F.col("node").alias("b")).where("a != b").distinct(), "same-id")
+    else:
+        reps = named.join(copies.select(F.col("rep").alias("doc")), "doc", "left_semi")
+        same = copies.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     keys = staged(reps.select("doc", F.explode("bands").alias("key")), "keys")
     members = staged(_shared(keys), "buckets")
-    # Only documents that share a bucket are read a second time, for their shingles.
-    strips = source.join(members.select("doc").distinct(), "doc", "left_semi").mapInArrow(
-        _strips, "doc bigint, strips array<bigint>"
+    # Only texts that share a bucket are read a second time, for their shingles.
+    wanted = copies.join(members.select(F.col("doc").alias("node")).distinct(), "node", "left_semi")
+    strips = source.join(wanted.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi").mapInArrow(
+        _strips, "doc bigint, f1 bigint, f2 bigint, strips array<bigint>"
     )
-    strips = staged(strips if one_text_each else strips.distinct(), "strips")
+    if repeated:
+        strips = strips.withColumnRenamed("doc", "rep").join(wanted, ["f1", "f2", "rep"])
+        strips = strips.groupBy(F.col("node").alias("doc")).agg(F.first("strips").alias("strips"))
+    strips = staged(strips.select("doc", "strips"), "strips")
 
     # Round 0: every member against the bucket's document that meets most others (over all buckets): what copies
     # were made from is nearer to each of them than they are to one another.
     met = staged(_with_hub(members), "met")
-    tested = _compare(met, None, strips, one_text_each)
-    labels = components(tested.where(F.col("j") >= threshold))
+    tested = _compare(met, None, strips)
+    labels = components(_links(tested, same, threshold))
     named = staged(_undecided(_sides(met, tested, threshold), labels), "buckets")
     members = named.where(F.col("n_labels") <= CROWD)
     crowd = staged(named.where(F.col("n_labels") > CROWD).select("doc", "label").distinct(), "crowd")
@@ -272,17 +292,20 @@ def near_duplicates(
         # Then against more and more documents, those of the smallest components first.
         centres = _rare(members, n_centres)
         with_centre = members.join(centres, "key").where("label != its_label").where(_may_link(threshold))
-        new = _compare(with_centre, tested, strips, one_text_each)
+        new = _compare(with_centre, tested, strips)
         tested = tested.unionByName(new)
         if not new.where(F.col("j") >= threshold).isEmpty():
-            labels = components(tested.where(F.col("j") >= threshold))
+            labels = components(_links(tested, same, threshold))
         rest = members.join(centres.select("key", F.col("centre").alias("doc")), ["key", "doc"], "left_anti")
         members = staged(_undecided(rest, labels), "buckets")
         n_centres *= 4
 
-    found = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    label = F.coalesce("label", "rep")
-    of_print = found.select("f1", "f2", label.alias("class_id"))
+    found = copies.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    if repeated:
+        of_label = staged(found.groupBy("label").agg(F.min("rep").alias("class_id")), "class-ids")
+        of_print = found.join(of_label, "label").select("f1", "f2", "class_id")
+    else:
+        of_print = found.select("f1", "f2", F.col("label").alias("class_id"))
     out = sketch.select("doc", "f1", "f2", "n").join(of_print, ["f1", "f2"], "left")
     own = F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.col("class_id")).otherwise(F.col("doc"))
     return out.select(
@@ -290,6 +313,11 @@ def near_duplicates(
     )
 
 
+def _links(tested: DataFrame, same: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of ``tested`` at the threshold, and texts of ``same`` ids."""
+    return tested.where(F.col("j") >= threshold).select("a", "b").unionByName(same)
+
+
 def _with_hub(members: DataFrame) -> DataFrame:
     """``members`` without the centre of each bucket, and with it: the one with most meetings, then the smallest id."""
     sizes = members.groupBy("key").agg(F.count("*").alias("size"))
@@ -299,15 +327,12 @@ def _with_hub(members: DataFrame) -> DataFrame:
     return members.join(hubs.select("key", (-F.col("best.last")).alias("centre")), "key").where("doc != centre")
 
 
-def _compare(met: DataFrame, tested: DataFrame | None, strips: DataFrame, one_text_each: bool) -> DataFrame:
+def _compare(met: DataFrame, tested: DataFrame | None, strips: DataFrame) -> DataFrame:
     """a, b, j of the pairs (doc, centre) of ``met`` that are not in ``tested`` yet, each once."""
     pairs = met.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
     if tested is not None:
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    compared = similarity(pairs, strips)
-    if not one_text_each:
-        compared = compared.groupBy("a", "b").agg(F.max("j").alias("j"))
-    return staged(compared, "tested")
+    return staged(similarity(pairs, strips), "tested")
 
 
 def _sides(met: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:

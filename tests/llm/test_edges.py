@@ -84,6 +84,17 @@ def test_near_duplicate_chains_and_crowded_buckets(spark):
     assert all(got[100 + i] == 100 + i for i in range(60))
 
 
+def test_texts_of_one_id_link_what_they_are_copies_of(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(100)) for x in "abc")
+    near = lambda t, i: " ".join(t.split()[:-1] + [f"end{i}"])
+    rows = [(0, b), (1, a), (2, a), (2, b), (10, near(a, 1)), (11, near(b, 2)), (12, c)]
+    rows += [(20, near(c, 3)), (20, "another text of some words"), (21, "another text of some words"), (30, "alone it is")]
+    docs = make(spark, [(i, t, "a") for i, t in rows])
+    got = {(r.doc_id, r.class_id) for r in neardup.near_duplicates(docs).collect()}
+    assert got == {(i, 0) for i in (0, 1, 2, 10, 11)} | {(i, 12) for i in (12, 20, 21)} | {(30, 30)}
+    assert sorted(r.doc_id for r in neardup.drop_near_duplicates(docs).collect()) == [0, 12, 30]
+
+
 def family_with_single_links(seeds):
     """Texts of one template, mutually at 0.55 to 0.79, but for a pair at 0.8 of each seed."""
     rows = []
