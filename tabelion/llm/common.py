@@ -45,6 +45,32 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
+def sampled_texts(docs: DataFrame, sample: DataFrame, label: str, cost: Column, budget: int) -> list[tuple[bytes, int]]:
+    """(text, label) of the documents of ``sample`` (doc_id, ``label``; few rows), in the order of their id hashes.
+
+    Of rows with the same id, the one of the smallest text hash. Only ids and
+    costs are collected of those that do not fit into ``budget`` (the sum of ``cost``).
+    """
+    sample = sample.select(F.col("doc_id").alias("_labelled"), label)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
+    smallest = F.min(F.struct(text_key(F.col("text")).alias("key"), "text")).alias("one")
+    one = staged(texts.groupBy("doc_id", label).agg(smallest).select("doc_id", label, "one.text"), "sample")
+    order = (F.xxhash64("doc_id"), "doc_id")
+    taken, total, left_out = [], 0, False
+    for row in one.select("doc_id", cost.alias("cost")).orderBy(*order).collect():
+        if total + row.cost <= budget:
+            total += row.cost
+            taken.append((row.doc_id,))
+        else:
+            left_out = True
+    if left_out:
+        ids = docs.sparkSession.createDataFrame(taken, one.select("doc_id").schema)
+        one = one.join(F.broadcast(ids), "doc_id", "left_semi")
+    rows = one.select("doc_id", label, "text").orderBy(*order).toLocalIterator()
+    return [(r.text.encode(), int(r[label])) for r in rows]
+
+
 def text_key(text: Column) -> Column:
     """A 64-bit hash that, next to the id, tells rows with a repeated id apart."""
     return F.xxhash64(text)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabelion.llm.common import ship
+from tabelion.llm.common import sampled_texts, ship
 
 ship(__name__)
 
@@ -26,6 +26,9 @@ ship(__name__)
 SAMPLE_DOCS = 4000
 #: Of a training document, the lines up to this many are used for fitting (scoring reads all).
 SAMPLE_LINES = 400
+#: Bytes of the texts that the model is fitted on, at most, with LINE_BYTES for each line's features.
+SAMPLE_BYTES = 256_000_000
+LINE_BYTES = 400
 FOLDS = 5
 GOOD = 0.3
 ROUNDS = 150
@@ -181,16 +184,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
 
     The sample is the labelled documents of the smallest id hashes. Labels
     that are null, or whose document is missing, are not used; of several
-    labels for a document the lowest counts. Without labels all weights are 0.
+    labels for a document the lowest counts, and of several rows of a document
+    the one of the smallest text hash. Documents that do not fit into what is
+    left of ``SAMPLE_BYTES`` are not in the sample. Without labels all weights
+    are 0.
     """
     usable = labels.where(F.col("quality").isNotNull() & (fold(F.col("doc_id")) != 0))
     usable = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    sample = sample.select(F.col("doc_id").alias("_labelled"), "quality")
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
-    cut = F.substring_index(F.coalesce("text", F.lit("")), "\n", SAMPLE_LINES)
-    rows = texts.select("doc_id", "quality", cut.alias("text")).orderBy("doc_id", "text").toLocalIterator()
-    return fit([(r.text.encode(), int(r.quality)) for r in rows])
+    cut = docs.select("doc_id", F.substring_index("text", "\n", SAMPLE_LINES).alias("text"))
+    n_lines = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    return fit(sampled_texts(cut, sample, "quality", F.octet_length("text") + LINE_BYTES * n_lines, SAMPLE_BYTES))
 
 
 def _score(model):

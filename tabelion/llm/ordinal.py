@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabelion.llm.common import ship
+from tabelion.llm.common import sampled_texts, ship
 from tabelion.llm.decontaminate import words_of
 
 ship(__name__)
@@ -28,6 +28,8 @@ FLAG = 0.3
 #: Labelled documents that the model is fitted on, at most; and of a text, the characters used for fitting.
 SAMPLE_DOCS = 8000
 SAMPLE_CHARS = 40_000
+#: Bytes of the texts that the model is fitted on, at most.
+SAMPLE_BYTES = 64_000_000
 #: Kept features at most, the smallest number of training documents that hold one, and the least force (log odds
 #: of the label times the root of that number) that sets one apart from chance.
 N_FEATURES = 4000
@@ -149,15 +151,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     """A model of ``labels.toxic`` from at most ``sample_docs`` labelled documents (the smallest id hashes).
 
     Null labels, and labels without a document, are not used; of several
-    labels for a document the highest counts.
+    labels for a document the highest counts, and of several rows of a
+    document the one of the smallest text hash. Documents that do not fit into
+    what is left of ``SAMPLE_BYTES`` are not in the sample.
     """
     usable = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    sample = sample.select(F.col("doc_id").alias("_labelled"), "toxic")
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
-    cut = F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS)
-    rows = texts.select("doc_id", "toxic", cut.alias("text")).orderBy("doc_id", "text").toLocalIterator()
-    return fit([(r.text.encode(), int(r.toxic)) for r in rows])
+    cut = docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    return fit(sampled_texts(cut, sample, "toxic", F.octet_length("text"), SAMPLE_BYTES))
 
 
 def _grade(model):

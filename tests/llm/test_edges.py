@@ -313,6 +313,18 @@ def test_line_field(odd, clashing, empty, labels):
     assert crf.keep_good(clashing, untrained).count() == odd.count()
 
 
+@pytest.mark.parametrize("module", [crf, ordinal])
+def test_models_learn_from_one_row_of_an_id_within_a_budget(spark, labels, module, monkeypatch):
+    monkeypatch.setattr(module, "fit", lambda documents: documents)
+    docs = make(spark, [(1, f"text {i}", "a") for i in range(50)] + [(5, "good", "a")])
+    only = labels.where("doc_id in (1, 5)").select("doc_id", F.lit(1).alias("quality"), F.lit(1).alias("toxic"))
+    got = [t for t, _ in module.train(docs, only)]
+    assert len(got) == len(set(got)) == 2 and b"good" in got
+    monkeypatch.setattr(module, "SAMPLE_BYTES", 1000)
+    docs = make(spark, [(1, "x" * 2000, "a"), (5, "good", "a")])
+    assert module.train(docs, only) == [(b"good", 1)]
+
+
 def test_marginals_match_enumeration():
     """Forward-backward against all label sequences of a short document."""
     from itertools import product
