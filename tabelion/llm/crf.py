@@ -24,11 +24,11 @@ ship(__name__)
 
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE_DOCS = 4000
-#: Of a training document, the lines up to this many are used for fitting (scoring reads all).
-SAMPLE_LINES = 400
-#: Bytes of the texts that the model is fitted on, at most, with LINE_BYTES for each line's features.
+#: Bytes of the (whole) texts that the model is fitted on, at most, with LINE_BYTES for each line's features.
 SAMPLE_BYTES = 256_000_000
 LINE_BYTES = 400
+#: Lines of a chain in fitting; a longer document is several, without the transitions between them (scoring has all).
+CHAIN = 400
 FOLDS = 5
 GOOD = 0.3
 ROUNDS = 150
@@ -123,18 +123,20 @@ def fit(documents: list[tuple[bytes, int]], rounds: int = ROUNDS, l2: float = L2
     w, trans = np.zeros(width), np.zeros((2, 2))
     if not documents:
         return LineField(w, trans)
-    data = [(document_features(b"\n".join(t.split(b"\n")[:SAMPLE_LINES]))[0], y) for t, y in documents]
+    whole = [(document_features(t)[0], y) for t, y in documents]
+    data = [(x[i : i + CHAIN], y, len(x)) for x, y in whole for i in range(0, len(x), CHAIN)]
     data.sort(key=lambda d: -len(d[0]))
-    lengths = np.array([len(x) for x, _ in data])
-    labels = np.array([y for _, y in data])
+    lengths = np.array([len(x) for x, _, _ in data])
+    labels = np.array([y for _, y, _ in data])
     start = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-    features = np.vstack([x for x, _ in data])
+    features = np.vstack([x for x, _, _ in data])
+    per_doc = np.array([1.0 / n for _, _, n in data]) / len(documents)
+    del whole, data
     mean, spread = features.mean(0), features.std(0) + 1e-6
     mean[-3:], spread[-3:] = 0, 1
     features = (features - mean) / spread
     at = [start[: np.searchsorted(-lengths, -t, "left")] + t for t in range(lengths[0])]  # rows of the t-th lines
-    share = np.repeat(1.0 / lengths, lengths) / len(data)  # a document's weight is spread over its lines
-    per_doc = 1.0 / lengths / len(data)
+    share = np.repeat(per_doc, lengths)  # a document's weight is spread over its lines
     gold = np.repeat(labels, lengths).astype(float)
     moment = [np.zeros(width + 4), np.zeros(width + 4)]
     theta = np.zeros(width + 4)
@@ -192,9 +194,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     usable = labels.where(F.col("quality").isNotNull() & (fold(F.col("doc_id")) != 0))
     usable = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    cut = docs.select("doc_id", F.substring_index("text", "\n", SAMPLE_LINES).alias("text"))
     n_lines = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    return fit(sampled_texts(cut, sample, "quality", F.octet_length("text") + LINE_BYTES * n_lines, SAMPLE_BYTES))
+    return fit(sampled_texts(docs, sample, "quality", F.octet_length("text") + LINE_BYTES * n_lines, SAMPLE_BYTES))
 
 
 def _score(model):

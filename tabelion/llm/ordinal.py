@@ -25,10 +25,8 @@ ship("tabelion.llm.decontaminate")
 
 #: A document is called toxic from this probability of grade 1 or more.
 FLAG = 0.3
-#: Labelled documents that the model is fitted on, at most; and of a text, the characters used for fitting.
+#: Labelled documents that the model is fitted on, at most, and bytes of their (whole) texts.
 SAMPLE_DOCS = 8000
-SAMPLE_CHARS = 40_000
-#: Bytes of the texts that the model is fitted on, at most.
 SAMPLE_BYTES = 64_000_000
 #: Kept features at most, the smallest number of training documents that hold one, and the least force (log odds
 #: of the label times the root of that number) that sets one apart from chance.
@@ -157,8 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     """
     usable = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    cut = docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    return fit(sampled_texts(cut, sample, "toxic", F.octet_length("text"), SAMPLE_BYTES))
+    return fit(sampled_texts(docs, sample, "toxic", F.octet_length("text"), SAMPLE_BYTES))
 
 
 def _grade(model):

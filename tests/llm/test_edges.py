@@ -325,6 +325,16 @@ def test_models_learn_from_one_row_of_an_id_within_a_budget(spark, labels, modul
     assert module.train(docs, only) == [(b"good", 1)]
 
 
+def test_models_learn_from_the_ends_of_long_texts(spark):
+    start, telling = "plain words only " * 4000, "vileword"
+    docs = make(spark, [(i, start + telling * (i % 2), "a") for i in range(80)])
+    marks = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    assert ordinal.train(docs, marks).weights[b"vileword"] > 0
+    lines, bad = b"A line of plain words, as they are.\n", b"$$$ ### $$$ ###\n"
+    field = crf.fit([(lines * 1200, 1), (lines * 400 + bad * 800, 0)] * 5)
+    assert field.score(bad * 5) < 0.3 < field.score(lines * 5)
+
+
 def test_marginals_match_enumeration():
     """Forward-backward against all label sequences of a short document."""
     from itertools import product
