@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabelion.llm import crf, decontaminate, linededup, merkle, mixing, neardup, ordinal, rules, secrets, urls
+from tabelion.llm import (
+    bpe,
+    centroids,
+    collocations,
+    crf,
+    decontaminate,
+    linededup,
+    merkle,
+    mixing,
+    neardup,
+    ordinal,
+    rules,
+    secrets,
+    urls,
+)
 from tabelion.llm.common import staged, table
 
 
@@ -95,6 +109,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokens = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokens, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, tokens).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -114,6 +149,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_line_quality,
         op10_line_dedup,
+        op11_phrase_collocations,
+        op12_byte_bpe,
+        op13_centroid_clustering,
         pipeline,
     )
 }
@@ -131,7 +169,53 @@ def _level(below: str) -> str:
   sha256(string_agg(a || ':' || b || ':' || digest, chr(10) ORDER BY node)) AS digest FROM {below} GROUP BY ALL"""
 
 
+def _clustering(k: int, rounds: int) -> str:
+    """Each round: the nearest centroid by (distance, number), then sums over counts, rounded down; empty ones stay."""
+    text = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), q) - 1 AS INTEGER) AS c, q
+  FROM v ORDER BY c LIMIT {k})"""
+    for i in range(rounds + 1):
+        text += f""",
+d{i} AS (SELECT r, c, CAST(list_sum(list_transform(list_zip(v.q, c{i}.q), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+  FROM v, c{i}),
+a{i} AS MATERIALIZED (SELECT r, min((d, c)) AS best FROM (SELECT r, c, d FROM d{i}) GROUP BY r)"""
+        if i < rounds:
+            text += f""",
+m{i} AS (SELECT c, list(CAST(s AS BIGINT) ORDER BY j) AS q FROM (
+  SELECT c, j, (sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*) AS s
+  FROM (SELECT best[2] AS c, unnest(q) AS x, unnest(range(64)) AS j FROM a{i} JOIN v USING (r)) GROUP BY c, j) GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m{i}.q, c{i}.q) AS q FROM c{i} LEFT JOIN m{i} USING (c))"""
+    return text + f"""
+SELECT vec_id, best[2] AS cluster, best[1] AS distance, CAST(sum(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best[1]) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.q, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN c{rounds} ON c{rounds}.c = best[2]"""
+
+
+_BREAKS = "chr(46) || ',;:!?' || chr(10) || chr(11) || chr(12) || chr(13)"
+
 LLM_ORACLES: dict[str, str] = {
+    "op11_phrase_collocations": rf"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split(translate(translate(coalesce(text, ''), {_AZ}),
+    {_BREAKS}, repeat(chr(10), 10)), chr(10))) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS p FROM (
+  SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS m) WHERE len(w) >= m)),
+f AS MATERIALIZED (SELECT lang, p, any_value(m) AS m, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY lang, p HAVING count(*) >= 10),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+cand AS (SELECT lang, p, m, f AS a, string_split(p, ' ') AS w FROM f WHERE m > 1),
+cuts AS (SELECT lang, p, m, a, w, unnest(range(1, m)) AS k FROM cand),
+s AS (SELECT cuts.lang, cuts.p, cuts.m, a, k, x.f AS l, y.f AS r, (1000000 * a * a) // (x.f * y.f) AS score FROM cuts
+  JOIN f x ON x.lang = cuts.lang AND x.p = array_to_string(w[1:k], ' ')
+  JOIN f y ON y.lang = cuts.lang AND y.p = array_to_string(w[k + 1:], ' ')),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM cand x WHERE b.m = 2 AND x.m = 3 AND x.lang = b.lang
+  AND (array_to_string(x.w[1:2], ' ') = b.p OR array_to_string(x.w[2:3], ' ') = b.p) AND 100 * x.a >= 50 * b.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM kept)
+SELECT lang, rank, p AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+  CAST(score AS BIGINT) AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
+    "op13_centroid_clustering": _clustering(40, 5),
     "op2_warc_merkle_audit": f"""
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html,
   CASE WHEN page_id % 97 = 5 THEN html[:11] || '~' || html[13:] WHEN page_id % 157 = 9 THEN html[:length(html) // 2]

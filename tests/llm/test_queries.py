@@ -23,7 +23,7 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert [n for n in range(1, 11) if not any(k.startswith(f"op{n}_") for k in LLM_QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(k.startswith(f"op{n}_") for k in LLM_QUERIES)] == []
     assert "pipeline" in LLM_QUERIES
 
 
