@@ -14,11 +14,13 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterable, Iterator
-from itertools import islice
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,12 +29,14 @@ from tabelion.sources import fs
 
 ship(__name__)
 
-#: Bytes of text whose words are replayed together.
-SLICE = 4 << 20
-#: Words cut out of a text before their tokens are looked up.
-CHUNK = 200_000
-#: Bytes of words and tokens that a task remembers before it starts anew.
+#: Characters of text whose new words are replayed together.
+SHARD = 24 << 20
+#: Characters of a text beyond which its words are cut out in parts.
+LONG = 4 << 20
+#: Bytes of distinct words and their tokens that a task remembers before it starts anew.
 REMEMBERED = 64 << 20
+#: Positions of a pair from which its merges are done as array operations.
+MANY = 24
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -55,115 +59,131 @@ class Replay:
         self.tokens = tokens
         self.ranks = {t: i for i, t in enumerate(tokens)}
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        #: The rank that a pair of tokens merges into, or -1; filled as pairs occur.
+        #: The rank that a pair of tokens (left << 32 | right) merges into, or -1; filled as pairs occur.
         self.merged: dict[int, int] = {}
 
-    def rank_of(self, left: int, right: int) -> int:
-        pair = left << 32 | right
+    def rank_of(self, pair: int) -> int:
         rank = self.merged.get(pair)
         if rank is None:
-            rank = self.merged[pair] = self.ranks.get(self.tokens[left] + self.tokens[right], -1)
+            both = self.tokens[pair >> 32] + self.tokens[pair & 0xFFFFFFFF]
+            rank = self.merged[pair] = self.ranks.get(both, -1)
         return rank
 
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        """The tokens of each word, as the bytes of an int32 array."""
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All words' tokens end to end, and where in them each word ends."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
-        first = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
-        n = len(first)
-        inner = np.ones(n, bool)  # positions with a right neighbour in their word
+        token = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
+        inner = np.ones(len(token), bool)  # positions with a right neighbour in their word
         inner[ends[sizes > 0] - 1] = False
-        right = np.where(inner, np.arange(1, n + 1), -1).tolist()
-        left = np.full(n, -1, np.int64)
-        left[1:][inner[:-1]] = np.flatnonzero(inner[:-1])
-        left, token, rank_of = left.tolist(), first.tolist(), self.rank_of
-
-        # The index: the rank of a pair's merge to the positions of the pair's left token.
-        index: dict[int, list[int]] = {}
         at = np.flatnonzero(inner)
-        pairs, which = np.unique(first[at] << 32 | first[at + 1] if len(at) else at, return_inverse=True)
-        ranks = np.array([rank_of(p >> 32, p & 0xFFFFFFFF) for p in pairs.tolist()], np.int64)[which]
-        order = np.argsort(ranks, kind="stable")
-        order = order[ranks[order] >= 0]
-        cuts = np.flatnonzero(np.diff(ranks[order])) + 1
-        for part in np.split(order, cuts) if len(order) else []:
-            index[int(ranks[part[0]])] = at[part].tolist()
-        agenda = sorted(index)
-
+        right, left = np.full(len(token), -1, np.int64), np.full(len(token), -1, np.int64)
+        right[at], left[at + 1] = at + 1, at
+
+        # The index: each pair that merges to the positions of its left token, and the agenda of pairs by rank.
+        index: dict[int, list[np.ndarray]] = {}
+        single: dict[int, list[int]] = defaultdict(list)
+        agenda: list[tuple[int, int]] = []
+
+        def enter(pairs: np.ndarray, positions: np.ndarray) -> None:
+            order = np.argsort(pairs, kind="stable")
+            pairs, positions = pairs[order], positions[order]
+            starts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+            for pair, a, b in zip(pairs[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(pairs)], strict=True):
+                rank = self.rank_of(pair)
+                if rank >= 0:
+                    if pair not in index and pair not in single:
+                        heapq.heappush(agenda, (rank, pair))
+                    index.setdefault(pair, []).append(positions[a:b])
+
+        if len(at):
+            enter(token[at] << 32 | token[at + 1], at)
+        token_at, left_at, right_at = memoryview(token), memoryview(left), memoryview(right)
         while agenda:
-            rank = heapq.heappop(agenda)
-            for p in sorted(index.pop(rank)):
-                q = right[p]
-                if token[p] < 0 or q < 0 or rank_of(token[p], token[q]) != rank:
-                    continue  # an earlier merge took one of the two
-                token[p], token[q] = rank, -1
-                right[p] = after = right[q]
-                before = left[p]
-                if after >= 0:
-                    left[after] = p
-                    new = rank_of(rank, token[after])
-                    if new >= 0:
-                        if new in index:
-                            index[new].append(p)
-                        else:
-                            index[new] = [p]
-                            heapq.heappush(agenda, new)
-                if before >= 0:
-                    new = rank_of(token[before], rank)
-                    if new >= 0:
-                        if new in index:
-                            index[new].append(before)
-                        else:
-                            index[new] = [before]
-                            heapq.heappush(agenda, new)
-        flat = np.array(token, np.int32)
-        alive = flat >= 0
-        flat, upto = flat[alive].tobytes(), np.r_[0, np.cumsum(alive)][np.r_[0, ends]].tolist()
-        return [flat[4 * upto[i] : 4 * upto[i + 1]] for i in range(len(words))]
+            rank, pair = heapq.heappop(agenda)
+            x, y = pair >> 32, pair & 0xFFFFFFFF
+            places, few = index.pop(pair, []), single.pop(pair, [])
+            if sum(map(len, places)) + len(few) < MANY:
+                for p in sorted([*few, *(i for part in places for i in part.tolist())]):
+                    q = right_at[p]
+                    if token_at[p] != x or q < 0 or token_at[q] != y:
+                        continue  # an earlier merge took one of the two
+                    after, before = right_at[q], left_at[p]
+                    token_at[p], token_at[q], right_at[p] = rank, -1, after
+                    new = []
+                    if after >= 0:
+                        left_at[after] = p
+                        new.append((rank << 32 | token_at[after], p))
+                    if before >= 0:
+                        new.append((token_at[before] << 32 | rank, before))
+                    for pair_of, place in new:
+                        its = self.rank_of(pair_of)
+                        if its >= 0:
+                            if pair_of not in index and pair_of not in single:
+                                heapq.heappush(agenda, (its, pair_of))
+                            single[pair_of].append(place)
+                continue
+            p = np.unique(np.concatenate([*places, np.array(few, np.int64)]))
+            p = p[(token[p] == x) & (right[p] >= 0)]
+            p = p[token[right[p]] == y]
+            if x == y and len(p):  # in a row of equal tokens every other position merges, from the left
+                first = np.r_[True, p[1:] != right[p[:-1]]]
+                nth = np.arange(len(p))
+                p = p[(nth - np.maximum.accumulate(np.where(first, nth, 0))) % 2 == 0]
+            q = right[p]
+            after = right[q]
+            token[p], token[q], right[p] = rank, -1, after
+            has = after >= 0
+            left[after[has]] = p[has]
+            before = left[p]
+            had = before >= 0
+            pairs = np.concatenate([rank << 32 | token[after[has]], token[before[had]] << 32 | rank])
+            if len(pairs):
+                enter(pairs, np.concatenate([p[has], before[had]]))
+        alive = token >= 0
+        return token[alive].astype(np.int32), np.r_[0, np.cumsum(alive)][ends]
 
 
 def _encode(tokens, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        replay, cut = Replay(tokens.value), regex.compile(pattern)
-        known: dict[str, bytes] = {}
-        volume = 0
-
-        def learn(words: Iterable[str]) -> None:
-            nonlocal volume
-            new = list(set(words) - known.keys())
-            if new:
-                done = replay.encode([w.encode() for w in new])
-                known.update(zip(new, done, strict=True))
-                volume += sum(map(len, new)) + sum(map(len, done)) + 150 * len(new)
+        cut = regex.compile(pattern)
+        replay = number = table = None
 
-        def long(text: str) -> bytes:
+        def numbers_of(text: str) -> list[np.ndarray]:
+            if len(text) <= LONG:
+                return [np.fromiter(map(number.__getitem__, cut.findall(text)), np.int64)]
             found, parts = cut.finditer(text), []
-            while words := [m[0] for m in islice(found, CHUNK)]:
-                learn(words)
-                parts.append(b"".join(map(known.__getitem__, words)))
-            return b"".join(parts)
+            while True:
+                parts.append(np.fromiter((number[m[0]] for m in islice(found, LONG // 8)), np.int64))
+                if not len(parts[-1]):
+                    return parts
 
         for batch in batches:
             ids, texts, at = batch.column("id"), batch.column("text"), 0
             while at < len(ids):
-                start, size, held = at, 0, []
-                while at < len(ids) and size < SLICE:
+                if number is None:
+                    replay, number = Replay(tokens.value), defaultdict(count().__next__)
+                    table = pa.array([], pa.list_(pa.int32()))  # each numbered word's tokens
+                start, size, parts, ends = at, 0, [], [0]
+                while at < len(ids) and size < SHARD:
                     text = texts[at].as_py()
+                    parts += (mine := numbers_of(text))
+                    ends.append(ends[-1] + sum(map(len, mine)))
                     size += len(text)
-                    held.append(long(text) if len(text) > SLICE else cut.findall(text))
                     at += 1
-                learn(w for words in held if isinstance(words, list) for w in words)
-                rows = [x if isinstance(x, bytes) else b"".join(map(known.__getitem__, x)) for x in held]
-                ends = np.cumsum([0, *(len(x) // 4 for x in rows)]).astype(np.int32)
-                flat = pa.array(np.frombuffer(b"".join(rows), np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(ends), flat)
-                yield pa.RecordBatch.from_arrays([ids[start:at], lists], names=["id", "ids"])
-                if volume > REMEMBERED:
-                    known.clear()
-                    replay.merged.clear()
-                    volume = 0
+                new = [w.encode() for w in islice(number, len(table), None)]
+                if new:
+                    flat, upto = replay.encode(new)
+                    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, upto].astype(np.int32)), pa.array(flat))
+                    table = pa.concat_arrays([table, lists])
+                spelt = table.take(pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
+                offsets = spelt.offsets.to_numpy()[np.array(ends)]
+                lists = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), spelt.flatten())
+                yield pa.RecordBatch.from_arrays([ids.slice(start, at - start), lists], names=["id", "ids"])
+                if table.nbytes + 150 * len(number) > REMEMBERED:
+                    number = None
 
     return run
 
@@ -185,11 +205,18 @@ def encode(docs: DataFrame, tokens: list[bytes], pattern: str, id_col: str = "do
 
 def _decode(tokens, position: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelt = tokens.value
+        spelt = pa.array(tokens.value, pa.large_binary())
         for batch in batches:
-            rows = (x.values.tolist() if x.is_valid else None for x in batch.column(position))
-            data = pa.array([None if r is None else b"".join(map(spelt.__getitem__, r)) for r in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, data], names=[*map(str, range(batch.num_columns)), "bytes"])
+            lists = batch.column(position)
+            flat = spelt.take(lists.flatten())
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            _, offsets, data = flat.buffers()
+            starts = np.frombuffer(offsets, np.int64, len(flat) + 1, flat.offset * 8)
+            ends = starts[np.r_[0, np.cumsum(sizes)]]
+            whole = memoryview(data) if data else b""
+            rows = [bytes(whole[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            column = pa.array(rows, pa.binary(), mask=lists.is_null().to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*map(str, range(batch.num_columns)), "bytes"])
 
     return run
 

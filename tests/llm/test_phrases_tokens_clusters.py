@@ -172,7 +172,7 @@ def test_bpe_in_small_slices_and_with_little_memory(vocabulary):
     tokens, theirs = vocabulary
     texts = [f"word{i % 7} and {i}, or " * 40 for i in range(30)] + ["z" * 500]
     batch = pa.RecordBatch.from_arrays([pa.array(range(31)), pa.array(texts)], names=["id", "text"])
-    small = {"SLICE": 300, "CHUNK": 11, "REMEMBERED": 1000}
+    small = {"SHARD": 3000, "LONG": 80, "REMEMBERED": 1000, "MANY": 2}
     kept = {k: getattr(bpe, k) for k in small}
     try:
         for k, v in small.items():
