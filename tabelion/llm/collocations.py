@@ -11,8 +11,9 @@ shard is a candidate, and all candidates are counted exactly over all shards.
   These remainders are added up, so a phrase has an upper bound of its count;
   those under ``min_count`` are no candidates. (Where a language has over
   ``min_count`` shards, the lowered support is 1 and the bound is the count.)
-* Shards report 64-bit hashes of phrases. Two phrases of one hash share a bound,
-  which is then larger, so no candidate is lost.
+* Shards report hashes of phrases, sorted, as arrays by ranges of the hash: a row
+  for each shard and range. Two phrases of one hash share a bound, which is then
+  larger, so no candidate is lost.
 * Candidates come back to the shards as a bitmap of fixed size (``BITMAP`` bits):
   the next level mines only phrases whose parts are in it, and the last pass
   counts by text all phrases that are. A phrase that is there by chance is
@@ -30,7 +31,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabelion.llm.common import LOWER, UPPER, ship, staged
@@ -48,6 +49,11 @@ BITMAP = 1 << 27
 LANGS = 10_000
 #: Bytes of text that are split into words at once.
 SLICE = 4 << 20
+#: Ranges of the hash that shards' phrases are reported in: one for each ``WORDS_A_RANGE`` words of the corpus, within limits.
+RANGES = (1 << 10, 1 << 16)
+WORDS_A_RANGE = 1 << 20
+#: Entries of a range that are added up at once.
+FOLDED = 8 << 20
 #: Parts that a language's phrases are ranked in before the final ranking.
 PARTS = 64
 
@@ -111,10 +117,15 @@ def runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Run]:
 
 
 def _bit(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = hashes & np.uint64(len(bitmap) * 64 - 1)
+    """Whether the bit that the hashes' first bits number is set."""
+    slot = hashes >> np.uint64(64 - _log2(len(bitmap) * 64))
     return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
+def _log2(power: int) -> int:
+    return power.bit_length() - 1
+
+
 def _word_hashes(words: list[bytes], used: np.ndarray, lang: str) -> np.ndarray:
     """What ``xxhash64(lang, word)`` is in Spark, at each used word's number."""
     import xxhash
@@ -145,8 +156,8 @@ def levels(words: list[bytes], ids: np.ndarray, lang: str, bitmaps: list[np.ndar
 
 
 def _lowered(n_words: int, total: int | None, min_count: int) -> int:
-    """The support of a shard: its share of ``min_count``, rounded up."""
-    return -(-min_count * n_words // total) if total else 1
+    """The support of a shard: its share of ``min_count``, rounded up, and at least 1."""
+    return max(1, -(-min_count * n_words // total)) if total else 1
 
 
 def _count_words(size: int):
@@ -162,33 +173,90 @@ def _count_words(size: int):
     return run
 
 
-def _mine(totals: dict[str, int], bitmaps: list, min_count: int, size: int):
-    """(lang, hash, bound) of the locally frequent phrases of one more word than there are bitmaps.
+def _mine(totals: dict[str, int], bitmaps: list, min_count: int, size: int, ranges: int):
+    """Rows (range, lang, less, rest, bounds) of a shard's locally frequent phrases of one more word than there are bitmaps.
 
-    ``bound`` is the count less what the shard would be given for a phrase
-    that it leaves out. A row without a hash has, as ``bound``, that remainder.
+    ``rest`` are the 32 bits of the hashes that follow their range's, sorted;
+    ``bounds`` the counts less ``less``, at most ``min_count``. ``less`` is what
+    the shard is given for a phrase that it leaves out. Where it is not 0, every
+    range gets a row. It can only be in languages of fewer than ``min_count``
+    times ``size`` words, which are therefore named; of others the hashes tell.
     """
+    log = _log2(ranges)
+    small = np.min_scalar_type(min_count)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, texts in runs(batches, size):
             for lang, ids in texts.items():
-                support = _lowered(int((ids != BREAK).sum()), totals.get(lang), min_count)
+                total = totals.get(lang)
+                named = total is not None and total < min_count * size
+                less = _lowered(min(int((ids != BREAK).sum()), size), total, min_count) - 1
                 found = list(levels(words, ids, lang, [b.value for b in bitmaps]))
                 at, hashes = found[-1] if len(found) == len(bitmaps) else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-                hashes, counts = np.unique(hashes[at], return_counts=True)
-                often = counts >= support
-                hashes, bounds = hashes[often].view(np.int64), counts[often] - (support - 1)
-                key = pa.array(hashes)
-                if support > 1:
-                    key, bounds = pa.concat_arrays([pa.array([None], pa.int64()), key]), np.r_[support - 1, bounds]
-                lang_of = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(key), np.int32)), pa.array([lang]))
+                keys, counts = np.unique(hashes[at] >> np.uint64(32 - log), return_counts=True)
+                often = counts > less
+                keys, bounds = keys[often], np.minimum(counts[often] - less, min_count).astype(small)
+                ends = np.searchsorted(keys, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(32))
+                keys = keys.astype(np.uint32)
+                wanted = np.arange(ranges) if less else np.flatnonzero(np.diff(ends))
+                cuts = [(ends[i], ends[i + 1]) for i in wanted.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [lang_of.cast(pa.string()), key, pa.array(bounds.astype(np.int64))], ["lang", "hash", "bound"]
+                    [
+                        pa.array(wanted.astype(np.int32)),
+                        pa.array([lang if named else None] * len(wanted), pa.string()),
+                        pa.array(np.full(len(wanted), less, np.int32)),
+                        pa.array([keys[i:j].tobytes() for i, j in cuts], pa.binary()),
+                        pa.array([bounds[i:j].tobytes() for i, j in cuts], pa.binary()),
+                    ],
+                    names=["range", "lang", "less", "rest", "bounds"],
                 )
 
     return run
 
 
+def _add(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, which = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(which, np.concatenate([b for _, b in parts]), len(keys)).astype(np.int64)
+
+
+def _unite(min_count: int, ranges: int, bits: int):
+    """(range, bits): each range's part of the bitmap of the phrases whose bounds add up to ``min_count``.
+
+    Rows come sorted by range. Of a range only the distinct hashes are held.
+    """
+    small = np.min_scalar_type(min_count)
+    own = bits // ranges
+
+    def part(at: int, held: dict, less: dict) -> tuple[int, bytes]:
+        flags = np.zeros(own, np.uint8)
+        for lang, parts in held.items():
+            keys, bounds = _add(parts)
+            hit = keys[bounds + less[lang] >= min_count].astype(np.uint64)
+            flags[(hit >> np.uint64(32 - _log2(own))).astype(np.int64)] = 1
+        return at, np.packbits(flags, bitorder="little").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, less, out = None, defaultdict(list), defaultdict(int), []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[0] != at and at is not None:
+                    out.append(part(at, held, less))
+                    held.clear()
+                    less.clear()
+                at, lang = row[:2]
+                less[lang] += row[2]
+                held[lang].append((np.frombuffer(row[3], np.uint32), np.frombuffer(row[4], small)))
+                if len(held[lang]) > 1 and sum(len(k) for k, _ in held[lang][1:]) > FOLDED:
+                    held[lang] = [_add(held[lang])]
+        if at is not None:
+            out.append(part(at, held, less))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([i for i, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["range", "bits"]
+        )
+
+    return run
+
+
 def _count(bitmaps: list, size: int):
     """(lang, phrase, c): exact counts in the shard of all phrases in the bitmaps, from two words."""
 
@@ -217,15 +285,24 @@ def _count(bitmaps: list, size: int):
     return run
 
 
-def _bitmap(hashes: DataFrame, bits: int):
-    """A broadcast of the bitmap of ``hashes`` (hash): of ``bits`` bits, a power of two, whatever their number."""
-    slot = F.col("hash").bitwiseAND(F.lit(bits - 1))
-    bit = F.expr("shiftleft(1L, cast(hash & 63 as int))")
-    rows = hashes.select(F.shiftright(slot, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+def _bitmap_of_words(words: DataFrame, bits: int) -> np.ndarray:
+    """The bitmap of ``words`` (lang, phrase): of ``bits`` bits, a power of two, whatever their number."""
+    hashed = words.select(F.shiftrightunsigned(F.xxhash64("lang", "phrase"), 64 - _log2(bits)).alias("slot"))
+    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    rows = hashed.select(F.shiftright("slot", 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     found = rows.toArrow()  # bits / 64 rows at most
     bitmap = np.zeros(bits // 64, np.int64)
     bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    return hashes.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+    return bitmap.view(np.uint64)
+
+
+def _bitmap_of_mined(mined: DataFrame, min_count: int, ranges: int, bits: int) -> np.ndarray:
+    """The bitmap of the mined phrases that can have ``min_count`` occurrences: a row of its bits for each range."""
+    dealt = mined.repartition("range").sortWithinPartitions("range")
+    bitmap = np.zeros((ranges, bits // ranges // 8), np.uint8)
+    for r in dealt.mapInArrow(_unite(min_count, ranges, bits), "range int, bits binary").collect():
+        bitmap[r["range"]] = np.frombuffer(r.bits, np.uint8)
+    return bitmap.reshape(-1).view(np.uint64)
 
 
 def frequent_phrases(
@@ -254,26 +331,19 @@ def frequent_phrases(
     sizes = staged(words.groupBy("lang").agg(F.sum("f").alias("n")), "lang-sizes")
     totals = {r.lang: r.n for r in sizes.orderBy(F.desc("n"), "lang").limit(LANGS).collect()}
     words = words.where(kept)
-    bitmaps = [_bitmap(words.select(F.xxhash64("lang", "phrase").alias("hash")), bits)]
+    send = docs.sparkSession.sparkContext.broadcast
+    wanted = sum(totals.values()) // WORDS_A_RANGE
+    ranges = min(max(RANGES[0], 1 << wanted.bit_length()), RANGES[1], bits // 64)
+    bitmaps = [send(_bitmap_of_words(words, bits))]
     for _ in range(2, max_words + 1):
-        mine = _mine(totals, bitmaps, min_count, run_words)
-        mined = staged(source.mapInArrow(mine, "lang string, hash bigint, bound bigint"), "mined")
-        left_out = mined.where("hash is null").groupBy("lang").agg(F.sum("bound").alias("more"))
-        more = {r.lang: r.more for r in left_out.collect()}  # of languages in ``totals`` only
-        bound = mined.where("hash is not null").groupBy("lang", "hash").agg(F.sum("bound").alias("bound"))
-        bitmaps.append(_bitmap(bound.where(F.col("bound") + _of_lang(more) >= min_count), bits))
+        mine = _mine(totals, bitmaps, min_count, run_words, ranges)
+        mined = source.mapInArrow(mine, "range int, lang string, less int, rest binary, bounds binary")
+        bitmaps.append(send(_bitmap_of_mined(mined, min_count, ranges, bits)))
     counted = source.mapInArrow(_count(bitmaps, run_words), "lang string, phrase string, c bigint")
     phrases = counted.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).where(kept)
     return staged(words.unionByName(phrases), "phrases"), sizes
 
 
-def _of_lang(more: dict[str, int]) -> Column:
-    if not more:
-        return F.lit(0)
-    table = F.create_map(*[F.lit(x) for pair in more.items() for x in pair])
-    return F.coalesce(F.element_at(table, F.col("lang")), F.lit(0))
-
-
 def collocations(phrases: DataFrame) -> DataFrame:
     """lang, phrase, a, l, r, score, cut of the phrases of two or more words in ``phrases`` (lang, phrase, f).
 
