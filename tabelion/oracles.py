@@ -289,6 +289,7 @@ ORACLES.update(
         + "SELECT table_name, CAST(1 AS BIGINT) AS n_files, n - long - cut AS expected, long + 2 * cut AS rejected, "
         "n - long - cut AS stored, CAST(0 AS BIGINT) AS difference, long + cut = 0 AS matches FROM damaged",
         "load_append": BASE + _union([_final_digest(t) for t in ("empresas", "estabelecimento", "socios", "simples")]),
+        "load_append_parts": BASE + _union([_final_digest(t) for t in ("empresas", "estabelecimento", "socios", "simples")]),
         "archive_rerun": BASE
         + "SELECT 'A.zip' AS archive, 'X.Y.D30610.CNAECSV' AS entry, true AS all_present, count(*) AS n_lines FROM cnae "
         "UNION ALL SELECT 'B.zip', 'X.Y.D30610.EMPRECSV', true, count(*) FROM empresas_raw "

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tabelion import schemas
 from tabelion.functions import reference_date
 from tabelion.operators import checks, derive
-from tabelion.plans import expand
+from tabelion.plans import append, expand
 from tabelion.plans import tables as tb
 from tabelion.session import scratch_path
 from tabelion.sources import registry
@@ -108,6 +108,7 @@ class LoadResult:
     reconciliation: DataFrame | None = None
     rejected_capital: int | None = None
     n_rejected: int = 0
+    partners: dict = field(default_factory=dict)
     n_buckets: int | None = None
     state_before: list = field(default_factory=list)
 
@@ -153,12 +154,14 @@ def derived(table: str, rows: DataFrame, strict: bool = True) -> DataFrame:
 
 def load_main_tables(
     spark, source, db, tables: list[str], per_file: DataFrame, mode="overwrite",
-    n_buckets: int = tb.DEFAULT_BUCKETS, strict: bool = True, strict_rows: bool = True,
+    n_buckets: int = tb.DEFAULT_BUCKETS, strict: bool = True, strict_rows: bool = True, added_rows: dict | None = None,
 ) -> list[dict]:
     """Decide for every main table in one job on the sum of rows over all its files, then write final rows once.
 
-    ``append`` adds the derived incoming rows to the stored ones. Otherwise a
-    new table is filled and takes the old one's place.
+    ``append`` adds the incoming rows that a table with rows lacks (``append.delta``),
+    whatever the totals are; decisions then have the counts ``read``, ``added`` and
+    ``already``, and ``added_rows`` gets what was added. Otherwise a new table is
+    filled and takes the old one's place.
     """
     source = as_source(spark, source)
     stored = {t: _stored(spark, db, t) for t in tables}
@@ -168,16 +171,22 @@ def load_main_tables(
     decisions = {r.table_name: r.asDict() for r in checks.decide_main_load(stats).collect()}  # one row per table
     for t in tables:
         d = decisions[t]
-        if not d["will_insert"]:
+        appending = mode == "append" and d["existing"] > 0
+        if not d["will_insert"] and not appending:
             continue
         rows = derived(t, source.rows(t, strict_rows), strict)
         final = [c for c, _ in schemas.final_columns(t)]
-        appending = mode == "append" and d["existing"] > 0
-        if appending and stored[t].columns == final:
-            insert_rows(rows, db, t, n_buckets, "append")
-            continue
-        if appending:  # stored without the computed columns so far
-            rows = derived(t, stored[t], strict).unionByName(rows)
+        if appending:
+            before = stored[t] if stored[t].columns == final else derived(t, stored[t], strict)
+            rows, counts = append.delta(before, rows.select(*final), t, by_bucket=t in append_by_bucket(stored[t], final))
+            d |= counts | {"decision": "append" if counts["added"] else "skip", "will_insert": counts["added"] > 0}
+            if added_rows is not None:
+                added_rows[t] = rows
+            if stored[t].columns == final:
+                if counts["added"]:
+                    insert_rows(rows, db, t, n_buckets, "append")
+                continue
+            rows = before.unionByName(rows)  # stored without the computed columns so far
         tb.create_final_table(spark, db, f"{t}__new", t, BUCKETED.get(t), SORTED.get(t), n_buckets)
         insert_rows(rows, db, f"{t}__new", n_buckets, "append", t)
         tb.drop_table(spark, db, t)
@@ -185,6 +194,11 @@ def load_main_tables(
     return [decisions[t] for t in tables]
 
 
+def append_by_bucket(stored: DataFrame, final: list[str]) -> set[str]:
+    """Main tables of a row a company that are stored in their buckets."""
+    return {"empresas"} if stored.columns == final else set()
+
+
 def insert_rows(rows: DataFrame, db: str, name: str, n_parts: int, mode: str, table: str | None = None) -> None:
     table = table or name
     if table in BUCKETED:
@@ -193,26 +207,33 @@ def insert_rows(rows: DataFrame, db: str, name: str, n_parts: int, mode: str, ta
         tb.write_rows(lookup_layout(rows, table, n_parts), db, name, mode)
 
 
-def load_partners(spark: SparkSession, db: str, mode: str, n_buckets: int = tb.DEFAULT_BUCKETS) -> None:
+def load_partners(
+    spark: SparkSession, db: str, mode: str, n_buckets: int = tb.DEFAULT_BUCKETS, new_offices: DataFrame | None = None
+) -> dict[str, int]:
     """Partners per head office from the partner staging, which is dropped afterwards.
 
-    In ``append`` mode the staged partners are added to the stored ones.
+    In ``append`` mode the derived table is brought up to date with the staged
+    partners and ``new_offices``, the head offices that were added. Partners
+    without a head office are kept for later deliveries.
     """
     so, est = tb.read(spark, db, "socios_original"), tb.read(spark, db, "estabelecimento")
     if so is None or est is None or "cnpj" not in est.columns:
-        return
-    # The head offices are dealt anew, not read by bucket: with a shuffle on both sides, adaptive execution splits
-    # the partition of a company that owns very many partners.
-    offices = derive.head_offices(est).hint("rebalance")
-    rows = derive.partners_of(so, offices)
+        return {}
+    counts, location = {}, tb.database_location(spark, db)
     if mode == "append" and tb.table_exists(spark, db, "socios"):
-        tb.insert_bucketed(rows, db, "socios", "append")
+        counts = append.append_partners(spark, db, location, derive.head_offices(est) if new_offices is None else new_offices)
     else:
+        # The head offices are dealt anew, not read by bucket: with a shuffle on both sides, adaptive execution splits
+        # the partition of a company that owns very many partners.
+        offices = derive.head_offices(est).hint("rebalance")
+        rows = derive.partners_of(so, offices)
         tb.create_final_table(spark, db, "socios__new", "socios", BUCKETED["socios"], SORTED["socios"], n_buckets)
         tb.insert_bucketed(rows, db, "socios__new", "append")
         tb.drop_table(spark, db, "socios")
         tb.rename_table(spark, db, "socios__new", "socios")
+        append.keep_waiting(spark, db, location, append.without_office(so, derive.head_offices(est)))
     tb.drop_table(spark, db, "socios_original")
+    return counts
 
 
 def reference_rows(extract_files: DataFrame, estabelecimento: DataFrame) -> DataFrame:
@@ -258,6 +279,8 @@ def run_load(
 ) -> LoadResult:
     """Load every table from ``landing`` (a folder of extracts, or a ``StagedSource``).
 
+    With ``mode="append"`` each table takes the rows of the delivery that it
+    lacks (see ``append``); rows neither added nor found raise ``LostRows``.
     ``n_buckets`` defaults to one bucket per ~256 MB of the largest table's
     input. ``strict`` concerns malformed amounts. With ``strict_rows`` a
     record that cannot be stored raises ``RejectedRows`` before any write;
@@ -287,26 +310,30 @@ def run_load(
         rejects = registry.rejects(landing.lines(schemas.BASE_TABLES), schemas.BASE_TABLES)
         rejects.write.mode("append" if mode == "append" else "overwrite").format("parquet").saveAsTable(tb.q(db, "_rejeitados"))
     result.decisions.extend(load_code_lists(spark, landing, db, schemas.CODE_TABLES, mode, force, strict_rows))
+    added: dict[str, DataFrame] = {}
     result.decisions.extend(
-        load_main_tables(spark, landing, db, MAIN_ORDER, per_file, mode, n_buckets, strict, strict_rows)
+        load_main_tables(spark, landing, db, MAIN_ORDER, per_file, mode, n_buckets, strict, strict_rows, added)
     )
     result.reconciliation = spark.createDataFrame(
         *_reconciled(spark, db, per_file, result.decisions, mode)
     )
+    if lost := [d for d in result.decisions if "read" in d and not d["expected"] == d["read"] == d["added"] + d["already"]]:
+        raise append.LostRows(", ".join(f"{d['table_name']}: {d['expected']} expected, {d['read']} read" for d in lost))
     if not strict:
         amounts = landing.rows("empresas", strict_rows)
         result.rejected_capital = derive.rejected_capital(amounts).count()  # amounts stored as NULL
-    load_partners(spark, db, mode, n_buckets)
+    new_offices = derive.head_offices(added["estabelecimento"]) if "estabelecimento" in added else None
+    result.partners = load_partners(spark, db, mode, n_buckets, new_offices)
     write_reference(spark, db, landing)
     return result
 
 
 def _reconciled(spark, db, per_file, decisions, mode):
-    """Reconciliation rows (one per table) and schema; rows that an append found are part of what is expected."""
+    """Reconciliation rows (one per table) and schema; of a table that was appended to, the delivery's rows are compared."""
     kept = [
-        (d["table_name"], int(d["existing"]))
+        (d["table_name"], int(d["existing"]) - int(d.get("already", 0)))
         for d in decisions
-        if mode == "append" and d["decision"] == "append" and d["existing"] > 0
+        if mode == "append" and d["existing"] > 0 and ("read" in d or d["decision"] == "append")
     ]
     stored = tb.counts(spark, db, schemas.BASE_TABLES)
     if kept:

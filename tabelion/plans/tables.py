@@ -9,6 +9,8 @@ relationship joins need no shuffle, sorted row groups for lookups.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from tabelion import schemas
 from tabelion.operators import checks
 
 DEFAULT_BUCKETS = 8
+#: The database property that names the folder of partners without a head office.
+WAITING_PARTNERS = "socios_pendentes"
 
 
 def q(db: str, table: str) -> str:
@@ -26,6 +30,22 @@ def create_database(spark: SparkSession, db: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{location}'")
 
 
+def database_property(spark: SparkSession, db: str, name: str) -> str | None:
+    """A property of the database, or None."""
+    rows = spark.sql(f"DESCRIBE DATABASE EXTENDED `{db}`").collect()
+    listed = next((r[1] for r in rows if r[0] == "Properties"), "") or ""
+    found = re.search(rf"\({re.escape(name)},([^)]*)\)", listed)
+    return found[1].strip() or None if found else None
+
+
+def set_database_property(spark: SparkSession, db: str, name: str, value: str) -> None:
+    spark.sql(f"ALTER DATABASE `{db}` SET DBPROPERTIES ('{_quote(name)}' = '{_quote(value)}')")
+
+
+def database_location(spark: SparkSession, db: str) -> str:
+    return next(r[1] for r in spark.sql(f"DESCRIBE DATABASE `{db}`").collect() if r[0] == "Location")
+
+
 def create_base_table(spark: SparkSession, db: str, table: str) -> None:
     """Drop and recreate one typed base table, with its comment."""
     s = schemas.spec(table)
@@ -158,6 +178,8 @@ def purge(spark: SparkSession, db: str, tables: list[str] | None = None) -> tupl
             spark.sql(f"TRUNCATE TABLE {q(db, r.table_name)}")
         except Exception as e:  # reported with its cause; the next tables are still emptied
             failed.append((r.table_name, f"{type(e).__name__}: {str(e).splitlines()[0]}"))
+    if "socios" in names and database_property(spark, db, WAITING_PARTNERS):
+        set_database_property(spark, db, WAITING_PARTNERS, "")  # no partner waits any longer
     spark.catalog.clearCache()
     for t in names:
         if table_exists(spark, db, t):

@@ -321,8 +321,8 @@ def damaged_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     return checks.reconciliation(pipeline.expected_per_file(spark, root, names), checks.table_counts(spark, stored))
 
 
-def _split_landing(spark: SparkSession, sf: str, first: bool) -> str:
-    """Extracts of the companies whose key's last digit is 0 to 2 (and all their rows), or of the others; all code lists."""
+def _split_landing(spark: SparkSession, sf: str, digits: dict[str, str] | str) -> str:
+    """Extracts of the rows whose company's last digit is among ``digits`` (of each main table); all code lists."""
     root = session.scratch_path(spark, "split", uuid.uuid4().hex)
     fs.makedirs(root)
     tag, lines = extracts.reference_tag(spark, sf), None
@@ -330,8 +330,7 @@ def _split_landing(spark: SparkSession, sf: str, first: bool) -> str:
         rows = extracts.pad_to_spec(fx.registry_view(spark, sf, t), t)
         key = schemas.spec(t).names[0]
         if t in pipeline.MAIN_ORDER:
-            low = F.substring(key, -1, 1).isin("0", "1", "2")
-            rows = rows.filter(low if first else ~low)
+            rows = rows.filter(F.substring(key, -1, 1).isin(*(digits if isinstance(digits, str) else digits[t])))
         one = rows.select(
             extracts.extract_name(t, tag).alias("_file"), F.col(key).alias("_key"), extracts.registry_line(t).alias("line")
         )
@@ -343,8 +342,27 @@ def _split_landing(spark: SparkSession, sf: str, first: bool) -> str:
 def load_append(spark: SparkSession, sf: str) -> DataFrame:
     """Stored rows of the derived tables after a load of some companies and an appending load of the others."""
     db, location = _scratch(spark, "append")
-    pipeline.run_load(spark, _split_landing(spark, sf, True), db, location)
-    pipeline.run_load(spark, _split_landing(spark, sf, False), db, location, mode="append")
+    pipeline.run_load(spark, _split_landing(spark, sf, "012"), db, location)
+    pipeline.run_load(spark, _split_landing(spark, sf, "3456789"), db, location, mode="append")
+    return _final_digests(spark, db)
+
+
+def load_append_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``load_append``, from a large delivery and then a smaller one that overlaps it, twice.
+
+    Some partners come before the establishments of their companies, some after.
+    """
+    db, location = _scratch(spark, "parts")
+    first = dict.fromkeys(pipeline.MAIN_ORDER, "23456789") | {"socios_original": "12345678"}
+    second = dict.fromkeys(pipeline.MAIN_ORDER, "0123") | {"socios_original": "0239"}
+    pipeline.run_load(spark, _split_landing(spark, sf, first), db, location)
+    second = _split_landing(spark, sf, second)
+    for _ in range(2):
+        pipeline.run_load(spark, second, db, location, mode="append")
+    return _final_digests(spark, db)
+
+
+def _final_digests(spark: SparkSession, db: str) -> DataFrame:
     out = None
     for t in ("empresas", "estabelecimento", "socios", "simples"):
         df = tb.read(spark, db, t)
@@ -578,7 +596,7 @@ def live_latest_establishments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES.update({f.__name__: f for f in (
-    rejected_rows, damaged_reconciliation, load_append, archive_rerun, file_sizes, tables_listed, table_definitions,
+    rejected_rows, damaged_reconciliation, load_append, load_append_parts, archive_rerun, file_sizes, tables_listed, table_definitions,
     purge_report, purge_summary, latest_folder_archives, live_latest_establishments,
 )})
 QUERIES.update(
