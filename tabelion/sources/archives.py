@@ -24,6 +24,7 @@ from tabelion import schemas
 from tabelion.operators.numbering import row_number_within
 from tabelion.session import scratch_path, ship_package
 from tabelion.sources import fs
+from tabelion.sources.records import MAX_LINES
 from tabelion.sources.registry import list_extracts
 
 CHUNK_BYTES = 8 * 1024 * 1024
@@ -67,8 +68,15 @@ def _lines_batch(archive: str, entry: str, numbers: list[int], lines: list[str |
 
 
 def _member_lines(archive: str, entry: str, member) -> Iterator[pa.RecordBatch]:
-    """Stream one member as Latin-1 lines; blank lines are skipped, numbering counts them."""
+    """Stream one member as Latin-1 records: lines, or several joined where a quoted field has line breaks.
+
+    Blank lines are skipped, numbering counts them; a record has its first
+    line's number. What ``records.joined_records`` does with records of very
+    many lines is done here, too.
+    """
     rest, line_no = b"", 0
+    pieces: list[str] = []  # of a record that is open
+    size = 0  # lines of it
     lines: list[str] = []
     numbers: list[int] = []
     while True:
@@ -81,10 +89,28 @@ def _member_lines(archive: str, entry: str, member) -> Iterator[pa.RecordBatch]:
         if chunk or data:
             for text in data[:cut].decode("latin-1").split("\n"):
                 line_no += 1
-                text = text.rstrip("\r")
-                if text.strip(" \t"):
-                    lines.append(text)
-                    numbers.append(line_no)
+                odd = text.count('"') % 2 == 1
+                if size or odd:
+                    size += 1
+                    pieces.append(text)
+                    if odd and size > 1 and size <= MAX_LINES:
+                        done, size = ["\n".join(pieces)], 0
+                    elif size > MAX_LINES:
+                        done = [x if x.count('"') % 2 else '"' + x for x in pieces]
+                        size = 0 if odd else size
+                    else:
+                        continue
+                    at, pieces = line_no - len(pieces) + 1, []
+                else:
+                    done, at = [text], line_no
+                for x in done:
+                    if (x := x.rstrip("\r")).strip(" \t"):
+                        lines.append(x)
+                        numbers.append(at)
+                    at += 1
+        if not chunk and pieces:  # never closed
+            lines.append("\n".join(pieces).rstrip("\r"))
+            numbers.append(line_no - len(pieces) + 1)
         rest = data[cut + 1 :]
         if lines and (not chunk or len(lines) >= BATCH_ROWS):
             yield _lines_batch(archive, entry, numbers, lines)

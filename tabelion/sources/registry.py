@@ -2,8 +2,9 @@
 
 * main tables keep empty fields as ``''`` (never NULL);
 * code lists turn empty fields and the missing-value tokens into NULL;
-* short rows are padded (``''`` / NULL); records with too many fields or an
-  unclosed quote (cut by a line break inside a field) are rejects: reading is
+* short rows are padded (``''`` / NULL); a field may have line breaks: its
+  record comes back whole (``records``);
+* records with too many fields or an unclosed quote are rejects: reading is
   strict by default and fails on one, naming its file; lenient reading leaves
   them out, and ``rejected_rows`` lists them;
 * lines end with ``\\n`` (a trailing ``\\r`` is dropped); blank ones are skipped;
@@ -12,12 +13,14 @@
 
 The scan is a plain splittable CSV scan: parsing runs in the JVM, files split
 into ``spark.sql.files.maxPartitionBytes`` chunks, and column pruning and
-filters apply as for any file source.
+filters apply as for any file source. Files in which a line has an odd number
+of quotes are found first, by one scan of the folder, and read apart.
 """
 
 from __future__ import annotations
 
 from fnmatch import fnmatchcase as fnmatch
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +28,7 @@ from pyspark.sql import types as T
 
 from tabelion.functions import file_name, reject_cause
 from tabelion.schemas import ALL_SPECS, MISSING_TOKENS, TableSpec, spec
-from tabelion.sources import fs
+from tabelion.sources import fs, records
 
 SOURCE = "source_file"
 REJECT = "_reject"
@@ -84,14 +87,23 @@ def content(lines: DataFrame, line_col: str = LINE) -> DataFrame:
 
 
 def scan_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """Record lines of every file under ``folder`` whose name matches ``pattern``."""
+    """Records of every file under ``folder`` whose name matches ``pattern``: a line each, or several joined by their breaks."""
+    known = table_of(F.col("file_name")).isNotNull()
+    cut = [p for p in records.cut_files(spark, folder, known) if fnmatch(unquote(p.rsplit("/", 1)[-1]), pattern)]
     raw = (
         spark.read.schema(T.StructType([T.StructField(LINE, T.StringType(), True)]))
         .options(**LINE_OPTIONS)
         .option("pathGlobFilter", pattern)
         .csv(folder)
     )
-    return content(raw.select(F.col("_metadata.file_name").alias(SOURCE), LINE))
+    if not cut:
+        return content(raw.select(F.col("_metadata.file_name").alias(SOURCE), LINE))
+    # The lines themselves are blanked, too: a later filter that fails on a reject may be run before this one.
+    other = ~F.col("_metadata.file_path").isin(cut)
+    whole = raw.where(other).select(F.col("_metadata.file_name").alias(SOURCE), F.when(other, F.col(LINE)).alias(LINE))
+    text = F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias(LINE)
+    lines = records.raw_lines(spark, [unquote(p) for p in cut]).select(F.col("file_name").alias(SOURCE), "block", "at", text)
+    return content(whole.unionByName(records.joined_records(lines, [SOURCE])))
 
 
 def parse_lines(lines: DataFrame, table: str, line_col: str = LINE) -> DataFrame:

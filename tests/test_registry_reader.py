@@ -93,14 +93,14 @@ def test_write_extracts_round_trip(spark, folder):
 
 
 def test_line_ends_cut_records_and_empty_files(spark, folder):
-    """Both readers agree: CRLF ends, blank lines skipped, a lone CR kept, a line break in a field rejected twice."""
+    """Both readers agree: CRLF ends, blank lines skipped, a lone CR kept, line breaks in fields kept, an unclosed quote rejected."""
     import os
     import zipfile
 
     from tabelion.plans import expand, pipeline
 
     uri, local = folder
-    body = b'"01";"a"\r\n   \n\n"02";"b\rc"\n"03";"cut\nhere"\n"04";"d"'
+    body = b'"01";"a"\r\n   \n\n"02";"b\rc"\n"03";"cut\nhere"\n"04";"d"\n"05";"one\r\n\n"";two\n  "\r\n"06";"open\nend'
     os.makedirs(f"{local}/in")
     write_bytes(f"{local}/in", "F.Z.D30610.PAISCSV", body)
     write_bytes(f"{local}/in", "F.E.D30610.PAISCSV", b"")
@@ -110,14 +110,83 @@ def test_line_ends_cut_records_and_empty_files(spark, folder):
     expand.stage_archives(spark, uri, f"{uri}/staged")
     for source in (pipeline.FolderSource(spark, f"{uri}/in"), pipeline.StagedSource(spark, f"{uri}/staged")):
         rows = {tuple(r) for r in source.rows("pais", strict=False).collect()}
-        assert rows == {("01", "a"), ("02", "b\rc"), ("04", "d")}
+        assert rows == {("01", "a"), ("02", "b\rc"), ("03", "cut\nhere"), ("04", "d"), ("05", 'one\r\n\n";two\n  ')}
         counts = {r.file_name: (r.n_rows, r.n_rejected) for r in pipeline.expected_per_file(spark, source, ["pais"]).collect()}
-        assert counts == {"F.Z.D30610.PAISCSV": (3, 2), "F.E.D30610.PAISCSV": (0, 0)}
+        assert counts == {"F.Z.D30610.PAISCSV": (5, 1), "F.E.D30610.PAISCSV": (0, 0)}
         assert {r.cause for r in registry.rejects(source.lines(["pais"]), ["pais"]).collect()} == {"open_quote"}
         with pytest.raises(Exception, match="open_quote"):
             source.rows("pais").collect()
 
 
+def plain_records(text):
+    """Records by walking the characters: a break outside quotes ends one."""
+    out, now, inside = [], "", False
+    for ch in text:
+        inside ^= ch == '"'
+        if ch == "\n" and not inside:
+            out.append(now)
+            now = ""
+        else:
+            now += ch
+    return [x.rstrip("\r") for x in [*out, now] if x.strip(" \t\r")]
+
+
+def test_records_with_breaks_come_back_whole_however_split(spark, folder):
+    """Fields with no, one, two and many breaks over many small splits, in folder and archive, equal a walk over the text."""
+    import os
+    import random
+    import zipfile
+
+    from tabelion.plans import expand, pipeline
+
+    uri, local = folder
+    pick = random.Random(7)
+    rows = []
+    for i in range(400):
+        breaks = pick.choice([0, 0, 0, 0, 1, 2, 30])
+        text = "".join(pick.choice(["ab", "\n", '""', ";", "\r\n", "ç"]) for _ in range(3 * breaks)) if breaks else "plain"
+        rows.append(f'"{i:03d}";"{text}"')
+    body = "\n".join(rows)
+    os.makedirs(f"{local}/in")
+    write_bytes(f"{local}/in", "F.Z.D30610.PAISCSV", body.encode("latin-1"))
+    write_bytes(f"{local}/in", "F.Y.D30610.PAISCSV", b'"999";"none cut"\n')
+    with zipfile.ZipFile(f"{local}/A.zip", "w") as z:
+        z.write(f"{local}/in/F.Z.D30610.PAISCSV", "F.Z.D30610.PAISCSV")
+        z.write(f"{local}/in/F.Y.D30610.PAISCSV", "F.Y.D30610.PAISCSV")
+    want = sorted([*plain_records(body), '"999";"none cut"'])
+    assert len(want) == 401
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        source = pipeline.FolderSource(spark, f"{uri}/in")
+        assert sorted(r.line for r in source.lines(["pais"]).collect()) == want
+        assert source.rows("pais").count() == 401
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    expand.stage_archives(spark, uri, f"{uri}/staged")
+    staged = pipeline.StagedSource(spark, f"{uri}/staged")
+    assert sorted(r.line for r in staged.lines(["pais"]).collect()) == want
+    assert sorted(map(str, staged.rows("pais").collect())) == sorted(map(str, source.rows("pais").collect()))
+
+
+def test_a_record_of_too_many_lines_is_rejected_line_by_line(spark, folder, monkeypatch):
+    import io
+
+    from tabelion.sources import archives, records
+
+    body = '"01";"a\nb\nc\nd"\n"02";"x\ny"\n"03";"z'
+    lines = [(0, 0, i, x) for i, x in enumerate(body.split("\n"))]
+    df = spark.createDataFrame(lines, "f int, block long, at long, line string")
+    got = sorted(r.line for r in records.joined_records(df, ["f"], max_lines=3).collect())
+    assert got == sorted(['"01";"a', '"b', '"c', 'd"', '"02";"x\ny"', '"03";"z'])
+    monkeypatch.setattr(archives, "MAX_LINES", 3)
+    batches = archives._member_lines("A", "e", io.BytesIO(body.encode()))
+    found = [(n, x) for b in batches for n, x in zip(b.column("line_no").to_pylist(), b.column("line").to_pylist())]
+    assert sorted(x for _, x in found) == got and [n for n, _ in found] == [1, 2, 3, 4, 5, 7]
+
+
 def test_long_names_are_spread_over_files(spark, folder):
     from tabelion.sources import extracts
 
