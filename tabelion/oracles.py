@@ -262,15 +262,35 @@ READERS = BASE + _union([_digest(t) for t in MAIN])
 LOADED = sorted({*schemas.BASE_TABLES, "socios"} - {"socios_original"})
 
 
-def _damaged(t: str, key: str) -> str:
-    view = EXTRACT[t]
+BROKEN_COLUMN = {
+    "empresas": "razao_social", "estabelecimento": "nome_fantasia", "socios_original": "nome_socio", "simples": "opcao_simples",
+}
+
+
+def _key_of(t: str) -> str:
+    return "codigo" if schemas.spec(t).is_code else "cnpj_basico"
+
+
+def _damaged(t: str) -> str:
     return (
         f"SELECT '{t}' AS table_name, 'X.Y.D30610{schemas.spec(t).suffix}' AS file_name, count(*) AS n, "
-        f"count(*) FILTER (WHERE right({key}, 1) = '3') AS long, count(*) FILTER (WHERE right({key}, 1) = '4') AS cut FROM {view}"
+        f"count(*) FILTER (WHERE right({_key_of(t)}, 1) = '3') AS long FROM {EXTRACT[t]}"
+    )
+
+
+def _broken_texts(reader: str, t: str) -> str:
+    name = BROKEN_COLUMN.get(t, "descricao")
+    breaks = (
+        f"CASE right({_key_of(t)}, 1) WHEN '4' THEN 'A' || chr(10) "
+        f"WHEN '5' THEN 'B' || chr(10) || chr(10) || 'C;' || chr(13) || chr(10) ELSE '' END"
+    )
+    return (
+        f"SELECT '{reader}' AS reader, '{t}' AS table_name, {_key_of(t)} AS key, md5({breaks} || {name}) AS text_md5 "
+        f"FROM {EXTRACT[t]} WHERE right({_key_of(t)}, 1) <> '3'"
     )
 
 
-DAMAGED = BASE + f", damaged AS ({_damaged('empresas', 'cnpj_basico')} UNION ALL {_damaged('pais', 'codigo')})\n"
+DAMAGED = BASE + f", damaged AS ({_union([_damaged(t) for t in schemas.BASE_TABLES])})\n"
 GONE = "(regexp_matches(entry, 'Y[02468][.].*EMPRECSV$') OR entry LIKE '%CNAECSV')"
 
 ORACLES.update(
@@ -284,10 +304,12 @@ ORACLES.update(
         "UNION ALL SELECT 'estabelecimento', 'K3241.K03200Y9.D00101.ESTABELE', 0, 0",
         "rejected_rows": DAMAGED
         + "SELECT table_name, file_name, 'too_long' AS cause, long AS n_rows FROM damaged WHERE long > 0 "
-        "UNION ALL SELECT table_name, file_name, 'open_quote', 2 * cut FROM damaged WHERE cut > 0",
+        "UNION ALL SELECT table_name, file_name, 'open_quote', 1 FROM damaged",
         "damaged_reconciliation": DAMAGED
-        + "SELECT table_name, CAST(1 AS BIGINT) AS n_files, n - long - cut AS expected, long + 2 * cut AS rejected, "
-        "n - long - cut AS stored, CAST(0 AS BIGINT) AS difference, long + cut = 0 AS matches FROM damaged",
+        + "SELECT table_name, CAST(1 AS BIGINT) AS n_files, n - long AS expected, long + 1 AS rejected, "
+        "n - long AS stored, CAST(0 AS BIGINT) AS difference, false AS matches FROM damaged",
+        "records_of_lines": BASE
+        + _union([_broken_texts(reader, t) for reader in ("folder", "archive") for t in schemas.BASE_TABLES]),
         "load_append": BASE + _union([_final_digest(t) for t in ("empresas", "estabelecimento", "socios", "simples")]),
         "load_append_parts": BASE + _union([_final_digest(t) for t in ("empresas", "estabelecimento", "socios", "simples")]),
         "archive_rerun": BASE

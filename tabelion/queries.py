@@ -292,20 +292,30 @@ def rows_per_file(spark: SparkSession, sf: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+#: The text column that gets line breaks in the damaged extracts.
+BROKEN_COLUMN = {
+    "empresas": "razao_social", "estabelecimento": "nome_fantasia", "socios_original": "nome_socio", "simples": "opcao_simples",
+}
+
+
 def damaged_landing(spark: SparkSession, sf: str) -> str:
-    """Extracts of companies and countries with records too long, and records cut by a line break in a name."""
+    """Extracts of all tables with line breaks in texts, records too long, and a last record whose quote is not closed."""
     root = session.scratch_path(spark, "damaged", uuid.uuid4().hex)
     fs.makedirs(root)
-    frames = []
-    for t, key in (("empresas", "cnpj_basico"), ("pais", "codigo")):
+    lines = None
+    for t in schemas.BASE_TABLES:
         rows = extracts.pad_to_spec(fx.registry_view(spark, sf, t), t)
-        name = schemas.spec(t).names[1]
+        key, name = schemas.spec(t).names[0], BROKEN_COLUMN.get(t, "descricao")
         digit = F.substring(key, -1, 1)
-        broken = rows.withColumn(name, F.when(digit == "4", F.concat(F.lit("A\n"), name)).otherwise(F.col(name)))
+        before = F.when(digit == "4", "A\n").when(digit == "5", "B\n\nC;\r\n").otherwise("")
         line = extracts.registry_line(t)
         line = F.when(digit == "3", F.concat(line, F.lit(';"x"'))).otherwise(line)
-        frames.append(broken.select(F.lit(f"X.Y.D30610{schemas.spec(t).suffix}").alias("_file"), F.col(key).alias("_key"), line.alias("line")))
-    extracts.write_lines(frames[0].unionByName(frames[1]), root)
+        file = F.lit(f"X.Y.D30610{schemas.spec(t).suffix}").alias("_file")
+        one = rows.withColumn(name, F.concat(before, name)).select(file, F.col(key).alias("_key"), line.alias("line"))
+        unclosed = spark.range(1).select(file, F.lit("~").alias("_key"), F.lit('"~";"open').alias("line"))
+        one = one.unionByName(unclosed)
+        lines = one if lines is None else lines.unionByName(one)
+    extracts.write_lines(lines, root, breaks=True)
     return root
 
 
@@ -316,11 +326,30 @@ def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
 def damaged_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     """Expected, rejected and stored rows of the damaged extracts, read leniently: nothing matches silently."""
     root = damaged_landing(spark, sf)
-    names = ["empresas", "pais"]
+    names = schemas.BASE_TABLES
     stored = {t: registry.read_table(spark, root, t, strict=False) for t in names}
     return checks.reconciliation(pipeline.expected_per_file(spark, root, names), checks.table_counts(spark, stored))
 
 
+def records_of_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Key and text with its line breaks of all records of the damaged extracts, from the folder and from archives."""
+    root = damaged_landing(spark, sf)
+    zipped, staged = (session.scratch_path(spark, "records", uuid.uuid4().hex) for _ in range(2))
+    fs.makedirs(zipped)
+    archive = F.concat(registry.table_of(F.col("file_name")), F.lit(".zip"))
+    archives.build_archives(spark, root, zipped, archive).write.format("noop").mode("overwrite").save()
+    expand.stage_archives(spark, zipped, staged)
+    out = None
+    for kind, source in (("folder", pipeline.FolderSource(spark, root)), ("archive", pipeline.StagedSource(spark, staged))):
+        for t in schemas.BASE_TABLES:
+            key, name = schemas.spec(t).names[0], BROKEN_COLUMN.get(t, "descricao")
+            rows = source.rows(t, strict=False).select(
+                F.lit(kind).alias("reader"), F.lit(t).alias("table_name"), F.col(key).alias("key"), F.md5(name).alias("text_md5")
+            )
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _split_landing(spark: SparkSession, sf: str, digits: dict[str, str] | str) -> str:
     """Extracts of the rows whose company's last digit is among ``digits`` (of each main table); all code lists."""
     root = session.scratch_path(spark, "split", uuid.uuid4().hex)
@@ -596,7 +625,7 @@ def live_latest_establishments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES.update({f.__name__: f for f in (
-    rejected_rows, damaged_reconciliation, load_append, load_append_parts, archive_rerun, file_sizes, tables_listed, table_definitions,
+    rejected_rows, damaged_reconciliation, records_of_lines, load_append, load_append_parts, archive_rerun, file_sizes, tables_listed, table_definitions,
     purge_report, purge_summary, latest_folder_archives, live_latest_establishments,
 )})
 QUERIES.update(

@@ -57,10 +57,11 @@ def write_extracts(df: DataFrame, root: str, names: Column, order: list[str] | N
 LINES_PER_FILE = 20_000_000
 
 
-def write_lines(lines: DataFrame, root: str, parts: int = 1) -> list[str]:
+def write_lines(lines: DataFrame, root: str, parts: int = 1, breaks: bool = False) -> list[str]:
     """Write preformatted lines (columns ``_file``, ``_key``, ``line``) as registry files, one job.
 
-    The lines of a name go to ``parts`` tasks, by the hash of the line.
+    The lines of a name go to ``parts`` tasks, by the hash of the line. With
+    ``breaks``, lines may hold line breaks, which the CSV writer would quote.
     """
     part = F.pmod(F.xxhash64("line"), F.lit(parts)).alias("_part")
     routed = lines.select("*", part)
@@ -71,12 +72,15 @@ def write_lines(lines: DataFrame, root: str, parts: int = 1) -> list[str]:
     else:
         routed = routed.repartition("_file", "_part")
     routed = routed.sortWithinPartitions("_file", "_part", "_key")
+    if breaks:
+        text = F.encode("line", "ISO-8859-1").cast("string").alias("value")
+        return _write_routed(routed.select("_file", text), root, {"lineSep": "\n"}, "text")
     return _write_routed(routed.select("_file", "line"), root, LINE_WRITE_OPTIONS)
 
 
-def _write_routed(routed: DataFrame, root: str, options: dict) -> list[str]:
+def _write_routed(routed: DataFrame, root: str, options: dict, kind: str = "csv") -> list[str]:
     tag = f"_staging_{uuid.uuid4().hex}"
-    routed.write.partitionBy("_file").options(**options).csv(f"{root}/{tag}")
+    routed.write.partitionBy("_file").options(**options).format(kind).save(f"{root}/{tag}")
     filesystem, base = fs.resolve(root)
     by_name: dict[str, list[str]] = {}
     for path in fs.list_files(f"{root}/{tag}"):
