@@ -38,8 +38,9 @@ ship("tabelion.llm.decontaminate")
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: 32 bands of 5: a pair at similarity 0.8 misses all buckets with probability 3e-6.
-BANDS, ROWS = 32, 5
+#: 26 bands of 6: a pair at similarity 0.8 misses all buckets with probability 4e-4, one at 0.85 with 3e-6; pairs at
+#: 0.5 and 0.6, which are only work, share one with probability 0.34 and 0.71.
+BANDS, ROWS = 26, 6
 #: Components in a bucket beyond which its members meet by their rarest shingles rather than in it.
 CROWD = 64
 #: Slots in which shingles are counted to tell rare ones; any count gives the same links.
@@ -348,7 +349,8 @@ def _sides(met: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
         F.array(F.when(j >= 2 * threshold - 1, F.lit("near")), F.when(j < threshold, F.lit("far")))
     )
     parts = at.join(tested, ["a", "b"]).select("key", "doc", "j", F.explode(sides).alias("side"))
-    return parts.select(F.xxhash64("key", "side").alias("key"), "doc", "j", F.lit(True).alias("decides"))
+    anywhere = [F.lit(None).cast("int").alias(c) for c in ("n_strips", "rest")]
+    return parts.select(F.xxhash64("key", "side").alias("key"), "doc", "j", F.lit(True).alias("decides"), *anywhere)
 
 
 def _may_link(threshold: float) -> Column:
@@ -356,21 +358,25 @@ def _may_link(threshold: float) -> Column:
 
     By the triangle inequality, documents whose distances to a third one differ
     by more than 1 - threshold cannot; of the two, the one of smaller ``j`` decides.
+    In a bucket of a shingle they share at most ``rest`` of either, if it is the
+    first that they share (if it is not, that one's bucket tells), and linked
+    ones share threshold / (1 + threshold) of both sizes together.
     """
+    least = F.least("rest", "its_rest") >= threshold / (1 + threshold) * (F.col("n_strips") + F.col("its_n_strips")) - 1e-6
     near = F.abs(F.col("j") - F.col("its_j")) <= 1 - threshold + 1e-9
     here = (F.col("decides") & (F.col("j") <= F.col("its_j"))) | (F.col("its_decides") & (F.col("its_j") <= F.col("j")))
-    return near & here
+    return near & here & F.coalesce(least, F.lit(True))
 
 
 def _rare(members: DataFrame, n: int) -> DataFrame:
-    """key, centre, its_label, its_j, its_decides: some members of each bucket, smallest components first.
+    """key, centre, its_label, its_j, its_decides, its_n_strips, its_rest: some members of each bucket, smallest components first.
 
     There are about ``n`` for each ``ORDERED`` components. Components are taken
     whole while ``n`` lasts; of the smallest at least one document is taken.
     The window is over some ``ORDERED`` components at most.
     """
     share = F.pmod(F.xxhash64("label"), F.ceil(F.max("n_labels") / ORDERED)).alias("share")
-    pick = F.max(F.struct("doc", "j", "decides")).alias("one")
+    pick = F.max(F.struct("doc", "j", "decides", "n_strips", "rest")).alias("one")
     parts = members.groupBy("key", "label").agg(F.count("*").alias("n"), pick, share)
     order = Window.partitionBy("key", "share").orderBy("n", F.col("label").desc())
     ranked = parts.select(
@@ -381,7 +387,7 @@ def _rare(members: DataFrame, n: int) -> DataFrame:
         F.row_number().over(order).alias("rank"),
     )
     whole = ranked.where(F.col("upto") <= n).select("key", "label")
-    taken = members.join(whole, ["key", "label"]).select("key", "label", "doc", "j", "decides")
+    taken = members.join(whole, ["key", "label"]).select("key", "label", "doc", "j", "decides", "n_strips", "rest")
     first = ranked.where((F.col("rank") == 1) & (F.col("upto") > n)).select("key", "label", "one.*")
     return taken.unionByName(first).select(
         "key",
@@ -389,16 +395,19 @@ def _rare(members: DataFrame, n: int) -> DataFrame:
         F.col("label").alias("its_label"),
         F.col("j").alias("its_j"),
         F.col("decides").alias("its_decides"),
+        F.col("n_strips").alias("its_n_strips"),
+        F.col("rest").alias("its_rest"),
     )
 
 
 def _undecided(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The buckets (key, doc, j, decides, label, n_labels) whose members are of several components.
+    """The buckets (key, doc, j, decides, n_strips, rest, label, n_labels) whose members are of several components.
 
     Buckets that decide nothing are done.
     """
-    named = members.select("key", "doc", "j", "decides").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    named = named.select("key", "doc", "j", "decides", F.coalesce("label", "doc").alias("label"))
+    columns = ["key", "doc", "j", "decides", "n_strips", "rest"]
+    named = members.select(*columns).join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    named = named.select(*columns, F.coalesce("label", "doc").alias("label"))
     parts = named.groupBy("key").agg(F.count_distinct("label").alias("n_labels"), F.max("decides").alias("_any"))
     return named.join(parts.where("n_labels > 1 and _any").drop("_any"), "key")
 
@@ -417,7 +426,10 @@ def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rare_shingles(counts, threshold: float):
-    """Rows (key, doc, j, decides) for the rarest strips of each document that any other can share."""
+    """Rows (key, doc, j, decides, n_strips, rest) for the rarest strips of each document that any other can share.
+
+    ``rest`` counts the strip and all that come after it in the order.
+    """
     scale = (1 - threshold) / -np.log(threshold) if threshold < 1 else 1.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -432,13 +444,15 @@ def _rare_shingles(counts, threshold: float):
                 at = np.flatnonzero(seen[order] > 1)
                 keys = pa.array(strips[order[at]].view(np.int64))
                 same = [np.full(len(at), doc, np.int64), np.full(len(at), np.log(n) * scale), at < deciding]
-                yield pa.RecordBatch.from_arrays([keys, *map(pa.array, same)], names=["key", "doc", "j", "decides"])
+                same += [np.full(len(at), n, np.int32), (n - at).astype(np.int32)]
+                names = ["key", "doc", "j", "decides", "n_strips", "rest"]
+                yield pa.RecordBatch.from_arrays([keys, *map(pa.array, same)], names=names)
 
     return run
 
 
 def _by_rare_shingles(crowd: DataFrame, strips: DataFrame, threshold: float) -> DataFrame:
-    """Buckets (key, doc, j, decides) in which any two of ``crowd`` (doc, label) that can be linked meet.
+    """Buckets (key, doc, j, decides, n_strips, rest) in which any two of ``crowd`` (doc, label) that can be linked meet.
 
     With all strips in one order, rarest first, documents x and y (not larger)
     at similarity t share their first common strip among the first
@@ -459,7 +473,7 @@ def _by_rare_shingles(crowd: DataFrame, strips: DataFrame, threshold: float) ->
     counted = counted.toArrow()  # SLOTS rows at most
     counts[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
     run = _rare_shingles(spark.sparkContext.broadcast(counts), threshold)
-    rows = mine.mapInArrow(run, "key bigint, doc bigint, j double, decides boolean").join(crowd, "doc")
+    rows = mine.mapInArrow(run, "key bigint, doc bigint, j double, decides boolean, n_strips int, rest int").join(crowd, "doc")
     # Few strips are shared by several components.
     ends = rows.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.max("decides").alias("_any"))
     shared = rows.join(ends.where("_a < _b and _any").select("key"), "key", "left_semi")
