@@ -474,9 +474,13 @@ def _by_rare_shingles(crowd: DataFrame, strips: DataFrame, threshold: float) ->
     counts[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
     run = _rare_shingles(spark.sparkContext.broadcast(counts), threshold)
     rows = mine.mapInArrow(run, "key bigint, doc bigint, j double, decides boolean, n_strips int, rest int").join(crowd, "doc")
-    # Few strips are shared by several components.
-    ends = rows.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.max("decides").alias("_any"))
-    shared = rows.join(ends.where("_a < _b and _any").select("key"), "key", "left_semi")
+    # Few strips are shared by several components; and a member needs a partner in the bucket with which it can share enough.
+    ends = rows.groupBy("key").agg(
+        F.min("label").alias("_a"), F.max("label").alias("_b"), F.max("decides").alias("_any"), F.min("n_strips").alias("_least")
+    )
+    partner = F.greatest(F.col("_least"), threshold * F.col("n_strips"))
+    enough = F.col("rest") >= threshold / (1 + threshold) * (F.col("n_strips") + partner) - 1e-6
+    shared = rows.join(ends.where("_a < _b and _any").select("key", "_least"), "key").where(enough).drop("_least")
     return staged(shared.drop("label"), "rare")
 
 
