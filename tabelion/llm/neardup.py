@@ -426,7 +426,7 @@ def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rare_shingles(counts, threshold: float):
-    """Rows (key, doc, j, decides, n_strips, rest) for the rarest strips of each document that any other can share.
+    """Rows (key, doc, j, decides, n_strips, rest, label) for the rarest strips of each document that any other can share.
 
     ``rest`` counts the strip and all that come after it in the order.
     """
@@ -435,7 +435,8 @@ def _rare_shingles(counts, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency = counts.value
         for batch in batches:
-            for doc, row in zip(batch.column("doc").to_pylist(), batch.column("strips"), strict=True):
+            heads = zip(batch.column("doc").to_pylist(), batch.column("label").to_pylist(), strict=True)
+            for (doc, label), row in zip(heads, batch.column("strips"), strict=True):
                 strips = row.values.to_numpy(zero_copy_only=False).view(np.uint64)
                 n, seen = len(strips), frequency[_slots(strips)]
                 first = n - int(np.ceil(threshold * n - 1e-6)) + 1
@@ -444,8 +445,8 @@ def _rare_shingles(counts, threshold: float):
                 at = np.flatnonzero(seen[order] > 1)
                 keys = pa.array(strips[order[at]].view(np.int64))
                 same = [np.full(len(at), doc, np.int64), np.full(len(at), np.log(n) * scale), at < deciding]
-                same += [np.full(len(at), n, np.int32), (n - at).astype(np.int32)]
-                names = ["key", "doc", "j", "decides", "n_strips", "rest"]
+                same += [np.full(len(at), n, np.int32), (n - at).astype(np.int32), np.full(len(at), label, np.int64)]
+                names = ["key", "doc", "j", "decides", "n_strips", "rest", "label"]
                 yield pa.RecordBatch.from_arrays([keys, *map(pa.array, same)], names=names)
 
     return run
@@ -467,13 +468,13 @@ def _by_rare_shingles(crowd: DataFrame, strips: DataFrame, threshold: float) ->
     t to 1: documents further apart cannot be linked, as with similarities.
     """
     spark = crowd.sparkSession
-    mine = staged(strips.join(crowd.select("doc"), "doc", "left_semi"), "crowd-strips")
+    mine = staged(strips.join(crowd, "doc").select("doc", "label", "strips"), "crowd-strips")
     counted = mine.select("strips").mapInArrow(_count_slots, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
     counts = np.zeros(SLOTS, np.int64)
     counted = counted.toArrow()  # SLOTS rows at most
     counts[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
     run = _rare_shingles(spark.sparkContext.broadcast(counts), threshold)
-    rows = mine.mapInArrow(run, "key bigint, doc bigint, j double, decides boolean, n_strips int, rest int").join(crowd, "doc")
+    rows = mine.mapInArrow(run, "key bigint, doc bigint, j double, decides boolean, n_strips int, rest int, label bigint")
     # Few strips are shared by several components; and a member needs a partner in the bucket with which it can share enough.
     ends = rows.groupBy("key").agg(
         F.min("label").alias("_a"), F.max("label").alias("_b"), F.max("decides").alias("_any"), F.min("n_strips").alias("_least")
