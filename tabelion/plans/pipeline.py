@@ -100,6 +100,15 @@ def bucket_count(source, names: list[str]) -> int:
     return int(max(MIN_BUCKETS, -(-largest // BUCKET_TARGET_BYTES)))
 
 
+def kept_buckets(spark: SparkSession, db: str, wanted: int) -> int:
+    """The stored tables' bucket count while it is within a factor of two of the wanted one, so a reload keeps the layout."""
+    for t in BUCKETED:
+        layout = tb.bucket_layout(spark, db, t) if tb.table_exists(spark, db, t) else None
+        if layout and wanted <= 2 * layout[1] and layout[1] <= 2 * wanted:
+            return layout[1]
+    return wanted
+
+
 @dataclass
 class LoadResult:
     database: str
@@ -160,8 +169,8 @@ def load_main_tables(
 
     ``append`` adds the incoming rows that a table with rows lacks (``append.delta``),
     whatever the totals are; decisions then have the counts ``read``, ``added`` and
-    ``already``, and ``added_rows`` gets what was added. Otherwise a new table is
-    filled and takes the old one's place.
+    ``already``, and ``added_rows`` gets what was added. Otherwise the table's next
+    version is filled beside it and takes its place at once.
     """
     source = as_source(spark, source)
     stored = {t: _stored(spark, db, t) for t in tables}
@@ -187,10 +196,9 @@ def load_main_tables(
                     insert_rows(rows, db, t, n_buckets, "append")
                 continue
             rows = before.unionByName(rows)  # stored without the computed columns so far
-        tb.create_final_table(spark, db, f"{t}__new", t, BUCKETED.get(t), SORTED.get(t), n_buckets)
-        insert_rows(rows, db, f"{t}__new", n_buckets, "append", t)
-        tb.drop_table(spark, db, t)
-        tb.rename_table(spark, db, f"{t}__new", t)
+        new = tb.begin_replacement(spark, db, t, BUCKETED.get(t), SORTED.get(t), n_buckets)
+        insert_rows(rows, db, new, n_buckets, "append", t)
+        tb.finish_replacement(spark, db, t)
     return [decisions[t] for t in tables]
 
 
@@ -227,10 +235,9 @@ def load_partners(
         # the partition of a company that owns very many partners.
         offices = derive.head_offices(est).hint("rebalance")
         rows = derive.partners_of(so, offices)
-        tb.create_final_table(spark, db, "socios__new", "socios", BUCKETED["socios"], SORTED["socios"], n_buckets)
-        tb.insert_bucketed(rows, db, "socios__new", "append")
-        tb.drop_table(spark, db, "socios")
-        tb.rename_table(spark, db, "socios__new", "socios")
+        new = tb.begin_replacement(spark, db, "socios", BUCKETED["socios"], SORTED["socios"], n_buckets)
+        tb.insert_bucketed(rows, db, new, "append")
+        tb.finish_replacement(spark, db, "socios")
         append.keep_waiting(spark, db, location, append.without_office(so, derive.head_offices(est)))
     tb.drop_table(spark, db, "socios_original")
     return counts
@@ -287,9 +294,10 @@ def run_load(
     without, such records go to the table ``_rejeitados``.
     """
     landing = as_source(spark, landing)
-    if n_buckets is None:
-        n_buckets = bucket_count(landing, MAIN_ORDER)
     tb.create_database(spark, db, location)
+    tb.recover(spark, db, [*MAIN_ORDER, "socios"])
+    if n_buckets is None:
+        n_buckets = kept_buckets(spark, db, bucket_count(landing, MAIN_ORDER))
     result = LoadResult(db, n_buckets=n_buckets)
     # state of every table before loading: absent / empty / filled (one row per table)
     result.state_before = checks.derived_state(tb.counts(spark, db, schemas.STATE_TABLES)).collect()

@@ -10,16 +10,20 @@ relationship joins need no shuffle, sorted row groups for lookups.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabelion import schemas
 from tabelion.operators import checks
+from tabelion.sources import fs
 
 DEFAULT_BUCKETS = 8
 #: The database property that names the folder of partners without a head office.
 WAITING_PARTNERS = "socios_pendentes"
+#: The property of a table's next version that is set when all its rows are written.
+COMPLETE = "versao_completa"
 
 
 def q(db: str, table: str) -> str:
@@ -49,7 +53,7 @@ def database_location(spark: SparkSession, db: str) -> str:
 def create_base_table(spark: SparkSession, db: str, table: str) -> None:
     """Drop and recreate one typed base table, with its comment."""
     s = schemas.spec(table)
-    spark.sql(f"DROP TABLE IF EXISTS {q(db, table)}")
+    drop_table(spark, db, table)
     comment = _quote(schemas.TABLE_COMMENTS[table])
     spark.sql(f"CREATE TABLE {q(db, table)} ({s.ddl()}) USING parquet COMMENT '{comment}'")
 
@@ -62,14 +66,105 @@ def create_final_table(
     bucket_by: str | None = None,
     sort_by: list[str] | None = None,
     n_buckets: int = DEFAULT_BUCKETS,
+    location: str | None = None,
 ) -> None:
-    """(Re)create ``name`` as ``table`` stands after the load: typed columns, comment, bucket layout."""
+    """(Re)create ``name`` as ``table`` stands after the load: typed columns, comment, bucket layout.
+
+    With ``location`` the table is external: dropping it leaves its files.
+    """
     columns = ", ".join(f"{c} {t}" for c, t in schemas.final_columns(table))
     layout = f"CLUSTERED BY ({bucket_by}) SORTED BY ({', '.join(sort_by or [bucket_by])}) INTO {n_buckets} BUCKETS" if bucket_by else ""
     comment = schemas.TABLE_COMMENTS.get(table)
     note = f"COMMENT '{_quote(comment)}'" if comment else ""
     spark.sql(f"DROP TABLE IF EXISTS {q(db, name)}")
-    spark.sql(f"CREATE TABLE {q(db, name)} ({columns}) USING parquet {layout} {note}")
+    place = f"LOCATION '{_quote(location)}'" if location else ""
+    spark.sql(f"CREATE TABLE {q(db, name)} ({columns}) USING parquet {layout} {place} {note}")
+
+
+def table_detail(spark: SparkSession, db: str, table: str, name: str) -> str | None:
+    """An entry of the table's extended description, such as ``Location``, or None."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {q(db, table)}").collect()
+    at = next((i for i, r in enumerate(rows) if r.col_name.startswith("#") or not r.col_name), len(rows))
+    return next((r.data_type for r in rows[at:] if r.col_name == name), None)
+
+
+def versions_folder(spark: SparkSession, db: str, table: str) -> str:
+    return f"{database_location(spark, db).rstrip('/')}/_versoes/{table}"
+
+
+def _same_place(a: str, b: str) -> bool:
+    return fs.resolve(a)[1].rstrip("/") == fs.resolve(b)[1].rstrip("/")
+
+
+def replacement_of(table: str) -> str:
+    """The catalog name under which a table's next version is filled."""
+    return f"{table}__new"
+
+
+def begin_replacement(
+    spark: SparkSession, db: str, table: str, bucket_by: str | None, sort_by: list[str] | None, n_buckets: int
+) -> str:
+    """An empty table in a folder of its own, which ``finish_replacement`` makes the next version of ``table``.
+
+    Folders of versions before the present one are deleted here: a reader that
+    planned on a version can read it until the replacement after next.
+    """
+    folder, default = versions_folder(spark, db, table), f"{database_location(spark, db).rstrip('/')}/{table}"
+    now = table_detail(spark, db, table, "Location") if table_exists(spark, db, table) else None
+    for old in [default, *fs.list_folders(folder)]:
+        if now is None or not _same_place(old, now):
+            fs.remove_folder(old)
+    name, path = replacement_of(table), f"{folder}/{uuid.uuid4().hex}"
+    create_final_table(spark, db, name, table, bucket_by, sort_by, n_buckets, path)
+    return name
+
+
+def finish_replacement(spark: SparkSession, db: str, table: str) -> None:
+    """Make the filled next version the table.
+
+    Where columns and layout are those of the present table, one change of
+    its location does it: a reader finds the old rows or the new ones. Where
+    they differ, the definition is made anew. In both cases the mark on the
+    next version is set first, so ``recover`` can end what was stopped.
+    """
+    new = replacement_of(table)
+    spark.sql(f"ALTER TABLE {q(db, new)} SET TBLPROPERTIES ('{COMPLETE}' = 'true')")
+    _take_place(spark, db, table)
+
+
+def _take_place(spark: SparkSession, db: str, table: str) -> None:
+    new = replacement_of(table)
+    path = table_detail(spark, db, new, "Location")
+    present = table_exists(spark, db, table)
+    if not (present and _same_place(table_detail(spark, db, table, "Location"), path)):
+        layout = bucket_layout(spark, db, new)
+        if not (present and spark.table(q(db, table)).schema == spark.table(q(db, new)).schema and bucket_layout(spark, db, table) == layout):
+            sort_by = table_detail(spark, db, new, "Sort Columns")
+            spark.sql(f"DROP TABLE IF EXISTS {q(db, table)}")
+            fs.remove_folder(f"{database_location(spark, db).rstrip('/')}/{table}")
+            keys = [c.strip(" `") for c in sort_by.strip("[]").split(",")] if layout and sort_by else None
+            create_final_table(spark, db, table, table, layout[0] if layout else None, keys, layout[1] if layout else 0)
+        spark.sql(f"ALTER TABLE {q(db, table)} SET LOCATION '{_quote(path)}'")
+    spark.sql(f"DROP TABLE {q(db, new)}")
+
+
+def recover(spark: SparkSession, db: str, tables: list[str]) -> list[str]:
+    """End replacements that a stopped load left: a complete next version takes its place, others are given up.
+
+    Returns the tables that got their next version.
+    """
+    ended = []
+    for t in tables:
+        new = replacement_of(t)
+        if not table_exists(spark, db, new):
+            continue
+        properties = table_detail(spark, db, new, "Table Properties") or ""
+        if f"{COMPLETE}=true" in properties:
+            _take_place(spark, db, t)
+            ended.append(t)
+        else:
+            spark.sql(f"DROP TABLE {q(db, new)}")
+    return ended
 
 
 def bucket_layout(spark: SparkSession, db: str, table: str) -> tuple[str, int] | None:
@@ -140,7 +235,10 @@ def write_rows(df: DataFrame, db: str, table: str, mode: str = "append") -> None
 
 
 def drop_table(spark: SparkSession, db: str, table: str) -> None:
+    """Drop a table with the folders of its earlier versions."""
     spark.sql(f"DROP TABLE IF EXISTS {q(db, table)}")
+    fs.remove_folder(versions_folder(spark, db, table))
+    fs.remove_folder(f"{database_location(spark, db).rstrip('/')}/{table}")
 
 
 def rename_table(spark: SparkSession, db: str, old: str, new: str) -> None:

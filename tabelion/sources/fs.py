@@ -52,6 +52,20 @@ def touch(uri: str) -> None:
         out.write(b"")
 
 
+def list_folders(uri: str) -> list[str]:
+    """The folders directly under a folder, as URIs or paths like the one given; none where it is absent."""
+    f, p = resolve(uri)
+    found = f.get_file_info(pafs.FileSelector(p, recursive=False, allow_not_found=True))
+    return sorted(f"{uri.rstrip('/')}/{i.base_name}" for i in found if i.type == pafs.FileType.Directory)
+
+
+def remove_folder(uri: str) -> None:
+    """Delete a folder with what it holds, if it is there."""
+    f, p = resolve(uri)
+    if f.get_file_info(p).type == pafs.FileType.Directory:
+        f.delete_dir(p)
+
+
 def list_files(uri: str, recursive: bool = True) -> list[str]:
     f, p = resolve(uri)
     sel = pafs.FileSelector(p, recursive=recursive, allow_not_found=True)
