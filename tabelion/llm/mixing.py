@@ -94,7 +94,7 @@ def plan_mix(
     turn = F.array(*[F.lit(float(w)) for w in weights])
     ranked = staged(
         ranked.select(
-            "source", "source_size", F.element_at(turn, F.pmod(F.col("rn") - 1, len(weights)) + 1).alias("weight")
+            "source", "source_size", F.element_at(turn, (F.pmod(F.col("rn") - 1, len(weights)) + 1).cast("int")).alias("weight")
         ),
         "sources",
     )
