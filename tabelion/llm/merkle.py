@@ -103,7 +103,10 @@ def tree_levels(leaves: DataFrame, fanout: int = FANOUT, records_per_archive: in
 
 
 def differing_leaves(a: list[DataFrame], b: list[DataFrame], fanout: int = FANOUT) -> DataFrame:
-    """archive, node, verdict of the leaves that differ: altered, missing (in b) or extra (in b)."""
+    """archive, node, verdict, theirs (range_start, range_end, digest in b) of the leaves that differ.
+
+    The verdict is altered, missing (in b) or extra (in b).
+    """
     suspects = None
     for mine, theirs in zip(reversed(a), reversed(b), strict=True):
         if suspects is not None:
@@ -117,20 +120,46 @@ def differing_leaves(a: list[DataFrame], b: list[DataFrame], fanout: int = FANOU
     verdict = (
         F.when(F.col("theirs").isNull(), "missing").when(F.col("mine").isNull(), "extra").otherwise("altered")
     )
-    return leaves.select("archive", F.col("parent").alias("node"), verdict.alias("verdict"))
+    return leaves.select("archive", F.col("parent").alias("node"), verdict.alias("verdict"), "theirs")
 
 
 def audit(index: DataFrame, replica: DataFrame, fanout: int = FANOUT, per_archive: int = RECORDS_PER_ARCHIVE) -> DataFrame:
     """``index`` (archive, ordinal, record_start, record_end, digest, ...) plus archive_root and verdict.
 
     ``replica`` holds (archive, ordinal, record_start, record_end, digest) as
-    read from the other copy; records that it lost are absent. Verdict:
-    intact, altered or missing. Empty tables give no rows.
+    read from the other copy; records that it lost are absent. Verdict of each
+    row of the index: intact, altered or missing. Each record that only the
+    replica has, be it in a known archive or not, is a further row, extra: place
+    and digest as read, the index's other columns null, archive_root null if
+    the index lacks the archive.
+
+    Nulls: null digests and offsets are values like others; a record without
+    a place (null archive or ordinal) is missing if the index has it and extra
+    if the replica has it. Repeated rows of the replica count once; several
+    different records at one place are altered if any differs from the index.
+    Each row of the index comes back, equal ones too. Columns of the index named
+    archive_root or verdict give way to the result's; any other name is kept.
+    An empty index makes all records extra, an empty replica all missing.
     """
-    mine = tree_levels(index, fanout, per_archive)
+    index = index.drop("archive_root", "verdict")
+    there = F.col("archive").isNotNull() & F.col("ordinal").isNotNull()
+    mine, theirs = (tree_levels(x.where(there), fanout, per_archive) for x in (index, replica))
     # Every level is compared once and the next is built on it: write the inner ones.
-    mine, theirs = ([x[0], *[staged(y, "tree") for y in x[1:]]] for x in (mine, tree_levels(replica, fanout, per_archive)))
-    found = differing_leaves(mine, theirs, fanout).where("verdict != 'extra'")
-    roots = mine[-1].select("archive", F.col("digest").alias("archive_root"))
-    marked = index.join(found.withColumnRenamed("node", "ordinal"), ["archive", "ordinal"], "left")
-    return marked.join(roots, "archive").withColumn("verdict", F.coalesce("verdict", F.lit("intact")))
+    mine, theirs = ([x[0], *[staged(y, "tree") for y in x[1:]]] for x in (mine, theirs))
+    found = staged(differing_leaves(mine, theirs, fanout), "found")
+
+    differ = found.where("verdict != 'extra'").select("archive", F.col("node").alias("ordinal"), "verdict").distinct()
+    marked = index.join(differ, ["archive", "ordinal"], "left").withColumn(
+        "verdict", F.when(there, F.coalesce("verdict", F.lit("intact"))).otherwise("missing")
+    )
+    extra = found.where("verdict = 'extra'").select(
+        "archive",
+        F.col("node").alias("ordinal"),
+        F.col("theirs.range_start").alias("record_start"),
+        F.col("theirs.range_end").alias("record_end"),
+        F.col("theirs.digest").alias("digest"),
+    )
+    extra = extra.union(replica.where(~there).select(*extra.columns)).distinct().withColumn("verdict", F.lit("extra"))
+    rows = marked.unionByName(extra, allowMissingColumns=True)
+    roots = mine[-1].where("node = 0").select("archive", F.col("digest").alias("archive_root"))
+    return rows.join(roots, "archive", "left").select(*index.columns, "archive_root", "verdict")

@@ -30,7 +30,8 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit of a replica of all pages in which bytes were altered, texts cut and records lost at known ids."""
+    """Audit of a replica of all pages in which, at known ids, bytes were altered, texts cut and records lost; others
+    stand a second time behind the records of their archive, or in an archive that the index does not know."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     html, at = F.coalesce("html", F.lit("")), F.col("page_id")
     body = (
@@ -43,8 +44,12 @@ def op2_warc_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy = merkle.record_digests(pages, body).where(F.coalesce(at % 211 != 3, F.lit(True))).distinct()
     copy = copy.select("page_id", "own", F.col("digest").alias("read"))
     here = index["page_id"].eqNullSafe(copy["page_id"]) & (index["digest"] == copy["own"])
-    replica = index.join(copy, here).select(
-        "archive", "ordinal", "record_start", "record_end", F.col("read").alias("digest")
+    place = F.struct("archive", "ordinal")
+    behind = F.struct("archive", (F.col("ordinal") + merkle.RECORDS_PER_ARCHIVE).alias("ordinal"))
+    stray = F.struct((-1 - F.col("archive")).alias("archive"), "ordinal")
+    places = F.when(F.col("at") == 7, F.array(place, behind)).when(F.col("at") == 8, F.array(place, stray)).otherwise(F.array(place))
+    replica = index.join(copy, here).withColumn("at", index["page_id"] % 211).select(
+        F.inline(places), "record_start", "record_end", F.col("read").alias("digest")
     )
     return merkle.audit(index, staged(replica, "replica")).select(
         "page_id",
@@ -221,7 +226,7 @@ WITH p AS (SELECT page_id, url, coalesce(html, '') AS html,
   CASE WHEN page_id % 97 = 5 THEN html[:11] || '~' || html[13:] WHEN page_id % 157 = 9 THEN html[:length(html) // 2]
     ELSE html END AS body FROM pages),
 r AS (SELECT page_id, {_RECORD.format(body="html")} AS mine, {_RECORD.format(body="coalesce(body, '')")} AS theirs FROM p),
-d AS (SELECT page_id, strlen(mine) AS n, sha256(mine) AS digest,
+d AS (SELECT page_id, strlen(mine) AS n, sha256(mine) AS digest, sha256(theirs) AS read,
   CASE WHEN page_id % 211 = 3 THEN 'missing' WHEN mine <> theirs THEN 'altered' ELSE 'intact' END AS verdict FROM r),
 o AS (SELECT *, row_number() OVER (ORDER BY page_id NULLS FIRST, digest) - 1 AS rn FROM d),
 l0 AS (SELECT *, rn // 1000 AS archive, rn % 1000 AS node,
@@ -229,7 +234,11 @@ l0 AS (SELECT *, rn // 1000 AS archive, rn % 1000 AS node,
 l0a AS (SELECT archive, node, b - n AS a, b, digest FROM l0),
 l1 AS ({_level("l0a")}), l2 AS ({_level("l1")}), l3 AS ({_level("l2")})
 SELECT page_id, l0.archive, l0.b - n AS record_start, l0.b AS record_end, l0.digest AS sha256,
-  l3.digest AS archive_root, verdict FROM l0 JOIN l3 ON l0.archive = l3.archive""",
+  l3.digest AS archive_root, verdict FROM l0 JOIN l3 ON l0.archive = l3.archive
+UNION ALL
+SELECT NULL, l0.archive, l0.b - n, l0.b, read, l3.digest, 'extra' FROM l0 JOIN l3 ON l0.archive = l3.archive WHERE page_id % 211 = 7
+UNION ALL
+SELECT NULL, -1 - archive, b - n, b, read, NULL, 'extra' FROM l0 WHERE page_id % 211 = 8""",
     "op3_benchmark_decontamination": rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r,
     regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),

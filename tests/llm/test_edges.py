@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabelion.llm import crf, decontaminate, linededup, merkle, mixing, neardup, ordinal, rules, secrets, urls
+from tabelion.llm.common import staged
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -371,6 +372,35 @@ def test_merkle_audit(spark):
     assert merkle.audit(index.limit(0), index.limit(0)).count() == 0
 
 
+def test_merkle_audit_lists_extra_records_and_handles_nulls_clashes_and_long_bodies(spark):
+    rows = [(i, f"u{i}", "x" * i) for i in range(20)] + [(20, "long", "y" * 3_000_000), (None, None, None), (5, "u5", "x" * 5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    index = staged(merkle.archive_index(merkle.record_digests(pages).drop("own"), 8), "index")
+    names = ["archive", "ordinal", "record_start", "record_end", "digest"]
+    plant = [(0, 8, 1, 2, "a"), (0, 8, 1, 2, "a"), (0, 8, 1, 2, "b"), (9, 0, 0, 1, "c"), (9, 70, 0, 1, None), (None, 1, 0, 1, "d")]
+    planted = spark.createDataFrame(plant, "archive long, ordinal long, record_start long, record_end long, digest string")
+    here = index.select(*names)
+    twice = here.where("archive = 1 and ordinal = 2")
+    replica = here.union(planted).union(here.where("archive = 2")).union(twice.withColumn("digest", F.lit("other")))
+    clash = index.withColumn("verdict", F.lit(1)).withColumn("node", F.lit("n")).withColumn("theirs", F.lit("t")).withColumn("parent", F.lit(2))
+    out = merkle.audit(clash, replica, fanout=2, per_archive=8)
+    assert out.columns == [c for c in clash.columns if c != "verdict"] + ["archive_root", "verdict"]
+    got = out.collect()
+    extra = {tuple(r[c] for c in names): r for r in got if r.verdict == "extra"}
+    assert set(extra) == set(plant) and len(got) == len(rows) + len(extra)
+    roots = {r.archive: r.archive_root for r in got if r.verdict == "intact"}
+    assert all(r.page_id is None and r.node is None and r.archive_root == roots.get(r.archive) for r in extra.values())
+    assert [(r.archive, r.ordinal) for r in got if r.verdict == "altered"] == [(1, 2)]
+    assert sum(r.verdict == "intact" for r in got) == len(rows) - 1 and {r.node for r in got if r.verdict == "intact"} == {"n"}
+
+    lost = merkle.audit(index, here.limit(0), 2, 8).groupBy("verdict").count().collect()
+    assert [tuple(r) for r in lost] == [("missing", len(rows))]
+    only = merkle.audit(index.limit(0), here, 2, 8).collect()
+    assert len(only) == len(rows) and {(r.verdict, r.archive_root) for r in only} == {("extra", None)}
+    nowhere = spark.createDataFrame([(None, 1, 0, 1, "d")], planted.schema)
+    assert [r.verdict for r in merkle.audit(nowhere, here.limit(0)).collect()] == ["missing"]
+
+
 def test_pipeline_stages_keep_columns(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
