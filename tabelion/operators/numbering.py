@@ -24,7 +24,7 @@ from tabelion.session import scratch_path
 
 
 def row_number_within(df: DataFrame, key: str, order: str, out: str = "rn", n_parts: int | None = None) -> DataFrame:
-    """``df`` plus ``out`` = 1-based position of the row within its key, by ``order``.
+    """``df`` plus ``out`` (long) = 1-based position of the row within its key, by ``order``.
 
     ``(key, order)`` must identify a row (ties would be numbered arbitrarily,
     as with ``row_number``). Steps:
@@ -53,4 +53,4 @@ def row_number_within(df: DataFrame, key: str, order: str, out: str = "rn", n_pa
     offsets = slices.select("_pid", key, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     joined = ranged.join(offsets, ["_pid", key], "inner")
     position = F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(1)
-    return joined.withColumn(out, position.cast("int")).drop("_pid", "_mid", "_first", "_off")
+    return joined.withColumn(out, position.cast("long")).drop("_pid", "_mid", "_first", "_off")
