@@ -1,8 +1,7 @@
 """ZIP archives of registry extracts: list members, expand them to lines, check extraction.
 
 A ZIP member is one deflate stream and cannot be split, so the unit of
-parallelism is the member: members are numbered and each has a task of its
-own. Inside a task the archive is opened through ``pyarrow.fs`` (random access)
+parallelism is the member: members are range-partitioned, a task for each. Inside a task the archive is opened through ``pyarrow.fs`` (random access)
 and the member is streamed in fixed-size chunks, so it is never held whole in
 memory; lines are handed back to Spark as Arrow batches. Parsing the lines into
 columns then happens in the JVM (``registry.parse_lines``). An archive or member
@@ -12,6 +11,7 @@ that cannot be read gives a row with its error, and the others go on.
 from __future__ import annotations
 
 import hashlib
+import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabelion import schemas
-from tabelion.operators.numbering import row_number_within
 from tabelion.session import scratch_path, ship_package
 from tabelion.sources import fs
 from tabelion.sources.records import MAX_LINES
@@ -33,7 +32,7 @@ BATCH_ROWS = 65536
 BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, OSError, ValueError, NotImplementedError, RuntimeError)
 
 LINES_SCHEMA = "archive string, entry string, line_no long, line string, error string"
-MANIFEST_SCHEMA = "path string, archive string, entry string, compressed_bytes long, uncompressed_bytes long, error string"
+MANIFEST_SCHEMA = "path string, archive string, entry string, compressed_bytes long, uncompressed_bytes long, version string, error string"
 BUILD_SCHEMA = "archive string, entry string, entry_bytes long"
 
 # Archive names the registry publishes per table (fixed values); main tables
@@ -123,14 +122,25 @@ def _archive_name(path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
+class ReplacedArchive(OSError):
+    """An archive is not the file any more whose members were listed."""
+
+
+def _version(filesystem, path: str) -> str:
+    info = filesystem.get_file_info(path)
+    return f"{info.size}:{info.mtime_ns}"
+
+
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for path, entry in zip(b.column("path").to_pylist(), b.column("entry").to_pylist()):
+        for path, entry, version in zip(*(b.column(c).to_pylist() for c in ("path", "entry", "version"))):
             archive = _archive_name(path)
             try:
                 filesystem, p = fs.resolve(path)
                 with filesystem.open_input_file(p) as raw, zipfile.ZipFile(raw) as z, z.open(entry) as member:
                     yield from _member_lines(archive, entry, member)
+                if _version(filesystem, p) != version:
+                    raise ReplacedArchive("the archive was replaced after its members were listed")
             except BROKEN as e:
                 yield _lines_batch(archive, entry, [0], [None], f"{type(e).__name__}: {e}")
 
@@ -141,14 +151,15 @@ def _manifest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in b.column("path").to_pylist():
             try:
                 filesystem, p = fs.resolve(path)
+                version = _version(filesystem, p)
                 with filesystem.open_input_file(p) as raw, zipfile.ZipFile(raw) as z:
-                    found = [(i.filename, i.compress_size, i.file_size, None) for i in z.infolist() if not i.is_dir()]
+                    found = [(i.filename, i.compress_size, i.file_size, version, None) for i in z.infolist() if not i.is_dir()]
             except BROKEN as e:
-                found = [(None, None, None, f"{type(e).__name__}: {e}")]
+                found = [(None, None, None, None, f"{type(e).__name__}: {e}")]
             rows += [(path, _archive_name(path), *x) for x in found]
-        columns = list(zip(*rows)) or [()] * 6
-        types = [pa.string()] * 3 + [pa.int64()] * 2 + [pa.string()]
-        names = ["path", "archive", "entry", "compressed_bytes", "uncompressed_bytes", "error"]
+        columns = list(zip(*rows)) or [()] * 7
+        types = [pa.string()] * 3 + [pa.int64()] * 2 + [pa.string()] * 2
+        names = ["path", "archive", "entry", "compressed_bytes", "uncompressed_bytes", "version", "error"]
         yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
@@ -160,20 +171,27 @@ def list_members(spark: SparkSession, folder: str) -> DataFrame:
     return listing.repartition(tasks, "path").mapInArrow(_manifest, MANIFEST_SCHEMA)
 
 
+def fixed_members(spark: SparkSession, folder: str) -> DataFrame:
+    """``list_members`` as found now: written once, so every archive is opened once and all readers see the same members."""
+    path = scratch_path(spark, "members", uuid.uuid4().hex)
+    list_members(spark, folder).write.parquet(path)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+
+
 def expand_members(members: DataFrame) -> DataFrame:
-    """Every line of the given members (path, entry), one member per task.
+    """Every line of the given members (path, entry, version; read twice), one member per task.
 
-    A member that breaks off gives a row with its error beside the lines read.
+    A member that breaks off, or whose archive is of another version when it
+    is read, gives a row with its error beside the lines read.
     """
-    readable = members.filter(F.col("entry").isNotNull()).select("path", "entry")
+    readable = members.filter(F.col("entry").isNotNull()).select("path", "entry", "version")
     n = max(1, readable.count())
-    one_each = row_number_within(readable.withColumn("one", F.lit(1)).withColumn("at", F.struct("path", "entry")), "one", "at")
-    return one_each.repartitionByRange(n, "rn").select("path", "entry").mapInArrow(_expand, LINES_SCHEMA)
+    return readable.repartitionByRange(n, "path", "entry").mapInArrow(_expand, LINES_SCHEMA)
 
 
 def archive_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every line of every member of every ``*.zip`` under ``folder``."""
-    return expand_members(list_members(spark, folder))
+    return expand_members(fixed_members(spark, folder))
 
 
 def archive_manifest(spark: SparkSession, folder: str) -> DataFrame:

@@ -50,6 +50,8 @@ def test_build_archives_round_trip(spark, folder):
     direct = registry.scan_lines(spark, landing, "*").select(F.col("source_file").alias("entry"), "line")
     assert lines.select("entry", "line").exceptAll(direct).count() == 0
     assert direct.exceptAll(lines.select("entry", "line")).count() == 0
+    tasks = lines.select(F.spark_partition_id().alias("p"), "entry").distinct().groupBy("p").count().collect()
+    assert {r["count"] for r in tasks} == {1}  # a member a task
 
 
 def test_links_latest_and_resolved(spark):
@@ -120,6 +122,50 @@ def test_damaged_archives_are_reported_and_the_others_go_on(spark, folder):
     assert expand.staged_lines(spark, f"{uri}/staged", ["cnae"]).count() == 100_000
 
 
+def pack(local, name, members):
+    with zipfile.ZipFile(os.path.join(local, name), "w", zipfile.ZIP_DEFLATED) as z:
+        for entry, text in members.items():
+            z.writestr(entry, text)
+
+
+def test_an_archive_replaced_during_a_staging_is_not_marked_finished(spark, folder, monkeypatch):
+    from tabelion.plans import expand
+
+    uri, local = folder
+    pack(local, "A.zip", {"A.D30610.PAISCSV": b'"001";"p"\n'})
+    pack(local, "B.zip", {"B.D30610.PAISCSV": b'"002";"q"\n'})
+    real = archives.expand_members
+
+    def replaced(members):
+        pack(local, "A.zip", {"A.D30610.PAISCSV": b'"003";"r"\n"004";"s"\n'})
+        return real(members)
+
+    with monkeypatch.context() as m:
+        m.setattr(archives, "expand_members", replaced)
+        status = {r.archive: r for r in expand.stage_archives(spark, uri, f"{uri}/staged").collect()}
+    assert not status["A.zip"].all_present and "ReplacedArchive" in status["A.zip"].error and status["B.zip"].all_present
+    lines = lambda: sorted(r.line for r in expand.staged_lines(spark, f"{uri}/staged", ["pais"]).collect())
+    assert lines() == ['"002";"q"']
+    assert expand.stage_archives(spark, uri, f"{uri}/staged").filter("all_present").count() == 2
+    assert lines() == ['"002";"q"', '"003";"r"', '"004";"s"']
+
+
+def test_a_mended_member_that_is_empty_loses_its_old_rows(spark, folder):
+    from tabelion.plans import expand
+
+    uri, local = folder
+    text = b"".join(b'"%07d";"nome"\n' % i for i in range(50_000))
+    pack(local, "B.zip", {"B.D30610.CNAECSV": text})
+    whole = open(os.path.join(local, "B.zip"), "rb").read()
+    write_bytes(local, "B.zip", whole[:20_000] + b"\x00" * 64 + whole[20_064:])
+    first = expand.stage_archives(spark, uri, f"{uri}/staged").first()
+    assert not first.all_present and first.error
+    pack(local, "B.zip", {"B.D30610.CNAECSV": b""})
+    again = expand.stage_archives(spark, uri, f"{uri}/staged").first()
+    assert again.all_present and again.error is None
+    assert expand.staged_lines(spark, f"{uri}/staged", ["cnae"]).count() == 0
+
+
 def test_anchor_forms(spark):
     html = (
         "<a href='s.zip'>1</a><A HREF=\"U.zip\">2</A><a href=bare.zip>3</a>"
