@@ -24,6 +24,7 @@ DEFAULT_BUCKETS = 8
 WAITING_PARTNERS = "socios_pendentes"
 #: The property of a table's next version that is set when all its rows are written.
 COMPLETE = "versao_completa"
+KEEP_WIDTHS = "spark.sql.preserveCharVarcharTypeInfo"
 
 
 def q(db: str, table: str) -> str:
@@ -144,10 +145,20 @@ def _take_place(spark: SparkSession, db: str, table: str) -> None:
             fs.remove_folder(f"{database_location(spark, db).rstrip('/')}/{table}")
             keys = [c.strip(" `") for c in sort_by.strip("[]").split(",")] if layout and sort_by else None
             create_final_table(spark, db, table, table, layout[0] if layout else None, keys, layout[1] if layout else 0)
-        spark.sql(f"ALTER TABLE {q(db, table)} SET LOCATION '{_quote(path)}'")
+        set_location(spark, db, table, path)
     spark.sql(f"DROP TABLE {q(db, new)}")
 
 
+def set_location(spark: SparkSession, db: str, table: str, path: str) -> None:
+    """Point a table to other files. Without the setting, the statement would turn its VARCHAR columns into STRING."""
+    before = spark.conf.get(KEEP_WIDTHS, None)
+    spark.conf.set(KEEP_WIDTHS, "true")
+    try:
+        spark.sql(f"ALTER TABLE {q(db, table)} SET LOCATION '{_quote(path)}'")
+    finally:
+        spark.conf.unset(KEEP_WIDTHS) if before is None else spark.conf.set(KEEP_WIDTHS, before)
+
+
 def recover(spark: SparkSession, db: str, tables: list[str]) -> list[str]:
     """End replacements that a stopped load left: a complete next version takes its place, others are given up.
 

@@ -6,6 +6,7 @@ import uuid
 import pytest
 from test_tables import small_landing
 
+from tabelion import schemas
 from tabelion.plans import pipeline
 from tabelion.plans import tables as tb
 from tabelion.session import scratch_path
@@ -65,8 +66,12 @@ def test_versions_before_the_last_one_are_deleted(spark, db):
         tb.insert_bucketed(spark.createDataFrame(one * n, spark.table(f"{db}.{new}").schema), db, new)
         tb.finish_replacement(spark, db, "simples")
         assert spark.table(f"{db}.simples").count() == n
+        types = {r.column_name: r.data_type for r in tb.table_definitions(spark, db, ["simples"]).collect()}
+        assert types == dict(schemas.final_columns("simples"))
     folder = tb.versions_folder(spark, db, "simples")
     assert len(fs.list_folders(folder)) == 2 and fs.list_files(tb.table_detail(spark, db, "simples", "Location"))
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        tb.insert_bucketed(spark.createDataFrame([("0" * 9, *[None] * 6)], spark.table(f"{db}.simples").schema), db, "simples")
     tb.drop_table(spark, db, "simples")
     assert not fs.exists(folder) and fs.list_folders(folder) == []
     tb.create_base_table(spark, db, "simples")
