@@ -67,7 +67,7 @@ def test_versions_before_the_last_one_are_deleted(spark, db):
         tb.finish_replacement(spark, db, "simples")
         assert spark.table(f"{db}.simples").count() == n
         types = {r.column_name: r.data_type for r in tb.table_definitions(spark, db, ["simples"]).collect()}
-        assert types == dict(schemas.final_columns("simples"))
+        assert types == {c: t.lower() for c, t in schemas.final_columns("simples")}
     folder = tb.versions_folder(spark, db, "simples")
     assert len(fs.list_folders(folder)) == 2 and fs.list_files(tb.table_detail(spark, db, "simples", "Location"))
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
