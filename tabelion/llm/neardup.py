@@ -17,8 +17,10 @@ be linked to those near it, so a bucket falls into two parts; a part whose
 members are already one component is done. Members of a part with very many
 components meet anew in buckets of their rarest shingles, of which linked ones
 share one for certain. All go on with new centres until no bucket has members of
-several components left to compare. Classes are the connected components of the
-links.
+several components left to compare. From then on a member is compared with a centre
+only if the parities of their strips in a few hundred slots differ in few enough
+slots, which is so for all linked ones. Classes are the connected components of
+the links; links found later join the components that there are.
 """
 
 from __future__ import annotations
@@ -47,6 +49,8 @@ CROWD = 64
 SLOTS = 1 << 20
 #: Components of a bucket that one task puts in order.
 ORDERED = 4096
+#: Slots of a document's parities, in words of 64 bits; any count gives the same links.
+PARITY_WORDS = 8
 SEED = 0x5DEECE66D
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -165,6 +169,17 @@ def _sketch(bands: int, rows: int):
     return run
 
 
+def parities(strips: np.ndarray, words: int = PARITY_WORDS) -> np.ndarray:
+    """``words`` times 64 bits: of each slot, whether an odd number of ``strips`` falls into it.
+
+    Strips that two documents share cancel, so the parities of two documents
+    differ in at most as many slots as there are strips in one of them only.
+    """
+    slot = (mix(strips ^ _GOLD) % np.uint64(64 * words)).astype(np.int64)
+    odd = (np.bincount(slot, minlength=64 * words) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def _strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
@@ -176,8 +191,11 @@ def _strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
         flat = np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-        arrays = [batch.column("doc"), pa.array(halves[:, 0]), pa.array(halves[:, 1]), lists]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc", "f1", "f2", "strips"])
+        ends = (np.arange(len(rows) + 1) * PARITY_WORDS).astype(np.int32)
+        flat = np.concatenate([parities(x) for x in rows]) if rows else np.zeros(0, np.int64)
+        odd = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        arrays = [batch.column("doc"), pa.array(halves[:, 0]), pa.array(halves[:, 1]), lists, odd]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc", "f1", "f2", "strips", "parities"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -210,6 +228,17 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (see ``components``) after further ``links`` (a, b), which are followed between components only."""
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
+    named = links.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    between = named.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    merged = components(between)
+    moved = labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+    moved = moved.select("node", F.coalesce("to", "label").alias("label"))
+    return staged(moved.unionByName(merged.join(labels.select("node"), "node", "left_anti")), "labels")
+
+
 def similarity(pairs: DataFrame, strips: DataFrame) -> DataFrame:
     """``pairs`` (a, b) plus ``j``, their exact weighted Jaccard similarity."""
     left = strips.select(F.col("doc").alias("a"), F.col("strips").alias("sa"))
@@ -271,23 +300,25 @@ def near_duplicates(
     # Only texts that share a bucket are read a second time, for their shingles.
     wanted = copies.join(members.select(F.col("doc").alias("node")).distinct(), "node", "left_semi")
     strips = source.join(wanted.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi").mapInArrow(
-        _strips, "doc bigint, f1 bigint, f2 bigint, strips array<bigint>"
+        _strips, "doc bigint, f1 bigint, f2 bigint, strips array<bigint>, parities array<bigint>"
     )
     if repeated:
         strips = strips.withColumnRenamed("doc", "rep").join(wanted, ["f1", "f2", "rep"])
-        strips = strips.groupBy(F.col("node").alias("doc")).agg(F.first("strips").alias("strips"))
-    strips = staged(strips.select("doc", "strips"), "strips")
+        strips = strips.groupBy(F.col("node").alias("doc")).agg(*[F.first(c).alias(c) for c in ("strips", "parities")])
+    strips = staged(strips.select("doc", "strips", "parities"), "strips")
 
     # Round 0: every member against the bucket's document that meets most others (over all buckets): what copies
     # were made from is nearer to each of them than they are to one another.
     met = staged(_with_hub(members), "met")
     tested = _compare(met, None, strips)
-    labels = components(_links(tested, same, threshold))
+    labels = components(_links(tested, threshold).unionByName(same))
     named = staged(_undecided(_sides(met, tested, threshold), labels), "buckets")
     members = named.where(F.col("n_labels") <= CROWD)
     crowd = staged(named.where(F.col("n_labels") > CROWD).select("doc", "label").distinct(), "crowd")
     if not crowd.isEmpty():
-        members = staged(members.unionByName(_undecided(_by_rare_shingles(crowd, strips, threshold), labels)), "buckets")
+        members = members.unionByName(_undecided(_by_rare_shingles(crowd, strips, threshold), labels))
+    looks = strips.select("doc", F.struct(F.size("strips").alias("size"), "parities").alias("look"))
+    members = staged(members.join(looks, "doc"), "buckets")
     n_centres = 1
     while not members.isEmpty():
         # Then against more and more documents, those of the smallest components first.
@@ -295,8 +326,9 @@ def near_duplicates(
         with_centre = members.join(centres, "key").where("label != its_label").where(_may_link(threshold))
         new = _compare(with_centre, tested, strips)
         tested = tested.unionByName(new)
-        if not new.where(F.col("j") >= threshold).isEmpty():
-            labels = components(_links(tested, same, threshold))
+        found = _links(new, threshold)
+        if not found.isEmpty():
+            labels = joined(labels, found)
         rest = members.join(centres.select("key", F.col("centre").alias("doc")), ["key", "doc"], "left_anti")
         members = staged(_undecided(rest, labels), "buckets")
         n_centres *= 4
@@ -314,9 +346,9 @@ def near_duplicates(
     )
 
 
-def _links(tested: DataFrame, same: DataFrame, threshold: float) -> DataFrame:
-    """The pairs of ``tested`` at the threshold, and texts of ``same`` ids."""
-    return tested.where(F.col("j") >= threshold).select("a", "b").unionByName(same)
+def _links(tested: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of ``tested`` at the threshold."""
+    return tested.where(F.col("j") >= threshold).select("a", "b")
 
 
 def _with_hub(members: DataFrame) -> DataFrame:
@@ -360,23 +392,29 @@ def _may_link(threshold: float) -> Column:
     by more than 1 - threshold cannot; of the two, the one of smaller ``j`` decides.
     In a bucket of a shingle they share at most ``rest`` of either, if it is the
     first that they share (if it is not, that one's bucket tells), and linked
-    ones share threshold / (1 + threshold) of both sizes together.
+    ones share threshold / (1 + threshold) of both sizes together. So they have at
+    most (1 - threshold) / (1 + threshold) of both sizes for themselves, and their
+    parities differ in no more slots.
     """
+    differing = sum(
+        F.bit_count(F.get("look.parities", F.lit(i)).bitwiseXOR(F.get("its_look.parities", F.lit(i)))) for i in range(PARITY_WORDS)
+    )
+    alike = differing <= (1 - threshold) / (1 + threshold) * (F.col("look.size") + F.col("its_look.size")) + 1e-6
     least = F.least("rest", "its_rest") >= threshold / (1 + threshold) * (F.col("n_strips") + F.col("its_n_strips")) - 1e-6
     near = F.abs(F.col("j") - F.col("its_j")) <= 1 - threshold + 1e-9
     here = (F.col("decides") & (F.col("j") <= F.col("its_j"))) | (F.col("its_decides") & (F.col("its_j") <= F.col("j")))
-    return near & here & F.coalesce(least, F.lit(True))
+    return near & here & F.coalesce(least, F.lit(True)) & alike
 
 
 def _rare(members: DataFrame, n: int) -> DataFrame:
-    """key, centre, its_label, its_j, its_decides, its_n_strips, its_rest: some members of each bucket, smallest components first.
+    """key, centre, its_label, its_j, its_decides, its_n_strips, its_rest, its_look: some members of each bucket, smallest components first.
 
     There are about ``n`` for each ``ORDERED`` components. Components are taken
     whole while ``n`` lasts; of the smallest at least one document is taken.
     The window is over some ``ORDERED`` components at most.
     """
     share = F.pmod(F.xxhash64("label"), F.ceil(F.max("n_labels") / ORDERED)).alias("share")
-    pick = F.max(F.struct("doc", "j", "decides", "n_strips", "rest")).alias("one")
+    pick = F.max(F.struct("doc", "j", "decides", "n_strips", "rest", "look")).alias("one")
     parts = members.groupBy("key", "label").agg(F.count("*").alias("n"), pick, share)
     order = Window.partitionBy("key", "share").orderBy("n", F.col("label").desc())
     ranked = parts.select(
@@ -387,7 +425,7 @@ def _rare(members: DataFrame, n: int) -> DataFrame:
         F.row_number().over(order).alias("rank"),
     )
     whole = ranked.where(F.col("upto") <= n).select("key", "label")
-    taken = members.join(whole, ["key", "label"]).select("key", "label", "doc", "j", "decides", "n_strips", "rest")
+    taken = members.join(whole, ["key", "label"]).select("key", "label", "doc", "j", "decides", "n_strips", "rest", "look")
     first = ranked.where((F.col("rank") == 1) & (F.col("upto") > n)).select("key", "label", "one.*")
     return taken.unionByName(first).select(
         "key",
@@ -397,15 +435,16 @@ def _rare(members: DataFrame, n: int) -> DataFrame:
         F.col("decides").alias("its_decides"),
         F.col("n_strips").alias("its_n_strips"),
         F.col("rest").alias("its_rest"),
+        F.col("look").alias("its_look"),
     )
 
 
 def _undecided(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The buckets (key, doc, j, decides, n_strips, rest, label, n_labels) whose members are of several components.
 
-    Buckets that decide nothing are done.
+    Buckets that decide nothing are done. A column ``look`` stays.
     """
-    columns = ["key", "doc", "j", "decides", "n_strips", "rest"]
+    columns = [c for c in members.columns if c not in ("label", "n_labels")]
     named = members.select(*columns).join(labels.withColumnRenamed("node", "doc"), "doc", "left")
     named = named.select(*columns, F.coalesce("label", "doc").alias("label"))
     parts = named.groupBy("key").agg(F.count_distinct("label").alias("n_labels"), F.max("decides").alias("_any"))

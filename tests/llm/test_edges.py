@@ -126,6 +126,45 @@ def test_single_links_within_a_crowd_match_brute_force(spark):
     assert got == want
 
 
+def test_comparisons_of_a_family_without_links_grow_with_its_texts(spark, monkeypatch):
+    """Texts of one template, mutually at 0.5 to 0.7: a few exact comparisons for each, however many there are."""
+    made, exact = [], neardup.similarity
+    monkeypatch.setattr(neardup, "similarity", lambda pairs, strips: made.append(pairs.count()) or exact(pairs, strips))
+    each = {}
+    for n in (200, 800):
+        rng, rows = np.random.default_rng(5), []
+        for i in range(n):
+            words = [f"w{k}" for k in range(200)]
+            for at in rng.choice(200, 5, replace=False):
+                words[at] = f"x{rng.integers(1 << 40)}"
+            rows.append((i, " ".join(words), "a"))
+        made.clear()
+        got = neardup.near_duplicates(make(spark, rows)).collect()
+        assert all(r.kept for r in got) and len(got) == n
+        each[n] = sum(made) / n
+    assert each[800] < 1.5 * each[200] + 1 and each[800] < 15
+
+
+def test_parities_bound_what_two_texts_do_not_share():
+    rng = np.random.default_rng(3)
+    strips = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    for alone in (0, 1, 7, 60, 250):
+        a, b = strips[:-alone] if alone else strips, strips[alone // 2 :]
+        differ = np.bitwise_count((neardup.parities(a) ^ neardup.parities(b)).view(np.uint64)).sum()
+        assert differ <= alone + alone // 2 and (differ == 0) == (alone == 0)
+
+
+def test_later_links_join_components(spark):
+    rng = np.random.default_rng(11)
+    links = [tuple(sorted(map(int, rng.choice(60, 2, replace=False)))) for _ in range(50)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    known = neardup.components(frame(links[:20]))
+    for part in (links[20:35], links[35:]):
+        known = neardup.joined(known, frame(part))
+    want = {tuple(r) for r in neardup.components(frame(links)).collect()}
+    assert {tuple(r) for r in known.collect()} == want
+
+
 def test_signatures_estimate_weighted_jaccard():
     ids = np.arange(1, 61, dtype=np.uint64) * np.uint64(7919)
     a, b = np.linspace(0.3, 4, 60), np.linspace(4, 0.3, 60)
