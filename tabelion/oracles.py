@@ -332,6 +332,10 @@ ORACLES.update(
         "SELECT 'CNPJ' AS referencia, substr(tag, 5, 2) || '/' || substr(tag, 3, 2) || '/202' || substr(tag, 2, 1) "
         "AS valor FROM t UNION ALL SELECT 'cnpj_qtde', CAST(count(*) AS VARCHAR) FROM estabelecimento_raw",
         "integrity_report": BASE + _INTEGRITY,
+        "lookups": BASE + _union(
+            [f"SELECT '{t}' AS table_name, '{c}' AS column_name, max({c}) AS key, "
+             f"count(*) FILTER ({c} = (SELECT max({c}) FROM {t})) AS n_rows FROM {t}"
+             for t, columns in schemas.ACCESS_PATHS.items() if t != "socios_original" for c in columns]),
         "tables_missing": BASE + _union(
             [f"SELECT '{t}' AS table_name, true AS present, count(*) AS n_rows FROM {EXTRACT[t]}"
              for t in schemas.BASE_TABLES if t != "socios_original"] + ["SELECT 'socios_original', false, CAST(0 AS BIGINT)"]),

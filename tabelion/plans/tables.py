@@ -4,7 +4,8 @@ Tables are Parquet data-source tables in a database whose location is under
 the shared scratch folder. ``VARCHAR(n)`` columns make every write check its
 widths (over-long values fail the write). Derived tables are written with a
 layout instead of indexes: bucketed and sorted on the join key so the
-relationship joins need no shuffle, sorted row groups for lookups.
+relationship joins need no shuffle, sorted row groups for lookups, and Bloom
+filters of the row groups for lookups by names and documents.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ WAITING_PARTNERS = "socios_pendentes"
 #: The property of a table's next version that is set when all its rows are written.
 COMPLETE = "versao_completa"
 KEEP_WIDTHS = "spark.sql.preserveCharVarcharTypeInfo"
+#: The largest Bloom filter of a row group's column; what is written fits the values that there are.
+BLOOM_BYTES = 4 * 1024 * 1024
 
 
 def q(db: str, table: str) -> str:
@@ -51,12 +54,32 @@ def database_location(spark: SparkSession, db: str) -> str:
     return next(r[1] for r in spark.sql(f"DESCRIBE DATABASE `{db}`").collect() if r[0] == "Location")
 
 
+def write_options(table: str, columns: list[str]) -> str:
+    """The ``OPTIONS`` of a table with ``columns``: Bloom filters for its lookups, used by every later insert."""
+    filtered = [c for c in schemas.BLOOM_COLUMNS.get(table, []) if c in columns]
+    if not filtered:
+        return ""
+    options = {"adaptive.enabled": "true", "max.bytes": str(BLOOM_BYTES)} | {f"enabled#{c}": "true" for c in filtered}
+    return "OPTIONS (" + ", ".join(f"'parquet.bloom.filter.{k}' '{v}'" for k, v in options.items()) + ")"
+
+
+def lookup(spark: SparkSession, db: str, table: str, column: str, value: str) -> DataFrame:
+    """Rows of a stored table with ``value`` in ``column``, one of ``schemas.ACCESS_PATHS``.
+
+    A null value finds nothing, as in SQL. Buckets, the order of the rows or
+    Bloom filters tell which files and row groups need not be read.
+    """
+    if column not in schemas.ACCESS_PATHS.get(table, []):
+        raise ValueError(f"no access path {table}.{column}")
+    return spark.table(q(db, table)).filter(F.col(column) == F.lit(value))
+
+
 def create_base_table(spark: SparkSession, db: str, table: str) -> None:
     """Drop and recreate one typed base table, with its comment."""
     s = schemas.spec(table)
     drop_table(spark, db, table)
     comment = _quote(schemas.TABLE_COMMENTS[table])
-    spark.sql(f"CREATE TABLE {q(db, table)} ({s.ddl()}) USING parquet COMMENT '{comment}'")
+    spark.sql(f"CREATE TABLE {q(db, table)} ({s.ddl()}) USING parquet {write_options(table, s.names)} COMMENT '{comment}'")
 
 
 def create_final_table(
@@ -79,7 +102,8 @@ def create_final_table(
     note = f"COMMENT '{_quote(comment)}'" if comment else ""
     spark.sql(f"DROP TABLE IF EXISTS {q(db, name)}")
     place = f"LOCATION '{_quote(location)}'" if location else ""
-    spark.sql(f"CREATE TABLE {q(db, name)} ({columns}) USING parquet {layout} {place} {note}")
+    options = write_options(table, [c for c, _ in schemas.final_columns(table)])
+    spark.sql(f"CREATE TABLE {q(db, name)} ({columns}) USING parquet {options} {layout} {place} {note}")
 
 
 def table_detail(spark: SparkSession, db: str, table: str, name: str) -> str | None:
@@ -123,8 +147,8 @@ def begin_replacement(
 def finish_replacement(spark: SparkSession, db: str, table: str) -> None:
     """Make the filled next version the table.
 
-    Where columns and layout are those of the present table, one change of
-    its location does it: a reader finds the old rows or the new ones. Where
+    Where columns, layout and options are those of the present table, one change
+    of its location does it: a reader finds the old rows or the new ones. Where
     they differ, the definition is made anew. In both cases the mark on the
     next version is set first, so ``recover`` can end what was stopped.
     """
@@ -139,7 +163,9 @@ def _take_place(spark: SparkSession, db: str, table: str) -> None:
     present = table_exists(spark, db, table)
     if not (present and _same_place(table_detail(spark, db, table, "Location"), path)):
         layout = bucket_layout(spark, db, new)
-        if not (present and spark.table(q(db, table)).schema == spark.table(q(db, new)).schema and bucket_layout(spark, db, table) == layout):
+        same = present and spark.table(q(db, table)).schema == spark.table(q(db, new)).schema
+        same = same and bucket_layout(spark, db, table) == layout
+        if not (same and _options(spark, db, table) == _options(spark, db, new)):
             sort_by = table_detail(spark, db, new, "Sort Columns")
             spark.sql(f"DROP TABLE IF EXISTS {q(db, table)}")
             fs.remove_folder(f"{database_location(spark, db).rstrip('/')}/{table}")
@@ -178,6 +204,11 @@ def recover(spark: SparkSession, db: str, tables: list[str]) -> list[str]:
     return ended
 
 
+def _options(spark: SparkSession, db: str, table: str) -> set[str]:
+    listed = table_detail(spark, db, table, "Storage Properties") or ""
+    return {x.strip() for x in listed.strip("[]").split(",") if "bloom" in x}
+
+
 def bucket_layout(spark: SparkSession, db: str, table: str) -> tuple[str, int] | None:
     """Bucket column and count of a table, or None."""
     rows = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {q(db, table)}").collect()}

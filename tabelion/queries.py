@@ -8,6 +8,7 @@ DuckDB oracle texts are in ``tabelion.oracles``.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -458,6 +459,19 @@ def integrity_report(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.integrity(spark, _loaded(spark, sf).database)
 
 
+def lookups(spark: SparkSession, sf: str) -> DataFrame:
+    """For each access path of the loaded tables its largest key and the rows found by it."""
+    db, found = _loaded(spark, sf).database, []
+    for t, columns in schemas.ACCESS_PATHS.items():
+        if t == "socios_original":  # dropped by the load
+            continue
+        keys = spark.table(tb.q(db, t)).agg(*[F.max(c).alias(c) for c in columns]).first()
+        for c in columns:
+            n = tb.lookup(spark, db, t, c, keys[c]).agg(F.count(F.lit(1)).alias("n_rows"))
+            found.append(n.select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.lit(keys[c]).alias("key"), "n_rows"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def tables_listed(spark: SparkSession, sf: str) -> DataFrame:
     """All tables of the loaded database in order, with their rows and whether they are expected base tables."""
     db = _loaded(spark, sf).database
@@ -625,7 +639,7 @@ def live_latest_establishments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES.update({f.__name__: f for f in (
-    rejected_rows, damaged_reconciliation, records_of_lines, load_append, load_append_parts, archive_rerun, file_sizes, tables_listed, table_definitions,
+    lookups, rejected_rows, damaged_reconciliation, records_of_lines, load_append, load_append_parts, archive_rerun, file_sizes, tables_listed, table_definitions,
     purge_report, purge_summary, latest_folder_archives, live_latest_establishments,
 )})
 QUERIES.update(

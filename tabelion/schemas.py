@@ -149,6 +149,21 @@ STATE_TABLES = [
     "estabelecimento", "socios_original", "empresas", "simples", "socios", "_referencia",
 ]
 DERIVED_TABLES = ["socios", "_referencia"]
+# Columns by which rows are looked up (fixed values).
+ACCESS_PATHS = {t: ["codigo"] for t in CODE_TABLES} | {
+    "estabelecimento": ["cnpj", "cnpj_basico"],
+    "empresas": ["cnpj_basico", "razao_social"],
+    "socios_original": ["cnpj_basico"],
+    "socios": ["cnpj", "cnpj_basico", "cnpj_cpf_socio", "nome_socio"],
+    "simples": ["cnpj_basico"],
+}
+# Those of them that neither buckets nor the order of the rows serve: row groups get Bloom filters of their values.
+BLOOM_COLUMNS = {
+    "estabelecimento": ["cnpj"],
+    "empresas": ["razao_social"],
+    "socios_original": ["cnpj_basico"],
+    "socios": ["cnpj", "cnpj_cpf_socio", "nome_socio"],
+}
 REFERENCE_WIDTH = 100
 
 
