@@ -213,9 +213,13 @@ def relationship_count(name: str, many: DataFrame, other: DataFrame, key: str) -
     task, so a key holding a third of all rows is just one number). The rows
     of ``many``, in which a key occurs about once, are joined as they are and
     take their key's count. NULL keys match nothing, as in the join.
+
+    Both sides are merged: Spark takes one narrow column of a wide stored table
+    for a small part of its files, and would send the keys of many million rows
+    through the driver to all tasks.
     """
     counts = other.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = many.select(key).join(counts, key, "inner").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_rows"))
+    total = many.select(key).hint("merge").join(counts, key, "inner").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_rows"))
     return total.select(F.lit(name).alias("check_name"), "n_rows")
 
 

@@ -113,6 +113,14 @@ def test_relationship_count_equals_join_count_with_hot_key(spark):
     assert "partial_count" in p
 
 
+def test_relationship_count_sends_no_keys_through_the_driver(spark, folder):
+    wide = spark.range(2000).select(F.col("id").cast("string").alias("k"), *[F.lit("").alias(f"c{i}") for i in range(29)])
+    wide.write.parquet(f"{folder[0]}/wide")
+    stored = spark.read.parquet(f"{folder[0]}/wide")
+    assert "Broadcast" not in plan(checks.relationship_count("x", stored, stored, "k"))
+    assert checks.relationship_count("x", stored, stored, "k").first().n_rows == 2000
+
+
 def _model_decision(stored, incoming):
     """Plain-Python statement of the code-list decision rules."""
     existing, expected = len(stored), len(incoming)
