@@ -274,7 +274,7 @@ def archive_of(file_name) -> F.Column:
         s = schemas.spec(table)
         hit = F.col(file_name).contains(s.suffix) if table == "simples" else F.col(file_name).endswith(s.suffix)
         if table in NUMBERED:
-            digit = F.regexp_extract(F.col(file_name), r"Y(\d)\.", 1)
+            digit = F.regexp_extract(F.col(file_name), r"Y(\d)(?:P\d+)?\.", 1)
             parts.append((hit, F.concat(F.lit(label), digit, F.lit(".zip"))))
         else:
             parts.append((hit, F.lit(f"{label}.zip")))

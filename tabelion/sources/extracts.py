@@ -53,31 +53,48 @@ def write_extracts(df: DataFrame, root: str, names: Column, order: list[str] | N
     return _write_routed(routed, root, WRITE_OPTIONS)
 
 
-#: Lines of one extract file, about; names with more are written in several files.
-LINES_PER_FILE = 20_000_000
+#: Lines that one task sorts and writes, at most about; a name with more is written in several files.
+LINES_PER_FILE = 2_000_000
 
 
 def write_lines(lines: DataFrame, root: str, parts: int = 1, breaks: bool = False) -> list[str]:
-    """Write preformatted lines (columns ``_file``, ``_key``, ``line``) as registry files, one job.
+    """Write preformatted lines (columns ``_file``, ``_key``, ``line``) as registry files, one job after a count per name.
 
-    The lines of a name go to ``parts`` tasks, by the hash of the line. With
-    ``breaks``, lines may hold line breaks, which the CSV writer would quote.
+    A name has a part for each ``LINES_PER_FILE`` lines, at least ``parts``;
+    its lines are dealt by their hash, so no task grows with the input. Small
+    names share tasks. With ``breaks``, lines may hold line breaks, which the
+    CSV writer would quote.
     """
-    part = F.pmod(F.xxhash64("line"), F.lit(parts)).alias("_part")
-    routed = lines.select("*", part)
-    if parts > 1:
-        # A part is a task's share of a file, so it must not be merged with others: a fixed number of partitions.
-        n = parts * max(1, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        routed = routed.repartition(n, "_file", "_part")
-    else:
-        routed = routed.repartition("_file", "_part")
-    routed = routed.sortWithinPartitions("_file", "_part", "_key")
+    name = F.coalesce("_file", F.lit(""))
+    found = lines.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row a name
+    if not found:
+        return []
+    slots, n_slots = _slots({r.name: r.n for r in found}, parts, lines.sparkSession.sparkContext.defaultParallelism)
+    of_name = F.element_at(F.create_map(*[F.lit(x) for pair in slots.items() for x in pair]), name)
+    part = F.pmod(F.xxhash64("line"), F.size(of_name)).cast("int")
+    routed = lines.select("*", F.element_at(of_name, part + 1).alias("_slot"))
+    routed = routed.repartitionById(n_slots, "_slot").sortWithinPartitions("_file", "_key")
     if breaks:
         text = F.encode("line", "ISO-8859-1").cast("string").alias("value")
         return _write_routed(routed.select("_file", text), root, {"lineSep": "\n"}, "text")
     return _write_routed(routed.select("_file", "line"), root, LINE_WRITE_OPTIONS)
 
 
+def _slots(counts: dict[str, int], parts: int, tasks: int) -> tuple[dict[str, list[int]], int]:
+    """The task of each part of a name, and how many tasks there are; two parts of a name never share one."""
+    full = min(LINES_PER_FILE, -(-sum(counts.values()) // max(1, tasks)))
+    slots: dict[str, list[int]] = {}
+    at, held, last = 0, 0, None
+    for name, n in sorted(counts.items()):
+        of_name = max(parts, -(-n // LINES_PER_FILE))
+        for _ in range(of_name):
+            if held and (name == last or held + n / of_name > full):
+                at, held = at + 1, 0
+            slots.setdefault(name, []).append(at)
+            held, last = held + n / of_name, name
+    return slots, at + 1
+
+
 def _write_routed(routed: DataFrame, root: str, options: dict, kind: str = "csv") -> list[str]:
     tag = f"_staging_{uuid.uuid4().hex}"
     routed.write.partitionBy("_file").options(**options).format(kind).save(f"{root}/{tag}")
@@ -91,12 +108,27 @@ def _write_routed(routed: DataFrame, root: str, options: dict, kind: str = "csv"
     for name, parts in sorted(by_name.items()):
         for i, part in enumerate(sorted(parts)):
             pieces = name.split(".")
-            target = name if i == 0 else ".".join([pieces[0], f"{pieces[1]}P{i}", *pieces[2:]])
+            if i:
+                pieces[min(1, len(pieces) - 1)] += f"P{i}"
+            target = ".".join(pieces)
             filesystem.move(part, f"{base}/{target}")
             written.append(target)
     return written
 
 
+def extract_of(file_name: Column) -> Column:
+    """The name of the extract that a file holds, or holds a further part (``P1``, ``P2``, ...) of."""
+    return F.regexp_replace(file_name, r"^([^.]*\.[^.]*?)P\d+\.", "$1.")
+
+
+def by_extract(figures: DataFrame, column: str = "file_name") -> DataFrame:
+    """Figures per file (its long columns) added up per extract."""
+    sums = [c for c, kind in figures.dtypes if kind == "bigint"]
+    keys = [c for c in figures.columns if c not in sums]
+    whole = figures.withColumn(column, extract_of(F.col(column))).groupBy(*keys)
+    return whole.agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def reference_tag(spark: SparkSession, sf_dir: str) -> str:
     """Extract date tag ``DYMMDD`` from the latest order date (the snapshot the extracts stand for)."""
     orders = fx.source(spark, sf_dir, "orders")
@@ -135,7 +167,6 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     lines = frames[0]
     for f in frames[1:]:
         lines = lines.unionByName(f)
-    largest = fx.source(spark, sf_dir, "lineitem").count()  # from the files' footers
-    write_lines(lines, root, max(1, -(-largest // (10 * LINES_PER_FILE))))  # all tables in one job
+    write_lines(lines, root)  # all tables in one job
     fs.touch(f"{root}/{READY}")
     return root

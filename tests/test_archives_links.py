@@ -200,3 +200,40 @@ def test_package_is_shipped_for_python_tasks(spark):
     local = fs.resolve(scratch_path(spark, "pyfiles", "tabelion.zip"))[1]
     names = zf.ZipFile(local).namelist()
     assert "tabelion/__init__.py" in names and "tabelion/sources/archives.py" in names
+
+
+def test_extracts_of_many_lines_are_parts_and_give_the_same_rows(spark, monkeypatch):
+    """With a few hundred lines a task, queries over files give what they give with one file a name."""
+    import uuid
+
+    from tabelion import queries as Q
+    from tabelion.session import scratch_path
+    from tabelion.sources import extracts, fs
+
+    sf = "/root/testdata/sf0.001"
+    over_files = ["rejected_rows", "rows_per_file", "file_sizes", "file_summary", "archive_manifest", "archive_entry_status", "entries_missing"]
+    before = {q: sorted(map(str, Q.QUERIES[q](spark, sf).collect())) for q in over_files}
+    place = scratch_path(spark, "parts", uuid.uuid4().hex)
+    monkeypatch.setattr(extracts, "scratch_path", lambda s, *p: "/".join([place, *p]))
+    monkeypatch.setattr(archives, "scratch_path", lambda s, *p: "/".join([place, *p]))
+    monkeypatch.setattr(extracts, "LINES_PER_FILE", 300)
+    files = [f.rsplit("/", 1)[-1] for f in fs.list_files(Q.damaged_landing(spark, sf), recursive=False)]
+    assert "X.YP1.D30610.SOCIOCSV" in files
+    assert any(".K03200Y1P1." in f for f in fs.list_files(extracts.landing(spark, sf)))
+    for q in over_files:
+        assert sorted(map(str, Q.QUERIES[q](spark, sf).collect())) == before[q], q
+
+
+def test_no_task_writes_many_times_the_lines_of_a_file(spark, folder, monkeypatch):
+    from tabelion.sources import extracts
+
+    monkeypatch.setattr(extracts, "LINES_PER_FILE", 1000)
+    one = spark.range(20000).select(
+        F.lit("K.Y0.D30610.PAISCSV").alias("_file"), F.col("id").alias("_key"), F.concat(F.lit('"'), "id", F.lit('";"x"')).alias("line")
+    )
+    few = spark.range(3).select(F.lit("K.Y.D30610.CNAECSV").alias("_file"), F.col("id").alias("_key"), F.lit('"1";"y"').alias("line"))
+    names = extracts.write_lines(one.unionByName(few), folder[0])
+    sizes = [r.n for r in spark.read.text(folder[0], pathGlobFilter="*PAISCSV").groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(names) == 21 and sum(sizes) == 20000 and max(sizes) < 1300
+    shares, n = extracts._slots({"a": 5, "b": 4, "c": 90, "d": 2500}, 1, 4)
+    assert shares == {"a": [0], "b": [0], "c": [0], "d": [1, 2, 3]} and n == 4
