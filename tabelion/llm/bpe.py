@@ -30,7 +30,7 @@ from tabelion.sources import fs
 ship(__name__)
 
 #: Characters of text whose new words are replayed together.
-SHARD = 24 << 20
+SHARD = 8 << 20
 #: Characters of a text beyond which its words are cut out in parts.
 LONG = 4 << 20
 #: Bytes of distinct words and their tokens that a task remembers before it starts anew.

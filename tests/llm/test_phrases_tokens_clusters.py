@@ -259,3 +259,18 @@ def test_clusters_run_without_python_workers(spark):
     vectors = table(spark, SF, "embeddings")
     plan = centroids.integer_vectors(vectors, 64, 256, "vec_id", "embedding").select(centroids.nearest([[1] * 64, [2] * 64]))
     assert not re.search("Python|Arrow|Pandas", plan._jdf.queryExecution().executedPlan().toString())
+
+
+def test_tokens_of_a_few_million_characters_are_held_at_a_time():
+    import pyarrow as pa
+
+    from tabelion.llm import bpe
+
+    class Sent:
+        value = [bytes([b]) for b in range(256)] + [b"ab"]
+
+    texts = ["ab cd " * 170_000] * 20
+    batch = pa.record_batch([pa.array(range(20)), pa.array(texts)], names=["id", "text"])
+    out = list(bpe._encode(Sent, r"\S+|\s+")(iter([batch])))
+    assert sum(b.num_rows for b in out) == 20 and max(b.num_rows for b in out) <= 10
+    assert all(len(x) == 5 * 170_000 for b in out for x in b.column("ids"))
