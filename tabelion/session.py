@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +62,20 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "tabelion", app, *parts])
 
 
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def open_files(spark: SparkSession, n: int):
+    """Within, a task that writes to fewer than ``n`` partition folders keeps their files open and does not sort its rows by folder."""
+    before = spark.conf.get(OPEN_FILES, None)
+    spark.conf.set(OPEN_FILES, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.unset(OPEN_FILES) if before is None else spark.conf.set(OPEN_FILES, before)
+
+
 _SHIPPED: set[str] = set()
 
 

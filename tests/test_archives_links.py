@@ -237,3 +237,35 @@ def test_no_task_writes_many_times_the_lines_of_a_file(spark, folder, monkeypatc
     assert len(names) == 21 and sum(sizes) == 20000 and max(sizes) < 1300
     shares, n = extracts._slots({"a": 5, "b": 4, "c": 90, "d": 2500}, 1, 4)
     assert shares == {"a": [0], "b": [0], "c": [0], "d": [1, 2, 3]} and n == 4
+
+
+def plans_of(spark, action) -> list[str]:
+    """The physical plans that ``action`` executes, with what writes add to them."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    action()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return [store.executionsList(i, 1).head().physicalPlanDescription() for i in range(before, store.executionsCount())]
+
+
+def test_names_of_many_lines_are_written_without_shuffle_or_sort(spark, folder, monkeypatch):
+    from tabelion.sources import extracts
+
+    monkeypatch.setattr(extracts, "LINES_DEALT", 100)
+    monkeypatch.setattr(extracts, "LINES_PER_FILE", 400)
+    name = F.concat(F.lit("K.Y"), F.col("id") % 3, F.lit(".D30610.PAISCSV"))
+    many = spark.range(0, 3000, 1, 2).select(name.alias("_file"), F.col("id").alias("_key"), F.concat(F.lit('"'), "id", F.lit('";"x"')).alias("line"))
+    few = spark.range(9).select(F.lit("K.Y.D30610.CNAECSV").alias("_file"), F.col("id").alias("_key"), F.lit('"1";"y"').alias("line"))
+    none = spark.range(5).select(F.lit(None).cast("string").alias("_file"), F.col("id").alias("_key"), F.lit('"2";"z"').alias("line"))
+    names = []
+    lines = many.unionByName(few).unionByName(none)
+    plans = plans_of(spark, lambda: names.extend(extracts.write_lines(lines, folder[0])))
+    writes = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p]
+    assert ["Exchange" in p or "Sort" in p for p in writes] == [False, True]
+    assert names == sorted(names) and len(names) == 3 * 2 * 2 + 2  # two tasks, each two files a name; a file for the others
+    found = spark.read.text(folder[0]).groupBy("value").count().collect()
+    assert {r.value for r in found} == {f'"{i}";"x"' for i in range(3000)} | {'"1";"y"'}  # Spark passes over the file without a name
+    assert sum(r["count"] for r in found) == 3009
+    sizes = spark.read.text(folder[0], pathGlobFilter="*PAISCSV").groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in sizes) <= 400
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
