@@ -269,3 +269,15 @@ def test_names_of_many_lines_are_written_without_shuffle_or_sort(spark, folder,
     sizes = spark.read.text(folder[0], pathGlobFilter="*PAISCSV").groupBy(F.input_file_name()).count().collect()
     assert max(r["count"] for r in sizes) <= 400
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_members_are_staged_without_sorting_them(spark, folder):
+    """The lines of a member lie together already: staging must not hold a whole member to sort it by its folder."""
+    from tabelion.plans import expand
+    from tabelion.sources import extracts
+
+    landing = extracts.landing(spark, "/root/testdata/sf0.001")
+    archives.build_archives(spark, landing, folder[0]).write.format("noop").mode("overwrite").save()
+    plans = plans_of(spark, lambda: expand.stage_archives(spark, folder[0], f"{folder[0]}/staged"))
+    writes = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p and "in_archive" in p and "MapInArrow" in p]
+    assert len(writes) == 1 and "Sort" not in writes[0]
