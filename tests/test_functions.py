@@ -76,3 +76,11 @@ def test_count_fields(spark, line, n):
                                          ('"a;b;c;d"', 2, False), ("", 2, False)])
 def test_exceeds_fields(spark, line, n, over):
     assert one(spark, tf.exceeds_fields("x", n), line) is over
+
+
+def test_reject_cause_does_not_split_lines(spark):
+    """Fields of nearly all lines are bounded by counting separators: no array of them is made."""
+    df = spark.createDataFrame([('"a";"b"', 2), ('"a";"b";"c"', 2), ('"a;b";"c"', 2), ('"a', 2), ("é;è", 1), (None, 1)], "x string, n int")
+    found = df.select(tf.reject_cause("x", F.col("n")).alias("cause"))
+    assert [r.cause for r in found.collect()] == [None, "too_long", None, "open_quote", "too_long", None]
+    assert "split(" not in found._jdf.queryExecution().analyzed().toString().lower()
