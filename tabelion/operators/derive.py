@@ -39,6 +39,12 @@ def partners_of(socios_original: DataFrame, heads: DataFrame) -> DataFrame:
     return joined.select("cnpj", *[socios_original[c] for c in socios_original.columns])
 
 
+def partners_or_waiting(socios_original: DataFrame, heads: DataFrame, flag: str) -> DataFrame:
+    """``partners_of`` plus the partners without a head office (their number is NULL), which ``flag`` tells."""
+    joined = socios_original.join(heads, socios_original["cnpj_basico"] == heads["_hq_basico"], "left")
+    return joined.select("cnpj", *[socios_original[c] for c in socios_original.columns], F.col("_hq_basico").isNull().alias(flag))
+
+
 def partners_head_office(socios_original: DataFrame, estabelecimento: DataFrame) -> DataFrame:
     """Partners keyed by their company's head-office number.
 

@@ -102,12 +102,17 @@ def delta(stored: DataFrame, incoming: DataFrame, table: str, by_bucket: bool =
 
 def waiting_partners(spark: SparkSession, db: str) -> DataFrame | None:
     path = tb.database_property(spark, db, tb.WAITING_PARTNERS)
-    return spark.read.parquet(path) if path else None
+    return spark.read.parquet(path).drop("cnpj") if path else None
+
+
+def waiting_folder(location: str) -> str:
+    """A new folder for the partners that wait for a head office."""
+    return f"{location.rstrip('/')}/_{tb.WAITING_PARTNERS}/{uuid.uuid4().hex}"
 
 
 def keep_waiting(spark: SparkSession, db: str, location: str, partners: DataFrame) -> None:
     """Replace the partners that wait for a head office. The old ones stay until the new ones are written."""
-    path = f"{location.rstrip('/')}/_{tb.WAITING_PARTNERS}/{uuid.uuid4().hex}"
+    path = waiting_folder(location)
     partners.write.parquet(path)
     tb.set_database_property(spark, db, tb.WAITING_PARTNERS, path)
 

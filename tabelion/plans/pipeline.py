@@ -23,7 +23,7 @@ from tabelion.operators import checks, derive
 from tabelion.plans import append, expand
 from tabelion.plans import tables as tb
 from tabelion.session import scratch_path
-from tabelion.sources import registry
+from tabelion.sources import fs, registry
 
 MAIN_ORDER = ["estabelecimento", "socios_original", "empresas", "simples"]
 BUCKETED = {"empresas": "cnpj_basico", "estabelecimento": "cnpj_basico", "socios": "cnpj_basico"}
@@ -39,6 +39,9 @@ SORTED = {
     "socios": ["cnpj_basico", "cnpj", "cnpj_cpf_socio"],
 }
 
+#: Tells the partners without a head office while they are written.
+WAITS = "espera"
+
 
 class FolderSource:
     """Extract files in a folder (the expanded archives)."""
@@ -232,13 +235,18 @@ def load_partners(
         counts = append.append_partners(spark, db, location, derive.head_offices(est) if new_offices is None else new_offices)
     else:
         # The head offices are dealt anew, not read by bucket: with a shuffle on both sides, adaptive execution splits
-        # the partition of a company that owns very many partners.
+        # the partition of a company that owns very many partners. The partners are shuffled by this join only: it
+        # deals them to the buckets and tells those without an office, and both kinds are written by its tasks.
         offices = derive.head_offices(est).hint("rebalance")
-        rows = derive.partners_of(so, offices)
+        rows = derive.partners_or_waiting(so, offices, WAITS)
         new = tb.begin_replacement(spark, db, "socios", BUCKETED["socios"], SORTED["socios"], n_buckets)
-        tb.insert_bucketed(rows, db, new, "append")
+        folder = append.waiting_folder(location)
+        with tb.dealt_by_bucket(spark, n_buckets):
+            tb.insert_apart(rows, db, new, "socios", SORTED["socios"], WAITS, folder)
+        if not fs.list_files(folder):
+            so.limit(0).write.mode("append").parquet(folder)  # none waits
         tb.finish_replacement(spark, db, "socios")
-        append.keep_waiting(spark, db, location, append.without_office(so, derive.head_offices(est)))
+        tb.set_database_property(spark, db, tb.WAITING_PARTNERS, folder)
     tb.drop_table(spark, db, "socios_original")
     return counts
 

@@ -76,6 +76,19 @@ def open_files(spark: SparkSession, n: int):
         spark.conf.unset(OPEN_FILES) if before is None else spark.conf.set(OPEN_FILES, before)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Within, the session has these settings; before and after its own."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 _SHIPPED: set[str] = set()
 
 

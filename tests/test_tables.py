@@ -201,3 +201,44 @@ def test_hot_company_is_spread_in_the_partner_load(spark, db):
     finally:
         for k in keys:
             spark.conf.unset(k)
+
+
+def test_partners_are_dealt_once_for_the_table_and_those_that_wait(spark, db, monkeypatch):
+    """One job writes both; its join deals the rows to the buckets, a task for each at most, and broadcasts nothing."""
+    from pyspark.sql import functions as F
+
+    from tabelion.plans import append, pipeline
+    from tabelion.sources import fs
+
+    key = F.lpad(F.col("id").cast("string"), 8, "0")
+    tb.create_base_table(spark, db, "socios_original")
+    so = spark.range(600).select(F.when(F.col("id") < 599, F.lpad((F.col("id") % 60).cast("string"), 8, "0")).alias("cnpj_basico"), F.col("id").cast("string").alias("nome_socio"))
+    tb.write_rows(extracts.pad_to_spec(so, "socios_original"), db, "socios_original")
+    tb.create_final_table(spark, db, "estabelecimento", "estabelecimento", "cnpj_basico", None, 3)
+    est = spark.range(50).select(key.alias("cnpj_basico"), F.lit("0001").alias("cnpj_ordem"), F.lit("11").alias("cnpj_dv"), F.lit("1").alias("matriz_filial"))
+    est = est.union(est.where("cnpj_basico = '00000007'").withColumn("cnpj_ordem", F.lit("0002")))  # two head offices
+    tb.write_rows(pipeline.derived("estabelecimento", extracts.pad_to_spec(est, "estabelecimento")), db, "estabelecimento")
+    plans, write = [], tb.write_rows
+    monkeypatch.setattr(tb, "write_rows", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, *a))
+    monkeypatch.setattr(append, "without_office", None)  # a second join
+    pipeline.load_partners(spark, db, "overwrite", 3)
+    assert len(plans) == 1 and "Broadcast" not in plans[0] and "REBALANCE_PARTITIONS_BY_COL" not in plans[0]
+    assert plans[0].count("Exchange hashpartitioning") == 2  # partners and offices, for the join
+    socios = spark.table(f"{db}.socios")
+    offices = {r.cnpj for r in socios.where("nome_socio = '7'").select("cnpj").collect()}
+    assert socios.count() == 500 + 10 and offices == {"00000007000111", "00000007000211"}
+    waiting = append.waiting_partners(spark, db)
+    assert waiting.columns == spark.table(f"{db}.socios").columns[1:] and waiting.where("cnpj_basico is null").count() == 1
+    assert {int(r.nome_socio) for r in waiting.collect()} == {i for i in range(600) if i % 60 >= 50 or i == 599}
+    found = {r.f: r.n for r in socios.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()}
+    assert len({f.split("_")[-1] for f in found}) == 3 and tb.bucket_layout(spark, db, "socios") == ("cnpj_basico", 3)
+    again = spark.table(f"{db}.estabelecimento").join(socios, "cnpj_basico")
+    assert again.count() == 490 + 2 * 20  # read by bucket, nothing is missed
+    versions = fs.list_folders(tb.versions_folder(spark, db, "socios"))
+    assert len(versions) == 1 and not tb.table_exists(spark, db, "socios__apart")
+    # None waits: an empty folder of the partners' columns.
+    tb.create_base_table(spark, db, "socios_original")
+    tb.write_rows(extracts.pad_to_spec(so.where("cnpj_basico < '00000050'"), "socios_original"), db, "socios_original")
+    pipeline.load_partners(spark, db, "overwrite", 3)
+    none = append.waiting_partners(spark, db)
+    assert none.count() == 0 and none.columns == waiting.columns and spark.table(f"{db}.socios").count() == 510
