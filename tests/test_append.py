@@ -135,3 +135,35 @@ def test_companies_are_compared_without_a_shuffle_of_the_stored_table(spark, fre
             spark.conf.set(k, v)
     # The incoming rows are dealt twice (to count equal ones, and to the buckets), the stored ones never.
     assert text.count("Exchange hashpartitioning") == 2 and "Bucketed: true" in text
+
+
+def test_stored_rows_are_not_sent_to_all_tasks_for_the_size_of_their_files(spark, fresh, monkeypatch):
+    """Before rows are counted, no join of an append may broadcast: the files of millions of rows can be small."""
+    from pyspark.sql import DataFrameWriter
+
+    a, b = (
+        delivery(spark, [(f"{i:08d}", "1,00") for i in some], [(f"{i:08d}", "0001", "1") for i in some], [(f"{i:08d}", "x") for i in some], [f"{i:08d}" for i in some])
+        for some in (range(40), range(20, 60))
+    )
+    _, _, db = load(spark, fresh, a)
+    plans, write = {}, DataFrameWriter.parquet
+
+    def seen(self, path, *args, **kw):
+        label = path.rsplit("/append/", 1)[-1].split("-")[0] if "/append/" in path else "waiting" if tb.WAITING_PARTNERS in path else ""
+        if label:
+            plans.setdefault(label, []).append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        pipeline.run_load(spark, b, db, tb.database_location(spark, db), mode="append")
+        found = {k: spark.conf.get(k, None) for k in kept}
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert found == kept | {"spark.sql.adaptive.enabled": "false"}
+    assert plans.keys() >= {"empresas", "estabelecimento", "simples", "socios", "socios_original", "offices", "rows", "held", "waiting"}
+    assert [k for k, v in plans.items() if any("Broadcast" in p for p in v)] == []
+    assert all(spark.table(f"{db}.{t}").count() == 60 for t in FINAL)
