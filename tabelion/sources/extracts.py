@@ -19,6 +19,7 @@ from tabelion import fixtures as fx
 from tabelion import schemas
 from tabelion.session import open_files, scratch_path
 from tabelion.sources import fs
+from tabelion.sources.records import odd_quotes
 from tabelion.sources.registry import LINE_WRITE_OPTIONS, WRITE_OPTIONS
 
 READY = "_READY"
@@ -69,19 +70,33 @@ def write_lines(lines: DataFrame, root: str, parts: int = 1, breaks: bool = Fals
     shuffled nor sorted. Names of fewer lines, or that are to have ``parts``,
     are dealt by the hash of their lines and ordered by ``_key``; small ones
     share tasks. With ``breaks``, lines may hold line breaks, which the CSV
-    writer would quote, and all names are dealt, a part for each
-    ``LINES_PER_FILE`` lines.
+    writer would quote. A quote that is never closed takes in the lines after
+    it, so such lines are dealt, too, with about ``LINES_DEALT`` others of
+    their name: they end a file if their keys are the last.
     """
     name = F.coalesce("_file", F.lit(""))
-    found = lines.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row a name
+    unclosed = F.sum(odd_quotes("line")) if breaks else F.lit(0)
+    found = lines.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"), unclosed.alias("n_unclosed")).collect()  # a row a name
     counts, written = {r.name: r.n for r in found}, []
     most = min(LINES_DEALT, LINES_PER_FILE)
-    large = [] if breaks or parts > 1 else sorted(n for n, c in counts.items() if c > most)
+    large = [] if parts > 1 else sorted(n for n, c in counts.items() if c > most)
+    files: dict[str, int] = {}
+    options, kind = ({"lineSep": "\n"}, "text") if breaks else (LINE_WRITE_OPTIONS, "csv")
+    text = F.encode("line", "ISO-8859-1").cast("string").alias("value") if breaks else F.col("line")
     if large:
-        apart = lines.where(name.isin(large)).select("_file", "line")
+        shares = {n: -(-c // most) for n, c in counts.items() if n in large}
+        here, counts = name.isin(large), {n: c for n, c in counts.items() if n not in large}
+        apart, rest = lines.where(here), lines.where(~here)
+        if breaks:
+            of_share = F.element_at(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]), name)
+            stays = (odd_quotes("line") == 0) & (F.pmod(F.xxhash64("line"), of_share) != 0)
+            # What depends on the task is not moved below the making of the line, which would be made anew for each mention.
+            stays = here & stays & (F.spark_partition_id() >= 0)
+            apart, rest = apart.withColumn("_stays", stays).where("_stays"), lines.withColumn("_stays", stays).where("not _stays")
+            counts |= {r.name: most + r.n_unclosed for r in found if r.name in large}
         with open_files(lines.sparkSession, OPEN_NAMES):
-            written = _write_routed(apart, root, LINE_WRITE_OPTIONS | {"maxRecordsPerFile": LINES_PER_FILE})
-        lines, counts = lines.where(~name.isin(large)), {n: c for n, c in counts.items() if n not in large}
+            written = _write_routed(apart.select("_file", text), root, options | {"maxRecordsPerFile": LINES_PER_FILE}, kind, files)
+        lines = rest
     if not counts:
         return written
     slots, n_slots = _slots(counts, parts, lines.sparkSession.sparkContext.defaultParallelism)
@@ -89,10 +104,7 @@ def write_lines(lines: DataFrame, root: str, parts: int = 1, breaks: bool = Fals
     part = F.pmod(F.xxhash64("line"), F.size(of_name)).cast("int")
     routed = lines.select("*", F.element_at(of_name, part + 1).alias("_slot"))
     routed = routed.repartitionById(n_slots, "_slot").sortWithinPartitions("_file", "_key")
-    if breaks:
-        text = F.encode("line", "ISO-8859-1").cast("string").alias("value")
-        return _write_routed(routed.select("_file", text), root, {"lineSep": "\n"}, "text")
-    return sorted(written + _write_routed(routed.select("_file", "line"), root, LINE_WRITE_OPTIONS))
+    return sorted(written + _write_routed(routed.select("_file", text), root, options, kind, files))
 
 
 def _slots(counts: dict[str, int], parts: int, tasks: int) -> tuple[dict[str, list[int]], int]:
@@ -110,7 +122,9 @@ def _slots(counts: dict[str, int], parts: int, tasks: int) -> tuple[dict[str, li
     return slots, at + 1
 
 
-def _write_routed(routed: DataFrame, root: str, options: dict, kind: str = "csv") -> list[str]:
+def _write_routed(routed: DataFrame, root: str, options: dict, kind: str = "csv", files: dict[str, int] | None = None) -> list[str]:
+    """Write lines as files under the names in ``_file``; ``files`` has how many a name has so far, and gets those added."""
+    files = {} if files is None else files
     tag = f"_staging_{uuid.uuid4().hex}"
     routed.write.partitionBy("_file").options(**options).format(kind).save(f"{root}/{tag}")
     filesystem, base = fs.resolve(root)
@@ -121,13 +135,14 @@ def _write_routed(routed: DataFrame, root: str, options: dict, kind: str = "csv"
             by_name.setdefault(parent[len("_file="):], []).append(path)
     written = []
     for name, parts in sorted(by_name.items()):
-        for i, part in enumerate(sorted(parts)):
+        for i, part in enumerate(sorted(parts), files.get(name, 0)):
             pieces = name.split(".")
             if i:
                 pieces[min(1, len(pieces) - 1)] += f"P{i}"
             target = ".".join(pieces)
             filesystem.move(part, f"{base}/{target}")
             written.append(target)
+        files[name] = files.get(name, 0) + len(parts)
     return written
 
 

@@ -105,8 +105,8 @@ def scan_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     other = ~F.col("_metadata.file_path").isin(cut)
     whole = raw.where(other).select(F.col("_metadata.file_name").alias(SOURCE), F.when(other, F.col(LINE)).alias(LINE))
     text = F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias(LINE)
-    lines = records.raw_lines(spark, [unquote(p) for p in cut]).select(F.col("file_name").alias(SOURCE), "block", "at", text)
-    return content(whole.unionByName(records.joined_records(lines, [SOURCE])))
+    lines = records.raw_lines(records.steady(spark), [unquote(p) for p in cut]).select(F.col("file_name").alias(SOURCE), "block", "at", text)
+    return content(whole.unionByName(records.joined_records(lines, [SOURCE], ordered=True)))
 
 
 def parse_lines(lines: DataFrame, table: str, line_col: str = LINE) -> DataFrame:

@@ -206,3 +206,95 @@ def test_store_names_of_spark_are_known_to_the_file_helpers(monkeypatch):
     monkeypatch.setattr(fs.pafs, "FileSystem", type("F", (), {"from_uri": staticmethod(lambda u: (seen.append(u), ("f", u))[1])}))
     fs.resolve("s3a://bucket/x")
     assert seen == ["s3://bucket/x"] and fs.resolve("dbfs:/a/b")[1] == "/dbfs/a/b" and fs.resolve("file:///a")[1] == "/a"
+
+
+def plain_joined(lines, most):
+    """The records of a file's lines, one after the other."""
+    out, now = [], []
+    reject = lambda x: x if x.count('"') % 2 else '"' + x
+    for x in lines:
+        odd = x.count('"') % 2
+        if now or odd:
+            now.append(x)
+            if odd and len(now) > 1:
+                out += ["\n".join(now)] if len(now) <= most else map(reject, now)
+                now = []
+        else:
+            out.append(x)
+    return out + ((["\n".join(now)] if len(now) <= most else [*map(reject, now)]) if now else [])
+
+
+def test_records_of_any_length_over_any_splits_equal_a_walk_over_the_lines(spark):
+    """Records of one to many lines, too long ones, unclosed ones, over splits of any size and small batches."""
+    import random
+
+    from tabelion.sources import records
+
+    pick = random.Random(11)
+    rows, want = [], []
+    for f in range(150):
+        share = pick.choice([0.02, 0.1, 0.3, 0.6])
+        lines = [pick.choice(['a"', '"', 'b""c"']) if pick.random() < share else pick.choice(["", "x", '""', "y\r"]) for _ in range(pick.choice([1, 5, 40, 90]))]
+        want += [(f, x) for x in plain_joined(lines, 6)]
+        block = 0
+        for i, x in enumerate(lines):
+            block = i * 100 if i and pick.random() < pick.choice([0.0, 0.05, 0.4]) else block
+            rows.append((f, block, i, x))
+    df = spark.createDataFrame(rows, "f int, block long, at long, line string").repartition(3)
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch in ("3", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            got = [tuple(r) for r in records.joined_records(df, ["f"], max_lines=6).collect()]
+            assert sorted(got) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+
+
+def test_records_are_joined_where_they_are_read(spark, folder):
+    """No line of a file with broken records is shuffled, sorted or written anew."""
+    from tabelion.session import scratch_path
+    from tabelion.sources import fs
+
+    uri, local = folder
+    body = b"".join(b'"%05d";"%s"\n' % (i, b"one\ntwo" if i % 4 else b"plain text") for i in range(20000))
+    write_bytes(local, "F.Z.D30610.PAISCSV", body)
+    size = lambda: sum(fs.resolve(f)[0].get_file_info(f).size for f in fs.list_files(scratch_path(spark, "records")))
+    before = size()
+    rows = registry.read_table(spark, uri, "pais")
+    assert rows.count() == 20000 and rows.where("descricao = 'one\ntwo'").count() == 15000
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+    assert size() - before < len(body) / 20
+
+
+def test_records_are_the_same_when_files_would_be_split_otherwise_later(spark, folder):
+    """Settings, and the cores of a cluster, may be others when the records are read than when the quotes were counted."""
+    from pyspark import RDD
+
+    uri, local = folder
+    write_bytes(local, "F.Z.D30610.PAISCSV", b"".join(b'"%03d";"a\nb"\n' % i for i in range(300)))
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")}
+    to_frame = RDD.toDF
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        rows = registry.read_table(spark, uri, "pais")
+        assert RDD.toDF is to_frame and rows.sparkSession is spark
+        for size, least in (("500", "1"), ("700", "50"), ("100000", "1")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.minPartitionNum", least)
+            assert rows.where("descricao = 'a\nb'").count() == 300
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_files_that_change_while_their_records_are_joined_fail(spark, folder):
+    uri, local = folder
+    write_bytes(local, "F.Z.D30610.PAISCSV", b'"01";"a\nb"\n"02";"c"\n')
+    rows = registry.read_table(spark, uri, "pais")
+    assert rows.count() == 2
+    write_bytes(local, "F.Z.D30610.PAISCSV", b'"01";"a\nb"\n"02";"c"\n"03";"d"\n')
+    with pytest.raises(Exception, match="SplitsChanged"):
+        rows.select("codigo", "descricao").where("codigo <> ''").collect()
