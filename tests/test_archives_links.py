@@ -284,6 +284,19 @@ def test_members_are_staged_without_sorting_them(spark, folder):
     assert len(writes) == 1 and "Sort" not in writes[0]
 
 
+def test_staged_lines_are_written_in_a_dense_codec(spark, folder):
+    from tabelion.plans import expand, pipeline
+    from tabelion.sources import fs
+
+    uri, local = folder
+    with zipfile.ZipFile(f"{local}/A.zip", "w") as z:
+        z.writestr("F.Z.D30610.PAISCSV", "".join(f'"{i:03d}";"x"\n' for i in range(200)))
+    expand.stage_archives(spark, uri, f"{uri}/staged")
+    files = [f for f in fs.list_files(f"{uri}/staged/{expand.LINES}") if f.endswith(".parquet")]
+    assert files and all(".zstd." in f for f in files)
+    assert pipeline.StagedSource(spark, f"{uri}/staged").rows("pais").count() == 200
+
+
 def test_names_of_many_lines_with_breaks_are_written_where_they_are_read(spark, folder, monkeypatch):
     """All but a share of them: the share is dealt with the line whose quote is never closed, which must end a file."""
     from tabelion.sources import extracts, registry
